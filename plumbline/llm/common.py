@@ -6,6 +6,7 @@ work per byte and Python only the work per document. A null text is an empty tex
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -18,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch at most, so that a batch of long texts fits beside the JVM.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch at most, so that a batch of long texts fits beside the JVM.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 #: Bytes of text that the vectorised routines take at once (a longer single text is taken whole).
 SLICE_BYTES = 1 << 21
 
@@ -40,6 +41,7 @@ def ready(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -63,6 +65,12 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidied(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished stages now; it does so when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def dropped(spark: SparkSession, path: str) -> None:
     """Delete a path of the shared folder through Hadoop's file system."""
     jvm = spark.sparkContext._jvm
@@ -88,6 +96,17 @@ def over_batches(
     return df.select(*columns).mapInArrow(run, schema)
 
 
+#: Ids of a list that is broadcast at most.
+MOST_IDS = 1_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of docs whose key is not among ids; rows without a key stay. Short lists are broadcast, others shuffled."""
+    ids = ids.select(key).filter(f"`{key}` is not null").distinct()
+    short = ids.limit(MOST_IDS + 1).count() <= MOST_IDS
+    return docs.join(F.broadcast(ids) if short else ids, key, "left_anti").select(*docs.columns)
+
+
 def fold(column: str, mod: int) -> F.Column:
     """crc32 of the id as text, modulo mod: the fixed folds of the held-out rows."""
     return F.crc32(F.col(column).cast("string")) % mod

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buffer_of, ready, shingle_hashes, slices, word_hashes, words
+from .common import buffer_of, ready, shingle_hashes, slices, stored, without, word_hashes, words
 
 #: Words of an index part at most, items of a block, and words of slack in a window's half.
 INDEX_WORDS, BLOCK, SLACK = 2_000_000, 64, 8
@@ -178,6 +178,11 @@ def verified(spark: SparkSession, docs: DataFrame, items: DataFrame, key: str =
     return out.groupBy(key, "item_id").agg(F.max("shared").alias("shared"), F.max("similarity").alias("similarity"))
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs without the documents that hold an item."""
+    return without(docs, stored(spark, verified(spark, docs, items, key, text).select(key), "leaks"), key)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import table
 

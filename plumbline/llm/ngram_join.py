@@ -4,11 +4,11 @@ The incidence matrix has a row for each distinct set of word shingles (copies sh
 shingle. Columns are dealt to blocks; each block multiplies its part of the matrix with its transpose, and size-derived
 bounds discard pairs before and while overlap counts accumulate:
 
-* sizes: 4 * smaller >= 3 * larger at a threshold of 3/4;
-* prefixes: under one global order of columns, linked rows of sizes m and n share one of their first
-  ``n - ceil(3n/4) + 1`` columns, so only those entries enter the product;
-* positions: at the first shared column, 1 + what is left of the shorter row bounds the overlap, which has to reach
-  ``ceil(3 (m + n) / 7)``;
+* sizes: 4 * smaller >= 3 * larger at a threshold of 3/4, and an overlap of ``ceil(3 (m + n) / 7)`` is needed;
+* prefixes: under one global order of columns, linked rows of sizes m and n share at least ``min(m, n) // 16`` of their
+  first ``n - ceil(3n/4) + n // 16`` columns, so only those entries enter the product, rows that meet others in fewer
+  columns leave it, and pairs whose accumulated count is less are dropped;
+* positions: what is left of the shorter row behind a shared column, and that count, bound the overlap;
 * contraction: components are all that is asked for, so pairs of rows that links found so far connect are skipped. The
   first products pair each row with one hub row; only the last one enumerates pairs, between components.
 
@@ -27,10 +27,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffer_of, ready, scratch, shingle_sets, slices, stored
+from .common import buffer_of, mixed, ready, shingle_sets, slices, stored, tidied, without
 from .components import components
 
 #: Frequent columns at most, and entries of one counting block.
@@ -110,8 +110,18 @@ class _Order:
         return s[np.argsort(level, kind="stable")]
 
 
+def spare(n):
+    """Columns that linked rows share in their prefixes at least, by the smaller row's size."""
+    return np.maximum(1, n // 16)
+
+
 def prefix_size(n: int) -> int:
-    return n - (3 * n + 3) // 4 + 1
+    return min(n, n - (3 * n + 3) // 4 + int(spare(n)))
+
+
+def pair_bound(n1, n2):
+    """Columns that linked rows of these sizes share in their prefixes at least."""
+    return np.minimum(np.minimum(spare(n1), spare(n2)), (3 * (n1 + n2) + 6) // 7)
 
 
 _PACK = [("row", np.int64), ("size", np.uint32), ("times", np.uint32), ("column", np.uint32), ("place", np.uint16)]
@@ -184,6 +194,17 @@ def _entries(df: DataFrame, text: str, k: int, order, blocks: int) -> DataFrame:
     return df.select(text).mapInArrow(run, "block int, packed binary")
 
 
+def _has_partner(size: np.ndarray, column: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether an entry's column holds another row of a size that its own size and place allow. Sorted by column, size."""
+    cell = (column.astype(np.uint64) << np.uint64(32)) + size.astype(np.uint64)
+    least = (3 * size + 3) // 4
+    most = np.minimum(4 * size // 3, (7 * (size - place - 1 + spare(size)) - 3 * size) // 3)
+    base = column.astype(np.uint64) << np.uint64(32)
+    lo = np.searchsorted(cell, base + least.astype(np.uint64))
+    hi = np.searchsorted(cell, base + np.maximum(most, 0).astype(np.uint64), "right")
+    return hi - lo - ((least <= size) & (size <= most)) > 0
+
+
 def _met(entries: DataFrame) -> DataFrame:
     """(block, packed): each block's entries whose column holds two rows at least, by column and size."""
 
@@ -197,9 +218,8 @@ def _met(entries: DataFrame) -> DataFrame:
         at = np.lexsort((row, size, column))
         row, size, column, place = row[at], size[at], column[at], place[at]
         keep = np.r_[True, (row[1:] != row[:-1]) | (column[1:] != column[:-1])] if len(row) else np.zeros(0, bool)
-        row, size, column, place = row[keep], size[keep], column[keep], place[keep]
-        same = column[1:] == column[:-1]
-        keep = np.r_[same, False] | np.r_[False, same] if len(row) else keep
+        row, size, column, place = row[keep], size[keep].astype(np.int64), column[keep], place[keep].astype(np.int64)
+        keep = _has_partner(size, column, place)
         row, size, column, place = row[keep], size[keep], column[keep], place[keep]
         blob = _packed(row, size, np.ones(len(row), np.int64), column, place)
         return pa.table({"block": pa.array([t.column("block")[0].as_py()], pa.int32()), "packed": pa.array([blob], pa.binary())})
@@ -208,121 +228,130 @@ def _met(entries: DataFrame) -> DataFrame:
 
 
 def _members(met: DataFrame) -> DataFrame:
-    """(block, row): which rows a block's product can pair."""
+    """(block, row, n, hits): which rows a block's product can pair, and in how many columns."""
 
     def run(batches):
         for b in batches:
             for block, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rows = np.unique(_unpacked(blob)[0])
+                row, size, *_ = _unpacked(blob)
+                rows, first, hits = np.unique(row, return_index=True, return_counts=True)
                 for i in range(0, len(rows), 1 << 16):
-                    part = rows[i : i + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block, np.int32)), pa.array(part)], ["block", "row"])
+                    part = slice(i, i + (1 << 16))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(rows[part]), block, np.int32)), pa.array(rows[part]), pa.array(size[first[part]].astype(np.int64)), pa.array(hits[part])],
+                        ["block", "row", "n", "hits"],
+                    )
+
+    return met.mapInArrow(run, "block int, row long, n long, hits long")
+
 
-    return met.mapInArrow(run, "block int, row long")
+def _candidates(members: DataFrame) -> DataFrame:
+    """(row) of the rows that meet others in as many columns as a link of theirs takes at least."""
+    n = F.floor((F.col("n") * 3 + 3) / 4)
+    bound = F.least(F.greatest(F.lit(1), F.floor(n / 16)), n)
+    return members.groupBy("row").agg(F.max("n").alias("n"), F.sum("hits").alias("hits")).filter(F.col("hits") >= bound).select("row")
 
 
 def _linkable(n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
-    return 4 * np.minimum(n1, n2).astype(np.int64) >= 3 * np.maximum(n1, n2).astype(np.int64)
+    return 4 * np.minimum(n1, n2) >= 3 * np.maximum(n1, n2)
 
 
 def _reaches(n1: np.ndarray, p1: np.ndarray, n2: np.ndarray, p2: np.ndarray) -> np.ndarray:
-    """Whether rows that first meet at places p1, p2 can overlap enough."""
-    n1, n2 = n1.astype(np.int64), n2.astype(np.int64)
-    return 7 * np.minimum(n1 - p1, n2 - p2) >= 3 * (n1 + n2)
+    """Whether a column shared at places p1, p2 can be among the first that a link takes."""
+    return 7 * (np.minimum(n1 - p1, n2 - p2) - 1 + pair_bound(n1, n2)) >= 3 * (n1 + n2)
 
 
-def _scrambled(rows: np.ndarray, seed: int) -> np.ndarray:
-    from .common import mixed
+def _counted(a: np.ndarray, b: np.ndarray, n1: np.ndarray, n2: np.ndarray, shared: np.ndarray) -> list[np.ndarray]:
+    """Pairs with the sums of their counts."""
+    at = np.lexsort((b, a))
+    a, b, n1, n2, shared = a[at], b[at], n1[at], n2[at], shared[at]
+    first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, np.int64)
+    total = np.add.reduceat(shared, first) if len(a) else shared
+    return [a[first], b[first], n1[first], n2[first], total]
 
-    return mixed(rows.view(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15 * (seed + 1) & (2**64 - 1)))
 
+def _pairs_table(found: list[np.ndarray]) -> pa.Table:
+    return pa.table(dict(zip(("a", "b", "na", "nb", "shared"), [pa.array(f, pa.int64()) for f in found], strict=True)))
 
-def _hub_pairs(row, size, column, place, root, seed: int) -> pa.Table:
-    """Of each column its hub with each other row of another component, with the number of this block's shared columns."""
-    first = np.flatnonzero(np.r_[True, column[1:] != column[:-1]])
-    group = np.cumsum(np.r_[True, column[1:] != column[:-1]]) - 1
-    order = np.lexsort((_scrambled(row, seed), group))
-    hub = order[first][group]
-    ok = (root != root[hub]) & _linkable(size, size[hub]) & _reaches(size, place, size[hub], place[hub])
-    pairs = np.stack([row[ok], row[hub[ok]]], 1)
-    if len(pairs):
-        at = np.lexsort((pairs[:, 1], pairs[:, 0]))
-        pairs = pairs[at]
-        new = np.flatnonzero(np.r_[True, (pairs[1:] != pairs[:-1]).any(1)])
-        shared = np.diff(np.r_[new, len(pairs)])
-        pairs = pairs[new]
-    else:
-        shared = np.zeros(0, np.int64)
-    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1], "shared": pa.array(shared, pa.int64())})
+
+def _scrambled(rows: np.ndarray, seed: int) -> np.ndarray:
+    return mixed(rows.view(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15 * (seed + 1) & (2**64 - 1)))
 
 
-def _distinct_pairs(found: list[np.ndarray]) -> np.ndarray:
-    pairs = np.concatenate(found)
-    at = np.lexsort((pairs[:, 1], pairs[:, 0]))
-    pairs = pairs[at]
-    return pairs[np.r_[True, (pairs[1:] != pairs[:-1]).any(1)]] if len(pairs) else pairs
+def _hub_pairs(row, size, column, place, root, seed: int) -> list[np.ndarray]:
+    """Of each column its hub with each other row of another component."""
+    new = np.r_[True, column[1:] != column[:-1]]
+    first, group = np.flatnonzero(new), np.cumsum(new) - 1
+    hub = np.lexsort((_scrambled(row, seed), group))[first][group]
+    ok = (root != root[hub]) & _linkable(size, size[hub]) & _reaches(size, place, size[hub], place[hub])
+    return _counted(row[ok], row[hub[ok]], size[ok], size[hub[ok]], np.ones(int(ok.sum()), np.int64))
 
 
-def _all_pairs(row, size, column, place, root) -> pa.Table:
+def _all_pairs(row, size, column, place, root) -> list[np.ndarray]:
     """Every pair of rows of different components that a column joins and no bound discards."""
     group = np.cumsum(np.r_[True, column[1:] != column[:-1]]) - 1
-    many = int(group[-1]) + 1 if len(group) else 0
+    many = int(group[-1]) + 1
     lo, hi = np.full(many, np.iinfo(np.int64).max), np.full(many, np.iinfo(np.int64).min)
     np.minimum.at(lo, group, root)
     np.maximum.at(hi, group, root)
-    mixed_groups = (lo != hi)[group] if many else np.zeros(0, bool)
-    row, size, place, root, group = row[mixed_groups], size[mixed_groups], place[mixed_groups], root[mixed_groups], group[mixed_groups]
-    found, held = [np.zeros((0, 2), np.int64)], 0
+    several = (lo != hi)[group]
+    row, size, place, root, group = row[several], size[several], place[several], root[several], group[several]
+    found = [np.zeros(0, np.int64)] * 5
+    waiting: list[list[np.ndarray]] = []
+    held = 0
     left = np.arange(len(row))
     step = 1
     while len(left):
         left = left[left + step < len(row)]
         other = left + step
-        near = (group[left] == group[other]) & (4 * size[left].astype(np.int64) >= 3 * size[other].astype(np.int64))
+        near = (group[left] == group[other]) & (4 * size[left] >= 3 * size[other])
         left, other = left[near], other[near]
         ok = (root[left] != root[other]) & _reaches(size[left], place[left], size[other], place[other])
-        a, b = row[left[ok]], row[other[ok]]
-        found.append(np.stack([np.maximum(a, b), np.minimum(a, b)], 1))
-        held += len(a)
-        if held > 1 << 22:
-            found = [_distinct_pairs(found)]
-            held = 0
+        i, j = left[ok], other[ok]
+        swap = row[i] < row[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        waiting.append([row[i], row[j], size[i], size[j], np.ones(len(i), np.int64)])
+        held += len(i)
         step += 1
-    pairs = _distinct_pairs(found)
-    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1], "shared": pa.array(np.ones(len(pairs)), pa.int64())})
+        if held > 1 << 21 or not len(left):
+            found = _counted(*(np.concatenate(c) for c in zip(found, *waiting, strict=True)))
+            waiting, held = [], 0
+    return found
 
 
-def _product(spark: SparkSession, met: DataFrame, members: DataFrame, roots: DataFrame | None, seed: int | None) -> DataFrame:
+def _product(met: DataFrame, members: DataFrame, roots: DataFrame | None, seed: int | None) -> DataFrame:
     """Candidate pairs (a, b) of one product; with a seed each row gets the hub it shares most columns with."""
 
     def run(_key, entries: pa.Table, labels: pa.Table) -> pa.Table:
+        none = [np.zeros(0, np.int64)] * 5
+        if not (entries.num_rows and labels.num_rows):
+            return _pairs_table(none)
         row, size, _, column, place = _unpacked(entries.column("packed")[0].as_py())
-        place = place.astype(np.int64)
-        root = row.copy()
-        if labels.num_rows and len(row):
-            own = labels.column("row").to_numpy()
-            at = np.argsort(own)
-            own, to = own[at], labels.column("root").to_numpy()[at]
-            at = np.minimum(np.searchsorted(own, row), len(own) - 1)
-            root = np.where(own[at] == row, to[at], row)
+        own = labels.column("row").to_numpy()
+        at = np.argsort(own)
+        own, to = own[at], labels.column("root").to_numpy()[at]
+        at = np.minimum(np.searchsorted(own, row), len(own) - 1)
+        ok = own[at] == row
+        row, size, column, place, root = row[ok], size[ok].astype(np.int64), column[ok], place[ok].astype(np.int64), to[at[ok]]
         if not len(row):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "shared": pa.array([], pa.int64())})
-        return _all_pairs(row, size, column, place, root) if seed is None else _hub_pairs(row, size, column, place, root, seed)
+            return _pairs_table(none)
+        return _pairs_table(_all_pairs(row, size, column, place, root) if seed is None else _hub_pairs(row, size, column, place, root, seed))
 
     if roots is None:
-        roots = spark.createDataFrame([], "node long, root long")
-    labels = members.join(roots, F.col("row") == F.col("node")).select("block", "row", "root")
-    pairs = met.groupBy("block").cogroup(labels.groupBy("block")).applyInArrow(run, "a long, b long, shared long")
-    if seed is None:
-        return pairs.select("a", "b").distinct()
-    pairs = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
-    return pairs.groupBy("a").agg(F.max_by("b", "shared").alias("b"))
+        labels = members.withColumn("root", F.col("row"))
+    else:
+        labels = members.join(roots, F.col("row") == F.col("node"), "left").select("block", "row", F.coalesce("root", "row").alias("root"))
+    pairs = met.groupBy("block").cogroup(labels.groupBy("block")).applyInArrow(run, "a long, b long, na long, nb long, shared long")
+    least = [F.greatest(F.lit(1), F.floor(F.col(c) / 16)) for c in ("na", "nb")]
+    bound = F.least(*least, F.floor((F.col("na") * 3 + F.col("nb") * 3 + 6) / 7))
+    pairs = pairs.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).filter(F.col("shared") >= bound)
+    return pairs.select("a", "b") if seed is None else pairs.groupBy("a").agg(F.max_by("b", "shared").alias("b"))
 
 
-def _needed(members: DataFrame) -> np.ndarray:
-    """A bit filter of the rows that some product can pair: of fixed size, collected as bounded words."""
+def _needed(rows: DataFrame) -> np.ndarray:
+    """A bit filter of the candidate rows: of fixed size, collected as bounded words."""
     h = F.xxhash64("row")
-    bits = members.select("row").distinct().select(F.explode(F.array(h, F.shiftright(h, 24))).alias("h")).select(F.pmod("h", F.lit(FILTER_BITS)).alias("h"))
+    bits = rows.select(F.explode(F.array(h, F.shiftright(h, 24))).alias("h")).select(F.pmod("h", F.lit(FILTER_BITS)).alias("h"))
     words = bits.groupBy(F.expr("cast(h div 32 as int)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(h % 32 as int)))").alias("b"))
     out = np.zeros(FILTER_BITS // 32, np.uint32)
     for r in words.collect():  # FILTER_BITS / 32 rows at most
@@ -401,12 +430,12 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return whole.select("a", "b", "cells_a", "cells_b").mapInArrow(run, "a long, b long")
 
 
-def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, hub_rounds: int = 2) -> DataFrame:
+def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, hub_rounds: int = 1) -> DataFrame:
     """(key, n_shingles, component_id) of every row; the id of a component is the least key in it."""
     spark = df.sparkSession
     seen = stored(spark, _profiles(df, key, text, k), "profiles")
     docs = seen.filter("hash is null").select("key", "n", "row")
-    total, entries = seen.agg(F.sum("n"), F.sum(F.col("n") - F.floor((F.col("n") * 3 + 3) / 4) + 1)).first()
+    total, entries = seen.agg(F.sum("n"), F.sum(F.floor(F.col("n") / 4) + F.floor(F.col("n") / 16) + 1)).first()
     frequent = seen.filter("hash is not null").groupBy("hash").agg(F.sum("count").alias("c")).filter(F.col("c") >= max(4, (total or 0) // FREQUENT))
     frequent = frequent.toArrow()  # FREQUENT rows at most, as their counts add up to no more than total
     sc = spark.sparkContext
@@ -414,17 +443,19 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     blocks = max(LEAST_BLOCKS, -(-int(entries or 0) // BLOCK_ENTRIES))
 
     met = stored(spark, _met(_entries(df, text, k, order, blocks)), "met")
+    tidied(spark)
     members = stored(spark, _members(met), "members")
-    needed = sc.broadcast(_needed(members))
-    path = scratch(spark, "sets")
-    _sets(df, text, k, needed).dropDuplicates(["row"]).write.parquet(path)
-    sets = spark.read.schema("row long, cells binary").parquet(path)
+    some = stored(spark, _candidates(members), "candidates")
+    members = stored(spark, members.join(some, "row").select("block", "row"), "members")
+    sets = stored(spark, _sets(df, text, k, sc.broadcast(_needed(some))).dropDuplicates(["row"]), "sets")
+    tidied(spark)
 
     links, roots = None, None
     for seed in [*range(hub_rounds), None]:
-        pairs = _product(spark, met, members, roots, seed)
+        pairs = _product(met, members, roots, seed)
         found = _links(pairs, sets)
         links = stored(spark, found if links is None else links.union(found), "links")
+        tidied(spark)
         roots = components(spark, links)
 
     small = docs.filter("row is not null").groupBy("row").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"))
@@ -433,3 +464,12 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     least = whole.select("row", "root").join(least, "root").select(F.col("row").alias("grouped"), "component_id")
     out = docs.join(least, docs.row == F.col("grouped"), "left")
     return out.select(F.col("key").cast(df.schema[key].dataType).alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", F.col("key")).cast(df.schema[key].dataType).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs with one document of each component: the one that names it. Rows that repeat its id stay with it."""
+    spark = docs.sparkSession
+    c = stored(spark, near_components(docs, key, text), "components")
+    named = F.col(key).eqNullSafe(F.col("component_id"))
+    gone = c.groupBy(key).agg(F.max(named).alias("named")).filter("not named")
+    return without(docs, stored(spark, gone.select(key), "gone"), key)

@@ -232,6 +232,23 @@ def toxicity_scores(spark: SparkSession, docs: DataFrame, model: ToxicityModel,
     return scored(docs, key, text, spark.sparkContext.broadcast(model), model.features)
 
 
+def kept(spark: SparkSession, docs: DataFrame, model: ToxicityModel, least: float = 0.7, text: str = "text") -> DataFrame:
+    """The rows of docs that score under `least`, with all their columns."""
+    ready(spark)
+    shared = spark.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches):
+        m = shared.value
+        for b in batches:
+            if b.num_rows:
+                data, offsets = buffer_of(b.column(at))
+                parts = [m.score(m.features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])) for i, j in slices(offsets)]
+                yield b.filter(pa.array(np.concatenate(parts) < least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import fold, table
 

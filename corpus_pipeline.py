@@ -1,12 +1,66 @@
-"""The corpus pipeline: its stages in order, each over all that the one before it kept."""
+"""The corpus pipeline: its stages in order, each over all that the one before it kept.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next one's
+docs. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from plumbline.llm.bpe import encoded
+from plumbline.llm.common import fold, stored, table
+from plumbline.llm.decontaminate import decontaminated
+from plumbline.llm.ngram_join import one_of_each
+from plumbline.llm.queries_tokens import tokenizer_path
+from plumbline.llm.secrets import redactions
+from plumbline.llm.toxicity import fit_toxicity, kept
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. It learns from the labelled documents outside the held-out fold."""
+    model = fit_toxicity(spark, docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    return kept(spark, docs, model)
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminated(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by marks."""
+    return redactions(docs)
+
+
+def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each text as token ids."""
+    return encoded(docs, tokenizer_path())
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("ngram_jaccard", ngram_jaccard),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("bpe", bpe),
+]
+
+#: SQL cannot express the toxicity classifier.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = stored(spark, docs, name)
+    return docs

@@ -10,7 +10,8 @@ bounds discard pairs before and while overlap counts accumulate:
   columns leave it, and pairs whose accumulated count is less are dropped;
 * positions: what is left of the shorter row behind a shared column, and that count, bound the overlap;
 * contraction: components are all that is asked for, so pairs of rows that links found so far connect are skipped. The
-  first products pair each row with one hub row; only the last one enumerates pairs, between components.
+  first products pair each row with one hub row, the most central one in its columns; then shared columns are counted
+  between components, and only components that share enough of them are multiplied out row by row.
 
 Columns that hold more than a 2^20th of all entries come last in the order, by size; they are found over all documents,
 as those frequent in some block of entries (at most 2^20 of them, a broadcast of 9 MB). The surviving pairs' overlap is
@@ -27,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import buffer_of, mixed, ready, shingle_sets, slices, stored, tidied, without
@@ -39,6 +40,8 @@ FREQUENT, COUNT_BLOCK = 1 << 20, 1 << 22
 BLOCK_ENTRIES, LEAST_BLOCKS = 1 << 21, 64
 #: Entries that a map task gathers before it deals them out.
 FLUSH_ENTRIES = 1 << 21
+#: Times that rows which meet others too rarely leave the product, as fewer rows mean fewer meetings.
+PRUNINGS = 2
 #: Bits of the filter that tells which rows need their sets.
 FILTER_BITS = 1 << 24
 
@@ -262,16 +265,13 @@ def _reaches(n1: np.ndarray, p1: np.ndarray, n2: np.ndarray, p2: np.ndarray) ->
 
 
 def _counted(a: np.ndarray, b: np.ndarray, n1: np.ndarray, n2: np.ndarray, shared: np.ndarray) -> list[np.ndarray]:
-    """Pairs with the sums of their counts."""
+    """Pairs with their least sizes and the sums of their counts."""
+    if not len(a):
+        return [a, b, n1, n2, shared]
     at = np.lexsort((b, a))
     a, b, n1, n2, shared = a[at], b[at], n1[at], n2[at], shared[at]
-    first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, np.int64)
-    total = np.add.reduceat(shared, first) if len(a) else shared
-    return [a[first], b[first], n1[first], n2[first], total]
-
-
-def _pairs_table(found: list[np.ndarray]) -> pa.Table:
-    return pa.table(dict(zip(("a", "b", "na", "nb", "shared"), [pa.array(f, pa.int64()) for f in found], strict=True)))
+    first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    return [a[first], b[first], np.minimum.reduceat(n1, first), np.minimum.reduceat(n2, first), np.add.reduceat(shared, first)]
 
 
 def _scrambled(rows: np.ndarray, seed: int) -> np.ndarray:
@@ -282,36 +282,25 @@ def _hub_pairs(row, size, column, place, root, seed: int) -> list[np.ndarray]:
     """Of each column its hub with each other row of another component."""
     new = np.r_[True, column[1:] != column[:-1]]
     first, group = np.flatnonzero(new), np.cumsum(new) - 1
-    hub = np.lexsort((_scrambled(row, seed), group))[first][group]
+    # the first hub is the row with the fewest rarer columns, i.e. the one most like the others; then any
+    hub = np.lexsort((_scrambled(row, seed), place if seed == 0 else group, group))[first][group]
     ok = (root != root[hub]) & _linkable(size, size[hub]) & _reaches(size, place, size[hub], place[hub])
     return _counted(row[ok], row[hub[ok]], size[ok], size[hub[ok]], np.ones(int(ok.sum()), np.int64))
 
 
-def _all_pairs(row, size, column, place, root) -> list[np.ndarray]:
-    """Every pair of rows of different components that a column joins and no bound discards."""
-    group = np.cumsum(np.r_[True, column[1:] != column[:-1]]) - 1
-    many = int(group[-1]) + 1
-    lo, hi = np.full(many, np.iinfo(np.int64).max), np.full(many, np.iinfo(np.int64).min)
-    np.minimum.at(lo, group, root)
-    np.maximum.at(hi, group, root)
-    several = (lo != hi)[group]
-    row, size, place, root, group = row[several], size[several], place[several], root[several], group[several]
+def _offset_pairs(group: np.ndarray, test, value) -> list[np.ndarray]:
+    """Counted pairs (i, j) of equal group that pass test, which a pair must fail for all larger j where it says so."""
     found = [np.zeros(0, np.int64)] * 5
     waiting: list[list[np.ndarray]] = []
-    held = 0
-    left = np.arange(len(row))
-    step = 1
+    held, step, left = 0, 1, np.arange(len(group))
     while len(left):
-        left = left[left + step < len(row)]
-        other = left + step
-        near = (group[left] == group[other]) & (4 * size[left] >= 3 * size[other])
-        left, other = left[near], other[near]
-        ok = (root[left] != root[other]) & _reaches(size[left], place[left], size[other], place[other])
-        i, j = left[ok], other[ok]
-        swap = row[i] < row[j]
-        i, j = np.where(swap, j, i), np.where(swap, i, j)
-        waiting.append([row[i], row[j], size[i], size[j], np.ones(len(i), np.int64)])
+        left = left[left + step < len(group)]
+        near, ok = test(left, left + step)
+        near &= group[left] == group[left + step]
+        i = left[near & ok]
+        waiting.append(value(i, i + step))
         held += len(i)
+        left = left[near]
         step += 1
         if held > 1 << 21 or not len(left):
             found = _counted(*(np.concatenate(c) for c in zip(found, *waiting, strict=True)))
@@ -319,33 +308,114 @@ def _all_pairs(row, size, column, place, root) -> list[np.ndarray]:
     return found
 
 
-def _product(met: DataFrame, members: DataFrame, roots: DataFrame | None, seed: int | None) -> DataFrame:
-    """Candidate pairs (a, b) of one product; with a seed each row gets the hub it shares most columns with."""
-
-    def run(_key, entries: pa.Table, labels: pa.Table) -> pa.Table:
-        none = [np.zeros(0, np.int64)] * 5
-        if not (entries.num_rows and labels.num_rows):
-            return _pairs_table(none)
-        row, size, _, column, place = _unpacked(entries.column("packed")[0].as_py())
-        own = labels.column("row").to_numpy()
-        at = np.argsort(own)
-        own, to = own[at], labels.column("root").to_numpy()[at]
-        at = np.minimum(np.searchsorted(own, row), len(own) - 1)
-        ok = own[at] == row
-        row, size, column, place, root = row[ok], size[ok].astype(np.int64), column[ok], place[ok].astype(np.int64), to[at[ok]]
-        if not len(row):
-            return _pairs_table(none)
-        return _pairs_table(_all_pairs(row, size, column, place, root) if seed is None else _hub_pairs(row, size, column, place, root, seed))
+def _component_pairs(size, column, root) -> list[np.ndarray]:
+    """Pairs of components that meet in columns, with their least sizes there and the number of columns."""
+    at = np.lexsort((root, column))
+    size, column, root = size[at], column[at], root[at]
+    first = np.flatnonzero(np.r_[True, (column[1:] != column[:-1]) | (root[1:] != root[:-1])])
+    least, most = np.minimum.reduceat(size, first), np.maximum.reduceat(size, first)
+    column, root = column[first], root[first]
+    one = np.ones(1, np.int64)
+
+    def test(i, j):
+        return np.ones(len(i), bool), 4 * np.minimum(most[i], most[j]) >= 3 * np.maximum(least[i], least[j])
+
+    return _offset_pairs(column, test, lambda i, j: [root[j], root[i], least[j], least[i], np.repeat(one, len(i))])
+
+
+def _row_pairs(row, size, column, place, root, allowed: np.ndarray) -> list[np.ndarray]:
+    """Pairs of rows of components that are allowed to pair, where no bound discards them. allowed: (larger, smaller) roots."""
+    roots = np.unique(allowed)
+    number = np.minimum(np.searchsorted(roots, root), max(len(roots) - 1, 0))
+    some = roots[number] == root if len(roots) else np.zeros(len(root), bool)
+    row, size, column, place, number = row[some], size[some], column[some], place[some], number[some]
+    keys = np.unique(np.searchsorted(roots, allowed[:, 0]) * len(roots) + np.searchsorted(roots, allowed[:, 1]))
+
+    def test(i, j):
+        near = 4 * size[i] >= 3 * size[j]
+        key = np.maximum(number[i], number[j]) * len(roots) + np.minimum(number[i], number[j])
+        return near, near & np.isin(key, keys) & _reaches(size[i], place[i], size[j], place[j])
+
+    def value(i, j):
+        swap = row[i] < row[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        return [row[i], row[j], size[i], size[j], np.ones(len(i), np.int64)]
+
+    return _offset_pairs(column, test, value)
+
+
+def _enough():
+    """Whether `shared` reaches the bound of the pair's sizes."""
+    least = [F.greatest(F.lit(1), F.floor(F.col(c) / 16)) for c in ("na", "nb")]
+    return F.col("shared") >= F.least(*least, F.floor((F.col("na") * 3 + F.col("nb") * 3 + 6) / 7))
+
+
+_PAIRS = "block int, a long, b long, na long, nb long, shared long"
 
+
+def _product(met: DataFrame, labels: DataFrame, work) -> DataFrame:
+    """(block, a, b, na, nb, shared): what work makes of each block's entries. labels: (block, row, root, pair)."""
+
+    def run(key, entries: pa.Table, said: pa.Table) -> pa.Table:
+        found = [np.zeros(0, np.int64)] * 5
+        if entries.num_rows and said.num_rows:
+            row, size, _, column, place = _unpacked(entries.column("packed")[0].as_py())
+            own, to, pair = (said.column(c).to_numpy(zero_copy_only=False) for c in ("row", "root", "pair"))
+            allowed = np.stack([own[pair], to[pair]], 1)
+            own, to = own[~pair], to[~pair]
+            at = np.argsort(own)
+            own, to = own[at], to[at]
+            at = np.minimum(np.searchsorted(own, row), len(own) - 1)
+            ok = own[at] == row
+            row, size, column, place, root = row[ok], size[ok].astype(np.int64), column[ok], place[ok].astype(np.int64), to[at[ok]]
+            if len(row):
+                found = work(row, size, column, place, root, allowed)
+        block = pa.array(np.full(len(found[0]), key[0].as_py(), np.int32))
+        return pa.table([block, *[pa.array(f, pa.int64()) for f in found]], names=["block", "a", "b", "na", "nb", "shared"])
+
+    return met.groupBy("block").cogroup(labels.groupBy("block")).applyInArrow(run, _PAIRS)
+
+
+def _labels(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     if roots is None:
-        labels = members.withColumn("root", F.col("row"))
+        out = members.withColumn("root", F.col("row"))
     else:
-        labels = members.join(roots, F.col("row") == F.col("node"), "left").select("block", "row", F.coalesce("root", "row").alias("root"))
-    pairs = met.groupBy("block").cogroup(labels.groupBy("block")).applyInArrow(run, "a long, b long, na long, nb long, shared long")
-    least = [F.greatest(F.lit(1), F.floor(F.col(c) / 16)) for c in ("na", "nb")]
-    bound = F.least(*least, F.floor((F.col("na") * 3 + F.col("nb") * 3 + 6) / 7))
-    pairs = pairs.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).filter(F.col("shared") >= bound)
-    return pairs.select("a", "b") if seed is None else pairs.groupBy("a").agg(F.max_by("b", "shared").alias("b"))
+        out = members.join(roots, F.col("row") == F.col("node"), "left").select("block", "row", F.coalesce("root", "row").alias("root"))
+    return out.select("block", "row", "root", F.lit(False).alias("pair"))
+
+
+def _hub_candidates(met: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
+    """(a, b): each row with the hub it shares most columns with."""
+    pairs = _product(met, labels, lambda row, size, column, place, root, _: _hub_pairs(row, size, column, place, root, seed))
+    pairs = pairs.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).filter(_enough())
+    return pairs.groupBy("a").agg(F.max_by("b", "shared").alias("b"))
+
+
+def _all_candidates(spark: SparkSession, met: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b): every pair of rows of different components that can be linked."""
+    meet = stored(spark, _product(met, labels, lambda row, size, column, place, root, _: _component_pairs(size, column, root)), "meet")
+    some = meet.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("na").alias("na"), F.min("nb").alias("nb")).filter(_enough())
+    some = meet.join(some.select("a", "b"), ["a", "b"]).select("block", F.col("a").alias("row"), F.col("b").alias("root"), F.lit(True).alias("pair"))
+    some = stored(spark, some, "allowed")
+    if some.isEmpty():
+        return spark.createDataFrame([], "a long, b long")
+    pairs = _product(met, labels.union(some), _row_pairs)
+    return pairs.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).filter(_enough()).select("a", "b")
+
+
+def _pruned(met: DataFrame, members: DataFrame) -> DataFrame:
+    """The entries of these members that still have a partner among them."""
+
+    def run(key, entries: pa.Table, said: pa.Table) -> pa.Table:
+        row, size, _, column, place = _unpacked(entries.column("packed")[0].as_py()) if entries.num_rows else [np.zeros(0, np.int64)] * 5
+        keep = np.isin(row, said.column("row").to_numpy())
+        row, size, column, place = row[keep], size[keep].astype(np.int64), column[keep], place[keep].astype(np.int64)
+        keep = _has_partner(size, column, place)
+        row, size, column, place = row[keep], size[keep], column[keep], place[keep]
+        blob = _packed(row, size, np.ones(len(row), np.int64), column, place)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "packed": pa.array([blob], pa.binary())})
+
+    return met.groupBy("block").cogroup(members.groupBy("block")).applyInArrow(run, "block int, packed binary")
 
 
 def _needed(rows: DataFrame) -> np.ndarray:
@@ -430,7 +500,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return whole.select("a", "b", "cells_a", "cells_b").mapInArrow(run, "a long, b long")
 
 
-def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, hub_rounds: int = 1) -> DataFrame:
+def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, hub_rounds: int = 2) -> DataFrame:
     """(key, n_shingles, component_id) of every row; the id of a component is the least key in it."""
     spark = df.sparkSession
     seen = stored(spark, _profiles(df, key, text, k), "profiles")
@@ -444,6 +514,10 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
 
     met = stored(spark, _met(_entries(df, text, k, order, blocks)), "met")
     tidied(spark)
+    for _ in range(PRUNINGS):
+        members = stored(spark, _members(met), "members")
+        members = members.join(_candidates(members), "row").select("block", "row")
+        met = stored(spark, _pruned(met, members), "met")
     members = stored(spark, _members(met), "members")
     some = stored(spark, _candidates(members), "candidates")
     members = stored(spark, members.join(some, "row").select("block", "row"), "members")
@@ -452,8 +526,8 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
 
     links, roots = None, None
     for seed in [*range(hub_rounds), None]:
-        pairs = _product(met, members, roots, seed)
-        found = _links(pairs, sets)
+        labels = _labels(members, roots)
+        found = _links(_all_candidates(spark, met, labels) if seed is None else _hub_candidates(met, labels, seed), sets)
         links = stored(spark, found if links is None else links.union(found), "links")
         tidied(spark)
         roots = components(spark, links)

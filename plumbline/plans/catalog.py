@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import geometry_queries, join_queries, name_queries  # noqa: F401  each registers its queries
+from . import aggregate_queries, geometry_queries, join_queries, name_queries, record_queries, sequence_queries  # noqa: F401  each registers its queries
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -33,7 +33,7 @@ SAMPLE, LEAF, TREES, REACH = 16_384, 64, 4, 0.97
 #: Sample rows that act as queries to find the number of leaves.
 TRIALS = 256
 #: Index rows and queries of a task's group aimed at.
-GROUP_ROWS, GROUP_QUERIES = 4096, 4096
+GROUP_ROWS, GROUP_QUERIES = 2048, 4096
 
 
 @dataclass
@@ -137,8 +137,9 @@ def budget_of(f: Forest, sample: np.ndarray, k: int, reach: float = REACH, trial
 
 
 def valid_rows(df: DataFrame, vector: str) -> DataFrame:
-    """(id, v) of the rows whose vectors take part. df: (id, vector)."""
+    """(id, v) of the rows whose vectors take part, v in the vectors' own precision. df: (id, vector)."""
     ready(df.sparkSession)
+    dtype = _dtype(df, vector)
 
     def run(batches):
         for b in batches:
@@ -146,10 +147,10 @@ def valid_rows(df: DataFrame, vector: str) -> DataFrame:
             for i, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 a = x.values
                 if i is not None and a is not None and len(a) and not a.null_count:
-                    a = a.to_numpy(zero_copy_only=False).astype(np.float64)
+                    a = a.to_numpy(zero_copy_only=False).astype(dtype)
                     if np.isfinite(a).all() and a.any():
                         ids.append(i)
-                        out.append((a + 0.0).tobytes())  # -0.0 is 0.0
+                        out.append((a + a.dtype.type(0)).tobytes())  # -0.0 is 0.0
             if ids:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["id", "v"])
 
@@ -169,9 +170,14 @@ def classes(df: DataFrame, key: str, vector: str, keep: int) -> DataFrame:
     return each.filter(F.length("v") == sizes[0].n) if sizes else each
 
 
-def _matrix(blobs: pa.ChunkedArray | pa.Array) -> np.ndarray:
+def _matrix(blobs: pa.ChunkedArray | pa.Array, dtype: str) -> np.ndarray:
+    """Vectors in double precision."""
     parts = blobs.to_pylist()
-    return np.frombuffer(b"".join(parts)).reshape(len(parts), -1) if parts else np.zeros((0, 1))
+    return np.frombuffer(b"".join(parts), dtype).reshape(len(parts), -1).astype(np.float64) if parts else np.zeros((0, 1))
+
+
+def _dtype(df: DataFrame, vector: str) -> str:
+    return "<f4" if df.schema[vector].dataType.elementType.typeName() == "float" else "<f8"
 
 
 @dataclass
@@ -194,14 +200,14 @@ class Groups:
         return cls(group, np.array(salts or [1], np.int64), np.ones(max(len(salts), 1), np.int64))
 
 
-def _route(df: DataFrame, forest) -> DataFrame:
+def _route(df: DataFrame, forest, dtype: str) -> DataFrame:
     """(leaf): of every row its leaf in each tree, for counting."""
 
     def run(batches):
         f = forest.value
         for b in batches:
             if b.num_rows:
-                leaf = f.leaf_of(_matrix(b.column(0))) + np.arange(len(f.planes))[:, None] * f.leaves
+                leaf = f.leaf_of(_matrix(b.column(0), dtype)) + np.arange(len(f.planes))[:, None] * f.leaves
                 at, n = np.unique(leaf, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], ["leaf", "n"])
 
@@ -212,7 +218,12 @@ def _part(ids: np.ndarray, parts: np.ndarray) -> np.ndarray:
     return ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % parts
 
 
-def _rows(df: DataFrame, forest, groups) -> DataFrame:
+def _bytes4(leaf: np.ndarray) -> pa.Array:
+    offsets = np.arange(0, 4 * len(leaf) + 1, 4, dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(leaf), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(leaf.astype(np.int32).tobytes())])
+
+
+def _rows(df: DataFrame, forest, groups, dtype: str) -> DataFrame:
     """(cell, class, leaf, v): every row in each cell of (group, its salt, each block of queries) of its leaves."""
 
     def run(batches):
@@ -222,7 +233,7 @@ def _rows(df: DataFrame, forest, groups) -> DataFrame:
             if not b.num_rows:
                 continue
             ids = b.column(0).to_numpy()
-            leaf = (f.leaf_of(_matrix(b.column(1))) + np.arange(len(f.planes))[:, None] * f.leaves).T
+            leaf = (f.leaf_of(_matrix(b.column(1), dtype)) + np.arange(len(f.planes))[:, None] * f.leaves).T
             own = g.group[leaf]
             cell = base[own] + _part(ids[:, None], g.salts[own]) * g.splits[own]
             times = g.splits[own].ravel()
@@ -230,13 +241,13 @@ def _rows(df: DataFrame, forest, groups) -> DataFrame:
             step = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
             row = at // leaf.shape[1]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cell.ravel()[at] + step), b.column(0).take(pa.array(row)), pa.array(leaf.ravel()[at]), b.column(1).take(pa.array(row))], ["cell", "class", "leaf", "v"]
+                [pa.array(cell.ravel()[at] + step), b.column(0).take(pa.array(row)), _bytes4(leaf.ravel()[at]), b.column(1).take(pa.array(row))], ["cell", "class", "leaf", "v"]
             )
 
-    return df.select("class", "v").mapInArrow(run, "cell long, class long, leaf long, v binary")
+    return df.select("class", "v").mapInArrow(run, "cell long, class long, leaf binary, v binary")
 
 
-def _probes(df: DataFrame, forest, groups, budget: int) -> DataFrame:
+def _probes(df: DataFrame, forest, groups, budget: int, dtype: str) -> DataFrame:
     """(cell, query, leaves, v): every query in each cell that holds a leaf it pops, with those leaves."""
 
     def run(batches):
@@ -248,7 +259,7 @@ def _probes(df: DataFrame, forest, groups, budget: int) -> DataFrame:
             ids = b.column(0).to_numpy()
             vectors = b.column(1)
             for i in range(0, len(ids), 128):
-                leaf = np.sort(f.first(_matrix(vectors.slice(i, 128)), budget), axis=1)
+                leaf = np.sort(f.first(_matrix(vectors.slice(i, 128), dtype), budget), axis=1)
                 cells, who, leaves = [], [], []
                 for r in range(len(leaf)):
                     own = g.group[leaf[r]]
@@ -278,64 +289,115 @@ def _best(owner: np.ndarray, who: np.ndarray, score: np.ndarray, keep: int) -> t
     return owner[ok], who[ok], score[ok]
 
 
-def _searched(rows: DataFrame, probes: DataFrame, keep: int) -> DataFrame:
-    """(query, class, score): the `keep` best classes of each query in each cell, by exact products."""
-    schema = "query long, class long, score double"
-
-    def run(_key, r: pa.Table, q: pa.Table) -> pa.Table:
-        got_o, got_w, got_s = [], [], []
-        if r.num_rows and q.num_rows:
-            x, who, leaf = _matrix(r.column("v")), r.column("class").to_numpy(), r.column("leaf").to_numpy()
-            y = _matrix(q.column("v"))
-            wanted = [np.frombuffer(b, np.int32) for b in q.column("leaves").to_pylist()]
-            asker = np.repeat(np.arange(len(wanted)), [len(w) for w in wanted])
-            asked = np.concatenate(wanted)
-            at, q_at = np.argsort(leaf, kind="stable"), np.argsort(asked, kind="stable")
-            for one in np.unique(leaf):
-                own = at[np.searchsorted(leaf[at], one) : np.searchsorted(leaf[at], one, "right")]
-                ask = asker[q_at[np.searchsorted(asked[q_at], one) : np.searchsorted(asked[q_at], one, "right")]]
-                for i in range(0, len(ask), 512):
-                    part = ask[i : i + 512]
-                    s = y[part] @ x[own].T
-                    if s.shape[1] > keep:
-                        least = np.partition(s, s.shape[1] - keep, axis=1)[:, s.shape[1] - keep]
-                        a, b = np.nonzero(s >= least[:, None])
-                    else:
-                        a, b = np.nonzero(np.ones(s.shape, bool))
-                    o, w, v = _best(part[a], who[own[b]], s[a, b], keep)
-                    got_o.append(o)
-                    got_w.append(w)
-                    got_s.append(v)
-        if not got_o:
-            return pa.table({"query": pa.array([], pa.int64()), "class": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        o, w, v = _best(np.concatenate(got_o), np.concatenate(got_w), np.concatenate(got_s), keep)
-        return pa.table({"query": q.column("query").to_numpy()[o], "class": w, "score": v})
-
-    return rows.groupBy("cell").cogroup(probes.groupBy("cell")).applyInArrow(run, schema)
+class _Cell:
+    """The queries of one cell, and what each of them found in the rows that went by."""
+
+    def __init__(self, keep: int) -> None:
+        self.keep = keep
+        self.ids: list[np.ndarray] = []
+        self.leaves: list[np.ndarray] = []
+        self.vectors: list[np.ndarray] = []
+        self.asked = None
+
+    def ask(self, ids: np.ndarray, leaves: list[bytes], v: np.ndarray) -> None:
+        self.ids.append(ids)
+        self.leaves += [np.frombuffer(b, np.int32) for b in leaves]
+        self.vectors.append(v)
+
+    def answer(self, who: np.ndarray, leaf: np.ndarray, x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        if not self.ids:
+            return []
+        if self.asked is None:
+            self.all, self.y = np.concatenate(self.ids), np.concatenate(self.vectors)
+            asker, asked = np.repeat(np.arange(len(self.leaves)), [len(w) for w in self.leaves]), np.concatenate(self.leaves)
+            at = np.argsort(asked, kind="stable")
+            self.asker, self.asked = asker[at], asked[at]
+        out = []
+        order = np.argsort(leaf, kind="stable")
+        for one in np.unique(leaf):
+            own = order[np.searchsorted(leaf[order], one) : np.searchsorted(leaf[order], one, "right")]
+            ask = self.asker[np.searchsorted(self.asked, one) : np.searchsorted(self.asked, one, "right")]
+            for i in range(0, len(ask), 512):
+                part = ask[i : i + 512]
+                s = self.y[part] @ x[own].T
+                if s.shape[1] > self.keep:
+                    least = np.partition(s, s.shape[1] - self.keep, axis=1)[:, s.shape[1] - self.keep]
+                    a, b = np.nonzero(s >= least[:, None])
+                else:
+                    a, b = np.nonzero(np.ones(s.shape, bool))
+                out.append((self.all[part[a]], who[own[b]], s[a, b]))
+        return out
+
+
+#: Scores that a search task holds before it drops all but the best of each query.
+HELD_SCORES = 1 << 20
+
+
+def _searched(rows: DataFrame, probes: DataFrame, keep: int, dtype: str) -> DataFrame:
+    """(query, class, score): the `keep` best classes of each query in each task, by exact products.
+
+    A cell's queries come first, then its rows stream by; what queries find is merged over all cells of a task.
+    """
+    both = probes.select("cell", F.lit(0).alias("kind"), F.col("query").alias("id"), F.col("leaves").alias("leaf"), "v")
+    both = both.union(rows.select("cell", F.lit(1).alias("kind"), F.col("class").alias("id"), "leaf", "v"))
+    dealt = both.repartition("cell").sortWithinPartitions("cell", "kind")
+
+    def run(batches):
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        many, limit = 0, HELD_SCORES
+        cell, state = None, _Cell(keep)
+        merged = lambda: _best(*(np.concatenate(c) for c in zip(*held, strict=True)), keep)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cells, kinds = b.column(0).to_numpy(), b.column(1).to_numpy()
+            cuts = np.flatnonzero(np.r_[True, (cells[1:] != cells[:-1]) | (kinds[1:] != kinds[:-1])])
+            for i, j in zip(cuts, np.r_[cuts[1:], len(cells)], strict=True):
+                if cells[i] != cell:
+                    cell, state = cells[i], _Cell(keep)
+                ids, leaf, v = b.column(2).slice(i, j - i).to_numpy(), b.column(3).slice(i, j - i).to_pylist(), _matrix(b.column(4).slice(i, j - i), dtype)
+                if kinds[i] == 0:
+                    state.ask(ids, leaf, v)
+                else:
+                    found = state.answer(ids, np.frombuffer(b"".join(leaf), np.int32), v)
+                    held += found
+                    many += sum(len(f[0]) for f in found)
+                    if many > limit:
+                        held = [merged()]
+                        many = len(held[0][0])
+                        if many > HELD_SCORES:  # more queries than fit: what they have found so far leaves the task
+                            yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[0]], ["query", "class", "score"])
+                            held, many = [], 0
+                        limit = many + HELD_SCORES
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged()], ["query", "class", "score"])
+
+    return dealt.mapInArrow(run, "query long, class long, score double")
 
 
 def nearest(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding", reach: float = REACH) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row that `is_query` (over id) admits."""
     spark: SparkSession = df.sparkSession
     c = classes(df, key, vector, k + 1)
-    norm = c.select(F.col("v")).mapInArrow(_norms, "n double").agg(F.max("n")).first()[0] or 1.0
+    dtype = _dtype(df, vector)
+    norm = _norms(c, dtype).agg(F.max("n")).first()[0] or 1.0
     some = c.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).toArrow()  # a bounded sample
-    sample = _matrix(some.column(0))
+    sample = _matrix(some.column(0), dtype)
     f = fit_forest(sample, norm)
     budget = budget_of(f, sample, k, reach)
     forest = spark.sparkContext.broadcast(f)
     count = np.zeros(len(f.planes) * f.leaves, np.int64)
-    for r in _route(c, forest).collect():  # a row for each leaf
+    for r in _route(c, forest, dtype).collect():  # a row for each leaf
         count[r.leaf] = r.n
     groups = Groups.of(count, GROUP_ROWS)
     # a query's row goes with the class of its vector; all ids of a class that are queries are asked for at once
     asked = df.select(F.col(key).cast("long").alias("id"), vector).filter(is_query)
     askers = stored(spark, valid_rows(asked, vector).distinct(), "askers")
     every = stored(spark, askers.groupBy("v").agg(F.min("id").alias("class")), "queries")
-    every = every.filter(F.length("v") == 8 * sample.shape[1]) if len(sample) else every.limit(0)
+    every = every.filter(F.length("v") == int(dtype[2]) * sample.shape[1]) if len(sample) else every.limit(0)
     groups.splits[:] = max(1, -(-every.count() // GROUP_QUERIES))
     shared = spark.sparkContext.broadcast(groups)
-    found = _searched(_rows(c, forest, shared), _probes(every, forest, shared, budget), k + 1)
+    found = _searched(_rows(c, forest, shared, dtype), _probes(every, forest, shared, budget, dtype), k + 1, dtype)
     found = found.groupBy("query", "class").agg(F.max("score").alias("score"))
     w = Window.partitionBy("query").orderBy(F.desc("score"), "class")
     found = found.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k + 1).drop("r")
@@ -347,11 +409,16 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", v
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def _norms(batches):
-    for b in batches:
-        if b.num_rows:
-            x = _matrix(b.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array([float(np.sqrt((x * x).sum(1)).max())])], ["n"])
+def _norms(c: DataFrame, dtype: str) -> DataFrame:
+    """(n): the largest norm of each batch."""
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                x = _matrix(b.column(0), dtype)
+                yield pa.RecordBatch.from_arrays([pa.array([float(np.sqrt((x * x).sum(1)).max())])], ["n"])
+
+    return c.select("v").mapInArrow(run, "n double")
 
 
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of an Arrow batch at most, so that a batch of long texts fits beside the JVM.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 #: Bytes of text that the vectorised routines take at once (a longer single text is taken whole).
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 _shipped: set[str] = set()
 
@@ -117,9 +117,9 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     texts = pa.array([]) if texts is None else texts
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
+    texts = texts.cast(pa.large_string())
     if texts.null_count:
         texts = texts.fill_null("")
-    texts = texts.cast(pa.large_string())
     if not len(texts):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, off, data = texts.buffers()

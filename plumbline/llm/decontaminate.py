@@ -69,7 +69,7 @@ def build_index(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, half: in
     item, term = pair // max(len(terms), 1), pair % max(len(terms), 1)
     holders = np.bincount(term, minlength=len(terms))
     idf = np.log(1 + (n - holders + 0.5) / (holders + 0.5))
-    weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[item] / max(size.mean(), 1e-9)))
+    weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[item] / max(len(h) / max(n, 1), 1e-9)))
     cuts = np.searchsorted(owner, np.arange(n + 1))
     shingles = [item_shingles(h[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     answers = [np.unique(h[b - max(1, (b - a) // 3) : b]) if b > a else h[:0] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]

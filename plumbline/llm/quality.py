@@ -72,7 +72,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     line_cuts = np.searchsorted(line_owner, np.arange(n + 1))
     line_word = np.searchsorted(starts, line_starts)
     every = shingle_hashes(hashes, 3)
-    sums = np.concatenate([[0], np.cumsum(hashes, dtype=np.uint64)]).astype(np.uint64)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes, dtype=np.uint64)])
     for i in range(n):
         a, b = cuts[i], cuts[i + 1]
         if b > a:

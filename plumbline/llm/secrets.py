@@ -3,7 +3,7 @@
 The patterns find assignments of at least 6 characters, access keys and long hexadecimal runs. Beside them, every value
 in a credential context is cut, by dynamic programming, into the cheapest sequence of common words, dates, repeats,
 keyboard walks and brute-force spans; values that would still take 2^GUESS_BITS guesses are secrets too, unless a pattern
-has them already. Each kind of segment has a bounded length or is a maximal run, so a value of any length costs time in
+has them already or they are letters only, as any word is. Each kind of segment has a bounded length or is a maximal run, so a value of any length costs time in
 proportion to its length.
 
 Spans are (kind, start, end) in code points, end exclusive, by start, then kind in the order of KINDS.
@@ -178,8 +178,9 @@ def spans(text: str, bits: float = GUESS_BITS, base: bool = True, context: bool
         held = [(a, b) for _, a, b in out]
         for m in _CONTEXT.finditer(text):
             a, b = m.span(1)
-            b -= len(m[1]) - len(m[1].rstrip(".:!?)]}"))
-            if b - a >= LEAST_VALUE and not any(x <= a and b <= y for x, y in held) and _bits(text[a:b]) >= bits:
+            if text[a - 1] not in "\"'`":  # an open value may end a sentence
+                b -= len(m[1]) - len(m[1].rstrip(".:!?)]}"))
+            if b - a >= LEAST_VALUE and not text[a:b].isalpha() and not any(x <= a and b <= y for x, y in held) and _bits(text[a:b]) >= bits:
                 out.append(("guess", a, b))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

@@ -156,7 +156,7 @@ class Features:
         you = _in(self.you, keys[0])
         signs = np.add.reduceat(np.r_[_SIGN[data].astype(np.int32), 0], starts) if len(starts) else np.zeros(0, np.int32)
         letters = np.add.reduceat(np.r_[_LETTER[data].astype(np.int32), 0], starts) if len(starts) else np.zeros(0, np.int32)
-        odd = np.flatnonzero((signs > 0) & (letters > 1) & (signs <= letters))
+        odd = np.flatnonzero((signs > 0) & (letters > 1) & (signs <= 2 * letters))
         hidden = np.zeros(len(starts), bool)
         if len(odd):
             plain = _PLAIN[data]

@@ -122,7 +122,7 @@ def mutual_edges(edges: DataFrame, opposite: Column) -> DataFrame:
     """
     e = edges.select("page", "side", "neighbor").distinct()
     back = e.select(F.col("page").alias("neighbor"), F.col("side").alias("back_"), F.col("neighbor").alias("page"))
-    return e.filter("page < neighbor").withColumn("back_", opposite).join(back, ["neighbor", "back_", "page"], "left_semi").drop("back_")
+    return e.filter("page < neighbor").withColumn("back_", opposite).join(back, ["neighbor", "back_", "page"], "left_semi").select("page", "side", "neighbor")
 
 
 def seam_ties(uses: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ RECORD = (
     "inlier_streets array<array<string>>, gcps_geojson struct<features: array<struct<geometry: struct<coordinates: array<double>>, "
     "properties: struct<image: array<double>, username: string, note: string>>>>, seam_adjusted struct<dx_m: double, dy_m: double>"
 )
-FEATURE = "type string, geometry string, properties map<string, string>"
+FEATURES = "features array<struct<type: string, geometry: string, properties: map<string, string>>>"
 #: Classes of ways that are never streets.
 NO_STREETS = ("footway", "cycleway", "path", "service", "steps")
 
@@ -63,7 +63,7 @@ def control_points(records: DataFrame) -> DataFrame:
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """(ord, properties, parts) of a GeoJSON collection of lines; a single line is one part."""
-    whole = spark.read.schema(f"features array<struct<{FEATURE.replace(' string', ': string').replace('properties map', 'properties: map')}>>").option("multiLine", True).json(path)
+    whole = spark.read.schema(FEATURES).option("multiLine", True).json(path)
     f = whole.select(F.posexplode("features").alias("ord", "f"))
     point = "array<array<double>>"
     kind = F.get_json_object("f.geometry", "$.type")

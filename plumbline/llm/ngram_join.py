@@ -11,7 +11,9 @@ bounds discard pairs before and while overlap counts accumulate:
 * positions: what is left of the shorter row behind a shared column, and that count, bound the overlap;
 * contraction: components are all that is asked for, so pairs of rows that links found so far connect are skipped. The
   first products pair each row with one hub row, the most central one in its columns; then shared columns are counted
-  between components, and only components that share enough of them are multiplied out row by row.
+  between parts of components (rows of about one size), and only parts that share enough of them are multiplied out;
+* blocks: what has not left the product is dealt to ever fewer blocks; a pair that shares enough columns in all shares
+  its part of them, by the pigeonhole principle, in one block at least, and only there it leaves the block.
 
 Columns that hold more than a 2^20th of all entries come last in the order, by size; they are found over all documents,
 as those frequent in some block of entries (at most 2^20 of them, a broadcast of 9 MB). The surviving pairs' overlap is
@@ -28,7 +30,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import buffer_of, mixed, ready, shingle_sets, slices, stored, tidied, without
@@ -38,6 +40,8 @@ from .components import components
 FREQUENT, COUNT_BLOCK = 1 << 20, 1 << 22
 #: Entries of a column block aimed at, and column blocks at least.
 BLOCK_ENTRIES, LEAST_BLOCKS = 1 << 21, 64
+#: Entries of a block aimed at once only candidates are left.
+DENSE_ENTRIES = 1 << 20
 #: Entries that a map task gathers before it deals them out.
 FLUSH_ENTRIES = 1 << 21
 #: Times that rows which meet others too rarely leave the product, as fewer rows mean fewer meetings.
@@ -61,11 +65,14 @@ def _profiles(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
 
     def frequent(parts: list[np.ndarray]) -> pa.RecordBatch | None:
         every = np.concatenate(parts)
-        h, c = np.unique(every, return_counts=True)
-        keep = c >= max(4, len(every) // FREQUENT)
-        if not keep.any():
+        parts.clear()
+        every.sort()
+        least = max(4, len(every) // FREQUENT)
+        # a value that occurs so often is equal to the one that stands least - 1 places on
+        h = np.unique(every[: 1 - least][every[: 1 - least] == every[least - 1 :]])
+        if not len(h):
             return None
-        h, c = h[keep], c[keep]
+        c = np.searchsorted(every, h, "right") - np.searchsorted(every, h)
         none = pa.nulls(len(h), pa.int64())
         return pa.RecordBatch.from_arrays([none, none, none, _signed(h), pa.array(c, pa.int64())], ["key", "n", "row", "hash", "count"])
 
@@ -197,11 +204,16 @@ def _entries(df: DataFrame, text: str, k: int, order, blocks: int) -> DataFrame:
     return df.select(text).mapInArrow(run, "block int, packed binary")
 
 
+def _largest_partner(size: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The largest row that a row can be linked with through its column at this place."""
+    return np.minimum(4 * size // 3, (7 * (size - place - 1 + spare(size)) - 3 * size) // 3)
+
+
 def _has_partner(size: np.ndarray, column: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Whether an entry's column holds another row of a size that its own size and place allow. Sorted by column, size."""
     cell = (column.astype(np.uint64) << np.uint64(32)) + size.astype(np.uint64)
     least = (3 * size + 3) // 4
-    most = np.minimum(4 * size // 3, (7 * (size - place - 1 + spare(size)) - 3 * size) // 3)
+    most = _largest_partner(size, place)
     base = column.astype(np.uint64) << np.uint64(32)
     lo = np.searchsorted(cell, base + least.astype(np.uint64))
     hi = np.searchsorted(cell, base + np.maximum(most, 0).astype(np.uint64), "right")
@@ -308,33 +320,49 @@ def _offset_pairs(group: np.ndarray, test, value) -> list[np.ndarray]:
     return found
 
 
-def _component_pairs(size, column, root) -> list[np.ndarray]:
-    """Pairs of components that meet in columns, with their least sizes there and the number of columns."""
-    at = np.lexsort((root, column))
-    size, column, root = size[at], column[at], root[at]
-    first = np.flatnonzero(np.r_[True, (column[1:] != column[:-1]) | (root[1:] != root[:-1])])
-    least, most = np.minimum.reduceat(size, first), np.maximum.reduceat(size, first)
-    column, root = column[first], root[first]
-    one = np.ones(1, np.int64)
+def _part(root: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The part of its component that a row belongs to: rows of sizes within a twenty-fourth of each other or so."""
+    band = np.floor(np.log(np.maximum(size, 1)) * 24).astype(np.uint64)
+    return mixed(root.view(np.uint64) ^ mixed(band + np.uint64(1))).view(np.int64)
+
+
+def _part_pairs(size, column, place, root) -> list[np.ndarray]:
+    """Parts of two components that meet in columns where rows of theirs may link, with least sizes and the number of columns."""
+    part, most = _part(root, size), _largest_partner(size, place)
+    at = np.lexsort((part, column))
+    size, column, root, part, most = size[at], column[at], root[at], part[at], most[at]
+    first = np.flatnonzero(np.r_[True, (column[1:] != column[:-1]) | (part[1:] != part[:-1])])
+    least, most = np.minimum.reduceat(size, first), np.maximum.reduceat(most, first)
+    column, root, part = column[first], root[first], part[first]
+    at = np.lexsort((least, column))
+    least, most, column, root, part = least[at], most[at], column[at], root[at], part[at]
 
     def test(i, j):
-        return np.ones(len(i), bool), 4 * np.minimum(most[i], most[j]) >= 3 * np.maximum(least[i], least[j])
+        return least[j] <= most[i], (least[i] <= most[j]) & (root[i] != root[j])
 
-    return _offset_pairs(column, test, lambda i, j: [root[j], root[i], least[j], least[i], np.repeat(one, len(i))])
+    def value(i, j):
+        swap = part[i] < part[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        return [part[i], part[j], least[i], least[j], np.ones(len(i), np.int64)]
+
+    return _offset_pairs(column, test, value)
 
 
 def _row_pairs(row, size, column, place, root, allowed: np.ndarray) -> list[np.ndarray]:
-    """Pairs of rows of components that are allowed to pair, where no bound discards them. allowed: (larger, smaller) roots."""
-    roots = np.unique(allowed)
-    number = np.minimum(np.searchsorted(roots, root), max(len(roots) - 1, 0))
-    some = roots[number] == root if len(roots) else np.zeros(len(root), bool)
+    """Pairs of rows of parts that are allowed to pair, where no bound discards them. allowed: (larger, smaller) parts."""
+    parts, own = np.unique(allowed), _part(root, size)
+    if not len(parts):
+        return [np.zeros(0, np.int64)] * 5
+    number = np.minimum(np.searchsorted(parts, own), len(parts) - 1)
+    some = parts[number] == own
     row, size, column, place, number = row[some], size[some], column[some], place[some], number[some]
-    keys = np.unique(np.searchsorted(roots, allowed[:, 0]) * len(roots) + np.searchsorted(roots, allowed[:, 1]))
+    keys = np.unique(np.searchsorted(parts, allowed[:, 0]) * len(parts) + np.searchsorted(parts, allowed[:, 1]))
+    most = _largest_partner(size, place)
 
     def test(i, j):
-        near = 4 * size[i] >= 3 * size[j]
-        key = np.maximum(number[i], number[j]) * len(roots) + np.minimum(number[i], number[j])
-        return near, near & np.isin(key, keys) & _reaches(size[i], place[i], size[j], place[j])
+        near = size[j] <= most[i]
+        key = np.maximum(number[i], number[j]) * len(parts) + np.minimum(number[i], number[j])
+        return near, near & (size[i] <= most[j]) & np.isin(key, keys) & _reaches(size[i], place[i], size[j], place[j])
 
     def value(i, j):
         swap = row[i] < row[j]
@@ -344,63 +372,72 @@ def _row_pairs(row, size, column, place, root, allowed: np.ndarray) -> list[np.n
     return _offset_pairs(column, test, value)
 
 
-def _enough():
-    """Whether `shared` reaches the bound of the pair's sizes."""
-    least = [F.greatest(F.lit(1), F.floor(F.col(c) / 16)) for c in ("na", "nb")]
-    return F.col("shared") >= F.least(*least, F.floor((F.col("na") * 3 + F.col("nb") * 3 + 6) / 7))
+def _reaching(found: list[np.ndarray], blocks: int) -> list[np.ndarray]:
+    """Counted pairs that share so many columns of one block as a pair with enough of them does in some block."""
+    keep = found[4] * blocks >= pair_bound(found[2], found[3])
+    return [f[keep] for f in found]
 
 
-_PAIRS = "block int, a long, b long, na long, nb long, shared long"
+def _near_pairs(row, size, column, place, root, blocks: int) -> list[np.ndarray]:
+    """Pairs of rows of different components that can be linked."""
+    parts = _reaching(_part_pairs(size, column, place, root), blocks)
+    return _reaching(_row_pairs(row, size, column, place, root, np.stack(parts[:2], 1)), blocks)
 
 
 def _product(met: DataFrame, labels: DataFrame, work) -> DataFrame:
-    """(block, a, b, na, nb, shared): what work makes of each block's entries. labels: (block, row, root, pair)."""
+    """(a, b, shared): what work makes of each block's entries. labels: (block, row, root)."""
 
-    def run(key, entries: pa.Table, said: pa.Table) -> pa.Table:
+    def run(_key, entries: pa.Table, said: pa.Table) -> pa.Table:
         found = [np.zeros(0, np.int64)] * 5
         if entries.num_rows and said.num_rows:
             row, size, _, column, place = _unpacked(entries.column("packed")[0].as_py())
-            own, to, pair = (said.column(c).to_numpy(zero_copy_only=False) for c in ("row", "root", "pair"))
-            allowed = np.stack([own[pair], to[pair]], 1)
-            own, to = own[~pair], to[~pair]
+            own, to = (said.column(c).to_numpy() for c in ("row", "root"))
             at = np.argsort(own)
             own, to = own[at], to[at]
             at = np.minimum(np.searchsorted(own, row), len(own) - 1)
             ok = own[at] == row
-            row, size, column, place, root = row[ok], size[ok].astype(np.int64), column[ok], place[ok].astype(np.int64), to[at[ok]]
-            if len(row):
-                found = work(row, size, column, place, root, allowed)
-        block = pa.array(np.full(len(found[0]), key[0].as_py(), np.int32))
-        return pa.table([block, *[pa.array(f, pa.int64()) for f in found]], names=["block", "a", "b", "na", "nb", "shared"])
+            if ok.any():
+                found = work(row[ok], size[ok].astype(np.int64), column[ok], place[ok].astype(np.int64), to[at[ok]])
+        return pa.table([pa.array(found[i], pa.int64()) for i in (0, 1, 4)], names=["a", "b", "shared"])
 
-    return met.groupBy("block").cogroup(labels.groupBy("block")).applyInArrow(run, _PAIRS)
+    return met.groupBy("block").cogroup(labels.groupBy("block")).applyInArrow(run, "a long, b long, shared long")
 
 
 def _labels(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     if roots is None:
-        out = members.withColumn("root", F.col("row"))
-    else:
-        out = members.join(roots, F.col("row") == F.col("node"), "left").select("block", "row", F.coalesce("root", "row").alias("root"))
-    return out.select("block", "row", "root", F.lit(False).alias("pair"))
+        return members.withColumn("root", F.col("row"))
+    return members.join(roots, F.col("row") == F.col("node"), "left").select("block", "row", F.coalesce("root", "row").alias("root"))
 
 
-def _hub_candidates(met: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
+def _hub_candidates(met: DataFrame, labels: DataFrame, seed: int, blocks: int) -> DataFrame:
     """(a, b): each row with the hub it shares most columns with."""
-    pairs = _product(met, labels, lambda row, size, column, place, root, _: _hub_pairs(row, size, column, place, root, seed))
-    pairs = pairs.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).filter(_enough())
-    return pairs.groupBy("a").agg(F.max_by("b", "shared").alias("b"))
+    pairs = _product(met, labels, lambda *entries: _reaching(_hub_pairs(*entries, seed), blocks))
+    return pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared")).groupBy("a").agg(F.max_by("b", "shared").alias("b"))
 
 
-def _all_candidates(spark: SparkSession, met: DataFrame, labels: DataFrame) -> DataFrame:
+def _all_candidates(met: DataFrame, labels: DataFrame, blocks: int) -> DataFrame:
     """(a, b): every pair of rows of different components that can be linked."""
-    meet = stored(spark, _product(met, labels, lambda row, size, column, place, root, _: _component_pairs(size, column, root)), "meet")
-    some = meet.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("na").alias("na"), F.min("nb").alias("nb")).filter(_enough())
-    some = meet.join(some.select("a", "b"), ["a", "b"]).select("block", F.col("a").alias("row"), F.col("b").alias("root"), F.lit(True).alias("pair"))
-    some = stored(spark, some, "allowed")
-    if some.isEmpty():
-        return spark.createDataFrame([], "a long, b long")
-    pairs = _product(met, labels.union(some), _row_pairs)
-    return pairs.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).filter(_enough()).select("a", "b")
+    return _product(met, labels, lambda *entries: _near_pairs(*entries, blocks)).select("a", "b").distinct()
+
+
+def _redealt(met: DataFrame, blocks: int) -> DataFrame:
+    """The same entries in fewer blocks."""
+
+    def run(key, t):
+        row, size, column, place = [], [], [], []
+        for old, blob in zip(t.column("old").to_pylist(), t.column("packed").to_pylist(), strict=True):
+            r, s, _, c, p = _unpacked(blob)
+            row.append(r)
+            size.append(s)
+            place.append(p)
+            column.append(c ^ np.uint32(mixed(np.array([old], np.uint64))[0] >> np.uint64(32)))  # columns of two blocks stay apart
+        row, size, column, place = (np.concatenate(x) for x in (row, size, column, place))
+        at = np.lexsort((row, size, column))
+        blob = _packed(row[at], size[at], np.ones(len(row), np.int64), column[at], place[at])
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "packed": pa.array([blob], pa.binary())})
+
+    dealt = met.select(F.pmod("block", F.lit(blocks)).cast("int").alias("block"), F.col("block").alias("old"), "packed")
+    return dealt.groupBy("block").applyInArrow(run, "block int, packed binary")
 
 
 def _pruned(met: DataFrame, members: DataFrame) -> DataFrame:
@@ -520,14 +557,17 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
         met = stored(spark, _pruned(met, members), "met")
     members = stored(spark, _members(met), "members")
     some = stored(spark, _candidates(members), "candidates")
-    members = stored(spark, members.join(some, "row").select("block", "row"), "members")
+    left = members.agg(F.sum("hits")).first()[0] or 0
+    blocks = min(blocks, max(1, -(-left // DENSE_ENTRIES)))
+    met = stored(spark, _redealt(met, blocks), "met")
+    members = stored(spark, _members(met).join(some, "row").select("block", "row"), "members")
     sets = stored(spark, _sets(df, text, k, sc.broadcast(_needed(some))).dropDuplicates(["row"]), "sets")
     tidied(spark)
 
     links, roots = None, None
     for seed in [*range(hub_rounds), None]:
         labels = _labels(members, roots)
-        found = _links(_all_candidates(spark, met, labels) if seed is None else _hub_candidates(met, labels, seed), sets)
+        found = _links(_all_candidates(met, labels, blocks) if seed is None else _hub_candidates(met, labels, seed, blocks), sets)
         links = stored(spark, found if links is None else links.union(found), "links")
         tidied(spark)
         roots = components(spark, links)

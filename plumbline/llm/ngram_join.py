@@ -15,8 +15,8 @@ bounds discard pairs before and while overlap counts accumulate:
 * blocks: what has not left the product is dealt to ever fewer blocks; a pair that shares enough columns in all shares
   its part of them, by the pigeonhole principle, in one block at least, and only there it leaves the block.
 
-Columns that hold more than a 2^20th of all entries come last in the order, by size; they are found over all documents,
-as those frequent in some block of entries (at most 2^20 of them, a broadcast of 9 MB). The surviving pairs' overlap is
+Columns that hold more than a 2^18th of all entries come last in the order, by size; they are found over all documents,
+as those frequent in some block of entries (at most 2^19 of them, a broadcast of 5 MB). The surviving pairs' overlap is
 counted exactly on whole sets of 40-bit column numbers, so a result could err only where two shingles of a pair of
 documents agree in 40 hashed bits.
 
@@ -37,7 +37,7 @@ from .common import buffer_of, mixed, ready, shingle_sets, slices, stored, tidie
 from .components import components
 
 #: Frequent columns at most, and entries of one counting block.
-FREQUENT, COUNT_BLOCK = 1 << 20, 1 << 22
+FREQUENT, COUNT_BLOCK = 1 << 19, 1 << 21
 #: Entries of a column block aimed at, and column blocks at least.
 BLOCK_ENTRIES, LEAST_BLOCKS = 1 << 21, 64
 #: Entries of a block aimed at once only candidates are left.

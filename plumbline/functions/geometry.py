@@ -294,7 +294,93 @@ def collinear_overlap(ax0, ay0, ax1, ay1, bx0, by0, bx1, by1) -> Column:
     return flat & (F.least(F.greatest(t0, t1), F.lit(1.0)) > F.greatest(F.least(t0, t1), F.lit(0.0)))
 
 
-def spend(sheets: Column, unread: Column, tiers: Column, gated: float = 0.41, attempts: int = 2) -> Column:
-    """struct(low, likely, ceiling): calls that reading the rest takes."""
-    likely = unread + F.ceil(sheets * gated) * F.least(tiers, F.lit(1))
-    return F.struct(unread.alias("low"), likely.cast("long").alias("likely"), (unread * attempts + sheets * tiers * attempts).cast("long").alias("ceiling"))
+def spend(sheets: Column, unread: Column, tiers: Column, gated: float = 0.41, attempts: int = 2, tier_attempts: int = 2) -> Column:
+    """struct(low, gated, ceiling): calls that reading the rest takes, cleanly once, or retried and through every tier."""
+    pool = F.when(tiers > 0, F.ceil(sheets * gated)).otherwise(0).cast("long")
+    return F.struct(unread.cast("long").alias("low"), pool.alias("gated"), (unread * attempts + pool * tiers * tier_attempts).cast("long").alias("ceiling"))
+
+
+# Metres of a degree of latitude and of a mile.
+METRES_A_DEGREE, METRES_A_MILE = 111_132.0, 1609.344
+
+
+def grid_numbers(lon: Column, lat: Column, lon0: float, lat0: float, units: float) -> Column:
+    """struct(ew, ns): signed house numbers of a place on a grid of `units` numbers a mile about its origin."""
+    from math import cos, radians
+
+    ew = (lon - lon0) * (METRES_A_DEGREE * cos(radians(lat0))) / METRES_A_MILE * units
+    return F.struct(ew.alias("ew"), ((lat - lat0) * METRES_A_DEGREE / METRES_A_MILE * units).alias("ns"))
+
+
+def street_span(box: Column, lon0: float, lat0: float, units: float, ratio: float = 1.5) -> Column:
+    """struct(axis, along_lo, along_hi, cross_lo, cross_hi) of a street's box; null where neither side is clearly longer."""
+
+    def spanned(a: Column, b: Column) -> Column:
+        ew, ns = F.abs(b["ew"] - a["ew"]), F.abs(b["ns"] - a["ns"])
+        span = lambda axis, u, v: F.struct(F.lit(axis).alias("axis"), a[u].alias("along_lo"), b[u].alias("along_hi"), a[v].alias("cross_lo"), b[v].alias("cross_hi"))
+        tiny = F.lit(1e-9)
+        return F.when(ns >= ratio * F.greatest(ew, tiny), span("ns", "ns", "ew")).when(ew >= ratio * F.greatest(ns, tiny), span("ew", "ew", "ns"))
+
+    return let(grid_numbers(box[0], box[1], lon0, lat0, units), lambda a: let(grid_numbers(box[2], box[3], lon0, lat0, units), lambda b: spanned(a, b)))
+
+
+def along_covers(span: Column, number: Column, pad: float = 0.0) -> Column:
+    return number.between(span["along_lo"] - pad, span["along_hi"] + pad)
+
+
+def along_overlaps(span: Column, lo: Column, hi: Column, pad: float = 0.0) -> Column:
+    return (F.least(lo, hi) - pad <= span["along_hi"]) & (F.greatest(lo, hi) + pad >= span["along_lo"])
+
+
+def principal_bearing(points: Column, scatter: float = 0.5) -> Column:
+    """Degrees in [0, 180) of a line's course, by length; null where its pieces point all over (or it has no length)."""
+
+    def folded(segments: Column) -> Column:
+        total = F.aggregate(segments, F.lit(0.0), lambda acc, s: acc + s["n"])
+        c = F.aggregate(segments, F.lit(0.0), lambda acc, s: acc + s["n"] * F.cos(2 * s["t"]))
+        d = F.aggregate(segments, F.lit(0.0), lambda acc, s: acc + s["n"] * F.sin(2 * s["t"]))
+        return F.when(F.hypot(c, d) >= scatter * F.nullif(total, F.lit(0.0)), F.pmod(F.degrees(F.atan2(d, c)) / 2, F.lit(180.0)))
+
+    def segment(p: Column, q: Column) -> Column:
+        return F.struct(F.hypot(q["x"] - p["x"], q["y"] - p["y"]).alias("n"), F.atan2(q["y"] - p["y"], q["x"] - p["x"]).alias("t"))
+
+    heads = F.slice(points, 1, F.greatest(F.size(points) - 1, F.lit(0)))
+    return let(F.zip_with(heads, F.slice(points, 2, F.greatest(F.size(points), F.lit(1))), segment), folded)
+
+
+def small_corners_full(width: Column, height: Column, scale: Column) -> Column:
+    """The small image's corners as full-size pixels."""
+    corner = lambda x, y: F.struct((x / scale).alias("x"), (y / scale).alias("y"))
+    zero = F.lit(0.0)
+    return F.array(corner(zero, zero), corner(width, zero), corner(width, height), corner(zero, height))
+
+
+def mask_polygon(m: Column, box: Column) -> Column:
+    """A pixel rectangle's corners in the world."""
+    return F.array(*[apply_affine(m, box[i], box[j]) for i, j in ((0, 1), (2, 1), (2, 3), (0, 3))])
+
+
+def good_labels(streets: Column) -> Column:
+    """Label items with a name and a box of four numbers."""
+    return F.filter(streets, lambda s: s.isNotNull() & s["name"].isNotNull() & (F.size(s["bbox"]) == 4) & F.forall(s["bbox"], lambda v: v.isNotNull()))
+
+
+def turned_labels(streets: Column, turn: Column, width: Column, height: Column) -> Column:
+    """Labels of an image after a clockwise turn: boxes, orientations and directions."""
+
+    def turned(s: Column) -> Column:
+        d = rotate_direction_cw(F.try_element_at(s["direction"], F.lit(1)), F.try_element_at(s["direction"], F.lit(2)), turn)
+        return F.struct(s["name"].alias("name"), rotate_box(s["bbox"], turn, width, height).alias("bbox"), turned_orientation(s["orientation"], turn).alias("orientation"), F.when(F.size(s["direction"]) == 2, F.array(d["x"], d["y"])).alias("direction"))
+
+    return F.transform(streets, turned)
+
+
+def with_model_corners(points: Column, m: Column, width: Column, height: Column) -> Column:
+    """Control points with three more that the model makes, marked as synthetic."""
+    corner = lambda x, y: let(apply_affine(m, x, y), lambda p: F.struct(x.alias("px"), y.alias("py"), p["x"].alias("x"), p["y"].alias("y"), F.lit(True).alias("synthetic")))
+    zero = F.lit(0.0)
+    return F.concat(points, F.array(corner(zero, zero), corner(width, zero), corner(zero, height)))
+
+
+def shifted(points: Column, dx: Column, dy: Column) -> Column:
+    return F.transform(points, lambda p: F.struct(p["px"].alias("px"), p["py"].alias("py"), (p["x"] + dx).alias("x"), (p["y"] + dy).alias("y"), p["synthetic"].alias("synthetic")))

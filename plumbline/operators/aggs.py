@@ -148,3 +148,36 @@ def agreeing_ranges(entries: DataFrame, width: int, apart: int = 4) -> DataFrame
     met = cells.join(b, ["street", "cell"]).filter("id <> b_id and old_lo <= b_old_hi and b_old_lo <= old_hi")
     bad = met.filter(F.abs((F.col("new_lo") - F.col("old_lo")) - (F.col("b_new_lo") - F.col("b_old_lo"))) > apart).select("id").distinct()
     return entries.join(bad, "id", "left_anti")
+
+
+def circular_mean(rows: DataFrame, group: str, angle: str, quorum: int) -> DataFrame:
+    """(group, n, angle): the mean course of angles modulo 180; null under the quorum."""
+    t = 2 * F.radians(angle)
+    s = rows.groupBy(group).agg(F.count(angle).alias("n"), F.sum(F.cos(t)).alias("c"), F.sum(F.sin(t)).alias("s"))
+    mean = F.pmod(F.degrees(F.atan2("s", "c")) / 2, F.lit(180.0))
+    return s.select(group, "n", F.when(F.col("n") >= quorum, mean).alias("angle"))
+
+
+def adopted(chains: DataFrame) -> DataFrame:
+    """chains (chain, name, parity, lo, hi) with nameless ones under the name of their only named twin of the other parity
+    whose numbers overlap."""
+    n = chains.filter("name is not null").select(F.col("name").alias("twin"), F.col("parity").alias("p2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.floor(F.col("lo") / 1000).alias("c0"), F.floor(F.col("hi") / 1000).alias("c1"))
+    n = n.withColumn("cell", F.explode(F.sequence("c0", "c1")))
+    o = chains.filter("name is null").withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") / 1000), F.floor(F.col("hi") / 1000))))
+    met = o.join(n, "cell").filter("parity <> p2 and lo <= hi2 and lo2 <= hi").select("chain", "twin", "lo2", "hi2").distinct()
+    one = met.groupBy("chain").agg(F.count(F.lit(1)).alias("k"), F.min("twin").alias("twin")).filter("k = 1").select("chain", "twin")
+    return chains.join(one, "chain", "left").withColumn("name", F.coalesce("name", "twin")).drop("twin")
+
+
+def gate(before_after: DataFrame, volume: str, limit: float) -> DataFrame:
+    """(volume, before, after, n, passed): medians of sheets' rms before and after, and whether it didn't get worse."""
+    g = before_after.groupBy(volume).agg(F.median("rms_before").alias("before"), F.median("rms_after").alias("after"), F.count(F.lit(1)).alias("n"))
+    return g.withColumn("passed", F.col("after") <= F.col("before") + limit)
+
+
+def tier(reads: Column, candidates: Column, distance: Column, near: float = 400.0, least: int = 2) -> Column:
+    """The rule that a proposal meets first."""
+    return (
+        F.when(candidates == 0, "no-candidate").when(reads < least, "held: too few reads").when(candidates > 1, "held: several candidates")
+        .when(distance.isNull(), "held: no locality").when(distance > near, "refused: far").otherwise("clean")
+    )

@@ -185,3 +185,54 @@ def window_of_neighbors(edges: DataFrame, centres: DataFrame, ew_m: float = 220.
     dy = F.when(F.col("side") == "top", -step).when(F.col("side") == "bottom", step).otherwise(0.0)
     near = edges.join(centres, "neighbor").select("page", (F.col("cx") + dx).alias("x"), (F.col("cy") + dy).alias("y"), F.greatest(F.lit(least_m), far / 2).alias("r"))
     return near.groupBy("page").agg(F.avg("x").alias("x"), F.avg("y").alias("y"), F.min("r").alias("radius_m"))
+
+
+def gazetteer_pairs(labels: DataFrame, streets: DataFrame, gazetteer: DataFrame, page: str) -> DataFrame:
+    """Labels (page, ord, label) of another kind with a page's street labels (page, ord_s, key), by the groups that a
+    gazetteer (label, group_key) binds a label to."""
+    bound = labels.join(gazetteer, "label")
+    return bound.join(streets, page).select(page, "ord", "ord_s", "group_key", "key")
+
+
+def locality(crossings_: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(key, sheets, distance): upper median over sheets of the least distance from a sheet's crossings to a candidate.
+
+    crossings_: (key, sheet, x, y); candidates: (key, cx, cy).
+    """
+    d = crossings_.join(candidates, "key").withColumn("d", F.hypot(F.col("x") - F.col("cx"), F.col("y") - F.col("cy")))
+    near = d.groupBy("key", "sheet").agg(F.min("d").alias("d"))
+    return near.groupBy("key").agg(F.count(F.lit(1)).alias("sheets"), F.expr("-percentile_disc(0.5) WITHIN GROUP (ORDER BY -d)").alias("distance"))
+
+
+def best_claims(claims: DataFrame) -> DataFrame:
+    """(winner, cell, loser, ink, dist): the best claim on each of a winner's cells, most ink, then nearest, then first."""
+    best = claims.groupBy("winner", "cell").agg(F.min(F.struct((-F.col("ink")).alias("i"), "dist", "ord", "loser")).alias("b"))
+    return best.select("winner", "cell", "b.loser", (-F.col("b.i")).alias("ink"), "b.dist")
+
+
+def with_sources(keys: DataFrame, key: str, sources: list[tuple[str, DataFrame]], value: str) -> DataFrame:
+    """keys with the value of the first source that has one, and that source's name."""
+    out = keys
+    for n, (_, s) in enumerate(sources):
+        out = out.join(s.select(key, F.col(value).alias(f"v{n}_")), key, "left")
+    values = [F.col(f"v{n}_") for n in range(len(sources))]
+    name = F.coalesce(*[F.when(v.isNotNull(), F.lit(label)) for v, (label, _) in zip(values, sources, strict=True)])
+    return out.select(*keys.columns, F.coalesce(*values).alias(value), name.alias("source"))
+
+
+def required(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """rows joined to keys, failing on a row without one."""
+    joined = rows.join(keys.withColumn("there_", F.lit(True)), key, "left")
+    return joined.filter(F.assert_true(F.coalesce("there_", F.lit(False)), F.concat(F.lit("unknown: "), F.col(key).cast("string"))).isNull()).drop("there_")
+
+
+def shared_share(ours: DataFrame, theirs: DataFrame, floor: float) -> DataFrame:
+    """(volume, shared, same, suspect): pages that both have, the share with equal digests, and below the floor the other
+    volume that agrees with most of ours. Tables: (volume, page, digest)."""
+    t = theirs.withColumnRenamed("volume", "other").withColumnRenamed("digest", "d2")
+    both = ours.join(t, "page").withColumn("same", (F.col("digest") == F.col("d2")).cast("int"))
+    by = both.groupBy("volume", "other").agg(F.count(F.lit(1)).alias("shared"), F.sum("same").alias("same"))
+    own = by.filter("volume = other").select("volume", "shared", (F.col("same") / F.col("shared")).alias("share"))
+    best = by.filter("volume <> other and same > 0").groupBy("volume").agg(F.min(F.struct((-F.col("same")).alias("s"), "other")).alias("b"))
+    out = own.join(best, "volume", "left")
+    return out.select("volume", "shared", "share", F.when(F.col("share") < floor, F.col("b.other")).alias("suspect"))

@@ -176,3 +176,38 @@ def write_if_changed(spark: SparkSession, df: DataFrame, path: str) -> bool:
     return True
 
 
+
+
+def archive_bounds(files: DataFrame) -> DataFrame:
+    """(path, west, south, east, north) from the header of tile archives of version 3: four signed 32-bit numbers of 1e-7
+    degrees from byte 102 on. files: (path, content)."""
+
+    def number(at: int) -> Column:
+        parts = [F.conv(F.hex(F.substring("content", at + 1 + i, 1)), 16, 10).cast("long") * (256**i) for i in range(4)]
+        total = parts[0] + parts[1] + parts[2] + parts[3]
+        return F.when(total >= 2**31, total - 2**32).otherwise(total) / 1e7
+
+    ok = F.hex(F.substring("content", 1, 7)) == F.hex(F.lit("PMTiles"))
+    return files.filter(ok).select("path", number(102).alias("west"), number(106).alias("south"), number(110).alias("east"), number(114).alias("north"))
+
+
+def gazetteer(bindings: DataFrame) -> DataFrame:
+    """(label, group_key) of a gazetteer's JSON bindings (value: label -> groups), both in canonical form."""
+    from ..functions.names import normalize_rail_name
+
+    m = F.from_json(F.get_json_object("value", "$.bindings"), "map<string, array<string>>")
+    each = bindings.select(F.explode(m).alias("label", "groups")).select(normalize_rail_name(F.col("label")).alias("label"), F.explode("groups").alias("g"))
+    return each.select("label", normalize_rail_name(F.col("g")).alias("group_key")).distinct()
+
+
+def rename_pairs(lines: DataFrame) -> DataFrame:
+    """(old, new, line) of a printed list's lines ``OLD -- now NEW`` and ``NEW, formerly OLD``. lines: (line)."""
+    from ..functions.names import clean
+
+    now = F.regexp_extract_all("line", F.lit(r"(?i)^\s*(.+?)\s+(?:--|now|to)\s+(?:now\s+)?(.+?)\.?\s*$"), 1)
+    to = F.regexp_extract("line", r"(?i)^\s*(.+?)\s+(?:--|now|to)\s+(?:now\s+)?(.+?)\.?\s*$", 2)
+    back = F.regexp_extract("line", r"(?i)^\s*(.+?),?\s+formerly\s+(.+?)\.?\s*$", 2)
+    head = F.regexp_extract("line", r"(?i)^\s*(.+?),?\s+formerly\s+(.+?)\.?\s*$", 1)
+    old = F.when(back != "", back).otherwise(F.try_element_at(now, F.lit(1)))
+    new = F.when(back != "", head).otherwise(to)
+    return lines.select(clean(old).alias("old"), clean(new).alias("new"), "line").filter("old <> '' and new <> ''")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ready, stored
+from .common import lean, ready, stored
 
 #: Vectors that trees are fitted on at most, of them in a leaf, trees, and the share of the sample's neighbours to reach.
 SAMPLE, LEAF, TREES, REACH = 16_384, 64, 4, 0.97
@@ -154,7 +154,7 @@ def valid_rows(df: DataFrame, vector: str) -> DataFrame:
             if ids:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["id", "v"])
 
-    return df.select("id", vector).mapInArrow(run, "id long, v binary")
+    return df.select("id", vector).mapInArrow(lean(run), "id long, v binary")
 
 
 def classes(df: DataFrame, key: str, vector: str, keep: int) -> DataFrame:
@@ -211,7 +211,7 @@ def _route(df: DataFrame, forest, dtype: str) -> DataFrame:
                 at, n = np.unique(leaf, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], ["leaf", "n"])
 
-    return df.select("v").mapInArrow(run, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n"))
+    return df.select("v").mapInArrow(lean(run), "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n"))
 
 
 def _part(ids: np.ndarray, parts: np.ndarray) -> np.ndarray:
@@ -244,7 +244,7 @@ def _rows(df: DataFrame, forest, groups, dtype: str) -> DataFrame:
                 [pa.array(cell.ravel()[at] + step), b.column(0).take(pa.array(row)), _bytes4(leaf.ravel()[at]), b.column(1).take(pa.array(row))], ["cell", "class", "leaf", "v"]
             )
 
-    return df.select("class", "v").mapInArrow(run, "cell long, class long, leaf binary, v binary")
+    return df.select("class", "v").mapInArrow(lean(run), "cell long, class long, leaf binary, v binary")
 
 
 def _probes(df: DataFrame, forest, groups, budget: int, dtype: str) -> DataFrame:
@@ -274,7 +274,7 @@ def _probes(df: DataFrame, forest, groups, budget: int, dtype: str) -> DataFrame
                 who = pa.array(who)
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(cells, np.int64)), b.column(0).take(who), pa.array(leaves, pa.binary()), vectors.take(who)], ["cell", "query", "leaves", "v"])
 
-    return df.select("class", "v").mapInArrow(run, "cell long, query long, leaves binary, v binary")
+    return df.select("class", "v").mapInArrow(lean(run), "cell long, query long, leaves binary, v binary")
 
 
 def _best(owner: np.ndarray, who: np.ndarray, score: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -372,7 +372,7 @@ def _searched(rows: DataFrame, probes: DataFrame, keep: int, dtype: str) -> Data
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged()], ["query", "class", "score"])
 
-    return dealt.mapInArrow(run, "query long, class long, score double")
+    return dealt.mapInArrow(lean(run), "query long, class long, score double")
 
 
 def nearest(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding", reach: float = REACH) -> DataFrame:
@@ -418,7 +418,7 @@ def _norms(c: DataFrame, dtype: str) -> DataFrame:
                 x = _matrix(b.column(0), dtype)
                 yield pa.RecordBatch.from_arrays([pa.array([float(np.sqrt((x * x).sum(1)).max())])], ["n"])
 
-    return c.select("v").mapInArrow(run, "n double")
+    return c.select("v").mapInArrow(lean(run), "n double")
 
 
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,10 +24,12 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from .common import ready
+from .common import lean, ready
 
-#: Words remembered at most, and the longest that is remembered.
-MEMO_WORDS, MEMO_CHARS = 200_000, 64
+#: Words in a table of remembered ones (there are two), and the longest that is remembered.
+MEMO_WORDS, MEMO_CHARS = 80_000, 64
+#: Pairs of tokens whose test is remembered.
+PAIRS = 1 << 18
 _END = "\0"
 
 
@@ -48,16 +50,20 @@ def late_letters() -> str:
 
 
 class _Memo(dict):
-    """word -> (ids as text, tokens as text); forgets everything when full."""
+    """word -> (ids as text, tokens as text), of the latest words: a full table becomes the old one, which is looked up
+    until the next is full."""
 
     def __init__(self, codec: Codec) -> None:
-        self.codec = codec
+        self.codec, self.old = codec, {}
 
     def __missing__(self, word: str) -> tuple[str, str]:
-        ids = self.codec.word(word)
-        out = " ".join(map(str, ids)), " ".join([self.codec.tokens[i] for i in ids])
+        out = self.old.get(word)
+        if out is None:
+            ids = self.codec.word(word)
+            out = " ".join(map(str, ids)), " ".join([self.codec.tokens[i] for i in ids])
         if len(word) <= MEMO_CHARS:
             if len(self) >= MEMO_WORDS:
+                self.old = dict(self)
                 self.clear()
             self[word] = out
         return out
@@ -85,7 +91,7 @@ class Codec:
             self.merge[vocab[a], vocab[b]] = rank
             if whole not in self.left:
                 self.rank[whole], self.left[whole], self.right[whole] = rank, vocab[a], vocab[b]
-        self._beside = lru_cache(1 << 17)(self._uncrossed)
+        self._beside: dict[int, bool] = {}  # left << 32 | right -> whether they stay apart
         self.automaton = ahocorasick.Automaton()
         sound: set[int] = set()
         for token in sorted(vocab.values(), key=self.rank.__getitem__):
@@ -137,9 +143,22 @@ class Codec:
         beside = self._beside
         for at, (token, size) in self.automaton.iter(spelt):
             to = at + 1
+            if last[to] >= 0:
+                continue
             start = to - size
-            if last[to] < 0 and (not start or (last[start] >= 0 and beside(last[start], token))):
-                last[to], back[to] = token, start
+            if start:
+                before = last[start]
+                if before < 0:
+                    continue
+                pair = before << 32 | token
+                apart = beside.get(pair)
+                if apart is None:
+                    if len(beside) >= PAIRS:
+                        beside.clear()
+                    apart = beside[pair] = self._uncrossed(before, token)
+                if not apart:
+                    continue
+            last[to], back[to] = token, start
         out, at = [], n
         while at:
             out.append(last[at])
@@ -202,7 +221,7 @@ def encoded(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
             ids = [c.encode(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], [key, "ids"])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, ids array<int>")
+    return df.select(key, text).mapInArrow(lean(run), f"`{key}` {df.schema[key].dataType.simpleString()}, ids array<int>")
 
 
 def decoded(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -215,7 +234,7 @@ def decoded(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") ->
             texts = [c.decode(x or []) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], [key, "text"])
 
-    return df.select(key, ids).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, text string")
+    return df.select(key, ids).mapInArrow(lean(run), f"`{key}` {df.schema[key].dataType.simpleString()}, text string")
 
 
 def round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -237,4 +256,4 @@ def round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str = "text"
             )
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return df.select(key, text).mapInArrow(lean(run), f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

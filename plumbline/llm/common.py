@@ -6,6 +6,7 @@ work per byte and Python only the work per document. A null text is an empty tex
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
@@ -82,18 +83,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def over_batches(
-    df: DataFrame, columns: list[str], fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
-) -> DataFrame:
-    """fn over each Arrow batch of the named columns."""
-    ready(df.sparkSession)
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which the worker, which Spark keeps for other tasks, gives its free memory back."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows and (out := fn(b)) is not None:
-                yield out
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return whole
 
 
 #: Ids of a list that is broadcast at most.

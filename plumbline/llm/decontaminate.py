@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buffer_of, ready, shingle_hashes, slices, stored, without, word_hashes, words
+from .common import buffer_of, lean, ready, shingle_hashes, slices, stored, without, word_hashes, words
 
 #: Words of an index part at most, items of a block, and words of slack in a window's half.
 INDEX_WORDS, BLOCK, SLACK = 2_000_000, 64, 8
@@ -173,7 +173,7 @@ def verified(spark: SparkSession, docs: DataFrame, items: DataFrame, key: str =
                             [b.column(0).take(pa.array(i + d)), pa.array(index.value.ids[k]), pa.array(s, pa.int64()), pa.array(s / n)], [key, "item_id", "shared", "similarity"]
                         )
 
-        each = docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, item_id long, shared long, similarity double")
+        each = docs.select(key, text).mapInArrow(lean(run), f"`{key}` {kind}, item_id long, shared long, similarity double")
         out = each if out is None else out.union(each)
     return out.groupBy(key, "item_id").agg(F.max("shared").alias("shared"), F.max("similarity").alias("similarity"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import LOWER, buffer_of, ready, slices
+from .common import LOWER, buffer_of, lean, ready, slices
 
 #: Dimensions of the hashed vectors, documents of a language that its centroids come from, and centroids a language.
 DIMENSIONS, PER_LANGUAGE, CENTROIDS = 8192, 600, 4
@@ -81,7 +81,7 @@ def frequencies(df: DataFrame, text: str) -> tuple[np.ndarray, int]:
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, DIMENSIONS)), pa.array(np.r_[n, held])], ["gram", "n"])
 
-    got = df.select(text).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
+    got = df.select(text).mapInArrow(lean(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     out, n = np.zeros(DIMENSIONS, np.int64), 0
     for r in got:  # DIMENSIONS + 1 rows at most
         if r.gram < 0:
@@ -191,7 +191,7 @@ def predicted(spark: SparkSession, docs: DataFrame, model: Centroids, key: str =
                         [key, "lang_pred", "score", "rejected"],
                     )
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
+    return docs.select(key, text).mapInArrow(lean(run), f"`{key}` {docs.schema[key].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffer_of, mixed, ready, shingle_sets, slices, stored, tidied, without
+from .common import buffer_of, lean, mixed, ready, shingle_sets, slices, stored, tidied, without
 from .components import components
 
 #: Frequent columns at most, and entries of one counting block.
@@ -95,7 +95,7 @@ def _profiles(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
         if held and (out := frequent(parts)) is not None:
             yield out
 
-    return df.select(F.col(key).cast("long"), text).mapInArrow(run, "key long, n long, row long, hash long, count long")
+    return df.select(F.col(key).cast("long"), text).mapInArrow(lean(run), "key long, n long, row long, hash long, count long")
 
 
 class _Order:
@@ -201,7 +201,7 @@ def _entries(df: DataFrame, text: str, k: int, order, blocks: int) -> DataFrame:
         if parts:
             yield dealt()
 
-    return df.select(text).mapInArrow(run, "block int, packed binary")
+    return df.select(text).mapInArrow(lean(run), "block int, packed binary")
 
 
 def _largest_partner(size: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -257,7 +257,7 @@ def _members(met: DataFrame) -> DataFrame:
                         ["block", "row", "n", "hits"],
                     )
 
-    return met.mapInArrow(run, "block int, row long, n long, hits long")
+    return met.mapInArrow(lean(run), "block int, row long, n long, hits long")
 
 
 def _candidates(members: DataFrame) -> DataFrame:
@@ -488,7 +488,7 @@ def _sets(df: DataFrame, text: str, k: int, needed) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(cells, pa.binary())], ["row", "cells"])
 
-    return df.select(text).mapInArrow(run, "row long, cells binary")
+    return df.select(text).mapInArrow(lean(run), "row long, cells binary")
 
 
 def _passes(filter_: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -534,7 +534,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     right = pairs.join(sets.select(F.col("row").alias("b"), F.col("cells").alias("cells_b")), "b")
     whole = right.join(sets.select(F.col("row").alias("a"), F.col("cells").alias("cells_a")), "a")
-    return whole.select("a", "b", "cells_a", "cells_b").mapInArrow(run, "a long, b long")
+    return whole.select("a", "b", "cells_a", "cells_b").mapInArrow(lean(run), "a long, b long")
 
 
 def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, hub_rounds: int = 2) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from .boosting import Model, fit_model
-from .common import LOWER, buffer_of, ready, shingle_hashes, slices, table, word_hashes, words
+from .common import LOWER, buffer_of, lean, ready, shingle_hashes, slices, table, word_hashes, words
 from .labelled import SAMPLE_ROWS, sample
 
 #: Classes of bytes that are counted.
@@ -106,7 +106,7 @@ def features_of(df: DataFrame, text: str, extra: list[str], features) -> tuple[n
                 cols = [pa.array(x.tobytes()[k : k + x.shape[1] * 8] for k in range(0, x.size * 8, x.shape[1] * 8))]
                 yield pa.RecordBatch.from_arrays([cols[0].cast(pa.binary()), *[b.column(1 + c).slice(i, j - i) for c in range(len(extra))]], ["x", *extra])
 
-    got = df.select(text, *extra).mapInArrow(run, ", ".join(["x binary", *[f"`{c}` int" for c in extra]])).toArrow()
+    got = df.select(text, *extra).mapInArrow(lean(run), ", ".join(["x binary", *[f"`{c}` int" for c in extra]])).toArrow()
     wide = features(np.zeros(0, np.uint8), np.zeros(2, np.int64)).shape[1]
     x = np.frombuffer(b"".join(got.column(0).to_pylist()), np.float64).reshape(-1, wide)
     return x, [got.column(1 + c).to_numpy() for c in range(len(extra))]
@@ -125,7 +125,7 @@ def scored(df: DataFrame, key: str, text: str, model, features) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(parts))], [key, "score"])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, score double")
+    return df.select(key, text).mapInArrow(lean(run), f"`{key}` {df.schema[key].dataType.simpleString()}, score double")
 
 
 def fit_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> Model:

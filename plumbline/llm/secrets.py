@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready
+from .common import lean, ready
 
 KINDS = ("assign", "access", "hex", "guess")
 BASE = KINDS[:3]
@@ -201,7 +201,7 @@ def found_spans(df: DataFrame, key: str = "doc_id", text: str = "text", bits: fl
             ]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, kind)], [key, "spans"])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, spans array<struct<kind string, start int, end int>>")
+    return df.select(key, text).mapInArrow(lean(run), f"`{key}` {df.schema[key].dataType.simpleString()}, spans array<struct<kind string, start int, end int>>")
 
 
 def redacted(text: str, found: list[tuple[str, int, int]], mark: str = "[SECRET]") -> str:
@@ -237,7 +237,7 @@ def redactions(df: DataFrame, text: str = "text", length: str | None = "n_chars"
                     cols[size] = pa.array([len(new[i]) if i in new else n for i, n in enumerate(cols[size].to_pylist())], cols[size].type)
             yield pa.RecordBatch.from_arrays(cols, b.schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def joined(column: str, kinds: tuple[str, ...]) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .boosting import Model, fit_model
-from .common import LOWER, buffer_of, ready, slices, word_hashes, words
+from .common import LOWER, buffer_of, lean, ready, slices, word_hashes, words
 from .labelled import SAMPLE_ROWS, sample
 from .quality import features_of, scored
 
@@ -131,7 +131,7 @@ def key_counts(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), *[pa.array(c[:, k].astype(np.int32)) for k in range(4)]], ["key", "t0", "c0", "t1", "c1"])
 
     ready(rows.sparkSession)
-    each = rows.select("text", "y", "part").mapInArrow(run, "key long, t0 int, c0 int, t1 int, c1 int")
+    each = rows.select("text", "y", "part").mapInArrow(lean(run), "key long, t0 int, c0 int, t1 int, c1 int")
     out = each.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("t0", "c0", "t1", "c1")])
     return out.filter((F.col("t0") + F.col("t1") >= 4) & (F.col("t0") + F.col("t1") > F.col("c0") + F.col("c1")) | (F.greatest("t0", "t1") >= 4))
 
@@ -246,7 +246,7 @@ def kept(spark: SparkSession, docs: DataFrame, model: ToxicityModel, least: floa
                 parts = [m.score(m.features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])) for i, j in slices(offsets)]
                 yield b.filter(pa.array(np.concatenate(parts) < least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import ready
+from .common import lean, ready
 
 #: Entries of a broadcast rule list at most.
 MOST_RULES = 1_000_000
@@ -138,4 +138,4 @@ def url_verdicts(df: DataFrame, rules: list[Rule], key: str = "page_id", url: st
                 [key, "host", "path", "rule", "verdict"],
             )
 
-    return df.select(key, url).mapInArrow(run, f"`{key}` {kind}, host string, path string, rule string, verdict string")
+    return df.select(key, url).mapInArrow(lean(run), f"`{key}` {kind}, host string, path string, rule string, verdict string")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ready
+from .common import lean, ready
 
 SEP = "\r\n\r\n"
 _SEP = SEP.encode()
@@ -145,7 +145,7 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> D
             yield batch()
 
     text = spark.read.option("lineSep", SEP).schema("value string").text(folder)
-    return text.select(F.col("value").cast("binary")).mapInArrow(run, schema)
+    return text.select(F.col("value").cast("binary")).mapInArrow(lean(run), schema)
 
 
 def resolved(read: DataFrame) -> DataFrame:

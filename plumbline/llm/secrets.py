@@ -218,7 +218,7 @@ def redactions(df: DataFrame, text: str = "text", length: str | None = "n_chars"
     """df with its secrets replaced by marks, and the length column brought up to date where a text has changed."""
     ready(df.sparkSession)
     names, schema = df.columns, df.schema
-    at, size = names.index(text), names.index(length) if length else -1
+    at, size = names.index(text), names.index(length) if length in names else -1
 
     def run(batches):
         for b in batches:

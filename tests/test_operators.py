@@ -84,13 +84,13 @@ def test_conflicts_and_ranges(spark):
     df = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("b", 1, 3), ("b", 2, 4), ("c", None, 5), ("c", None, 6)], "k string, v int, o int")
     assert rows(A.dedupe_conflict(df, ["k"], "v", "o")) == [("a", 1, 1), ("c", None, 5)]
     e = spark.createDataFrame([(1, "s", 0, 100, 1000), (2, "s", 50, 150, 1056), (3, "s", 400, 500, 9), (4, "s", 90, 95, 1093)], "id int, street string, old_lo int, old_hi int, new_lo int")
-    assert rows(A.agreeing_ranges(e, 100), "id") == [(3,)] or rows(A.agreeing_ranges(e, 100), "id") == [(3,), (4,)]
+    assert rows(A.agreeing_ranges(e, 100), "id") == [(3,), (4,)]
 
 
 def test_even_samples(spark):
     r = spark.range(5000).withColumn("g", F.lit(1))
     got = [x.id for x in S.sample_evenly(r, ["g"], ["id"], 5).orderBy("id").collect()]
-    assert got == [0, 1250, 2500, 3749, 4999] or got == [round(i * 4999 / 4) for i in range(5)]
+    assert got == [0, 1250, 2500, 3749, 4999]
     assert S.sample_evenly(r.limit(3), ["g"], ["id"], 5).count() == 3
 
 
@@ -143,7 +143,7 @@ def test_ways_queue_and_sums(spark):
     w = spark.createDataFrame([("way", 1, {"name": "A", "highway": "residential"}, [1.0, 2.0]), ("way", 2, {"name": "B", "highway": "path"}, [1.0, 2.0]), ("node", 3, {"name": "C", "highway": "x"}, [1.0, 2.0]), ("way", 4, {"name": "D", "highway": "x", "area": "yes"}, [1.0, 2.0]), ("way", 5, {"highway": "x"}, [1.0, 2.0])], "type string, id long, tags map<string,string>, geometry array<double>")
     assert rows(D.usable_ways(w), "id") == [(1,)]
     q = spark.createDataFrame([('{"volume": "v", "odd": 1}',), ("not json",)], "value string")
-    assert rows(D.read_queue(q), "volume", "track", "status", "quarantined") == [("v", "place", "queued", False), (None, "place", "queued", True)] or len(rows(D.read_queue(q))) == 2
+    assert rows(D.read_queue(q), "volume", "track", "status", "quarantined") == [("v", "place", "queued", False), (None, "place", "queued", True)]
     m = spark.createDataFrame([(0, "a", "1"), (1, "b", "2")], "ord long, path string, sha256 string")
     n = spark.createDataFrame([("b", "9"), ("c", "3")], "path string, sha256 string")
     assert rows(D.updated_sums(m, n)) == [(0, "a", "1"), (1, "b", "9"), (None, "c", "3")]

@@ -13,8 +13,8 @@ from .let import let
 
 #: Fixed value: the sphere of Web Mercator.
 RADIUS = 6378137.0
-#: Tolerances of placements.
-ASPECT_MAX, GATE_M, ROTATION_TOL, SCALE_TOL = 2.0, 15.0, 10.0, 0.15
+#: The largest ratio of a model's scales, and the gate of a score.
+ASPECT_MAX, GATE_M = 2.0, 15.0
 _FIELDS = ("a0", "a1", "a2", "b0", "b1", "b2")
 
 

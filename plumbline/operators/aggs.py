@@ -62,7 +62,7 @@ def consensus(readings: DataFrame, keys: list[str], model: str, lo: str, hi: str
     return agree.filter(F.col("agree") >= least)
 
 
-def tri_state_vote(votable: Column, inside: Column, worst: Column, least: int = 3, band: float = 3.0, tolerance: float = 200.0) -> Column:
+def tri_state_vote(votable: Column, inside: Column, worst: Column, least: int = 3, band: float = 2.0, tolerance: float = 75.0) -> Column:
     """True, false or null (abstains): false where enough numerals vote and none lies in its block; true for a majority
     of enough that do, unless one is far off."""
     no = (votable >= least) & (inside == 0)
@@ -70,13 +70,18 @@ def tri_state_vote(votable: Column, inside: Column, worst: Column, least: int =
     return F.when(no, False).when(yes, True)
 
 
-def abstention_class(models: Column, hints: Column, era_failures: Column, unmatched: Column, votable: Column, inside: Column, least: int = 3) -> Column:
-    """Why a vote abstains: the first reason that holds, in the order in which the vote would have needed them."""
-    return (
-        F.when(models < 2, "too-few-models").when(hints == 0, "no-street-hints").when((votable == 0) & (era_failures > 0), "era")
-        .when((votable == 0) & (unmatched > 0), "unmatched-segments").when(votable < least, "too-few-numerals")
-        .when(2 * inside <= votable, "no-majority").otherwise("mixed")
-    )
+# Why a vote abstains, in the order in which it would have needed each.
+ABSTENTIONS = (
+    "fewer_than_2_successful_distinct_model_readings", "no_cross_model_consensus_numeral", "consensus_numerals_without_street_hint",
+    "no_usable_era_conversion", "no_matching_addressable_centerline_segment", "fewer_than_3_votable_numerals",
+    "mixed_contradictory_evidence", "enough_votable_insufficient_in_block_support",
+)
+
+
+def abstention_class(models: Column, numerals: Column, hints: Column, era_failures: Column, unmatched: Column, votable: Column, mixed: Column, least: int = 3) -> Column:
+    """The first reason that holds."""
+    tests = [models < 2, numerals == 0, hints == 0, era_failures > 0, unmatched > 0, votable < least, F.coalesce(mixed, F.lit(False))]
+    return F.coalesce(*[F.when(t, F.lit(name)) for t, name in zip(tests, ABSTENTIONS, strict=False)], F.lit(ABSTENTIONS[-1]))
 
 
 def decide(votes: Column, least: int = 2) -> Column:

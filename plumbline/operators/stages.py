@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from . import aggs as A
 
 # Statuses of a record.
-STRICT, RESCUED, CORROBORATED = "OK", "OK (rescued)", "OK (corroborated)"
-VERIFIED_PREFIX, REVIEWER, REVIEWER_OLD = "OK (verified: ", "OK (reviewer verified)", "OK (reviewed)"
-REVOKED_PREFIX, REJECTED = "REVOKED", "REJECTED"
-#: The bucket of what has no place, and the gate of a score.
-UNLOCATED, GATE_M = "(unknown)", 15.0
-STATES = ("served", "processed", "ready", "no-scans")
+STRICT, RESCUED, CORROBORATED = "OK", "OK (rescued)", "OK (rescued, neighbor-corroborated)"
+VERIFIED_PREFIX, REVIEWER, REVIEWER_OLD = "OK (verified: ", "OK (reviewer-verified)", "OK (owner-verified)"
+REJECTED, REVOKED = "REJECTED (no valid RANSAC model)", "REJECTED (rescue revoked: anchors share one street)"
+REVOKED_PREFIX = "REJECTED (rescue revoked"
+# The bucket of what has no place, the gate of a score, the states of a volume, tolerances about constants.
+UNLOCATED, GATE_M = "(footprint unknown)", 15.0
+STATES = ("served", "processed-unserved", "ready", "no-scans")
+SCALE_TOL, ROTATION_TOL = 0.10, 1.5
 
 
 def is_committed(status: Column) -> Column:
@@ -94,7 +96,7 @@ def seam_shift(dx: Column, dy: Column, applied_dx: Column, applied_dy: Column, l
     return F.struct(F.when(go, rest_x).otherwise(0.0).alias("dx"), F.when(go, rest_y).otherwise(0.0).alias("dy"))
 
 
-def windows(scale: Column, rotation: Column, multiple: Column | None = None, scale_tol: float = 0.15, rot_tol: float = 10.0) -> Column:
+def windows(scale: Column, rotation: Column, multiple: Column | None = None, scale_tol: float = SCALE_TOL, rot_tol: float = ROTATION_TOL) -> Column:
     """struct(scale_lo, scale_hi, rot_lo, rot_hi) about a volume's constants, or about a page's declared multiple of them."""
     s = scale if multiple is None else scale * F.coalesce(multiple, F.lit(1.0))
     return F.struct((s * (1 - scale_tol)).alias("scale_lo"), (s * (1 + scale_tol)).alias("scale_hi"), (rotation - rot_tol).alias("rot_lo"), (rotation + rot_tol).alias("rot_hi"))

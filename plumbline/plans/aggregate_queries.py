@@ -25,9 +25,9 @@ def interpolated_percentile(spark, sf_dir):
     )
 
 
-_STATUS = """CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'OK (corroborated)' WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN 'OK (rescued)'
-  WHEN o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM' THEN 'OK (verified: address+junction)' WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'OK (reviewer verified)'
-  WHEN o_orderstatus = 'F' THEN 'OK' WHEN o_orderstatus = 'O' THEN 'REVOKED (single street)' ELSE 'REJECTED' END"""
+_STATUS = """CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'OK (rescued, neighbor-corroborated)' WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN 'OK (rescued)'
+  WHEN o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM' THEN 'OK (verified: address+junction)' WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'OK (reviewer-verified)'
+  WHEN o_orderstatus = 'F' THEN 'OK' WHEN o_orderstatus = 'O' THEN 'REJECTED (rescue revoked: anchors share one street)' ELSE 'REJECTED (no valid RANSAC model)' END"""
 
 
 def records(spark, sf_dir):
@@ -40,10 +40,10 @@ def records(spark, sf_dir):
 
 @query(f"""
 WITH r AS (SELECT o_custkey % 40 AS volume, {_STATUS} AS status, o_totalprice / 50000 AS res, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice / 20000 END AS rmse, (o_orderkey % 21) / 10.0::DOUBLE AS rot FROM orders),
-x AS (SELECT *, status LIKE 'OK%' AND status <> 'OK (reviewer verified)' AS ok FROM r)
-SELECT volume, count(*) AS n_sheets, count(*) FILTER (status = 'OK') AS strict_accepted, count(*) FILTER (status = 'OK (rescued)') AS rescued, count(*) FILTER (status = 'OK (corroborated)') AS corroborated,
-  count(*) FILTER (status LIKE 'OK (verified%') AS verified, count(*) FILTER (status = 'OK (reviewer verified)') AS reviewer_verified, count(*) FILTER (status LIKE 'REVOKED%') AS revoked,
-  count(*) FILTER (status LIKE 'REVOKED%' OR status = 'REJECTED') AS flagged, round(median(res) FILTER (ok), 4) AS median_residual_m, round(quantile_disc(res, 0.9) FILTER (ok), 4) AS p90_residual_m,
+x AS (SELECT *, status LIKE 'OK%' AND status <> 'OK (reviewer-verified)' AS ok FROM r)
+SELECT volume, count(*) AS n_sheets, count(*) FILTER (status = 'OK') AS strict_accepted, count(*) FILTER (status = 'OK (rescued)') AS rescued, count(*) FILTER (status = 'OK (rescued, neighbor-corroborated)') AS corroborated,
+  count(*) FILTER (status LIKE 'OK (verified%') AS verified, count(*) FILTER (status = 'OK (reviewer-verified)') AS reviewer_verified, count(*) FILTER (status LIKE 'REJECTED (rescue revoked%') AS revoked,
+  count(*) FILTER (status LIKE 'REJECTED%') AS flagged, round(median(res) FILTER (ok), 4) AS median_residual_m, round(quantile_disc(res, 0.9) FILTER (ok), 4) AS p90_residual_m,
   round(median(rmse) FILTER (ok), 4) AS median_rmse_m, count(rmse) FILTER (ok) AS scored, count(*) FILTER (ok AND rmse IS NULL) AS unscored, count(*) FILTER (ok AND rmse > 15) AS over_gate,
   min(rot) FILTER (ok) AS rotation_min, max(rot) FILTER (ok) AS rotation_max FROM x GROUP BY 1""")
 def report_funnel(spark, sf_dir):
@@ -51,10 +51,10 @@ def report_funnel(spark, sf_dir):
 
 
 @query("""
-WITH c AS (SELECT c_custkey, c_acctbal, CASE WHEN c_acctbal > 8000 THEN 'served' WHEN c_acctbal > 4000 THEN 'processed' WHEN c_acctbal > 0 THEN 'ready' ELSE 'no-scans' END AS state,
-  CASE WHEN c_custkey % 11 = 0 THEN ['(unknown)'] WHEN c_custkey % 2 = 0 THEN [c_mktsegment] ELSE [c_mktsegment, 'NATION_' || c_nationkey] END AS areas, c_custkey % 7 AS sheets FROM customer),
+WITH c AS (SELECT c_custkey, c_acctbal, CASE WHEN c_acctbal > 8000 THEN 'served' WHEN c_acctbal > 4000 THEN 'processed-unserved' WHEN c_acctbal > 0 THEN 'ready' ELSE 'no-scans' END AS state,
+  CASE WHEN c_custkey % 11 = 0 THEN ['(footprint unknown)'] WHEN c_custkey % 2 = 0 THEN [c_mktsegment] ELSE [c_mktsegment, 'NATION_' || c_nationkey] END AS areas, c_custkey % 7 AS sheets FROM customer),
 u AS (SELECT unnest(areas) AS area, state, sheets FROM c)
-SELECT area, area = '(unknown)' AS last, count(*) AS volumes, count(*) FILTER (state = 'served') AS served, count(*) FILTER (state = 'processed') AS processed, count(*) FILTER (state = 'ready') AS ready,
+SELECT area, area = '(footprint unknown)' AS last, count(*) AS volumes, count(*) FILTER (state = 'served') AS served, count(*) FILTER (state = 'processed-unserved') AS processed_unserved, count(*) FILTER (state = 'ready') AS ready,
   count(*) FILTER (state = 'no-scans') AS no_scans, sum(sheets)::BIGINT AS sheets FROM u GROUP BY 1""")
 def rollup_multi_key(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
@@ -64,7 +64,7 @@ def rollup_multi_key(spark, sf_dir):
     return S.rollup(rows, "areas", "area")
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_totalprice > 400000 THEN 'served' WHEN o_orderstatus = 'F' THEN 'processed' WHEN o_orderpriority < '3' THEN 'ready' ELSE 'no-scans' END AS state FROM orders""")
+@query("""SELECT o_orderkey, CASE WHEN o_totalprice > 400000 THEN 'served' WHEN o_orderstatus = 'F' THEN 'processed-unserved' WHEN o_orderpriority < '3' THEN 'ready' ELSE 'no-scans' END AS state FROM orders""")
 def coverage_state(spark, sf_dir):
     s = S.coverage_state(F.col("o_totalprice") > 400000, F.col("o_orderstatus") == "F", F.col("o_orderpriority") < "3")
     return table(spark, sf_dir, "orders").select("o_orderkey", s.alias("state"))
@@ -127,11 +127,11 @@ def tri_state_vote(spark, sf_dir):
     return t.select("page", A.tri_state_vote(F.col("votable"), F.col("inside"), F.col("worst"), 3, 2.0, 100.0).alias("vote"))
 
 
-@query(f"""WITH t AS ({_TALLY}) SELECT page, CASE WHEN models < 2 THEN 'too-few-models' WHEN hints = 0 THEN 'no-street-hints' WHEN votable = 0 AND era_failures > 0 THEN 'era' WHEN votable = 0 AND unmatched > 0 THEN 'unmatched-segments'
-  WHEN votable < 30 THEN 'too-few-numerals' WHEN 2 * inside <= votable THEN 'no-majority' ELSE 'mixed' END AS reason FROM t""")
+@query(f"""WITH t AS ({_TALLY}) SELECT page, CASE WHEN models < 2 THEN 'fewer_than_2_successful_distinct_model_readings' WHEN hints = 0 THEN 'no_cross_model_consensus_numeral' WHEN era_failures > 1 THEN 'no_usable_era_conversion'
+  WHEN unmatched > 4 THEN 'no_matching_addressable_centerline_segment' WHEN votable < 8 THEN 'fewer_than_3_votable_numerals' WHEN worst > 150 THEN 'mixed_contradictory_evidence' ELSE 'enough_votable_insufficient_in_block_support' END AS reason FROM t""")
 def abstention_class(spark, sf_dir):
-    c = [F.col(x) for x in ("models", "hints", "era_failures", "unmatched", "votable", "inside")]
-    return tallies(spark, sf_dir).select("page", A.abstention_class(*c, least=30).alias("reason"))
+    c = [F.col("models"), F.col("hints"), F.col("hints"), F.col("era_failures") - 1, F.col("unmatched") - 4, F.col("votable"), F.col("worst") > 150]
+    return tallies(spark, sf_dir).select("page", A.abstention_class(*c, least=8).alias("reason"))
 
 
 @query("""

@@ -31,13 +31,13 @@ def json_from_prose(spark, sf_dir):
 
 
 @query("""
-WITH p AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'OK' WHEN o_orderkey % 3 = 1 THEN 'REJECTED' END AS status FROM orders WHERE o_orderkey % 2 = 0),
-n AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'OK (rescued)' ELSE 'REJECTED' END AS status FROM orders WHERE o_orderkey % 5 <> 0)
+WITH p AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'OK' WHEN o_orderkey % 3 = 1 THEN 'REJECTED (no valid RANSAC model)' END AS status FROM orders WHERE o_orderkey % 2 = 0),
+n AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'OK (rescued)' ELSE 'REJECTED (no valid RANSAC model)' END AS status FROM orders WHERE o_orderkey % 5 <> 0)
 SELECT o_orderkey, CASE WHEN n.status IS NULL OR (p.status LIKE 'OK%' AND n.status NOT LIKE 'OK%') THEN p.status ELSE n.status END AS status,
   NOT (n.status IS NULL OR (coalesce(p.status LIKE 'OK%', false) AND n.status NOT LIKE 'OK%')) AS took FROM p FULL JOIN n USING (o_orderkey)""")
 def status_transition(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    p = o.filter("o_orderkey % 2 = 0").select("o_orderkey", F.expr("CASE WHEN o_orderkey % 3 = 0 THEN 'OK' WHEN o_orderkey % 3 = 1 THEN 'REJECTED' END").alias("status"))
+    p = o.filter("o_orderkey % 2 = 0").select("o_orderkey", F.expr("CASE WHEN o_orderkey % 3 = 0 THEN 'OK' WHEN o_orderkey % 3 = 1 THEN 'REJECTED (no valid RANSAC model)' END").alias("status"))
     n = o.filter("o_orderkey % 5 <> 0").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", S.RESCUED).otherwise(S.REJECTED).alias("status"))
     return S.transition(p, n, "o_orderkey")
 
@@ -71,7 +71,7 @@ def seam_shift(spark, sf_dir):
 
 
 @query("""
-SELECT l_suppkey, round(-quantile_disc(-l_extendedprice, 0.5) * 0.85, 4) AS scale_lo, round(-quantile_disc(-l_extendedprice, 0.5) * 1.15, 4) AS scale_hi, round(-quantile_disc(-l_quantity, 0.5) - 10, 4) AS rot_lo FROM lineitem WHERE l_partkey % 10 <> 0 GROUP BY 1""")
+SELECT l_suppkey, round(-quantile_disc(-l_extendedprice, 0.5) * 0.9, 4) AS scale_lo, round(-quantile_disc(-l_extendedprice, 0.5) * 1.1, 4) AS scale_hi, round(-quantile_disc(-l_quantity, 0.5) - 1.5, 4) AS rot_lo FROM lineitem WHERE l_partkey % 10 <> 0 GROUP BY 1""")
 def derive_constraints(spark, sf_dir):
     """Windows about a volume's upper medians; pages off scale don't vote."""
     from ..operators.aggs import upper_median_of
@@ -119,9 +119,9 @@ def load_scores(spark, sf_dir):
 
 @query("""
 SELECT status, count(*) AS n, count(*) FILTER (status LIKE 'OK%') AS committed, any_value(CASE WHEN status LIKE 'OK (verified%' THEN 'OK (verified: address+junction)' END) AS spelt FROM (
-  SELECT CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'OK (corroborated)' WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN 'OK (rescued)'
-  WHEN o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM' THEN 'OK (verified: address+junction)' WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'OK (reviewer verified)'
-  WHEN o_orderstatus = 'F' THEN 'OK' WHEN o_orderstatus = 'O' THEN 'REVOKED (single street)' ELSE 'REJECTED' END AS status FROM orders) GROUP BY 1""")
+  SELECT CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'OK (rescued, neighbor-corroborated)' WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN 'OK (rescued)'
+  WHEN o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM' THEN 'OK (verified: address+junction)' WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'OK (reviewer-verified)'
+  WHEN o_orderstatus = 'F' THEN 'OK' WHEN o_orderstatus = 'O' THEN 'REJECTED (rescue revoked: anchors share one street)' ELSE 'REJECTED (no valid RANSAC model)' END AS status FROM orders) GROUP BY 1""")
 def status_predicates(spark, sf_dir):
     spelt = S.status_verified(F.array(F.lit("address"), F.lit("junction")))
     r = records(spark, sf_dir)

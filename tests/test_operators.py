@@ -113,7 +113,7 @@ def test_a_rejection_never_replaces_a_commit(spark):
 
 
 def test_report_of_nothing_accepted(spark):
-    r = spark.createDataFrame([(1, "REVOKED (x)", 1.0, 2.0, 0.0), (1, None, 1.0, 2.0, 0.0), (1, T.REVIEWER, 1.0, 99.0, 0.0)], "volume int, status string, residual_m double, rmse_m double, rotation_deg double")
+    r = spark.createDataFrame([(1, T.REVOKED, 1.0, 2.0, 0.0), (1, None, 1.0, 2.0, 0.0), (1, T.REVIEWER, 1.0, 99.0, 0.0)], "volume int, status string, residual_m double, rmse_m double, rotation_deg double")
     x = T.build_report(r).first()
     assert (x.n_sheets, x.revoked, x.flagged, x.reviewer_verified, x.scored, x.median_rmse_m) == (3, 1, 2, 1, 0, None)
 

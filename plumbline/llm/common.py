@@ -63,7 +63,9 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """df written as a table in the shared folder and read back: its lineage ends there and survives lost executors."""
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
 
 
 def tidied(spark: SparkSession) -> None:
@@ -72,11 +74,13 @@ def tidied(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def dropped(spark: SparkSession, path: str) -> None:
-    """Delete a path of the shared folder through Hadoop's file system."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+def forget(*tables: DataFrame | None) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for df in tables:
+        if df is not None and (path := getattr(df, "stored_at", None)):
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

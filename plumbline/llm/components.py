@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import forget, stored
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -31,9 +31,12 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("k")).withColumnRenamed("u", "n")
         small = large.join(least.filter("k > 1"), large.u == F.col("n")).filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = stored(spark, least.select(F.col("n").alias("u"), F.col("m").alias("v")).union(small).distinct(), "edges")
+        last, e = e, stored(spark, least.select(F.col("n").alias("u"), F.col("m").alias("v")).union(small).distinct(), "edges")
+        forget(last)
         now = _mark(e)
         if now == seen:
             break
         seen = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out.stored_at = e.stored_at
+    return out

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffer_of, lean, mixed, ready, shingle_sets, slices, stored, tidied, without
+from .common import buffer_of, forget, lean, mixed, ready, shingle_sets, slices, stored, tidied, without
 from .components import components
 
 #: Frequent columns at most, and entries of one counting block.
@@ -46,6 +46,8 @@ DENSE_ENTRIES = 1 << 20
 FLUSH_ENTRIES = 1 << 21
 #: Times that rows which meet others too rarely leave the product, as fewer rows mean fewer meetings.
 PRUNINGS = 2
+#: Partitions that the rows of one component are dealt to.
+SALTS = 8
 #: Bits of the filter that tells which rows need their sets.
 FILTER_BITS = 1 << 24
 
@@ -553,13 +555,14 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     tidied(spark)
     for _ in range(PRUNINGS):
         members = stored(spark, _members(met), "members")
-        members = members.join(_candidates(members), "row").select("block", "row")
-        met = stored(spark, _pruned(met, members), "met")
+        last, met = met, stored(spark, _pruned(met, members.join(_candidates(members), "row").select("block", "row")), "met")
+        forget(last, members)
     members = stored(spark, _members(met), "members")
     some = stored(spark, _candidates(members), "candidates")
     left = members.agg(F.sum("hits")).first()[0] or 0
     blocks = min(blocks, max(1, -(-left // DENSE_ENTRIES)))
-    met = stored(spark, _redealt(met, blocks), "met")
+    last, met = met, stored(spark, _redealt(met, blocks), "met")
+    forget(last, members)
     members = stored(spark, _members(met).join(some, "row").select("block", "row"), "members")
     sets = stored(spark, _sets(df, text, k, sc.broadcast(_needed(some))).dropDuplicates(["row"]), "sets")
     tidied(spark)
@@ -568,14 +571,19 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     for seed in [*range(hub_rounds), None]:
         labels = _labels(members, roots)
         found = _links(_all_candidates(met, labels, blocks) if seed is None else _hub_candidates(met, labels, seed, blocks), sets)
-        links = stored(spark, found if links is None else links.union(found), "links")
+        last, links = links, stored(spark, found if links is None else links.union(found), "links")
+        forget(last, roots)
         tidied(spark)
         roots = components(spark, links)
+    forget(met, members, some, sets, links)
 
     small = docs.filter("row is not null").groupBy("row").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"))
     whole = small.join(roots, F.col("row") == F.col("node"), "left").withColumn("root", F.coalesce("root", "row"))
     least = whole.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("copies").alias("of")).filter("of > 1")
-    least = whole.select("row", "root").join(least, "root").select(F.col("row").alias("grouped"), "component_id")
+    # a component may hold very many rows: its one value is copied to SALTS partitions
+    salted = whole.select("row", "root", F.pmod(F.xxhash64("row"), F.lit(SALTS)).alias("salt"))
+    least = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    least = salted.join(least, ["root", "salt"]).select(F.col("row").alias("grouped"), "component_id")
     out = docs.join(least, docs.row == F.col("grouped"), "left")
     return out.select(F.col("key").cast(df.schema[key].dataType).alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", F.col("key")).cast(df.schema[key].dataType).alias("component_id"))
 

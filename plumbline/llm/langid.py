@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import LOWER, buffer_of, lean, ready, slices
+from .common import LOWER, MOST_IDS, buffer_of, lean, ready, slices, stored
 
 #: Dimensions of the hashed vectors, documents of a language that its centroids come from, and centroids a language.
 DIMENSIONS, PER_LANGUAGE, CENTROIDS = 8192, 600, 4
@@ -132,12 +132,15 @@ def fit_centroids(spark: SparkSession, docs: DataFrame, learn: Column, key: str
     """Fit on the rows that `learn` admits and that have a text and a language."""
     ready(spark)
     rows = docs.filter(learn & F.col(text).isNotNull() & F.col(lang).isNotNull())
-    held, n = frequencies(rows, text)
+    rows = rows.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    held, n = frequencies(rows, "text")
     idf = np.log((1 + n) / (1 + held)).astype(np.float32) + 1
     shared = spark.sparkContext.broadcast(idf)
-    rank = F.row_number().over(Window.partitionBy(lang).orderBy(F.xxhash64(key), key))
-    ids = rows.select(key, lang).withColumn("k", rank).filter(F.col("k") <= PER_LANGUAGE).select(F.col(key).alias("id"), F.col(lang).alias("l"))
-    some = rows.join(ids, F.col(key).eqNullSafe(F.col("id")) & (F.col(lang) == F.col("l"))).select(F.col("l").alias("lang"), F.col(text).alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
+    ids = rows.select("id", "lang").withColumn("k", rank).filter(F.col("k") <= PER_LANGUAGE).select(F.col("id").alias("own"), F.col("lang").alias("l"))
+    ids = stored(spark, ids.distinct(), "language-sample")
+    short = ids.limit(MOST_IDS + 1).count() <= MOST_IDS
+    some = rows.join(F.broadcast(ids) if short else ids, F.col("id").eqNullSafe(F.col("own")) & (F.col("lang") == F.col("l"))).select("lang", "text")
 
     def cluster(t: pa.Table) -> pa.Table:
         own = t.column("lang")[0].as_py()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, table
+from .common import scratch, stored, table
 from .url_filter import Rule, url_verdicts
 from .warc import read_archives, resolved, write_archives
 
@@ -25,7 +25,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), folder)
-    out = resolved(read_archives(spark, folder))
+    out = resolved(stored(spark, read_archives(spark, folder), "headers"))
     return out.select(
         F.col("id").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to"
     )

@@ -42,6 +42,8 @@ FREQUENT, COUNT_BLOCK = 1 << 19, 1 << 21
 BLOCK_ENTRIES, LEAST_BLOCKS = 1 << 21, 64
 #: Entries of a block aimed at once only candidates are left.
 DENSE_ENTRIES = 1 << 20
+#: Pairs that a block's product holds at a time, about.
+PAIRS_AT_ONCE = 1 << 19
 #: Entries that a map task gathers before it deals them out.
 FLUSH_ENTRIES = 1 << 21
 #: Times that rows which meet others too rarely leave the product, as fewer rows mean fewer meetings.
@@ -302,55 +304,65 @@ def _hub_pairs(row, size, column, place, root, seed: int) -> list[np.ndarray]:
     return _counted(row[ok], row[hub[ok]], size[ok], size[hub[ok]], np.ones(int(ok.sum()), np.int64))
 
 
-def _offset_pairs(group: np.ndarray, test, value) -> list[np.ndarray]:
-    """Counted pairs (i, j) of equal group that pass test, which a pair must fail for all larger j where it says so."""
-    found = [np.zeros(0, np.int64)] * 5
-    waiting: list[list[np.ndarray]] = []
-    held, step, left = 0, 1, np.arange(len(group))
-    while len(left):
-        left = left[left + step < len(group)]
-        near, ok = test(left, left + step)
-        near &= group[left] == group[left + step]
-        i = left[near & ok]
-        waiting.append(value(i, i + step))
-        held += len(i)
-        left = left[near]
-        step += 1
-        if held > 1 << 21 or not len(left):
-            found = _counted(*(np.concatenate(c) for c in zip(found, *waiting, strict=True)))
-            waiting, held = [], 0
-    return found
+def _offset_pairs(group: np.ndarray, ident: np.ndarray, test, value, blocks: int) -> list[np.ndarray]:
+    """Counted pairs (i, j), i before j, of equal group that pass test and share enough of a block's columns.
+
+    test gives (near, ok); a pair that is not near isn't for any later j either. Of two idents the same one has to come
+    first in every group: pairs are taken in turns by the ident of i, so that few are held at a time.
+    """
+
+    def pairs(left: np.ndarray):
+        step = 1
+        while len(left):
+            left = left[left + step < len(group)]
+            near, ok = test(left, left + step)
+            near &= group[left] == group[left + step]
+            yield left[near & ok], step
+            left = left[near]
+            step += 1
+
+    total = sum(len(i) for i, _ in pairs(np.arange(len(group))))
+    turns = total // PAIRS_AT_ONCE + 1
+    turn = mixed(ident.view(np.uint64).copy()) % np.uint64(turns)
+    found = [[np.zeros(0, np.int64)] * 5]
+    for k in range(turns):
+        held = [value(i, i + step) for i, step in pairs(np.flatnonzero(turn == np.uint64(k)))]
+        if held:
+            found.append(_reaching(_counted(*(np.concatenate(c) for c in zip(*held, strict=True))), blocks))
+    return [np.concatenate(c) for c in zip(*found, strict=True)]
+
+
+def _band(size: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(np.maximum(size, 1)) * 24)
 
 
 def _part(root: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The part of its component that a row belongs to: rows of sizes within a twenty-fourth of each other or so."""
-    band = np.floor(np.log(np.maximum(size, 1)) * 24).astype(np.uint64)
-    return mixed(root.view(np.uint64) ^ mixed(band + np.uint64(1))).view(np.int64)
+    return mixed(root.view(np.uint64) ^ mixed(_band(size).astype(np.uint64) + np.uint64(1))).view(np.int64)
 
 
-def _part_pairs(size, column, place, root) -> list[np.ndarray]:
-    """Parts of two components that meet in columns where rows of theirs may link, with least sizes and the number of columns."""
+def _part_pairs(size, column, place, root, blocks: int) -> list[np.ndarray]:
+    """Parts of two components that meet in enough columns where rows of theirs may link, with their least sizes there."""
     part, most = _part(root, size), _largest_partner(size, place)
-    at = np.lexsort((part, column))
-    size, column, root, part, most = size[at], column[at], root[at], part[at], most[at]
+    low = np.floor(np.exp(_band(size) / 24) * (1 - 1e-9)).astype(np.int64)  # no row of the part is smaller
+    at = np.lexsort((part, low, column))
+    size, column, root, part, most, low = size[at], column[at], root[at], part[at], most[at], low[at]
     first = np.flatnonzero(np.r_[True, (column[1:] != column[:-1]) | (part[1:] != part[:-1])])
     least, most = np.minimum.reduceat(size, first), np.maximum.reduceat(most, first)
-    column, root, part = column[first], root[first], part[first]
-    at = np.lexsort((least, column))
-    least, most, column, root, part = least[at], most[at], column[at], root[at], part[at]
+    column, root, part, low = column[first], root[first], part[first], low[first]
 
     def test(i, j):
-        return least[j] <= most[i], (least[i] <= most[j]) & (root[i] != root[j])
+        return low[j] <= most[i], (least[j] <= most[i]) & (least[i] <= most[j]) & (root[i] != root[j])
 
     def value(i, j):
         swap = part[i] < part[j]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         return [part[i], part[j], least[i], least[j], np.ones(len(i), np.int64)]
 
-    return _offset_pairs(column, test, value)
+    return _offset_pairs(column, part, test, value, blocks)
 
 
-def _row_pairs(row, size, column, place, root, allowed: np.ndarray) -> list[np.ndarray]:
+def _row_pairs(row, size, column, place, root, allowed: np.ndarray, blocks: int) -> list[np.ndarray]:
     """Pairs of rows of parts that are allowed to pair, where no bound discards them. allowed: (larger, smaller) parts."""
     parts, own = np.unique(allowed), _part(root, size)
     if not len(parts):
@@ -371,7 +383,7 @@ def _row_pairs(row, size, column, place, root, allowed: np.ndarray) -> list[np.n
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         return [row[i], row[j], size[i], size[j], np.ones(len(i), np.int64)]
 
-    return _offset_pairs(column, test, value)
+    return _offset_pairs(column, row, test, value, blocks)
 
 
 def _reaching(found: list[np.ndarray], blocks: int) -> list[np.ndarray]:
@@ -382,8 +394,8 @@ def _reaching(found: list[np.ndarray], blocks: int) -> list[np.ndarray]:
 
 def _near_pairs(row, size, column, place, root, blocks: int) -> list[np.ndarray]:
     """Pairs of rows of different components that can be linked."""
-    parts = _reaching(_part_pairs(size, column, place, root), blocks)
-    return _reaching(_row_pairs(row, size, column, place, root, np.stack(parts[:2], 1)), blocks)
+    parts = _part_pairs(size, column, place, root, blocks)
+    return _row_pairs(row, size, column, place, root, np.stack(parts[:2], 1), blocks)
 
 
 def _product(met: DataFrame, labels: DataFrame, work) -> DataFrame:

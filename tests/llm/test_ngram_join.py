@@ -124,3 +124,22 @@ def test_bounds_lose_no_link():
         bound = int(J.pair_bound(np.int64(len(x)), np.int64(len(y))))
         passing = [c for c in set(px) & set(py) if J._reaches(np.int64(len(x)), np.int64(px.index(c)), np.int64(len(y)), np.int64(py.index(c)))]
         assert len(passing) >= bound
+
+
+def test_pairs_taken_in_turns(spark, monkeypatch):
+    """Few pairs at a time give what all at once give."""
+    r = np.random.default_rng(3)
+    rows = r.permutation(300).astype(np.int64) * 7919
+    size = r.integers(30, 60, 300)
+    own = np.repeat(np.arange(300), 12)
+    column, place = r.integers(0, 40, len(own)).astype(np.uint32), r.integers(0, 9, len(own))
+    key = np.unique(np.stack([own, column]), axis=1)
+    own, column, place = key[0], key[1].astype(np.uint32), place[: key.shape[1]]
+    at = np.lexsort((rows[own], size[own], column))
+    entries = (rows[own][at], size[own][at], column[at], place[at], rows[own][at] % 50)
+    want = None
+    for most in (1 << 19, 50, 1000):
+        monkeypatch.setattr(J, "PAIRS_AT_ONCE", most)
+        got = sorted(zip(*[f.tolist() for f in J._near_pairs(*entries, 1)], strict=True))
+        want = want or got
+        assert got == want and got

@@ -124,8 +124,10 @@ def top_unmatched(spark, sf_dir):
 
 
 def candidates(spark, sf_dir):
-    """Line items as label crossings: most of an order's follow one model, the rest lie anywhere."""
-    li = table(spark, sf_dir, "lineitem").filter("l_orderkey < 4000").groupBy((F.col("l_orderkey") % 60).alias("sheet"), "l_orderkey", "l_linenumber").agg(F.min("l_quantity").alias("q"), F.min("l_partkey").alias("p"))
+    """Line items as label crossings: most of an order's follow one model, the rest lie anywhere. Each 4000 orders have
+    sheets of their own, so that a sheet stays as large in any table."""
+    sheet = F.floor(F.col("l_orderkey") / 4000) * 60 + F.col("l_orderkey") % 60
+    li = table(spark, sf_dir, "lineitem").groupBy(sheet.alias("sheet"), "l_orderkey", "l_linenumber").agg(F.min("l_quantity").alias("q"), F.min("l_partkey").alias("p"))
     px, py = F.col("q") * 100 + F.col("l_linenumber"), (F.col("p") % 70) * 100.0
     off = F.when(F.col("p") % 3 == 0, (F.col("p") % 997) * 1.0).otherwise((F.col("p") % 5) * 1.0)
     return li.select("sheet", F.col("l_orderkey").alias("i"), F.col("l_linenumber").alias("j"), px.alias("px"), py.alias("py"), (0.067 * px + 1000 + off).alias("x"), (2000 - 0.067 * py - off).alias("y"))
@@ -172,6 +174,7 @@ def split_overlaps(spark, sf_dir):
 
 @query()
 def verify_offsets(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").filter("l_orderkey < 600").select((F.col("l_suppkey") % 10).alias("volume"), F.floor(F.col("l_extendedprice") / 1000).cast("double").alias("x"), F.col("l_quantity").alias("y"))
+    volume = F.floor(F.col("l_orderkey") / 600) * 10 + F.col("l_suppkey") % 10  # volumes stay as large in any table
+    li = table(spark, sf_dir, "lineitem").select(volume.alias("volume"), F.floor(F.col("l_extendedprice") / 1000).cast("double").alias("x"), F.col("l_quantity").alias("y"))
     moved = li.select("volume", (F.col("x") + 3).alias("x"), (F.col("y") - 5).alias("y"))
     return K.verify_offsets(li, moved, "volume").select("volume", "dx", "dy", "score", F.round("separation", 6).alias("separation"), "supports")

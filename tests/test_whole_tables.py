@@ -40,3 +40,19 @@ def test_offsets_are_of_all_orders(spark):
         moved = {(x + 3, y - 5) for x, y in cells[v]}
         scores = {(a, b): sum((x + a, y + b) in moved for x, y in cells[v]) for a in range(-20, 21) for b in range(-20, 21)}
         assert (got[v].dx, got[v].dy) == (3, -5) and got[v].score == scores[3, -5] == max(scores.values())
+
+
+def test_reachable_cells_are_of_all_orders(spark):
+    rows = table(spark, LARGER, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey").collect()
+    edges: dict[int, list] = {}
+    for r in rows:
+        edges.setdefault(r.l_orderkey // 1500 * 10 + r.l_suppkey % 10, []).append((r.l_orderkey % 200, r.l_partkey % 200, r.l_linenumber == 7))
+    want = set()
+    for v, some in edges.items():
+        seen, n = {a for a, _, start in some if start}, -1
+        while n != len(seen):
+            n = len(seen)
+            seen |= {y for a, b, _ in some for x, y in ((a, b), (b, a)) if x in seen}
+        want |= {(v, c) for c in seen}
+    got = [tuple(r) for r in catalog.QUERIES["reachable_cells"](spark, LARGER).collect()]
+    assert len(got) == len(want) and set(got) == want

@@ -91,13 +91,15 @@ _READ = "SELECT DISTINCT user_id % 20 AS sheet, event_type AS model, (event_id %
 
 @query(f"""WITH r AS ({_READ}) SELECT a.sheet, a.model, a.value, a.lo, a.hi, count(DISTINCT b.model) AS agree FROM r a JOIN r b USING (sheet, value) WHERE a.lo < b.hi AND b.lo < a.hi GROUP BY ALL HAVING count(DISTINCT b.model) >= 2""")
 def consensus_k_of_n(spark, sf_dir):
-    return A.consensus(readings(spark, sf_dir), ["sheet", "value"], "model", "lo", "hi", 2)
+    e = table(spark, sf_dir, "events").filter("event_id < 3000")
+    return A.consensus(readings(e), ["sheet", "value"], "model", "lo", "hi", 2)
 
 
-def readings(spark, sf_dir):
-    e = table(spark, sf_dir, "events").filter("event_id < 3000")
+def readings(e):
+    """Events as readings. Each 3000 events have sheets of their own, so that a sheet stays as large in any table."""
     lo = F.floor("value").cast("int")
-    return e.select((F.col("user_id") % 20).alias("sheet"), F.col("event_type").alias("model"), (F.col("event_id") % 30).cast("int").alias("value"), lo.alias("lo"), (lo + 6).alias("hi")).distinct()
+    sheet = F.floor(F.col("event_id") / 3000) * 20 + F.col("user_id") % 20
+    return e.select(sheet.alias("sheet"), F.col("event_type").alias("model"), (F.col("event_id") % 30).cast("int").alias("value"), lo.alias("lo"), (lo + 6).alias("hi")).distinct()
 
 
 @query()
@@ -105,7 +107,7 @@ def first_readings(spark, sf_dir):
     """The consensus with its greedy step: a reading that repeats an accepted one is passed over, in model order."""
     from ..operators.kernels import first_agreed
 
-    return first_agreed(readings(spark, sf_dir), ["sheet"], least=2)
+    return first_agreed(readings(table(spark, sf_dir, "events")), ["sheet"], least=2)
 
 
 _TALLY = """SELECT user_id AS page, count(*) AS hints, count(*) FILTER (value > 10) AS votable, count(*) FILTER (value > 10 AND value < 60) AS inside, max(value) AS worst,

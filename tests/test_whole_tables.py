@@ -56,3 +56,23 @@ def test_reachable_cells_are_of_all_orders(spark):
         want |= {(v, c) for c in seen}
     got = [tuple(r) for r in catalog.QUERIES["reachable_cells"](spark, LARGER).collect()]
     assert len(got) == len(want) and set(got) == want
+
+
+def test_first_readings_are_of_all_events(spark):
+    events = table(spark, LARGER, "events").select("event_id", "user_id", "event_type", "value").collect()
+    assert max(e.event_id for e in events) >= 3000
+    sheets: dict[int, set] = {}
+    for e in events:
+        lo = int(e.value // 1)
+        sheets.setdefault(e.event_id // 3000 * 20 + e.user_id % 20, set()).add((e.event_type, e.event_id % 30, lo, lo + 6))
+    want = set()
+    for sheet, rows in sheets.items():
+        taken: list[tuple] = []
+        for m, v, lo, hi in sorted(rows):
+            if any(x == v and a < hi and lo < b for _, x, a, b in taken):
+                continue
+            if len({o for o, x, a, b in rows if x == v and a < hi and lo < b}) >= 2:
+                taken.append((m, v, lo, hi))
+        want |= {(sheet, *r) for r in taken}
+    got = [tuple(r) for r in catalog.QUERIES["first_readings"](spark, LARGER).collect()]
+    assert len(got) == len(want) and set(got) == want

@@ -135,7 +135,7 @@ def candidates(spark, sf_dir):
 
 @query()
 def ransac_groups(spark, sf_dir):
-    out = K.ransac_groups(candidates(spark, sf_dir), ["sheet"], ["i", "j"], 25.0, draws=200)
+    out = K.ransac_groups(candidates(spark, sf_dir), ["sheet"], ["i", "j"], 25.0)
     return out.select("sheet", "n", "inliers", *[F.round(c, 6).alias(c) for c in ("a0", "a1", "a2", "b0", "b1", "b2")])
 
 

@@ -76,3 +76,36 @@ def test_first_readings_are_of_all_events(spark):
         want |= {(sheet, *r) for r in taken}
     got = [tuple(r) for r in catalog.QUERIES["first_readings"](spark, LARGER).collect()]
     assert len(got) == len(want) and set(got) == want
+
+
+def test_fits_take_the_fixed_number_of_draws(spark):
+    import numpy as np
+
+    from plumbline.operators import kernels as K
+    from plumbline.plans.sequence_queries import candidates
+
+    fits = {r.sheet: r for r in catalog.QUERIES["ransac_groups"](spark, LARGER).collect()}
+    some = sorted(fits)[::10]
+    rows = candidates(spark, LARGER).filter(f"sheet in ({', '.join(map(str, some))})").orderBy("i", "j").collect()
+    fewer = 0
+    for sheet in some:
+        p = np.array([(r.px, r.py, r.x, r.y) for r in rows if r.sheet == sheet], float)
+        found, short = K.consensus_fit(p, 25.0, 4, 5000), K.consensus_fit(p, 25.0, 4, 200)
+        fewer += len(short[1]) < len(found[1])
+        assert fits[sheet].inliers == len(found[1])
+        assert [fits[sheet][c] for c in ("a0", "a1", "a2", "b0", "b1", "b2")] == [round(float(v), 6) for v in found[0].ravel()]
+    assert fewer  # 200 draws are told apart
+
+
+def test_diagnosis_takes_the_fixed_number_of_draws(spark):
+    import numpy as np
+
+    from plumbline.operators import kernels as K
+
+    r = np.random.default_rng(4)
+    px, py = (v.ravel() * 1000.0 for v in np.meshgrid(np.arange(3), np.arange(3)))
+    grid = np.c_[px, py, 100 + 0.067 * px, 200 - 0.067 * py]
+    p = np.r_[grid, r.random((90, 4)) * [3000, 3000, 9e6, 9e6]]
+    assert K.consensus_fit(p, 25.0, 6, 200) is None and K.consensus_fit(p, 25.0, 6, 5000) is not None
+    df = spark.createDataFrame([(1, i, *map(float, q)) for i, q in enumerate(p)], "sheet int, i int, px double, py double, x double, y double")
+    assert K.fit_diagnosis(df, ["sheet"], ["i"], 25.0, 6, (0.02, 0.5)).first().reason is None

@@ -109,3 +109,16 @@ def test_diagnosis_takes_the_fixed_number_of_draws(spark):
     assert K.consensus_fit(p, 25.0, 6, 200) is None and K.consensus_fit(p, 25.0, 6, 5000) is not None
     df = spark.createDataFrame([(1, i, *map(float, q)) for i, q in enumerate(p)], "sheet int, i int, px double, py double, x double, y double")
     assert K.fit_diagnosis(df, ["sheet"], ["i"], 25.0, 6, (0.02, 0.5)).first().reason is None
+
+
+def test_bootstrap_takes_ten_thousand_draws(spark):
+    import random
+
+    from plumbline.operators import kernels as K
+
+    n, k = [11 + c * c % 17 for c in range(30)], [c * 7 % 11 for c in range(30)]
+    pages = [(1, c, i < k[c]) for c in range(30) for i in range(n[c])]
+    rng = random.Random(7)
+    shares = sorted(sum(k[i] for i in at) / sum(n[i] for i in at) for at in (rng.choices(range(30), k=30) for _ in range(10_000)))
+    got = K.bootstrap(spark.createDataFrame(pages, "stratum int, cluster int, hit boolean"), "stratum", "cluster", "hit").first()
+    assert (got.low, got.high) == (shares[250], shares[9750])

@@ -104,11 +104,17 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
 MOST_IDS = 1_000_000
 
 
-def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of docs whose key is not among ids; rows without a key stay. Short lists are broadcast, others shuffled."""
-    ids = ids.select(key).filter(f"`{key}` is not null").distinct()
-    short = ids.limit(MOST_IDS + 1).count() <= MOST_IDS
-    return docs.join(F.broadcast(ids) if short else ids, key, "left_anti").select(*docs.columns)
+def without(docs: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of docs whose keys are not among gone's; rows with a null key stay. Short lists are broadcast, others shuffled."""
+    gone = gone.select(*keys).dropna().distinct()
+    short = gone.limit(MOST_IDS + 1).count() <= MOST_IDS
+    return docs.join(F.broadcast(gone) if short else gone, keys, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def fresh_names(df: DataFrame, n: int) -> list[str]:
+    """n column names that df does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    return [c for i in range(n + len(taken)) if (c := f"mark_{i}") not in taken][:n]
 
 
 def fold(column: str, mod: int) -> F.Column:

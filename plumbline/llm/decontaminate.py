@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buffer_of, lean, ready, shingle_hashes, slices, stored, without, word_hashes, words
+from .common import buffer_of, fresh_names, lean, ready, shingle_hashes, slices, stored, without, word_hashes, words
 
 #: Words of an index part at most, items of a block, and words of slack in a window's half.
 INDEX_WORDS, BLOCK, SLACK = 2_000_000, 64, 8
@@ -179,8 +179,11 @@ def verified(spark: SparkSession, docs: DataFrame, items: DataFrame, key: str =
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without the documents that hold an item."""
-    return without(docs, stored(spark, verified(spark, docs, items, key, text).select(key), "leaks"), key)
+    """docs without the rows whose text holds an item: rows go by their text's hash, so null and repeated ids don't matter."""
+    (mark,) = fresh_names(docs, 1)
+    marked = docs.withColumn(mark, F.struct(F.xxhash64(text).alias("x"), F.xxhash64(text, F.lit(1)).alias("y")))
+    leaks = verified(spark, marked.filter(F.col(text).isNotNull()), items, mark, text).select(mark)
+    return without(marked, stored(spark, leaks, "leaks"), [mark]).drop(mark)
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,20 +9,21 @@ bounds discard pairs before and while overlap counts accumulate:
   first ``n - ceil(3n/4) + n // 16`` columns, so only those entries enter the product, rows that meet others in fewer
   columns leave it, and pairs whose accumulated count is less are dropped;
 * positions: what is left of the shorter row behind a shared column, and that count, bound the overlap;
-* contraction: components are all that is asked for, so pairs of rows that links found so far connect are skipped. The
-  first products pair each row with one hub row, the most central one in its columns; then shared columns are counted
-  between parts of components (rows of about one size), and only parts that share enough of them are multiplied out;
-* blocks: what has not left the product is dealt to ever fewer blocks; a pair that shares enough columns in all shares
-  its part of them, by the pigeonhole principle, in one block at least, and only there it leaves the block.
+* contraction: components are all that is asked for, so rows that links found so far connect are not compared. A first
+  product pairs each row with one hub row, the most central one in its columns, and exact overlaps settle these pairs;
+* tiles: rows that hubs connect, of about one size, form parts of bounded size. A second product adds up, over all
+  blocks, in how many columns a row meets each part, and discards a row and part that share fewer than the row would with
+  a row linked with it. What is left of two parts is multiplied out as one tile on whole sets, which decides exactly;
+  from a tile comes no list of pairs but a forest that connects what its links connect, so that a group of near copies of
+  any size makes tiles, not rows, by the square.
 
 Columns that hold more than a 2^18th of all entries come last in the order, by size; they are found over all documents,
-as those frequent in some block of entries (at most 2^19 of them, a broadcast of 5 MB). The surviving pairs' overlap is
-counted exactly on whole sets of 40-bit column numbers, so a result could err only where two shingles of a pair of
-documents agree in 40 hashed bits.
+as those frequent in some block of entries (at most 2^19 of them, a broadcast of 5 MB). Sets are compared by 64-bit hashes
+of their shingles.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked with nothing; fewer words
 than ``k`` make one shingle; rows that repeat an id or a text each get their row; a null id never names a component
-unless all of a component's ids are null; empty tables give empty tables; other columns are ignored.
+unless all of a component's ids are null; empty tables give empty tables; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,26 +33,30 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import buffer_of, forget, lean, mixed, ready, shingle_sets, slices, stored, tidied, without
+from .common import buffer_of, forget, fresh_names, lean, mixed, ready, shingle_sets, slices, stored, tidied, without
 from .components import components
 
 #: Frequent columns at most, and entries of one counting block.
 FREQUENT, COUNT_BLOCK = 1 << 19, 1 << 21
 #: Entries of a column block aimed at, and column blocks at least.
 BLOCK_ENTRIES, LEAST_BLOCKS = 1 << 21, 64
-#: Entries of a block aimed at once only candidates are left.
-DENSE_ENTRIES = 1 << 20
-#: Pairs that a block's product holds at a time, about.
-PAIRS_AT_ONCE = 1 << 19
+#: Pairs of an entry and a part that a block's product holds at a time, about.
+PAIRS_AT_ONCE = 1 << 20
+#: Rows and entries of a tile aimed at.
+TILE_ROWS, TILE_ENTRIES = 1 << 11, 1 << 19
+#: Columns of more rows of a tile than that are multiplied out as dense matrices, of so many columns at a time.
+LIGHT, DENSE_COLUMNS = 8, 1 << 11
+#: Sizes of two bands' starts differ by a factor a little above 4/3; bands at most.
+BAND, BANDS = float(np.log(1.34)), 128
 #: Entries that a map task gathers before it deals them out.
 FLUSH_ENTRIES = 1 << 21
 #: Times that rows which meet others too rarely leave the product, as fewer rows mean fewer meetings.
 PRUNINGS = 2
 #: Partitions that the rows of one component are dealt to.
 SALTS = 8
-#: Bits of the filter that tells which rows need their sets.
-FILTER_BITS = 1 << 24
 
 
 def row_number_of(shingles: np.ndarray) -> int:
@@ -63,9 +68,11 @@ def _signed(a: np.ndarray) -> pa.Array:
     return pa.array(a.astype(np.int64))
 
 
-def _profiles(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """Two kinds of rows: (key, n, row) of a document, and (hash, count) of a column frequent in some block."""
+def _profiles(df: DataFrame, k: int) -> DataFrame:
+    """Two kinds of rows: (ident, n, row) of a document, and (hash, count) of a column frequent in some block. df: (ident, text)."""
     ready(df.sparkSession)
+    names, kind = ["ident", "n", "row", "hash", "count"], df.schema["ident"].dataType
+    empty = to_arrow_type(kind)
 
     def frequent(parts: list[np.ndarray]) -> pa.RecordBatch | None:
         every = np.concatenate(parts)
@@ -78,7 +85,7 @@ def _profiles(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
             return None
         c = np.searchsorted(every, h, "right") - np.searchsorted(every, h)
         none = pa.nulls(len(h), pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, none, _signed(h), pa.array(c, pa.int64())], ["key", "n", "row", "hash", "count"])
+        return pa.RecordBatch.from_arrays([pa.nulls(len(h), empty), none, none, _signed(h), pa.array(c, pa.int64())], names)
 
     def run(batches):
         parts, held = [], 0
@@ -89,7 +96,7 @@ def _profiles(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
                 n = pa.array([len(s) for s in sets], pa.int64())
                 rows = pa.array([row_number_of(s) if len(s) else None for s in sets], pa.int64())
                 none = pa.nulls(j - i, pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), n, rows, none, none], ["key", "n", "row", "hash", "count"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i).cast(empty), n, rows, none, none], names)
                 parts += sets
                 held += sum(map(len, sets))
                 if held >= COUNT_BLOCK:
@@ -99,7 +106,8 @@ def _profiles(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
         if held and (out := frequent(parts)) is not None:
             yield out
 
-    return df.select(F.col(key).cast("long"), text).mapInArrow(lean(run), "key long, n long, row long, hash long, count long")
+    long = T.LongType()
+    return df.select("ident", "text").mapInArrow(lean(run), T.StructType([T.StructField(c, kind if c == "ident" else long) for c in names]))
 
 
 class _Order:
@@ -155,7 +163,7 @@ def _unpacked(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def _entries(df: DataFrame, text: str, k: int, order, blocks: int) -> DataFrame:
+def _entries(df: DataFrame, k: int, order, blocks: int) -> DataFrame:
     """(block, packed): the prefix entries of every distinct set, dealt to column blocks; a set once a task."""
 
     def run(batches):
@@ -205,7 +213,7 @@ def _entries(df: DataFrame, text: str, k: int, order, blocks: int) -> DataFrame:
         if parts:
             yield dealt()
 
-    return df.select(text).mapInArrow(lean(run), "block int, packed binary")
+    return df.select("text").mapInArrow(lean(run), "block int, packed binary")
 
 
 def _largest_partner(size: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -265,10 +273,10 @@ def _members(met: DataFrame) -> DataFrame:
 
 
 def _candidates(members: DataFrame) -> DataFrame:
-    """(row) of the rows that meet others in as many columns as a link of theirs takes at least."""
+    """(row, n) of the rows that meet others in as many columns as a link of theirs takes at least."""
     n = F.floor((F.col("n") * 3 + 3) / 4)
     bound = F.least(F.greatest(F.lit(1), F.floor(n / 16)), n)
-    return members.groupBy("row").agg(F.max("n").alias("n"), F.sum("hits").alias("hits")).filter(F.col("hits") >= bound).select("row")
+    return members.groupBy("row").agg(F.max("n").alias("n"), F.sum("hits").alias("hits")).filter(F.col("hits") >= bound).select("row", "n")
 
 
 def _linkable(n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
@@ -280,178 +288,249 @@ def _reaches(n1: np.ndarray, p1: np.ndarray, n2: np.ndarray, p2: np.ndarray) ->
     return 7 * (np.minimum(n1 - p1, n2 - p2) - 1 + pair_bound(n1, n2)) >= 3 * (n1 + n2)
 
 
-def _counted(a: np.ndarray, b: np.ndarray, n1: np.ndarray, n2: np.ndarray, shared: np.ndarray) -> list[np.ndarray]:
-    """Pairs with their least sizes and the sums of their counts."""
-    if not len(a):
-        return [a, b, n1, n2, shared]
-    at = np.lexsort((b, a))
-    a, b, n1, n2, shared = a[at], b[at], n1[at], n2[at], shared[at]
-    first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-    return [a[first], b[first], np.minimum.reduceat(n1, first), np.minimum.reduceat(n2, first), np.add.reduceat(shared, first)]
-
-
-def _scrambled(rows: np.ndarray, seed: int) -> np.ndarray:
-    return mixed(rows.view(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15 * (seed + 1) & (2**64 - 1)))
-
-
-def _hub_pairs(row, size, column, place, root, seed: int) -> list[np.ndarray]:
-    """Of each column its hub with each other row of another component."""
-    new = np.r_[True, column[1:] != column[:-1]]
-    first, group = np.flatnonzero(new), np.cumsum(new) - 1
-    # the first hub is the row with the fewest rarer columns, i.e. the one most like the others; then any
-    hub = np.lexsort((_scrambled(row, seed), place if seed == 0 else group, group))[first][group]
-    ok = (root != root[hub]) & _linkable(size, size[hub]) & _reaches(size, place, size[hub], place[hub])
-    return _counted(row[ok], row[hub[ok]], size[ok], size[hub[ok]], np.ones(int(ok.sum()), np.int64))
-
-
-def _offset_pairs(group: np.ndarray, ident: np.ndarray, test, value, blocks: int) -> list[np.ndarray]:
-    """Counted pairs (i, j), i before j, of equal group that pass test and share enough of a block's columns.
-
-    test gives (near, ok); a pair that is not near isn't for any later j either. Of two idents the same one has to come
-    first in every group: pairs are taken in turns by the ident of i, so that few are held at a time.
-    """
+def _scrambled(rows: np.ndarray) -> np.ndarray:
+    return mixed(rows.view(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15))
 
-    def pairs(left: np.ndarray):
-        step = 1
-        while len(left):
-            left = left[left + step < len(group)]
-            near, ok = test(left, left + step)
-            near &= group[left] == group[left + step]
-            yield left[near & ok], step
-            left = left[near]
-            step += 1
-
-    total = sum(len(i) for i, _ in pairs(np.arange(len(group))))
-    turns = total // PAIRS_AT_ONCE + 1
-    turn = mixed(ident.view(np.uint64).copy()) % np.uint64(turns)
-    found = [[np.zeros(0, np.int64)] * 5]
-    for k in range(turns):
-        held = [value(i, i + step) for i, step in pairs(np.flatnonzero(turn == np.uint64(k)))]
-        if held:
-            found.append(_reaching(_counted(*(np.concatenate(c) for c in zip(*held, strict=True))), blocks))
-    return [np.concatenate(c) for c in zip(*found, strict=True)]
 
+def size_band(size: np.ndarray) -> np.ndarray:
+    """Rows of sizes that may be linked are in one band or in neighbouring ones."""
+    return np.floor(np.log(np.maximum(size, 1)) / BAND).astype(np.int64)
 
-def _band(size: np.ndarray) -> np.ndarray:
-    return np.floor(np.log(np.maximum(size, 1)) * 24)
 
+def size_band_of(n: F.Column) -> F.Column:
+    return F.floor(F.log(F.greatest(n, F.lit(1))) / BAND)
 
-def _part(root: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The part of its component that a row belongs to: rows of sizes within a twenty-fourth of each other or so."""
-    return mixed(root.view(np.uint64) ^ mixed(_band(size).astype(np.uint64) + np.uint64(1))).view(np.int64)
 
+def _counted(a: np.ndarray, b: np.ndarray, bound: np.ndarray) -> list[np.ndarray]:
+    """(a, b, the least of their bounds, how often they occur)."""
+    if not len(a):
+        return [np.zeros(0, np.int64)] * 4
+    at = np.lexsort((b, a))
+    a, b, bound = a[at], b[at], bound[at]
+    first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    return [a[first], b[first], np.minimum.reduceat(bound, first), np.diff(np.r_[first, len(a)])]
 
-def _part_pairs(size, column, place, root, blocks: int) -> list[np.ndarray]:
-    """Parts of two components that meet in enough columns where rows of theirs may link, with their least sizes there."""
-    part, most = _part(root, size), _largest_partner(size, place)
-    low = np.floor(np.exp(_band(size) / 24) * (1 - 1e-9)).astype(np.int64)  # no row of the part is smaller
-    at = np.lexsort((part, low, column))
-    size, column, root, part, most, low = size[at], column[at], root[at], part[at], most[at], low[at]
-    first = np.flatnonzero(np.r_[True, (column[1:] != column[:-1]) | (part[1:] != part[:-1])])
-    least, most = np.minimum.reduceat(size, first), np.maximum.reduceat(most, first)
-    column, root, part, low = column[first], root[first], part[first], low[first]
 
-    def test(i, j):
-        return low[j] <= most[i], (least[j] <= most[i]) & (least[i] <= most[j]) & (root[i] != root[j])
+def hub_pairs(row, size, column, place) -> list[np.ndarray]:
+    """(row, hub, bound, shared): of each column its hub with each other row.
 
-    def value(i, j):
-        swap = part[i] < part[j]
-        i, j = np.where(swap, j, i), np.where(swap, i, j)
-        return [part[i], part[j], least[i], least[j], np.ones(len(i), np.int64)]
+    The hub is the row with the fewest rarer columns, that is the one most like the others. Entries are by column.
+    """
+    new = np.r_[True, column[1:] != column[:-1]]
+    first, group = np.flatnonzero(new), np.cumsum(new) - 1
+    hub = np.lexsort((_scrambled(row), place, group))[first][group]
+    ok = (row != row[hub]) & _linkable(size, size[hub]) & _reaches(size, place, size[hub], place[hub])
+    return _counted(row[ok], row[hub[ok]], pair_bound(size[ok], size[hub[ok]]))
 
-    return _offset_pairs(column, part, test, value, blocks)
 
+def part_meetings(row, size, column, place, root, part) -> list[np.ndarray]:
+    """(row, part, bound, shared): how many of a row's columns a part holds rows in that the row may be linked with.
 
-def _row_pairs(row, size, column, place, root, allowed: np.ndarray, blocks: int) -> list[np.ndarray]:
-    """Pairs of rows of parts that are allowed to pair, where no bound discards them. allowed: (larger, smaller) parts."""
-    parts, own = np.unique(allowed), _part(root, size)
-    if not len(parts):
-        return [np.zeros(0, np.int64)] * 5
-    number = np.minimum(np.searchsorted(parts, own), len(parts) - 1)
-    some = parts[number] == own
-    row, size, column, place, number = row[some], size[some], column[some], place[some], number[some]
-    keys = np.unique(np.searchsorted(parts, allowed[:, 0]) * len(parts) + np.searchsorted(parts, allowed[:, 1]))
+    A part counts in a column if its rows there have sizes that the row's size and place allow and are not all in the
+    row's own component. A row shares at least as many columns with a part as with each row of it.
+    """
+    band = size_band(size)
+    at = np.lexsort((part, band, column))
+    row, size, column, place, root, part, band = (x[at] for x in (row, size, column, place, root, part, band))
     most = _largest_partner(size, place)
+    cell = column.astype(np.int64) * BANDS + band  # 32 bits of a column, so no overflow
+    first = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (part[1:] != part[:-1])])
+    if not len(first):
+        return [np.zeros(0, np.int64)] * 4
+    g_cell, g_part = cell[first], part[first]
+    g_least, g_large, g_most = np.minimum.reduceat(size, first), np.maximum.reduceat(size, first), np.maximum.reduceat(most, first)
+    g_root, g_other = np.minimum.reduceat(root, first), np.maximum.reduceat(root, first)
+    # rows of sizes that may be linked are in the same size band or in a neighbouring one
+    lo, hi = np.searchsorted(g_cell, cell - 1), np.searchsorted(g_cell, cell + 1, "right")
+    lo = np.maximum(lo, np.searchsorted(g_cell, column.astype(np.int64) * BANDS))
+    hi = np.minimum(hi, np.searchsorted(g_cell, column.astype(np.int64) * BANDS + BANDS - 1, "right"))
+    many = hi - lo
+    turns = int(many.sum()) // PAIRS_AT_ONCE + 1
+    turn = mixed(row.view(np.uint64).copy()) % np.uint64(turns)
+    found = [[np.zeros(0, np.int64)] * 4]
+    for k in range(turns):  # all columns of a row are in one turn
+        e = np.flatnonzero(turn == np.uint64(k))
+        i = np.repeat(e, many[e])
+        g = np.arange(len(i)) - np.repeat(np.cumsum(many[e]) - many[e], many[e]) + lo[i]
+        ok = (g_least[g] <= most[i]) & (4 * g_large[g] >= 3 * size[i]) & (size[i] <= g_most[g])
+        ok &= (g_root[g] != root[i]) | (g_other[g] != root[i])
+        i, g = i[ok], g[ok]
+        least = (3 * size[i] + 3) // 4
+        found.append(_counted(row[i], g_part[g], pair_bound(size[i], least)))
+    return [np.concatenate(c) for c in zip(*found, strict=True)]
 
-    def test(i, j):
-        near = size[j] <= most[i]
-        key = np.maximum(number[i], number[j]) * len(parts) + np.minimum(number[i], number[j])
-        return near, near & (size[i] <= most[j]) & np.isin(key, keys) & _reaches(size[i], place[i], size[j], place[j])
 
-    def value(i, j):
-        swap = row[i] < row[j]
-        i, j = np.where(swap, j, i), np.where(swap, i, j)
-        return [row[i], row[j], size[i], size[j], np.ones(len(i), np.int64)]
+def _product(met: DataFrame, work) -> DataFrame:
+    """(a, b, bound, shared): what work makes of each block's entries."""
 
-    return _offset_pairs(column, row, test, value, blocks)
+    def run(batches):
+        for b in batches:
+            for blob in b.column(0).to_pylist():
+                row, size, _, column, place = _unpacked(blob)
+                if not len(row):
+                    continue
+                found = work(row, size.astype(np.int64), column, place.astype(np.int64))
+                for i in range(0, len(found[0]), 1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array(f[i : i + (1 << 16)].astype(np.int64)) for f in found], ["a", "b", "bound", "shared"])
 
+    return met.select("packed").mapInArrow(lean(run), "a long, b long, bound long, shared long")
 
-def _reaching(found: list[np.ndarray], blocks: int) -> list[np.ndarray]:
-    """Counted pairs that share so many columns of one block as a pair with enough of them does in some block."""
-    keep = found[4] * blocks >= pair_bound(found[2], found[3])
-    return [f[keep] for f in found]
 
+def _hubs(met: DataFrame) -> DataFrame:
+    """(a, b): each row with the hub it shares most columns with, if it shares as many as a link takes."""
+    pairs = _product(met, hub_pairs).groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("bound").alias("bound"))
+    return pairs.filter("shared >= bound").groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
 
-def _near_pairs(row, size, column, place, root, blocks: int) -> list[np.ndarray]:
-    """Pairs of rows of different components that can be linked."""
-    parts = _part_pairs(size, column, place, root, blocks)
-    return _row_pairs(row, size, column, place, root, np.stack(parts[:2], 1), blocks)
 
+def _meetings(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """(row, root, own, other): the rows that share as many columns with a part as with a row linked with them.
 
-def _product(met: DataFrame, labels: DataFrame, work) -> DataFrame:
-    """(a, b, shared): what work makes of each block's entries. labels: (block, row, root)."""
+    labels: (block, row, root, part). Counts are added up over all blocks.
+    """
 
     def run(_key, entries: pa.Table, said: pa.Table) -> pa.Table:
-        found = [np.zeros(0, np.int64)] * 5
+        found, own, part, root = [np.zeros(0, np.int64)] * 4, np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)
         if entries.num_rows and said.num_rows:
             row, size, _, column, place = _unpacked(entries.column("packed")[0].as_py())
-            own, to = (said.column(c).to_numpy() for c in ("row", "root"))
+            own, root, part = (said.column(c).to_numpy() for c in ("row", "root", "part"))
             at = np.argsort(own)
-            own, to = own[at], to[at]
+            own, root, part = own[at], root[at], part[at]
             at = np.minimum(np.searchsorted(own, row), len(own) - 1)
             ok = own[at] == row
-            if ok.any():
-                found = work(row[ok], size[ok].astype(np.int64), column[ok], place[ok].astype(np.int64), to[at[ok]])
-        return pa.table([pa.array(found[i], pa.int64()) for i in (0, 1, 4)], names=["a", "b", "shared"])
+            found = part_meetings(row[ok], size[ok].astype(np.int64), column[ok], place[ok].astype(np.int64), root[at[ok]], part[at[ok]])
+        at = np.searchsorted(own, found[0])
+        return pa.table([pa.array(x, pa.int64()) for x in (found[0], root[at], part[at], *found[1:])], names=["row", "root", "own", "other", "bound", "shared"])
+
+    long = "row long, root long, own long, other long, bound long, shared long"
+    every = met.groupBy("block").cogroup(labels.groupBy("block")).applyInArrow(run, long)
+    sums = every.groupBy("row", "root", "own", "other").agg(F.sum("shared").alias("shared"), F.min("bound").alias("bound"))
+    return sums.filter("shared >= bound").select("row", "root", "own", "other")
 
-    return met.groupBy("block").cogroup(labels.groupBy("block")).applyInArrow(run, "a long, b long, shared long")
 
+def _parts(rows: DataFrame, hubs: DataFrame, families: DataFrame, roots: DataFrame) -> DataFrame:
+    """(row, root, part): rows that hubs connect, of one size band, are a part; larger ones are split by hub, then at random.
 
-def _labels(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return members.withColumn("root", F.col("row"))
-    return members.join(roots, F.col("row") == F.col("node"), "left").select("block", "row", F.coalesce("root", "row").alias("root"))
+    rows: (row, n). A part holds about TILE_ROWS rows and TILE_ENTRIES entries at most.
+    """
+    band = size_band_of(F.col("n"))
+    all_ = rows.join(hubs.select(F.col("a").alias("row"), F.col("b").alias("hub")), "row", "left")
+    all_ = all_.join(families.select(F.col("node").alias("row"), F.col("root").alias("family")), "row", "left")
+    all_ = all_.join(roots.select(F.col("node").alias("row"), "root"), "row", "left")
+    all_ = all_.select("row", "n", F.coalesce("root", "row").alias("root"), F.coalesce("hub", "row").alias("hub"), F.coalesce("family", "row").alias("family"), band.alias("band"))
+    all_ = stored(rows.sparkSession, all_, "labelled-rows")
+
+    def large(by: str) -> DataFrame:
+        """What is too large for one tile, with the tiles it takes: few rows, as each holds a tile's worth."""
+        tiles = F.ceil(F.greatest(F.count(F.lit(1)) / TILE_ROWS, F.sum("n") / TILE_ENTRIES)).cast("long")
+        return all_.groupBy(by, "band").agg(tiles.alias(f"{by}_tiles")).filter(f"{by}_tiles > 1")
+
+    of = all_.join(large("family"), ["family", "band"], "left").join(large("hub"), ["hub", "band"], "left")
+    salt = F.when(F.col("hub_tiles") > 1, F.pmod(F.xxhash64("row"), F.col("hub_tiles"))).otherwise(0)
+    part = F.when(F.col("family_tiles") > 1, F.xxhash64(F.lit("hub"), "hub", "band", salt)).otherwise(F.xxhash64(F.lit("family"), "family", "band"))
+    out = stored(rows.sparkSession, of.select("row", "root", part.alias("part")), "parts")
+    forget(all_)
+    return out
 
 
-def _hub_candidates(met: DataFrame, labels: DataFrame, seed: int, blocks: int) -> DataFrame:
-    """(a, b): each row with the hub it shares most columns with."""
-    pairs = _product(met, labels, lambda *entries: _reaching(_hub_pairs(*entries, seed), blocks))
-    return pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared")).groupBy("a").agg(F.max_by("b", "shared").alias("b"))
+def spanned(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, first node of its component) of a symmetric matrix of links, for all nodes but the first ones."""
+    n = len(linked)
+    left, out = linked.any(1), np.full(n, -1)
+    for i in range(n):
+        if left[i]:
+            left[i] = False
+            now = np.array([i])
+            while len(now):
+                out[now] = i
+                now = np.flatnonzero(linked[now].any(0) & left)
+                left[now] = False
+    node = np.flatnonzero((out >= 0) & (out != np.arange(n)))
+    return node, out[node]
 
 
-def _all_candidates(met: DataFrame, labels: DataFrame, blocks: int) -> DataFrame:
-    """(a, b): every pair of rows of different components that can be linked."""
-    return _product(met, labels, lambda *entries: _near_pairs(*entries, blocks)).select("a", "b").distinct()
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """The product of these rows with their transpose: how many columns each two of them share.
 
+    Columns of few rows are multiplied out as lists, the others as dense tiles.
+    """
+    n = len(sets)
+    out = np.zeros((n, n), np.float32)  # counts below 2^24 are exact
+    if not n:
+        return out
+    column, row = np.concatenate(sets), np.repeat(np.arange(n), [len(s) for s in sets])
+    at = np.argsort(column, kind="stable")
+    column, row = column[at], row[at]
+    first = np.flatnonzero(np.r_[True, column[1:] != column[:-1]])
+    many = np.diff(np.r_[first, len(column)])
+    several = np.repeat((many > 1) & (many <= LIGHT), many)
+    r, group = row[several], np.repeat(np.arange(len(many)), many)[several]
+    for step in range(1, LIGHT):
+        same = np.flatnonzero(group[step:] == group[:-step])
+        flat = np.bincount(r[same] * n + r[same + step], minlength=n * n) if len(same) else 0
+        if not len(same):
+            break
+        out += flat.reshape(n, n).astype(np.float32)
+    out += out.T
+    heavy = np.flatnonzero(many > LIGHT)
+    for i in range(0, len(heavy), DENSE_COLUMNS):
+        some = heavy[i : i + DENSE_COLUMNS]
+        at = np.repeat(first[some], many[some]) + np.arange(many[some].sum()) - np.repeat(np.cumsum(many[some]) - many[some], many[some])
+        dense = np.zeros((n, len(some)), np.float32)
+        dense[row[at], np.repeat(np.arange(len(some)), many[some])] = 1
+        out += dense @ dense.T
+    return out
 
-def _redealt(met: DataFrame, blocks: int) -> DataFrame:
-    """The same entries in fewer blocks."""
 
-    def run(key, t):
-        row, size, column, place = [], [], [], []
-        for old, blob in zip(t.column("old").to_pylist(), t.column("packed").to_pylist(), strict=True):
-            r, s, _, c, p = _unpacked(blob)
-            row.append(r)
-            size.append(s)
-            place.append(p)
-            column.append(c ^ np.uint32(mixed(np.array([old], np.uint64))[0] >> np.uint64(32)))  # columns of two blocks stay apart
-        row, size, column, place = (np.concatenate(x) for x in (row, size, column, place))
-        at = np.lexsort((row, size, column))
-        blob = _packed(row[at], size[at], np.ones(len(row), np.int64), column[at], place[at])
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "packed": pa.array([blob], pa.binary())})
+def tile_links(rows: np.ndarray, roots: np.ndarray, own: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (a, b) of rows that connect all rows of a tile which links between different components and parts connect.
 
-    dealt = met.select(F.pmod("block", F.lit(blocks)).cast("int").alias("block"), F.col("block").alias("old"), "packed")
-    return dealt.groupBy("block").applyInArrow(run, "block int, packed binary")
+    own: each row's part; with one part, its rows are compared with each other, with two, those of one with the other's.
+    Rows that share too few columns with others leave first.
+    """
+    size = np.array([len(s) for s in sets], np.int64)
+    side = own != own.min()
+    two = bool(side.any())
+    for _ in range(PRUNINGS):
+        if not len(sets):
+            break
+        column, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.argsort(column, kind="stable")
+        first = np.flatnonzero(np.r_[True, column[at][1:] != column[at][:-1]])
+        group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(at)]))
+        shared = np.zeros(len(column), bool)
+        if two:
+            there = np.add.reduceat(side[row[at]].astype(np.int64), first)
+            every = np.diff(np.r_[first, len(at)])
+            shared[at] = ((there > 0) & (there < every))[group]
+        else:
+            low, high = np.minimum.reduceat(roots[row[at]], first), np.maximum.reduceat(roots[row[at]], first)
+            shared[at] = (low != high)[group]
+        keep = 4 * np.bincount(row, weights=shared, minlength=len(sets)).astype(np.int64) >= 3 * size
+        cuts = np.cumsum([0, *map(len, sets)])
+        sets = [sets[i][shared[cuts[i] : cuts[i + 1]]] for i in np.flatnonzero(keep)]
+        rows, roots, size, side = rows[keep], roots[keep], size[keep], side[keep]
+    both = overlaps(sets).astype(np.int64)
+    linked = (100 * both >= 75 * (size[:, None] + size[None, :] - both)) & (roots[:, None] != roots[None, :])
+    if two:
+        linked &= side[:, None] != side[None, :]
+    node, to = spanned(linked)
+    return rows[node], rows[to]
+
+
+def _tile_links(meetings: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): pairs that connect what links between the rows of two parts connect, or within one."""
+
+    def run(t: pa.Table) -> pa.Table:
+        rows, roots, own = (t.column(c).to_numpy() for c in ("row", "root", "own"))
+        cells = [np.frombuffer(x.as_py(), np.uint64) for x in t.column("cells")]
+        a, b = tile_links(rows, roots, own, cells)
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    two = meetings.select("row", "root", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+    # both parts need rows that may be linked with the other's
+    able = two.groupBy("p", "q").agg(F.min("own").alias("x"), F.max("own").alias("y")).filter("x != y or p = q").select("p", "q")
+    whole = two.join(able, ["p", "q"], "left_semi").join(sets.select("row", "cells"), "row")
+    return whole.groupBy("p", "q").applyInArrow(run, "a long, b long")
 
 
 def _pruned(met: DataFrame, members: DataFrame) -> DataFrame:
@@ -470,18 +549,19 @@ def _pruned(met: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _needed(rows: DataFrame) -> np.ndarray:
-    """A bit filter of the candidate rows: of fixed size, collected as bounded words."""
+    """A bit filter of the candidate rows, of eight bits a row and between 2^20 and 2^27 bits (16 MB)."""
+    bits = min(1 << 27, max(1 << 20, 1 << (8 * rows.count()).bit_length()))
     h = F.xxhash64("row")
-    bits = rows.select(F.explode(F.array(h, F.shiftright(h, 24))).alias("h")).select(F.pmod("h", F.lit(FILTER_BITS)).alias("h"))
-    words = bits.groupBy(F.expr("cast(h div 32 as int)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(h % 32 as int)))").alias("b"))
-    out = np.zeros(FILTER_BITS // 32, np.uint32)
-    for r in words.collect():  # FILTER_BITS / 32 rows at most
-        out[r.w] = r.b
+    at = rows.select(F.explode(F.array(h, F.shiftright(h, 24))).alias("h")).select(F.pmod("h", F.lit(bits)).alias("h"))
+    words = at.groupBy(F.expr("cast(h div 32 as int)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(h % 32 as int)))").alias("b"))
+    out = np.zeros(bits // 32, np.uint32)
+    found = words.toArrow()  # a row for each word of the filter at most
+    out[found.column("w").to_numpy()] = found.column("b").to_numpy()
     return out
 
 
-def _sets(df: DataFrame, text: str, k: int, needed) -> DataFrame:
-    """(row, cells): the 40-bit columns of each row that the filter lets through, a row once a task."""
+def _sets(df: DataFrame, k: int, needed) -> DataFrame:
+    """(row, cells): the 64-bit columns of each row that the filter lets through, a row once a task."""
 
     def run(batches):
         filter_ = needed.value
@@ -498,11 +578,11 @@ def _sets(df: DataFrame, text: str, k: int, needed) -> DataFrame:
                     if ok and row not in seen:
                         seen.add(row)
                         rows.append(row)
-                        cells.append(s.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes())
+                        cells.append(s.tobytes())
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(cells, pa.binary())], ["row", "cells"])
 
-    return df.select(text).mapInArrow(lean(run), "row long, cells binary")
+    return df.select("text").mapInArrow(lean(run), "row long, cells binary")
 
 
 def _passes(filter_: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -510,17 +590,11 @@ def _passes(filter_: np.ndarray, rows: np.ndarray) -> np.ndarray:
     h = np.array([xxhash.xxh64_intdigest(x, 42) for x in rows.astype("<i8").view("V8").tolist()], np.uint64).view(np.int64)
     ok = np.ones(len(rows), bool)
     for p in (h, h >> np.int64(24)):
-        p = p % FILTER_BITS
+        p = p % (32 * len(filter_))
         ok &= (filter_[p // 32] >> (p % 32).astype(np.uint32) & np.uint32(1)).astype(bool)
     return ok
 
 
-def cells_of(blob: bytes) -> np.ndarray:
-    wide = np.zeros((len(blob) // 5, 8), np.uint8)
-    wide[:, 3:] = np.frombuffer(blob, np.uint8).reshape(-1, 5)
-    return wide.view(np.uint64).ravel()
-
-
 def overlap(x: np.ndarray, y: np.ndarray) -> int:
     """Size of the intersection of two sorted sets."""
     if len(x) > len(y):
@@ -538,7 +612,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             a_, b_ = b.column(0).to_pylist(), b.column(1).to_pylist()
             keep = []
             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                x, y = cells_of(x), cells_of(y)
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = overlap(x, y)
                 keep.append(100 * both >= 75 * (len(x) + len(y) - both))
             mask = pa.array(keep, pa.bool_())
@@ -551,11 +625,13 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return whole.select("a", "b", "cells_a", "cells_b").mapInArrow(lean(run), "a long, b long")
 
 
-def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, hub_rounds: int = 2) -> DataFrame:
-    """(key, n_shingles, component_id) of every row; the id of a component is the least key in it."""
+def _components_of(df: DataFrame, ident: F.Column, text: str, k: int) -> DataFrame:
+    """(ident, n, row, least, copies) of every row of df: the size and number of its set, and, where it has one, the least
+    ident of its component, nulls last, and how many rows that component has."""
     spark = df.sparkSession
-    seen = stored(spark, _profiles(df, key, text, k), "profiles")
-    docs = seen.filter("hash is null").select("key", "n", "row")
+    df = df.select(ident.alias("ident"), F.col(text).alias("text"))
+    seen = stored(spark, _profiles(df, k), "profiles")
+    docs = seen.filter("hash is null").select("ident", "n", "row")
     total, entries = seen.agg(F.sum("n"), F.sum(F.floor(F.col("n") / 4) + F.floor(F.col("n") / 16) + 1)).first()
     frequent = seen.filter("hash is not null").groupBy("hash").agg(F.sum("count").alias("c")).filter(F.col("c") >= max(4, (total or 0) // FREQUENT))
     frequent = frequent.toArrow()  # FREQUENT rows at most, as their counts add up to no more than total
@@ -563,47 +639,64 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     order = sc.broadcast(_Order(frequent.column(0).to_numpy().astype(np.int64).view(np.uint64), frequent.column(1).to_numpy()))
     blocks = max(LEAST_BLOCKS, -(-int(entries or 0) // BLOCK_ENTRIES))
 
-    met = stored(spark, _met(_entries(df, text, k, order, blocks)), "met")
+    met = stored(spark, _met(_entries(df, k, order, blocks)), "met")
     tidied(spark)
     for _ in range(PRUNINGS):
         members = stored(spark, _members(met), "members")
-        last, met = met, stored(spark, _pruned(met, members.join(_candidates(members), "row").select("block", "row")), "met")
+        last, met = met, stored(spark, _pruned(met, members.join(_candidates(members).select("row"), "row").select("block", "row")), "met")
         forget(last, members)
     members = stored(spark, _members(met), "members")
     some = stored(spark, _candidates(members), "candidates")
-    left = members.agg(F.sum("hits")).first()[0] or 0
-    blocks = min(blocks, max(1, -(-left // DENSE_ENTRIES)))
-    last, met = met, stored(spark, _redealt(met, blocks), "met")
-    forget(last, members)
-    members = stored(spark, _members(met).join(some, "row").select("block", "row"), "members")
-    sets = stored(spark, _sets(df, text, k, sc.broadcast(_needed(some))).dropDuplicates(["row"]), "sets")
+    sets = stored(spark, _sets(df, k, sc.broadcast(_needed(some))).dropDuplicates(["row"]), "sets")
     tidied(spark)
 
-    links, roots = None, None
-    for seed in [*range(hub_rounds), None]:
-        labels = _labels(members, roots)
-        found = _links(_all_candidates(met, labels, blocks) if seed is None else _hub_candidates(met, labels, seed, blocks), sets)
-        last, links = links, stored(spark, found if links is None else links.union(found), "links")
-        forget(last, roots)
-        tidied(spark)
-        roots = components(spark, links)
-    forget(met, members, some, sets, links)
-
-    small = docs.filter("row is not null").groupBy("row").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"))
+    hubs = stored(spark, _hubs(met), "hubs")
+    links = stored(spark, _links(hubs, sets), "links")
+    roots, families = components(spark, links), components(spark, hubs)
+    parts = _parts(some, hubs, families, roots)
+    forget(hubs, roots, families)
+    tidied(spark)
+    meetings = stored(spark, _meetings(met, members.join(parts, "row").select("block", "row", "root", "part")), "meetings")
+    forget(met, members, some, parts)
+    every = stored(spark, links.union(_tile_links(meetings, sets)), "links")
+    forget(links, meetings, sets)
+    tidied(spark)
+    roots = components(spark, every)
+    forget(every)
+
+    small = docs.filter("row is not null").groupBy("row").agg(F.min("ident").alias("least"), F.count(F.lit(1)).alias("copies"))
     whole = small.join(roots, F.col("row") == F.col("node"), "left").withColumn("root", F.coalesce("root", "row"))
-    least = whole.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("copies").alias("of")).filter("of > 1")
+    least = whole.groupBy("root").agg(F.min("least").alias("least"), F.sum("copies").alias("copies")).filter("copies > 1")
     # a component may hold very many rows: its one value is copied to SALTS partitions
     salted = whole.select("row", "root", F.pmod(F.xxhash64("row"), F.lit(SALTS)).alias("salt"))
     least = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    least = salted.join(least, ["root", "salt"]).select(F.col("row").alias("grouped"), "component_id")
+    least = salted.join(least, ["root", "salt"]).select(F.col("row").alias("grouped"), "least", "copies")
     out = docs.join(least, docs.row == F.col("grouped"), "left")
-    return out.select(F.col("key").cast(df.schema[key].dataType).alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", F.col("key")).cast(df.schema[key].dataType).alias("component_id"))
+    return out.select("ident", "n", "row", "least", "copies")
+
+
+def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
+    """(key, n_shingles, component_id) of every row; the id of a component is the least key in it."""
+    ident = F.struct(F.col(key).isNull().alias("no"), F.col(key).alias("key"))  # nulls last
+    out = _components_of(df, ident, text, k)
+    return out.select(F.col("ident.key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("least.key", "ident.key").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one document of each component: the one that names it. Rows that repeat its id stay with it."""
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
+    """docs with one row of each component: one with its least key, and of rows that repeat that key the one whose text has
+    the least hash. Of rows alike in key and text the one that is least as JSON stays. Rows without words all stay."""
     spark = docs.sparkSession
-    c = stored(spark, near_components(docs, key, text), "components")
-    named = F.col(key).eqNullSafe(F.col("component_id"))
-    gone = c.groupBy(key).agg(F.max(named).alias("named")).filter("not named")
-    return without(docs, stored(spark, gone.select(key), "gone"), key)
+    x, y = fresh_names(docs, 2)
+    marked = docs.withColumn(x, F.xxhash64(key, text)).withColumn(y, F.xxhash64(text, key, F.lit(1)))
+    ident = F.struct(F.col(key).isNull().alias("no"), F.col(key).alias("key"), F.col(x).alias("x"), F.col(y).alias("y"))
+    found = stored(spark, _components_of(marked, ident, text, k).filter("copies > 1").select("ident", "least"), "components")
+    gone = stored(spark, found.filter(~F.col("ident").eqNullSafe(F.col("least"))).select(F.col("ident.x").alias(x), F.col("ident.y").alias(y)), "gone")
+    again = found.groupBy("ident.x", "ident.y").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    again = stored(spark, again.select(F.col("x").alias(x), F.col("y").alias(y)), "again")
+    kept = without(marked, gone, [x, y])
+    if not again.isEmpty():
+        whole = F.struct(*[F.col(f"`{c}`") for c in marked.columns])
+        twice = marked.join(again, [x, y], "left_semi").join(gone, [x, y], "left_anti")
+        once = twice.groupBy(x, y).agg(F.min_by(whole, F.to_json(whole)).alias("whole")).select("whole.*")
+        kept = without(kept, again, [x, y]).unionByName(once)
+    return kept.drop(x, y)

@@ -62,7 +62,7 @@ def test_against_brute_force(spark, seed, words):
     check(spark, corpus(seed, words))
 
 
-def test_a_common_passage_and_a_large_group(spark):
+def test_a_common_passage_and_a_large_group(spark, monkeypatch):
     r = random.Random(5)
     word = lambda: f"u{r.randrange(10**6)}"
     passage, base = [word() for _ in range(60)], [word() for _ in range(80)]
@@ -70,7 +70,43 @@ def test_a_common_passage_and_a_large_group(spark):
     rows += [(100 + i, " ".join(base[:j] + [word()] + base[j + 1 :])) for i, j in enumerate(r.randrange(80) for _ in range(60))]
     rows += [(300 + i, " ".join(base)) for i in range(30)]
     check(spark, rows)
-    check(spark, rows, hub_rounds=2)
+    monkeypatch.setattr(J, "TILE_ROWS", 7)
+    monkeypatch.setattr(J, "PAIRS_AT_ONCE", 100)
+    check(spark, rows)
+
+
+def mutated(r, base, share):
+    """base with that share of its words replaced, dropped or doubled."""
+    out = []
+    for w in base:
+        u = r.random()
+        out += [w] if u > share else [[f"n{r.randrange(10**7)}"], [], [w, w]][int(u / share * 2.999)]
+    return out
+
+
+def test_many_near_copies_in_one_group(spark):
+    """5000 near copies of one text at all distances, most of them just too far from it and from each other, in one group."""
+    r = random.Random(11)
+    base = [f"b{i}" for i in range(60)]
+    rows = [(i, " ".join(mutated(r, base, r.choice([0.01, 0.02, 0.04, 0.06])))) for i in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in J.near_components(df).collect()}
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    numbers = {}
+    member = np.zeros((len(sets), 1 << 15), np.float32)
+    for i, s in enumerate(sets):
+        member[i, [numbers.setdefault(g, len(numbers)) for g in s]] = 1
+    both = member[:, : len(numbers)] @ member[:, : len(numbers)].T
+    size = both.diagonal()
+    linked = 100 * both >= 75 * (size[:, None] + size[None, :] - both)
+    want = np.arange(len(sets))
+    while True:
+        least = np.where(linked, want[None, :], len(sets)).min(1)
+        if (least == want).all():
+            break
+        want = least
+    assert [got[i] for i in range(len(sets))] == want.tolist()
+    assert 100 < len(set(want.tolist())) < 4900
 
 
 def test_edges(spark):
@@ -86,9 +122,14 @@ def test_the_threshold_is_exact(spark):
 
 
 def test_one_of_each(spark):
-    rows = [(3, "a b c d e f", 1), (2, "a b c d e f", 2), (5, "k", 3), (None, "a b c d e f", 4), (7, None, 5), (7, "", 6)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, component_id int")
-    assert sorted(r.component_id for r in J.one_of_each(df).collect()) == [2, 3, 4, 5, 6]
+    """Rows go one by one: repeated and null ids stand for their own texts."""
+    rows = [(3, "a b c d e f", 1), (2, "a b c d e f", 2), (5, "k", 3), (None, "a b c d e f", 4), (7, None, 5), (7, "", 6), (2, "z y x w v", 7), (2, "z y x w v", 8), (None, "p q r s t", 9), (None, "p q r s t", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, mark_0 int")
+    kept = J.one_of_each(df)
+    assert kept.schema == df.schema
+    assert sorted(r.mark_0 for r in kept.collect()) == [2, 3, 5, 6, 7, 9]
+    assert J.one_of_each(df.filter("mark_0 = 3")).count() == 1
+    assert J.one_of_each(df.filter("mark_0 = 0")).count() == 0
 
 
 def test_components(spark):
@@ -126,8 +167,8 @@ def test_bounds_lose_no_link():
         assert len(passing) >= bound
 
 
-def test_pairs_taken_in_turns(spark, monkeypatch):
-    """Few pairs at a time give what all at once give."""
+def test_part_meetings(monkeypatch):
+    """Rows and parts that meet, against a loop over all pairs of entries; few pairs at a time give what all at once give."""
     r = np.random.default_rng(3)
     rows = r.permutation(300).astype(np.int64) * 7919
     size = r.integers(30, 60, 300)
@@ -135,11 +176,44 @@ def test_pairs_taken_in_turns(spark, monkeypatch):
     column, place = r.integers(0, 40, len(own)).astype(np.uint32), r.integers(0, 9, len(own))
     key = np.unique(np.stack([own, column]), axis=1)
     own, column, place = key[0], key[1].astype(np.uint32), place[: key.shape[1]]
-    at = np.lexsort((rows[own], size[own], column))
-    entries = (rows[own][at], size[own][at], column[at], place[at], rows[own][at] % 50)
+    root, part = rows[own] % 50, rows[own] % 11
+    least = {}
+    for i in range(len(own)):
+        for j in np.flatnonzero(column == column[i]):
+            if root[i] != root[j] and J._linkable(size[own[i]], size[own[j]]) and J._reaches(size[own[i]], place[i], size[own[j]], place[j]):
+                least.setdefault((rows[own[i]], part[j]), set()).add(column[i])
     want = None
     for most in (1 << 19, 50, 1000):
         monkeypatch.setattr(J, "PAIRS_AT_ONCE", most)
-        got = sorted(zip(*[f.tolist() for f in J._near_pairs(*entries, 1)], strict=True))
+        found = J.part_meetings(rows[own], size[own], column, place, root, part)
+        got = {(a, b): n for a, b, _, n in zip(*[f.tolist() for f in found], strict=True)}
         want = want or got
-        assert got == want and got
+        assert got == want and all(got[k] >= len(v) for k, v in least.items())
+
+
+@pytest.mark.parametrize("two", [False, True])
+def test_tiles(two):
+    """A tile's forest connects what its links connect, with columns of few rows and of many."""
+    r = np.random.default_rng(5)
+    base = r.choice(1 << 40, 40, replace=False).astype(np.uint64)
+    sets = [np.unique(np.r_[r.choice(base, r.integers(20, 40), replace=False), r.choice(1 << 40, r.integers(0, 9)).astype(np.uint64)]) for _ in range(120)]
+    sets += [np.unique(r.choice(1 << 40, 12).astype(np.uint64)) for _ in range(20)]
+    sets += [np.sort(s[:-1]) for s in sets[-20:]]
+    n = len(sets)
+    shared = np.array([[len(np.intersect1d(x, y)) for y in sets] for x in sets])
+    assert (J.overlaps(sets) == np.where(np.eye(n, dtype=bool), J.overlaps(sets), shared)).all()
+    rows, roots, own = np.arange(n) * 3, np.arange(n) // 2, (np.arange(n) % 2 if two else np.zeros(n, np.int64))
+    size = shared.diagonal()
+    linked = (100 * shared >= 75 * (size[:, None] + size[None, :] - shared)) & (roots[:, None] != roots[None, :])
+    if two:
+        linked &= own[:, None] != own[None, :]
+
+    def classes(pairs):
+        at = {i: i for i in range(n)}
+        for a, b in pairs:
+            a, b = at[a], at[b]
+            at = {k: min(a, b) if v in (a, b) else v for k, v in at.items()}
+        return at
+
+    a, b = J.tile_links(rows, roots, own, sets)
+    assert len(a) < n and classes(zip((a // 3).tolist(), (b // 3).tolist(), strict=True)) == classes(np.argwhere(linked).tolist())

@@ -1,33 +1,40 @@
 """Secret scans: fixed patterns, and a guess-cost estimate for values that stand beside credential words.
 
 The patterns find assignments of at least 6 characters, access keys and long hexadecimal runs. Beside them, every value
-in a credential context is cut, by dynamic programming, into the cheapest sequence of common words, dates, repeats,
+in a credential context is cut, by dynamic programming, into the cheapest sequence of ranked words, dates, repeats,
 keyboard walks and brute-force spans; values that would still take 2^GUESS_BITS guesses are secrets too, unless a pattern
-has them already or they are letters only, as any word is. Each kind of segment has a bounded length or is a maximal run, so a value of any length costs time in
-proportion to its length.
+has them already. The ranked words are a short fixed list and then the words that the documents themselves use most
+(counted over all of them, outside assignments), so that a value of letters costs what its words cost. The segmentation
+is a true minimum over all segments of all lengths; repeats are looked up in tables of minima over powers of two, so a
+value of any length takes time in proportion to its length, but for a logarithm.
 
 Spans are (kind, start, end) in code points, end exclusive, by start, then kind in the order of KINDS.
 
-Defined results: a null or empty text has no spans; texts are searched whole; repeated rows are searched one by one;
-empty tables give empty tables; other columns are ignored.
+Defined results: a null or empty text has no spans and no words; texts are searched whole; repeated rows are searched one
+by one, and counted as often; words used equally often rank in alphabetical order; empty tables give empty tables; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from bisect import bisect_right
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, ready
+from .common import LOWER, buffer_of, lean, ready, slices, word_hashes, words
 
 KINDS = ("assign", "access", "hex", "guess")
 BASE = KINDS[:3]
 #: Bits of guesses from which a value counts as a secret, and its least length.
 GUESS_BITS, LEAST_VALUE = 32.0, 6
+#: Words of the documents that are ranked at most, their least and largest length, and words that a task counts at once.
+VOCABULARY, LEAST_WORD, LONGEST_WORD, COUNT_WORDS = 1 << 17, 3, 24, 1 << 21
 
 
 def _either(word: str) -> str:
@@ -60,10 +67,14 @@ COMMON = (
     "database access account system service public private local host client state value string redacted hidden xxxx"
 ).split()
 _RANK = {w: i + 1 for i, w in reversed(list(enumerate(COMMON)))}
-_LONGEST = max(map(len, COMMON))
 _PLAIN = str.maketrans("013457@$!", "oieastasi")
 _ROWS = ["`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./"]
-_DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)?\d\d")
+#: Whole dates, with the bits that they take: a year, year and month, day and month, and all three.
+_DATES = [
+    (7.0, re.compile(r"(?:19|20)\d\d")),
+    (11.0, re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])")),
+    (16.0, re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)?\d\d")),
+]
 
 
 def _near_keys() -> set[tuple[str, str]]:
@@ -88,80 +99,162 @@ def _char_bits(c: str) -> float:
     return 3.33 if c.isdigit() else 4.71 if c.isalpha() and c.isascii() else 5.05 if c.isascii() else 8.0
 
 
-def _runs(value: str) -> list[int]:
-    """For each position the end of the keyboard or alphabet walk that goes on from it."""
-    n = len(value)
-    low = value.lower()
-    end = list(range(1, n + 1))
-    for i in range(n - 2, -1, -1):
-        a, b = low[i], low[i + 1]
-        step = ord(b) - ord(a)
-        if (a, b) in _NEAR or (abs(step) == 1 and a.isalnum() and b.isalnum()):
-            end[i] = end[i + 1]
-    return end
-
-
-def guess_segments(value: str) -> tuple[float, list[tuple[str, int, int]]]:
-    """(bits of guesses, segments (kind, start, end)) of the cheapest segmentation; one bit is paid for each segment's kind."""
-    n = len(value)
-    low = value.lower()
-    plain = low.translate(_PLAIN)
-    walk = _runs(value)
-    cost = [0.0] + [float("inf")] * n
-    back: list[tuple[int, str]] = [(0, "")] * (n + 1)
+def word_bits(part: str, rank: dict[str, int]) -> float | None:
+    """Bits of a ranked word, in any case and with usual signs for letters, or None."""
+    low, extra = part.lower(), 0.0
+    place = rank.get(low)
+    if place is None:
+        place, extra = rank.get(low.translate(_PLAIN)), 2.0
+    if place is None:
+        return None
+    caps = 0.0 if part == low else 1.0 if part in (low.capitalize(), part.upper()) else 3.0
+    return place.bit_length() + 1.0 + extra + caps
+
+
+def date_bits(part: str) -> float | None:
+    return next((bits for bits, form in _DATES if form.fullmatch(part)), None)
+
+
+def walk_step(a: str, b: str) -> bool:
+    """Whether the second key is next to the first one on the keyboard, or in the alphabet or the digits."""
+    a, b = a.lower(), b.lower()
+    return (a, b) in _NEAR or (a.isalnum() and b.isalnum() and abs(ord(a) - ord(b)) == 1)
+
+
+#: Bits paid for each segment's kind, for a walk, and for each of its keys.
+KIND_BITS, WALK_BITS, KEY_BITS = 1.0, 6.0, 1.0
+#: Longest block of a repeat, and repeats at least, of one character and of longer blocks.
+BLOCK_CHARS, LEAST_TIMES, LEAST_BLOCKS = 8, 3, 2
+#: Characters of a date, at least and at most.
+_DATE_CHARS = (4, 10)
+
+
+class _Least:
+    """Minima of the costs at positions b, b - step, ..., over any number of them, as tables over powers of two."""
+
+    def __init__(self, cost: list[float]) -> None:
+        self.cost = cost
+        self.known: dict[tuple[int, int, int], tuple[float, int]] = {}
+
+    def _power(self, step: int, p: int, b: int) -> tuple[float, int]:
+        if p == 0:
+            return self.cost[b], b
+        key = (step, p, b)
+        if key not in self.known:
+            self.known[key] = min(self._power(step, p - 1, b), self._power(step, p - 1, b - (step << (p - 1))))
+        return self.known[key]
+
+    def of(self, step: int, b: int, many: int) -> tuple[float, int]:
+        p = many.bit_length() - 1
+        return min(self._power(step, p, b), self._power(step, p, b - (many - (1 << p)) * step))
 
-    def offer(i: int, j: int, bits: float, kind: str) -> None:
-        if cost[i] + bits < cost[j]:
-            cost[j], back[j] = cost[i] + bits, (i, kind)
-
-    same = [1] * n  # length of the run of one character from here
-    for i in range(n - 2, -1, -1):
-        if value[i] == value[i + 1]:
-            same[i] = same[i + 1] + 1
-    free = 0.0
-    for i in range(n):
-        kind = back[i][1]
-        offer(i, i + 1, _char_bits(value[i]) + (0.0 if kind == "brute" else 1.0), "brute")
-        for j in range(i + 3, min(n, i + _LONGEST) + 1):
-            part = low[i:j]
-            rank = _RANK.get(part)
-            free = 0.0
-            if rank is None and (rank := _RANK.get(plain[i:j])) is not None:
-                free = 2.0
-            if rank is not None:
-                caps = 0.0 if value[i:j] == part else 1.0 if value[i:j] in (part.capitalize(), part.upper()) else 3.0
-                offer(i, j, rank.bit_length() + 1.0 + free + caps + 1.0, "word")
-        if value[i].isdigit() and (m := _DATE.match(value, i)):
-            offer(i, m.end(), 7.0 if m.end() - i <= 4 else 11.0 if m.end() - i <= 7 else 16.0, "date")
-        if walk[i] - i >= 3:
-            for j in {walk[i], (i + walk[i]) // 2} if walk[i] - i >= 6 else {walk[i]}:
-                if j - i >= 3:
-                    offer(i, j, 6.0 + 1.0 * (j - i) + 1.0, "walk")
-        if same[i] >= 3:
-            offer(i, i + same[i], _char_bits(value[i]) + same[i].bit_length() + 1.0, "repeat")
-        for unit in range(2, 9):
-            block = value[i : i + unit]
-            if len(block) == unit and value.startswith(block, i + unit):
-                if i >= unit and value.startswith(block, i - unit):
-                    continue  # the run has begun before
-                k = 2
-                while value.startswith(block, i + k * unit):
-                    k += 1
-                offer(i, i + k * unit, sum(map(_char_bits, block)) + k.bit_length() + 1.0, "repeat")
+
+def guess_segments(value: str, rank: dict[str, int] = _RANK) -> tuple[float, list[tuple[str, int, int]]]:
+    """(bits of guesses, segments (kind, start, end)) of the cheapest segmentation; KIND_BITS are paid for each segment."""
+    n, longest = len(value), max(map(len, rank), default=0) if rank is _RANK else LONGEST_WORD
+    bits = [_char_bits(c) for c in value]
+    paid = [0.0, *accumulate(bits)]
+    cost: list[float] = [0.0] + [float("inf")] * n
+    back: list[tuple[int, str]] = [(0, "")] * (n + 1)
+    least = _Least(cost)
+    same = [0] * (BLOCK_CHARS + 1)  # characters up to here that equal those a block before
+    brute: tuple[float, int] = (float("inf"), 0)  # cost and start of the brute span that ends here
+    walk: tuple[float, int] = (float("inf"), 0)
+    keys = 1  # length of the walk that ends here
+
+    def offer(i: int, j: int, total: float, kind: str) -> None:
+        if total < cost[j]:
+            cost[j], back[j] = total, (i, kind)
+
+    for j in range(1, n + 1):
+        brute = min((cost[j - 1] + KIND_BITS, j - 1), brute)
+        brute = (brute[0] + bits[j - 1], brute[1])
+        offer(brute[1], j, brute[0], "brute")
+        keys = keys + 1 if j > 1 and walk_step(value[j - 2], value[j - 1]) else 1
+        if keys < 3:
+            walk = (float("inf"), 0)
+        else:
+            walk = min((walk[0] + KEY_BITS, walk[1]), (cost[j - 3] + KIND_BITS + WALK_BITS + 3 * KEY_BITS, j - 3))
+            offer(walk[1], j, walk[0], "walk")
+        for i in range(j - LEAST_WORD, max(j - longest, 0) - 1, -1):
+            if (b := word_bits(value[i:j], rank)) is not None:
+                offer(i, j, cost[i] + KIND_BITS + b, "word")
+        for i in range(j - _DATE_CHARS[0], max(j - _DATE_CHARS[1], 0) - 1, -1):
+            if value[i].isdigit() and (b := date_bits(value[i:j])) is not None:
+                offer(i, j, cost[i] + KIND_BITS + b, "date")
+        for unit in range(1, min(BLOCK_CHARS, j - 1) + 1):
+            same[unit] = same[unit] + 1 if value[j - 1] == value[j - 1 - unit] else 0
+            most, k = same[unit] // unit + 1, LEAST_TIMES if unit == 1 else LEAST_BLOCKS
+            while k <= most:  # times k to z take equally many bits
+                z = min(most, (1 << k.bit_length()) - 1)
+                total, i = least.of(unit, j - k * unit, z - k + 1)
+                offer(i, j, total + KIND_BITS + paid[j] - paid[j - unit] + k.bit_length(), "repeat")
+                k = z + 1
     out, j = [], n
     while j:
         i, kind = back[j]
-        if out and kind == "brute" and out[-1][0] == "brute":
-            out[-1] = (kind, i, out[-1][2])
-        else:
-            out.append((kind, i, j))
+        out.append((kind, i, j))
         j = i
     return cost[n], out[::-1]
 
 
-@lru_cache(1 << 15)
-def _bits(value: str) -> float:
-    return guess_segments(value)[0]
+def ranked_words(df: DataFrame, text: str = "text", most: int = VOCABULARY) -> dict[str, int]:
+    """The place of each of the `most` words that all texts together use most, behind the fixed ones.
+
+    A word is a run of LEAST_WORD to LONGEST_WORD letters A-Z between blanks, quotes or punctuation that no colon or
+    equals sign precedes, as those announce values.
+    """
+    ready(df.sparkSession)
+    letter = np.zeros(256, bool)
+    letter[[*range(65, 91), *range(97, 123)]] = True
+    edge = np.zeros(256, bool)
+    edge[[*b" \t\r\n\f\v.,;:!?()\"'"]] = True
+    sign = np.zeros(256, np.int64)
+    sign[[*b":="]] = 1
+
+    def counted(held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        """(word, n) of all the words held, as (hash, size, first byte, bytes)."""
+        h, size, chars = (np.concatenate([x[k] for x in held]) for k in range(3))
+        start = np.cumsum(size) - size
+        _, first, n = np.unique(h, return_index=True, return_counts=True)
+        own = size[first]
+        at = np.repeat(start[first], own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        offsets = np.r_[0, np.cumsum(own)].astype(np.int32)
+        found = pa.Array.from_buffers(pa.string(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(chars[at].tobytes())])
+        return pa.RecordBatch.from_arrays([found, pa.array(n, pa.int64())], ["word", "n"])
+
+    def run(batches):
+        held, many = [], 0
+        for b in batches:
+            data, offsets = buffer_of(b.column(0))
+            for i, j in slices(offsets):
+                d, o = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                start, end, doc = words(d, o, ~letter)
+                if not len(start):
+                    continue
+                text_start, text_end = o[doc], o[doc + 1]
+                ok = (end - start >= LEAST_WORD) & (end - start <= LONGEST_WORD)
+                ok &= (start == text_start) | edge[d[np.maximum(start - 1, 0)]]
+                ok &= (end == text_end) | edge[d[np.minimum(end, len(d) - 1)]]
+                signs = np.r_[0, np.cumsum(sign[d])]
+                last = np.r_[0, np.where(doc[1:] == doc[:-1], end[:-1], text_start[1:])] if len(doc) else start
+                start, end = start[ok & (signs[start] == signs[last])], end[ok & (signs[start] == signs[last])]
+                if not len(start):
+                    continue
+                size = end - start
+                at = np.repeat(start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                held.append((word_hashes(d, start, end), size, LOWER[d[at]]))
+                many += len(start)
+                if many >= COUNT_WORDS:
+                    yield counted(held)
+                    held, many = [], 0
+        if held:
+            yield counted(held)
+
+    found = df.select(text).mapInArrow(lean(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = found.filter("n > 1").orderBy(F.desc("n"), "word").limit(most).toArrow().column("word").to_pylist()  # most rows at most
+    fixed = dict(_RANK)
+    return fixed | {w: i for i, w in enumerate([w for w in top if w not in fixed], len(fixed) + 1)}
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -171,34 +264,38 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out + [("hex", *m.span()) for m in _HEX.finditer(text)]
 
 
-def spans(text: str, bits: float = GUESS_BITS, base: bool = True, context: bool = True) -> list[tuple[str, int, int]]:
+def spans(text: str, bits: float = GUESS_BITS, base: bool = True, context: bool = True, rank: dict[str, int] = _RANK) -> list[tuple[str, int, int]]:
     """All spans of one text, sorted."""
     out = base_spans(text) if base else []
     if context:
-        held = [(a, b) for _, a, b in out]
+        starts = sorted((a, b) for _, a, b in out)
+        ends = list(accumulate((b for _, b in starts), max))
         for m in _CONTEXT.finditer(text):
             a, b = m.span(1)
             if text[a - 1] not in "\"'`":  # an open value may end a sentence
                 b -= len(m[1]) - len(m[1].rstrip(".:!?)]}"))
-            if b - a >= LEAST_VALUE and not text[a:b].isalpha() and not any(x <= a and b <= y for x, y in held) and _bits(text[a:b]) >= bits:
+            before = bisect_right(starts, (a, len(text) + 1))
+            if b - a >= LEAST_VALUE and not (before and ends[before - 1] >= b) and guess_segments(text[a:b], rank)[0] >= bits:
                 out.append(("guess", a, b))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def found_spans(df: DataFrame, key: str = "doc_id", text: str = "text", bits: float = GUESS_BITS) -> DataFrame:
-    """(key, spans array<struct<kind, start, end>>) of every row."""
+def _searched(texts: pa.Array, bits: float, rank: dict[str, int]) -> list[list[tuple[str, int, int]]]:
+    base = pc.match_substring_regex(texts, _MAYBE_BASE).to_pylist()
+    context = pc.match_substring_regex(texts, _MAYBE_CONTEXT).to_pylist()
+    return [spans(texts[i].as_py(), bits, p, q, rank) if p or q else [] for i, (p, q) in enumerate(zip(base, context, strict=True))]
+
+
+def found_spans(df: DataFrame, key: str = "doc_id", text: str = "text", bits: float = GUESS_BITS, rank: dict[str, int] | None = None) -> DataFrame:
+    """(key, spans array<struct<kind, start, end>>) of every row. rank: the places of words, or None for those of df's texts."""
     ready(df.sparkSession)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    shared = df.sparkSession.sparkContext.broadcast(ranked_words(df, text) if rank is None else rank)
 
     def run(batches):
         for b in batches:
-            texts = b.column(1).fill_null("")
-            base = pc.match_substring_regex(texts, _MAYBE_BASE).to_pylist()
-            context = pc.match_substring_regex(texts, _MAYBE_CONTEXT).to_pylist()
-            found = [
-                [{"kind": k, "start": x, "end": y} for k, x, y in spans(texts[i].as_py(), bits, p, q)] if p or q else []
-                for i, (p, q) in enumerate(zip(base, context, strict=True))
-            ]
+            found = _searched(b.column(1).fill_null(""), bits, shared.value)
+            found = [[{"kind": k, "start": x, "end": y} for k, x, y in own] for own in found]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, kind)], [key, "spans"])
 
     return df.select(key, text).mapInArrow(lean(run), f"`{key}` {df.schema[key].dataType.simpleString()}, spans array<struct<kind string, start int, end int>>")
@@ -214,22 +311,18 @@ def redacted(text: str, found: list[tuple[str, int, int]], mark: str = "[SECRET]
     return "".join(out) + text[at:]
 
 
-def redactions(df: DataFrame, text: str = "text", length: str | None = "n_chars", mark: str = "[SECRET]") -> DataFrame:
+def redactions(df: DataFrame, text: str = "text", length: str | None = "n_chars", mark: str = "[SECRET]", rank: dict[str, int] | None = None) -> DataFrame:
     """df with its secrets replaced by marks, and the length column brought up to date where a text has changed."""
     ready(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(ranked_words(df, text) if rank is None else rank)
     names, schema = df.columns, df.schema
     at, size = names.index(text), names.index(length) if length in names else -1
 
     def run(batches):
         for b in batches:
             texts = b.column(at)
-            full = texts.fill_null("")
-            base = pc.match_substring_regex(full, _MAYBE_BASE).to_pylist()
-            context = pc.match_substring_regex(full, _MAYBE_CONTEXT).to_pylist()
-            new: dict[int, str] = {}
-            for i, (p, q) in enumerate(zip(base, context, strict=True)):
-                if (p or q) and (s := spans(t := full[i].as_py(), base=p, context=q)):
-                    new[i] = redacted(t, s, mark)
+            found = _searched(texts.fill_null(""), GUESS_BITS, shared.value)
+            new = {i: redacted(texts[i].as_py(), own, mark) for i, own in enumerate(found) if own}
             cols = list(b.columns)
             if new:
                 cols[at] = pa.array([new.get(i, t) for i, t in enumerate(texts.to_pylist())], texts.type)

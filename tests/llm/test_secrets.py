@@ -4,6 +4,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from plumbline.llm import secrets as S
 from plumbline.llm.secrets import COMMON, _CONTEXT, _MAYBE_BASE, _MAYBE_CONTEXT, base_spans, digests, found_spans, guess_segments, redacted, redactions, spans
 
 
@@ -39,6 +40,63 @@ def test_guess_cost():
     assert guess_segments("")[0] == 0
 
 
+def least_bits(value, rank):
+    """The cheapest of all ways to cut a value, tried one by one."""
+
+    def segment(part):
+        found = [sum(map(S._char_bits, part))]
+        found += [b for b in (S.word_bits(part, rank) if len(part) >= 3 else None, S.date_bits(part)) if b is not None]
+        if len(part) >= 3 and all(map(S.walk_step, part, part[1:])):
+            found.append(6.0 + len(part))
+        for unit in range(1, 9):
+            times = len(part) // unit
+            if times >= (3 if unit == 1 else 2) and part == part[:unit] * times:
+                found.append(sum(map(S._char_bits, part[:unit])) + times.bit_length())
+        return 1.0 + min(found)
+
+    known = {}
+
+    def best(i):
+        if i not in known:
+            known[i] = min((segment(value[i:j]) + best(j) for j in range(i + 1, len(value) + 1)), default=0.0)
+        return known[i]
+
+    return best(0)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["password", "Pa$$", "w0rd", "asdf", "guest", "1", "a", "aa", "abc", "zyx", "2024", "12", "01", "-", "31", "é", "Q", "xy", "xyxy", "qwe"]), max_size=9))
+def test_guess_cost_is_least(parts):
+    value = "".join(parts)
+    rank = S._RANK | {"xyx": 3000, "asd": 90}
+    bits, found = guess_segments(value, rank)
+    assert abs(bits - least_bits(value, rank)) < 1e-6
+    assert "".join(value[a:b] for _, a, b in found) == value
+
+
+def test_long_values():
+    """Long repeats, walks and many spans take time in proportion, or nearly so."""
+    for unit in ("a", "ab", "abcdefgh", "xqzvkwpj", "asas"):
+        assert guess_segments(unit * 4000)[0] < 70
+    for unit, times in (("a", 37), ("xq", 23), ("zab", 19)):
+        value = "k7" + unit * times + "p" + unit * 5
+        assert abs(guess_segments(value)[0] - least_bits(value, S._RANK)) < 1e-6
+    many = " ".join(f"token=abc{i}def secret: Zx{i}qWv" for i in range(8000))
+    assert len(spans(many)) == 16000
+
+
+def test_words_of_the_documents(spark):
+    text = "Xkqjz vbw, xkqjz: mnthg\nthe vbw (vbw) a1b token=mnthg q9"
+    df = spark.createDataFrame([(1, text), (2, "vbw " * 3), (3, None), (4, ""), (5, "é vbwé xkqjz")], "doc_id int, text string")
+    rank = S.ranked_words(df)
+    own = sorted((w for w in rank if w not in COMMON), key=rank.get)
+    assert own == ["vbw", "xkqjz"] and rank["vbw"] == len(S._RANK) + 1
+    assert "mnthg" not in rank and S.ranked_words(df.limit(0)) == S._RANK
+    rows = [(1, "pwd: xkqjzvbwplmnthgr"), (2, "passphrase is ordinaryword")] + [(3, "an ordinaryword here")] * 2
+    found = {r.doc_id: r.spans for r in found_spans(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert [(s.kind, s.start, s.end) for s in found[1]] == [("guess", 5, 21)] and not found[2] and not found[3]
+
+
 def test_context_values():
     text = "pwd: Xk9$mQ2!vB7z, passphrase is changeme123 and the password is given; bearer: 'tr0ub4dor&3Zq!'"
     assert [(k, text[a:b]) for k, a, b in spans(text)] == [("guess", "Xk9$mQ2!vB7z"), ("guess", "tr0ub4dor&3Zq!")]

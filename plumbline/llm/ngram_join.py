@@ -301,26 +301,28 @@ def size_band_of(n: F.Column) -> F.Column:
     return F.floor(F.log(F.greatest(n, F.lit(1))) / BAND)
 
 
-def _counted(a: np.ndarray, b: np.ndarray, bound: np.ndarray) -> list[np.ndarray]:
-    """(a, b, the least of their bounds, how often they occur)."""
+def _counted(a: np.ndarray, b: np.ndarray, bound: np.ndarray, able: np.ndarray | None = None) -> list[np.ndarray]:
+    """(a, b, the least of their bounds, how often they occur and are able)."""
     if not len(a):
-        return [np.zeros(0, np.int64)] * 4
+        return [np.zeros(0, np.int64)] * (4 if able is None else 5)
     at = np.lexsort((b, a))
     a, b, bound = a[at], b[at], bound[at]
     first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-    return [a[first], b[first], np.minimum.reduceat(bound, first), np.diff(np.r_[first, len(a)])]
+    found = [a[first], b[first], np.minimum.reduceat(bound, first), np.diff(np.r_[first, len(a)])]
+    return found if able is None else [*found, np.add.reduceat(able[at].astype(np.int64), first)]
 
 
 def hub_pairs(row, size, column, place) -> list[np.ndarray]:
-    """(row, hub, bound, shared): of each column its hub with each other row.
+    """(row, hub, bound, shared, able): of each column its hub with each other row, and in how many they may be linked.
 
     The hub is the row with the fewest rarer columns, that is the one most like the others. Entries are by column.
     """
     new = np.r_[True, column[1:] != column[:-1]]
     first, group = np.flatnonzero(new), np.cumsum(new) - 1
     hub = np.lexsort((_scrambled(row), place, group))[first][group]
-    ok = (row != row[hub]) & _linkable(size, size[hub]) & _reaches(size, place, size[hub], place[hub])
-    return _counted(row[ok], row[hub[ok]], pair_bound(size[ok], size[hub[ok]]))
+    ok = row != row[hub]
+    able = _linkable(size, size[hub]) & _reaches(size, place, size[hub], place[hub])
+    return _counted(row[ok], row[hub[ok]], pair_bound(size[ok], size[hub[ok]]), able[ok])
 
 
 def part_meetings(row, size, column, place, root, part) -> list[np.ndarray]:
@@ -360,8 +362,8 @@ def part_meetings(row, size, column, place, root, part) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*found, strict=True)]
 
 
-def _product(met: DataFrame, work) -> DataFrame:
-    """(a, b, bound, shared): what work makes of each block's entries."""
+def _hubs(met: DataFrame) -> DataFrame:
+    """(a, b, able): each row with the hub it shares most columns with, and whether it shares as many as a link takes."""
 
     def run(batches):
         for b in batches:
@@ -369,17 +371,14 @@ def _product(met: DataFrame, work) -> DataFrame:
                 row, size, _, column, place = _unpacked(blob)
                 if not len(row):
                     continue
-                found = work(row, size.astype(np.int64), column, place.astype(np.int64))
+                found = hub_pairs(row, size.astype(np.int64), column, place.astype(np.int64))
                 for i in range(0, len(found[0]), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(f[i : i + (1 << 16)].astype(np.int64)) for f in found], ["a", "b", "bound", "shared"])
-
-    return met.select("packed").mapInArrow(lean(run), "a long, b long, bound long, shared long")
+                    yield pa.RecordBatch.from_arrays([_signed(f[i : i + (1 << 16)]) for f in found], ["a", "b", "bound", "shared", "able"])
 
-
-def _hubs(met: DataFrame) -> DataFrame:
-    """(a, b): each row with the hub it shares most columns with, if it shares as many as a link takes."""
-    pairs = _product(met, hub_pairs).groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("bound").alias("bound"))
-    return pairs.filter("shared >= bound").groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
+    pairs = met.select("packed").mapInArrow(lean(run), "a long, b long, bound long, shared long, able long")
+    pairs = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.sum("able").alias("able"), F.min("bound").alias("bound"))
+    best = pairs.groupBy("a").agg(F.max(F.struct("shared", "b", (F.col("able") >= F.col("bound")).alias("able"))).alias("best"))
+    return best.select("a", "best.b", "best.able")
 
 
 def _meetings(met: DataFrame, labels: DataFrame) -> DataFrame:
@@ -408,7 +407,7 @@ def _meetings(met: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _parts(rows: DataFrame, hubs: DataFrame, families: DataFrame, roots: DataFrame) -> DataFrame:
-    """(row, root, part): rows that hubs connect, of one size band, are a part; larger ones are split by hub, then at random.
+    """(row, root, part): rows that hubs connect, of one size band, are a part, or several where they are too many for one.
 
     rows: (row, n). A part holds about TILE_ROWS rows and TILE_ENTRIES entries at most.
     """
@@ -425,8 +424,9 @@ def _parts(rows: DataFrame, hubs: DataFrame, families: DataFrame, roots: DataFra
         return all_.groupBy(by, "band").agg(tiles.alias(f"{by}_tiles")).filter(f"{by}_tiles > 1")
 
     of = all_.join(large("family"), ["family", "band"], "left").join(large("hub"), ["hub", "band"], "left")
-    salt = F.when(F.col("hub_tiles") > 1, F.pmod(F.xxhash64("row"), F.col("hub_tiles"))).otherwise(0)
-    part = F.when(F.col("family_tiles") > 1, F.xxhash64(F.lit("hub"), "hub", "band", salt)).otherwise(F.xxhash64(F.lit("family"), "family", "band"))
+    # rows of a hub go together unless they are too many for one tile
+    salt = F.when(F.col("hub_tiles") > 1, F.xxhash64(F.lit("row"), "row")).otherwise(F.xxhash64(F.lit("hub"), "hub"))
+    part = F.xxhash64("family", "band", F.pmod(salt, F.coalesce("family_tiles", F.lit(1))))
     out = stored(rows.sparkSession, of.select("row", "root", part.alias("part")), "parts")
     forget(all_)
     return out
@@ -651,8 +651,8 @@ def _components_of(df: DataFrame, ident: F.Column, text: str, k: int) -> DataFra
     tidied(spark)
 
     hubs = stored(spark, _hubs(met), "hubs")
-    links = stored(spark, _links(hubs, sets), "links")
-    roots, families = components(spark, links), components(spark, hubs)
+    links = stored(spark, _links(hubs.filter("able").select("a", "b"), sets), "links")
+    roots, families = components(spark, links), components(spark, hubs.select("a", "b"))
     parts = _parts(some, hubs, families, roots)
     forget(hubs, roots, families)
     tidied(spark)

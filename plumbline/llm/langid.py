@@ -3,12 +3,15 @@
 A text is a TF-IDF vector over hashed byte 2- and 3-grams of its letters (all else is one blank), of unit length.
 Document frequencies count every learning document. Each language's centroids come from a bounded sample of its
 documents by spherical k-means, one group per language, so no task and no driver holds more than one language's sample.
+The sample is what has a hash of id and text under the language's bound, which comes from how many different documents
+the language has (rows that repeat count once), so no task sees all rows of a language.
 A text gets the language of the centroid with the largest cosine; where that cosine is under the centroid's own least
 usual one, the prediction is marked as rejected.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, and so is every text when nothing was
 learned; ties go to the language that sorts first; rows that repeat are predicted one by one; empty tables give empty
-tables; other columns are ignored.
+tables; other columns are ignored, whatever their names. More than LANGUAGES languages raise an error, as each takes
+CENTROIDS * DIMENSIONS * 4 bytes of the model.
 """
 
 from __future__ import annotations
@@ -19,12 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import LOWER, MOST_IDS, buffer_of, lean, ready, slices, stored
+from .common import LOWER, buffer_of, lean, ready, slices
 
-#: Dimensions of the hashed vectors, documents of a language that its centroids come from, and centroids a language.
+#: Dimensions of the hashed vectors, documents of a language that its centroids come from, about, and centroids a language.
 DIMENSIONS, PER_LANGUAGE, CENTROIDS = 8192, 600, 4
+#: Languages at most (64 MB of centroids).
+LANGUAGES = 512
 #: Share of a centroid's own sample that falls under its rejection bound.
 REJECT_SHARE = 0.005
 _SHARP = 24.0
@@ -136,11 +140,13 @@ def fit_centroids(spark: SparkSession, docs: DataFrame, learn: Column, key: str
     held, n = frequencies(rows, "text")
     idf = np.log((1 + n) / (1 + held)).astype(np.float32) + 1
     shared = spark.sparkContext.broadcast(idf)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    ids = rows.select("id", "lang").withColumn("k", rank).filter(F.col("k") <= PER_LANGUAGE).select(F.col("id").alias("own"), F.col("lang").alias("l"))
-    ids = stored(spark, ids.distinct(), "language-sample")
-    short = ids.limit(MOST_IDS + 1).count() <= MOST_IDS
-    some = rows.join(F.broadcast(ids) if short else ids, F.col("id").eqNullSafe(F.col("own")) & (F.col("lang") == F.col("l"))).select("lang", "text")
+    place = F.xxhash64(F.lit("sample"), "id", "text")
+    many = rows.groupBy("lang").agg(F.approx_count_distinct(place, 0.02).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1).collect()
+    if len(many) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    share = F.element_at(F.create_map(*[x for r in many for x in (F.lit(r.lang), F.lit(min(1.0, PER_LANGUAGE / r.n)))]), F.col("lang")) if many else F.lit(0.0)
+    # the upper 53 bits of the hash as a number from 0 to 1
+    some = rows.withColumn("place", place).filter(F.shiftrightunsigned("place", 11) < share * float(1 << 53)).dropDuplicates(["id", "place"])
 
     def cluster(t: pa.Table) -> pa.Table:
         own = t.column("lang")[0].as_py()
@@ -151,7 +157,7 @@ def fit_centroids(spark: SparkSession, docs: DataFrame, learn: Column, key: str
         usual = [float(np.quantile(cosine[mine == j, j], REJECT_SHARE)) if (mine == j).any() else 2.0 for j in range(len(c))]
         return pa.table({"lang": [own] * len(c), "least": usual, "vector": [v.tobytes() for v in c]})
 
-    got = some.groupBy("lang").applyInArrow(cluster, "lang string, least double, vector binary").collect()  # CENTROIDS rows a language
+    got = some.select("lang", "text").groupBy("lang").applyInArrow(cluster, "lang string, least double, vector binary").collect()  # CENTROIDS rows a language
     got.sort(key=lambda r: (r.lang, r.vector))
     langs = sorted({r.lang for r in got})
     wide = np.array([np.frombuffer(r.vector, np.float32) for r in got], np.float32).reshape(len(got), DIMENSIONS)

@@ -68,8 +68,52 @@ def test_the_queue_pops_by_penalty():
     r = np.random.default_rng(5)
     x = r.normal(size=(600, 8))
     f = A.fit_forest(x, float(np.linalg.norm(x, axis=1).max()), leaf=20)
-    for q in x[:10]:
-        assert set(f.popped(q, 9)) == set(f.first(q[None], 9)[0].tolist())
-    p = f.penalties(x)
-    own = f.leaf_of(x)
-    assert own.shape == (A.TREES, 600) and (p.min(1) >= 0).all()
+    own = A.trials(x, 10)
+    assert (own[1] != own[0][:, None]).all()
+    A.fit_neighbours(f, x, *own)
+    leaf = f.leaf_of(x)
+    assert leaf.shape == (A.TREES, 600) and np.bincount(leaf[0]).max() <= 40
+    held = np.concatenate([np.bincount(t, minlength=f.leaves) for t in leaf])
+    every = A.TREES * f.leaves
+    for q, p, s in zip(x[:10], f.penalties(x[:10]), f.sides(x[:10]), strict=True):
+        assert f.popped(s, 9) == np.argsort(p, kind="stable")[:9].tolist()
+        out = f.popped(s, every)
+        assert sorted(out) == list(range(every)) and (np.diff(p[out]) >= -1e-9).all()
+        short = f.popped(s, 1, held, 60)  # goes on until a tree's leaves hold 60 rows
+        rows = [sum(held[n] for n in short if n // f.leaves == t) for t in range(A.TREES)]
+        assert max(rows) >= 60 > max(sum(held[n] for n in short[:-1] if n // f.leaves == t) for t in range(A.TREES))
+
+
+def test_queries_are_never_left_short(spark, monkeypatch):
+    """One popped leaf holds fewer rows than a query lists: it pops on. Queries come in several blocks."""
+    monkeypatch.setattr(A, "budget_of", lambda *_: 1)
+    monkeypatch.setattr(A, "GROUP_QUERIES", 7)
+    monkeypatch.setattr(A, "GROUP_ROWS", 50)
+    monkeypatch.setattr(A, "HELD_SCORES", 500)
+    monkeypatch.setattr(A, "ONE_LEAF", 50)
+    r = np.random.default_rng(6)
+    x = r.normal(size=(900, 6)).astype(np.float32)
+    x[400:700] = x[399]  # one vector of many rows
+    df = spark.createDataFrame([(i, v, "x") for i, v in enumerate(x.tolist())], SCHEMA)
+    got = {}
+    for n in A.nearest(df, F.col("id") % 10 == 0, k=20).collect():
+        got.setdefault(n.query_id, []).append((n.rank, n.vec_id, n.score))
+        assert abs(n.score - float(x[n.query_id].astype(float) @ x[n.vec_id].astype(float))) < 1e-9
+    assert sorted(got) == list(range(0, 900, 10)) and all(sorted(k for k, _, _ in v) == list(range(1, 21)) for v in got.values())
+
+
+def test_what_is_reranked(spark):
+    """Vectors with structure: a query scores a small share of all rows and finds nine tenths of its neighbours."""
+    r = np.random.default_rng(8)
+    x = (r.normal(size=(40, 32))[r.integers(0, 40, 6000)] + 0.35 * r.normal(size=(6000, 32))).astype(np.float32)
+    f = A.fit_forest(x.astype(float), float(np.linalg.norm(x, axis=1).max()))
+    at, best = A.trials(x.astype(float), 20)
+    A.fit_neighbours(f, x.astype(float), at, best)
+    budget = A.budget_of(f, x.astype(float), at, best)
+    leaf = f.leaf_of(x.astype(float)) + np.arange(A.TREES)[:, None] * f.leaves
+    share, hit = [], []
+    for i, near, s in zip(at, best, f.sides(x[at].astype(float)), strict=True):
+        seen = np.isin(leaf, f.popped(s, budget)).any(0)
+        share.append(seen.mean())
+        hit.append(seen[near].mean())
+    assert np.mean(hit) >= 0.9 and np.mean(share) <= 0.2, (np.mean(hit), np.mean(share))

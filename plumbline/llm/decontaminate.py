@@ -1,16 +1,21 @@
 """Benchmark decontamination: an inverted index of the test items, queried by every passage of every training document.
 
 A passage is a window of twice the longest item's words (and some slack), half of it shared with the next, so that a
-copy lies within one. Passages are queries, items are what BM25 scores. Items stand in blocks; a term's largest weight in
-each block bounds the score that any item of a block can get, and only blocks whose bound reaches a threshold of theirs
-are opened (block-max WAND, for all passages of a slice at once). An item's threshold is the least score that a passage
-with three quarters of its shingles can have, so retrieval loses nothing that verification would accept. Retrieved items
-are verified in the passage: at least 3/4 of the item's five-word shingles, and at least 3/4 of the words of its answer,
-its last third.
+copy lies within one. Passages are queries, items are what BM25 scores. An item's threshold is the least score that a
+passage with three quarters of its shingles can have, so retrieval loses nothing that verification would accept.
+
+Retrieval is block-max WAND, for all passages of a slice at once. Items stand in order of their thresholds, in blocks, and
+blocks in tiers of like thresholds. A passage's terms are ordered by their largest weights; up to the pivot, where these
+add up to the tier's least threshold, terms alone cannot reach it, so only blocks that hold a term from the pivot on are
+looked at. A block whose largest weights of the passage's terms do not add up to its least threshold stays closed; the
+others' postings are scored. Only pairs of a term and a block that occur are kept, so the index grows with its words.
+Retrieved items are verified in the passage: at least 3/4 of the item's five-word shingles, and at least 3/4 of the words
+of its answer, its last third.
 
 Defined results: null or empty texts hold nothing; items without words are never found; items of fewer than five words
-are one shingle; repeated documents or items count once per id; empty tables give empty tables; other columns are
-ignored. The index is broadcast in parts of at most ``INDEX_WORDS`` words; more items mean more passes.
+are one shingle; repeated documents or items count once per id, and all items that tie with a threshold are verified;
+empty tables give empty tables; other columns are ignored, whatever their names. The index is broadcast in parts of about
+``INDEX_WORDS`` words, at most 60 bytes each; more items mean more passes.
 """
 
 from __future__ import annotations
@@ -35,12 +40,17 @@ class Index:
     half: int  # words that windows move on by
     terms: np.ndarray  # sorted hashes
     maybe: np.ndarray
-    bounds: np.ndarray  # (terms, blocks): largest weight
+    most: np.ndarray  # largest weight of each term
+    blocks: int
+    tiers: list[tuple[float, int, int]]  # least threshold, first block, end
     opens: np.ndarray  # least threshold of each block
-    thresholds: np.ndarray
-    at: np.ndarray  # postings of term t in block b: from at[t * blocks + b]
-    items: np.ndarray
+    limits: np.ndarray  # threshold of each place in the order of thresholds
+    cells: np.ndarray  # term * blocks + block of each pair that occurs, in order
+    bounds: np.ndarray  # largest weight of a cell
+    at: np.ndarray  # postings of a cell: from at[cell]
+    items: np.ndarray  # places
     weights: np.ndarray
+    by: np.ndarray  # item at each place
     shingles: list[np.ndarray]
     answers: list[np.ndarray]
     lengths: np.ndarray  # words of each item
@@ -80,17 +90,24 @@ def build_index(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, half: in
         if len(own):
             lost = len(shingles[i]) - -(-3 * len(shingles[i]) // 4)  # shingles that may be missing, and words at most
             thresholds[i] = max(own[lost:].sum() * (1 - 1e-6), 1e-9)
+    by = np.argsort(thresholds, kind="stable")
+    place = np.empty(n, np.int64)
+    place[by] = np.arange(n)
+    item, limits = place[item], np.append(thresholds[by], np.full(-n % BLOCK or (BLOCK if n == 0 else 0), np.inf))
     blocks = max(1, -(-n // BLOCK))
-    order = np.lexsort((item, item // BLOCK, term))
+    order = np.lexsort((item, term))
     item, term, weight = item[order], term[order], weight[order]
-    cell = term * blocks + item // BLOCK
-    bounds = np.zeros(len(terms) * blocks)
-    np.maximum.at(bounds, cell, weight)
+    cells, first = np.unique(term * blocks + item // BLOCK, return_index=True)
+    bounds = np.maximum.reduceat(weight, first) if len(first) else weight
+    most = np.zeros(len(terms))
+    np.maximum.at(most, cells // blocks, bounds)
     maybe = np.zeros(1 << 20, bool)
     maybe[(terms >> np.uint64(44)).astype(np.int64)] = True
-    opens = np.array([thresholds[b * BLOCK : (b + 1) * BLOCK].min(initial=np.inf) for b in range(blocks)])
-    at = np.searchsorted(cell, np.arange(len(terms) * blocks + 1))
-    return Index(ids, half, terms, maybe, bounds.reshape(len(terms), blocks), opens, thresholds, at, item, weight, shingles, answers, size)
+    opens = limits[::BLOCK]
+    level = np.floor(np.log2(opens[np.isfinite(opens)]))
+    ends = np.flatnonzero(np.r_[True, level[1:] != level[:-1], True]) if len(level) else np.zeros(0, np.int64)
+    tiers = [(float(opens[a]), int(a), int(b)) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return Index(ids, half, terms, maybe, most, blocks, tiers, opens, limits, cells, bounds, np.append(first, len(item)), item.astype(np.int32), weight, by, shingles, answers, size)
 
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -104,25 +121,53 @@ def retrieve(index: Index, term: np.ndarray, window: np.ndarray) -> tuple[np.nda
     none = np.zeros(0, np.int64)
     if not len(term):
         return none, none
-    blocks = index.bounds.shape[1]
     pair = np.unique(window * len(index.terms) + term)
     window, term = pair // len(index.terms), pair % len(index.terms)
+    order = np.lexsort((index.most[term], window))
+    window, term = window[order], term[order]
+    most = index.most[term]
     first = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
     size = np.diff(np.r_[first, len(window)])
-    open_ = np.add.reduceat(index.bounds[term], first, axis=0) >= index.opens
-    w, b = np.nonzero(open_)
-    if not len(w):
-        return none, none
-    which = np.repeat(np.arange(len(w)), size[w])
-    cell = term[_spread(first[w], size[w])] * blocks + b[which]
+    number = np.repeat(np.arange(len(first)), size)  # of the window
+    sums = np.cumsum(most)
+    sums -= (sums[first] - most[first])[number]
+    found = [_scored(index, tier, term, most, first, size, number, sums) for tier in index.tiers]
+    w, i = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (none, none)
+    return window[first[w]], i
+
+
+def _scored(index: Index, tier: tuple[float, int, int], term, most, first, size, number, sums) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the window, item) of what reaches its threshold in the blocks of one tier."""
+    least, begin, end = tier
+    pivot = sums >= least * (1 - 1e-9)
+    own = np.flatnonzero(pivot)
+    a, b = (np.searchsorted(index.cells, term[own] * index.blocks + x) for x in (begin, end))
+    cell = _spread(a, b - a)
+    key = np.repeat(number[own], b - a) * index.blocks + index.cells[cell] % index.blocks
+    near, which = np.unique(key, return_inverse=True)
+    w, block = near // index.blocks, near % index.blocks
+    before = np.add.reduceat(~pivot, first).astype(np.int64)  # terms in front of the pivot come first in their window
+    rest = np.where(before > 0, sums[first + np.maximum(before - 1, 0)], 0.0)
+    bound = np.bincount(which, index.bounds[cell], len(near))
+    some = bound + rest[w] >= index.opens[block] * (1 - 1e-9)
+    # the bounds of the terms in front of the pivot, in the blocks that are left
+    left = np.flatnonzero(some)
+    slot = np.repeat(left, before[w[left]])
+    wanted = term[_spread(first[w[left]], before[w[left]])] * index.blocks + block[slot]
+    at = np.minimum(np.searchsorted(index.cells, wanted), len(index.cells) - 1)
+    ok = index.cells[at] == wanted
+    slot, at = slot[ok], at[ok]
+    bound += np.bincount(slot, index.bounds[at], len(near))
+    some &= bound >= index.opens[block] * (1 - 1e-9)
+    cell, slot = np.r_[cell, at], np.r_[which, slot]
+    keep = some[slot]
+    cell, slot = cell[keep], slot[keep]
+    opened = np.cumsum(some) - 1
     many = index.at[cell + 1] - index.at[cell]
-    at = _spread(index.at[cell], many)
-    slot = np.repeat(which, many) * BLOCK + index.items[at] % BLOCK
-    score = np.bincount(slot, index.weights[at], len(w) * BLOCK).reshape(len(w), BLOCK)
-    limit = np.full(blocks * BLOCK, np.inf)
-    limit[: len(index.thresholds)] = index.thresholds
-    k, i = np.nonzero(score >= limit.reshape(blocks, BLOCK)[b])
-    return window[first[w[k]]], b[k] * BLOCK + i
+    post = _spread(index.at[cell], many)
+    score = np.bincount(np.repeat(opened[slot], many) * BLOCK + index.items[post] % BLOCK, index.weights[post], int(some.sum()) * BLOCK)
+    k, i = np.nonzero(score.reshape(-1, BLOCK) >= index.limits.reshape(-1, BLOCK)[block[some]])
+    return w[some][k], index.by[block[some][k] * BLOCK + i]
 
 
 def search(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:

@@ -97,4 +97,49 @@ def test_edges(spark):
     assert got == sorted([(3, 1), (None, 1), (4, 1), (6, 4), (7, 1)], key=str)
     a, b = frames(spark, docs, items)
     assert D.verified(spark, a.limit(0), b).count() == 0 and D.verified(spark, a, b.limit(0)).count() == 0
-    assert {r.doc_id for r in D.decontaminated(spark, a, b).collect()} == {1, 2, None, 5}
+    kept = D.decontaminated(spark, a, b)
+    assert kept.columns == a.columns and {r.doc_id for r in kept.collect()} == {1, 2, 5}
+
+
+def test_rows_go_by_their_text(spark):
+    """A row without an id goes if it holds an item; a clean one that shares the id of another stays."""
+    q = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(1, q, 1), (1, "clean words here", 2), (None, f"so {q}", 3), (None, "clean", 4), (5, None, 5)], "doc_id long, text string, mark_0 int")
+    kept = D.decontaminated(spark, docs, spark.createDataFrame([(1, q)], "item_id long, text string"))
+    assert kept.columns == docs.columns and sorted(r.mark_0 for r in kept.collect()) == [2, 4, 5]
+
+
+def test_retrieval_against_all_scores(monkeypatch):
+    """What the pivots and bounds leave out scores under its threshold, in blocks of few items and in several tiers."""
+    monkeypatch.setattr(D, "BLOCK", 4)
+    _, items = corpus(7)
+    data, offsets = buffer_of(pa.array([t for _, t in items]))
+    index = D.build_index(np.arange(len(items)), data, offsets, 40)
+    assert len(index.tiers) > 2
+    weight = np.zeros((len(index.terms), len(items)))
+    for c, cell in enumerate(index.cells):
+        for p in range(index.at[c], index.at[c + 1]):
+            weight[cell // index.blocks, index.by[index.items[p]]] = index.weights[p]
+    thresholds = np.empty(len(items))
+    thresholds[index.by] = index.limits[: len(items)]
+    r = np.random.default_rng(1)
+    term, window = r.integers(0, len(index.terms), 2000), r.integers(0, 60, 2000)
+    got = set(zip(*(x.tolist() for x in D.retrieve(index, term, window)), strict=True))
+    for w in range(60):
+        score = weight[np.unique(term[window == w])].sum(0)
+        clear = np.abs(score / thresholds - 1) > 1e-9
+        assert {i for v, i in got if v == w and clear[i]} == set(np.flatnonzero((score >= thresholds) & clear).tolist())
+
+
+def test_the_index_grows_with_its_words():
+    """Four times the items, with four times the words that differ: four times the bytes, or nearly so."""
+
+    def size(n):
+        r = np.random.default_rng(2)
+        texts = pa.array([" ".join(f"w{x}" for x in r.integers(0, 20 * n, 50)) for _ in range(n)])
+        index = D.build_index(np.arange(n), *buffer_of(texts), 60)
+        arrays = [v for v in vars(index).values() if isinstance(v, np.ndarray) and v is not index.maybe]
+        return sum(a.nbytes for a in [*arrays, *index.shingles, *index.answers])
+
+    small, large = size(500), size(2000)
+    assert large < 4.4 * small and large < 60 * 2000 * 50

@@ -100,15 +100,18 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return whole
 
 
-#: Ids of a list that is broadcast at most.
+#: Rows of ids and numbers that are broadcast at most.
 MOST_IDS = 1_000_000
 
 
+def sized(few: DataFrame) -> DataFrame:
+    """A table of narrow rows, marked to be broadcast if it was counted to be short enough."""
+    return F.broadcast(few) if few.limit(MOST_IDS + 1).count() <= MOST_IDS else few
+
+
 def without(docs: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of docs whose keys are not among gone's; rows with a null key stay. Short lists are broadcast, others shuffled."""
-    gone = gone.select(*keys).dropna().distinct()
-    short = gone.limit(MOST_IDS + 1).count() <= MOST_IDS
-    return docs.join(F.broadcast(gone) if short else gone, keys, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.join(sized(gone.select(*keys).dropna().distinct()), keys, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def fresh_names(df: DataFrame, n: int) -> list[str]:

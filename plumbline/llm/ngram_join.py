@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import buffer_of, forget, fresh_names, lean, mixed, ready, shingle_sets, slices, stored, tidied, without
+from .common import buffer_of, forget, fresh_names, lean, mixed, ready, shingle_sets, sized, slices, stored, tidied, without
 from .components import components
 
 #: Frequent columns at most, and entries of one counting block.
@@ -421,7 +421,7 @@ def _parts(rows: DataFrame, hubs: DataFrame, families: DataFrame, roots: DataFra
     def large(by: str) -> DataFrame:
         """What is too large for one tile, with the tiles it takes: few rows, as each holds a tile's worth."""
         tiles = F.ceil(F.greatest(F.count(F.lit(1)) / TILE_ROWS, F.sum("n") / TILE_ENTRIES)).cast("long")
-        return all_.groupBy(by, "band").agg(tiles.alias(f"{by}_tiles")).filter(f"{by}_tiles > 1")
+        return sized(all_.groupBy(by, "band").agg(tiles.alias(f"{by}_tiles")).filter(f"{by}_tiles > 1"))
 
     of = all_.join(large("family"), ["family", "band"], "left").join(large("hub"), ["hub", "band"], "left")
     # rows of a hub go together unless they are too many for one tile

@@ -34,7 +34,7 @@ BASE = KINDS[:3]
 #: Bits of guesses from which a value counts as a secret, and its least length.
 GUESS_BITS, LEAST_VALUE = 32.0, 6
 #: Words of the documents that are ranked at most, their least and largest length, and words that a task counts at once.
-VOCABULARY, LEAST_WORD, LONGEST_WORD, COUNT_WORDS = 1 << 17, 3, 24, 1 << 21
+VOCABULARY, LEAST_WORD, LONGEST_WORD, COUNT_WORDS = 1 << 17, 3, 24, 1 << 20
 
 
 def _either(word: str) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import geometry as G
 
@@ -50,14 +51,16 @@ def dedupe_conflict(rows: DataFrame, keys: list[str], value: str, order: str) ->
     return agg.filter("lo_ <=> hi_").select(*keys, F.col("lo_").alias(value), order)
 
 
-def consensus(readings: DataFrame, keys: list[str], model: str, lo: str, hi: str, least: int = 2) -> DataFrame:
+def consensus(readings: DataFrame, keys: list[str], model: str, lo: str, hi: str, width: int, least: int = 2) -> DataFrame:
     """Readings that meet readings of the same key by at least `least` models in all, their open intervals overlapping.
 
-    Adds `agree`. Later readings that repeat one are not taken out here; `first_readings` does that group by group.
+    Adds `agree`. Intervals meet in cells of `width`, each pair in the cell where the later one begins. Later readings that
+    repeat one are not taken out here; `first_readings` does that group by group.
     """
-    a = readings.withColumn("rid_", F.struct(*keys, model, lo, hi))
-    b = readings.select(*keys, F.col(model).alias("model_b"), F.col(lo).alias("lo_b"), F.col(hi).alias("hi_b"))
-    met = a.join(b, keys).filter((F.col(lo) < F.col("hi_b")) & (F.col("lo_b") < F.col(hi)))
+    cells = readings.withColumn("cell_", F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.col(hi) / width))))
+    b = cells.select(*keys, "cell_", F.col(model).alias("model_b"), F.col(lo).alias("lo_b"), F.col(hi).alias("hi_b"))
+    met = cells.join(b, [*keys, "cell_"]).filter((F.col(lo) < F.col("hi_b")) & (F.col("lo_b") < F.col(hi)))
+    met = met.filter(F.floor(F.greatest(F.col(lo), "lo_b") / width) == F.col("cell_"))
     agree = met.groupBy(*keys, model, lo, hi).agg(F.count_distinct("model_b").alias("agree"))
     return agree.filter(F.col("agree") >= least)
 
@@ -94,11 +97,12 @@ def decide(votes: Column, least: int = 2) -> Column:
 def corroborated(hits: DataFrame, keys: list[str], node: str, distance: str, tol: float = 8.0, least: int = 2, near: float = 2.0) -> DataFrame:
     """(keys, corroborated, near): whether enough distinct nodes agree within tol; or the best does and the k-th nearly."""
     best = hits.groupBy(*keys, node).agg(F.min(distance).alias("d"))
-    ds = F.array_sort(F.collect_list("d"))
-    # of the nodes only the `least` best ones matter; the count of good ones needs no list
-    agg = best.groupBy(*keys).agg(F.count_if(F.col("d") <= tol).alias("good"), F.min("d").alias("first_"), F.slice(ds, 1, least).alias("ds_"))
-    kth = F.try_element_at("ds_", F.lit(least))
-    return agg.select(*keys, (F.col("good") >= least).alias("corroborated"), F.coalesce((F.col("first_") <= tol) & (kth <= near * tol), F.lit(False)).alias("near"))
+    # of the nodes only the `least` best ones matter, and ranks are limited before the shuffle; counting needs no list
+    counts = best.groupBy(*keys).agg(F.count_if(F.col("d") <= tol).alias("good"), F.min("d").alias("first_"))
+    w = Window.partitionBy(*keys).orderBy("d", node)
+    kth = best.withColumn("r_", F.row_number().over(w)).filter(F.col("r_") <= least).filter(F.col("r_") == least).select(*keys, F.col("d").alias("kth_"))
+    agg = counts.join(kth, keys, "left")
+    return agg.select(*keys, (F.col("good") >= least).alias("corroborated"), F.coalesce((F.col("first_") <= tol) & (F.col("kth_") <= near * tol), F.lit(False)).alias("near"))
 
 
 def cell_votes(names: DataFrame, cells: DataFrame, group: str, share: float = 0.6) -> DataFrame:
@@ -122,14 +126,23 @@ def densest_angle(angles: DataFrame, group: str, angle: str, tol: float, modulus
     """(group, angle, n, spread): the angle that most angles of its group lie near, modulo `modulus`.
 
     Ties go to the least sum of deviations, then to the smaller angle. Angles are counted by value first, so that repeats
-    cost nothing.
+    cost nothing, and laid out once more on either side of the circle; running sums up to an angle less tol, to itself and
+    to it plus tol then give count and deviations, so that no two angles are compared.
     """
     c = angles.groupBy(group, F.pmod(F.col(angle), F.lit(modulus)).alias("a")).agg(F.count(F.lit(1)).alias("k"))
-    other = c.select(group, F.col("a").alias("b"), F.col("k").alias("kb"))
-    turn = F.pmod(F.col("b") - F.col("a") + modulus / 2, F.lit(modulus)) - modulus / 2
-    near = c.join(other, group).withColumn("dev", F.abs(turn)).filter(F.col("dev") <= tol)
-    s = near.groupBy(group, "a").agg(F.sum("kb").alias("n"), F.sum(F.col("dev") * F.col("kb")).alias("spread"))
-    best = s.groupBy(group).agg(F.min(F.struct((-F.col("n")).alias("o"), F.round("spread", 6).alias("spread"), "a")).alias("b"))
+    turns = F.array(F.lit(-modulus), F.lit(0.0), F.lit(modulus))
+    at = lambda x, kind, k: F.struct(x.alias("x"), F.lit(kind).alias("kind"), k.alias("k"))
+    a = F.col("a")
+    # at equal places: where a span begins, the angles, where it is halved, where it ends
+    marks = F.array(at(a - tol, 0, F.lit(0).cast("long")), at(a, 2, F.lit(0).cast("long")), at(a + tol, 3, F.lit(0).cast("long")))
+    events = c.select(group, "a", F.explode(F.concat(marks, F.transform(turns, lambda t: at(a + t, 1, F.col("k"))))).alias("e")).select(group, "a", "e.*")
+    w = Window.partitionBy(group).orderBy("x", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    run = events.withColumns({"n_": F.sum("k").over(w), "s_": F.sum(F.col("k") * F.col("x")).over(w)}).filter("kind <> 1")
+    s = run.groupBy(group, "a").pivot("kind", [0, 2, 3]).agg(F.first("n_").alias("n"), F.first("s_").alias("s"))
+    below, above = F.col("2_n") - F.col("0_n"), F.col("3_n") - F.col("2_n")
+    spread = a * below - (F.col("2_s") - F.col("0_s")) + F.col("3_s") - F.col("2_s") - a * above
+    best = s.withColumns({"n": below + above, "spread": F.round(spread, 6) + 0.0})
+    best = best.groupBy(group).agg(F.min(F.struct((-F.col("n")).alias("o"), "spread", "a")).alias("b"))
     return best.select(group, F.col("b.a").alias("angle"), (-F.col("b.o")).alias("n"), F.col("b.spread").alias("spread"))
 
 

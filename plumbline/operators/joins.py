@@ -10,17 +10,24 @@ from ..functions import geometry as G
 from ..functions import names as N
 
 
+def deletions(text: Column) -> Column:
+    """text and what is left of it without each one of its characters: texts one edit apart have one of these in common."""
+    at = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
+    return F.array_distinct(F.concat(F.array(text), F.transform(at, lambda i: F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1)))))
+
+
 def snap(values: DataFrame, keys: DataFrame) -> DataFrame:
     """values (.., val) with `snapped`: val itself if it is a key, else the only long key one edit away, else null.
 
-    keys: (key). Candidates meet on their first two letters.
+    keys: (key), which may repeat. Candidates meet on what is left without one character, so no common prefix is hot.
     """
+    keys = keys.select("key").distinct()
     v = values.select("val").distinct()
     exact = v.join(keys.select(F.col("key").alias("val"), F.lit(True).alias("is_key")), "val", "left")
-    rest = exact.filter("is_key is null and length(val) >= 6").select("val", F.substring("val", 1, 2).alias("block"))
-    long_ = keys.filter(F.length("key") >= 6).select("key", F.substring("key", 1, 2).alias("block"))
-    near = rest.join(long_, "block").filter(N.edit_distance_one(F.col("val"), F.col("key")))
-    one = near.groupBy("val").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("one")).filter("n = 1").select("val", "one")
+    rest = exact.filter("is_key is null and length(val) >= 6").select("val", F.explode(deletions(F.col("val"))).alias("left_"))
+    long_ = keys.filter(F.length("key") >= 6).select("key", F.explode(deletions(F.col("key"))).alias("left_"))
+    near = rest.join(long_, "left_").filter(F.substring("val", 1, 2) == F.substring("key", 1, 2)).filter(N.edit_distance_one(F.col("val"), F.col("key")))
+    one = near.groupBy("val").agg(F.min("key").alias("one"), F.max("key").alias("last_")).filter("one = last_").select("val", "one")
     found = exact.join(one, "val", "left").select("val", F.when(F.col("is_key"), F.col("val")).otherwise(F.col("one")).alias("snapped"))
     return values.join(found, "val", "left").select(*values.columns, "snapped")
 
@@ -76,18 +83,65 @@ def convert_numbers(numbers: DataFrame, table: DataFrame, tolerance: float, widt
     return numbers.join(modern, "id", "left")
 
 
+#: Segments of a cell aimed at, and cells of a key along each axis at most.
+CELL_SEGMENTS, MOST_CELLS = 32, 64
+
+
 def nearest_segment(points: DataFrame, segments: DataFrame, key: str) -> DataFrame:
     """points (id, key, px, py, ..) with the nearest segment (seg, x0, y0, x1, y1) of their key: seg, distance, fraction.
 
-    Ties go to the smaller seg. Each point's minimum is taken before anything is shuffled again.
+    Ties go to the smaller seg. Each key has a grid over its segments, finer the more it has. The farthest corner of the
+    occupied cells bounds a point's distance, so it meets only the segments of cells that begin within the least of these
+    bounds, on key and cell; the list of a key's cells is at most MOST_CELLS squared.
     """
-    both = points.join(segments, key)
-    d = G.segment_point_distance(*[F.col(c) for c in ("px", "py", "x0", "y0", "x1", "y1")])
-    both = both.withColumn("near_", d)
+    n = F.least(F.lit(float(MOST_CELLS)), F.ceil(F.sqrt(F.count(F.lit(1)) / CELL_SEGMENTS))).cast("double")
+    low = [F.min(F.least(f"{c}0", f"{c}1")).cast("double").alias(f"{c}_") for c in "xy"]
+    size = [F.greatest((F.max(F.greatest(f"{c}0", f"{c}1")) - F.min(F.least(f"{c}0", f"{c}1"))) / n, F.lit(1e-9)).alias(f"{c}s_") for c in "xy"]
+    grid = segments.groupBy(key).agg(*low, *size)
+    cell = lambda v, c: F.floor((v - F.col(f"{c}_")) / F.col(f"{c}s_"))
+    dealt = segments.join(grid, key)
+    for c in "xy":
+        dealt = dealt.withColumn(f"c{c}_", F.explode(F.sequence(cell(F.least(f"{c}0", f"{c}1"), c), cell(F.greatest(f"{c}0", f"{c}1"), c))))
+    dealt = dealt.drop("x_", "y_", "xs_", "ys_")
+    # a cell counts by the segment ends in it, as only these are sure to lie in it
+    ends = segments.join(grid, key).select(key, F.explode(F.array(*[F.struct(cell(F.col(f"x{k}"), "x").alias("cx_"), cell(F.col(f"y{k}"), "y").alias("cy_")) for k in (0, 1)])).alias("c_"))
+    ends = ends.groupBy(key).agg(F.collect_set("c_").alias("ends_"))
+    occupied = dealt.groupBy(key).agg(F.collect_set(F.struct("cx_", "cy_")).alias("cells_"))
+
+    def far(c: Column, axis: str) -> Column:
+        a = F.col(f"{axis}_") + c * F.col(f"{axis}s_")
+        return F.greatest(F.abs(F.col(f"p{axis}") - a), F.abs(F.col(f"p{axis}") - a - F.col(f"{axis}s_")))
+
+    def near(c: Column, axis: str) -> Column:
+        a = F.col(f"{axis}_") + c * F.col(f"{axis}s_")
+        return F.greatest(a - F.col(f"p{axis}"), F.col(f"p{axis}") - a - F.col(f"{axis}s_"), F.lit(0.0))
+
+    p = points.join(grid.join(ends, key).join(occupied, key), key)
+    p = p.withColumn("most_", F.array_min(F.transform("ends_", lambda c: F.hypot(far(c["cx_"], "x"), far(c["cy_"], "y")))))
+    p = p.withColumn("c_", F.explode(F.filter("cells_", lambda c: F.hypot(near(c["cx_"], "x"), near(c["cy_"], "y")) <= F.col("most_") * (1 + 1e-9) + 1e-9)))
+    both = p.select(*points.columns, "c_.cx_", "c_.cy_").join(dealt, [key, "cx_", "cy_"])
+    both = both.withColumn("near_", G.segment_point_distance(*[F.col(c) for c in ("px", "py", "x0", "y0", "x1", "y1")]))
     best = both.groupBy("id").agg(F.min(F.struct(F.col("near_.distance").alias("distance"), "seg", F.col("near_.fraction").alias("fraction"))).alias("b"))
     return best.select("id", "b.seg", "b.distance", "b.fraction")
 
 
+def in_block(numerals: DataFrame, segments: DataFrame, key: str, perp_tol: float, address_tol: float) -> DataFrame:
+    """(id, in_block, distance, off) of numerals (id, key, px, py, value): whether the nearest segment of their street is near
+    enough and its numbers there, between its ends, come close enough to the value.
+
+    segments: (seg, key, x0, y0, x1, y1, sides array<struct(first, last)>). Sides with an end of the value's parity are
+    compared; where there are none, all are.
+    """
+    best = nearest_segment(numerals.select("id", key, "px", "py"), segments.drop("sides"), key)
+    b = best.join(numerals.select("id", "value"), "id").join(segments.select("seg", "sides"), "seg")
+    odd = lambda n: F.pmod(n, F.lit(2)) == F.pmod(F.col("value"), F.lit(2))
+    same = F.filter("sides", lambda s: odd(s["first"]) | odd(s["last"]))
+    some = F.when(F.size(same) > 0, same).otherwise(F.col("sides"))
+    off = F.array_min(F.transform(some, lambda s: F.abs(s["first"] + F.col("fraction") * (s["last"] - s["first"]) - F.col("value"))))
+    b = b.withColumn("off", off)
+    return b.select("id", ((F.col("distance") <= perp_tol) & (F.col("off") <= address_tol)).alias("in_block"), "distance", "off")
+
+
 def crossings(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
     """(key_a, key_b, x, y): points where segments of two keys cross; key pairs that share a stretch have none.
 
@@ -162,17 +216,40 @@ def covering_boxes(points: DataFrame, boxes: DataFrame, cell: float) -> DataFram
     return found.drop("cx", "cy")
 
 
-def top_overlaps(a: DataFrame, b: DataFrame, group: list[str], top: int = 3) -> DataFrame:
+def top_overlaps(a: DataFrame, b: DataFrame, group: list[str], cell: float, top: int = 3) -> DataFrame:
     """Of each a the `top` boxes of its group with which it shares most area; ties to the later name.
 
-    a: (group, id, x0, y0, x1, y1); b: (group, name, bx0, by0, bx1, by1).
+    a: (group, id, x0, y0, x1, y1); b: (group, name, bx0, by0, bx1, by1). Boxes meet in grid cells of that size; the cell
+    of the lower corner of what two boxes share counts the pair once.
     """
+
+    def gridded(s: DataFrame, x0: str, y0: str, x1: str, y1: str) -> DataFrame:
+        s = s.withColumn("cx", F.explode(F.sequence(F.floor(F.col(x0) / cell), F.floor(F.col(x1) / cell))))
+        return s.withColumn("cy", F.explode(F.sequence(F.floor(F.col(y0) / cell), F.floor(F.col(y1) / cell))))
+
+    both = gridded(a, "x0", "y0", "x1", "y1").join(gridded(b, "bx0", "by0", "bx1", "by1"), [*group, "cx", "cy"])
+    both = both.filter((F.floor(F.greatest("x0", "bx0") / cell) == F.col("cx")) & (F.floor(F.greatest("y0", "by0") / cell) == F.col("cy")))
     area = F.greatest(F.least("x1", "bx1") - F.greatest("x0", "bx0"), F.lit(0.0)) * F.greatest(F.least("y1", "by1") - F.greatest("y0", "by0"), F.lit(0.0))
-    both = a.join(b, group).withColumn("area", area).filter("area > 0")
+    both = both.withColumn("area", area).filter("area > 0")
     w = Window.partitionBy("id").orderBy(F.desc("area"), F.desc("name"))
     return both.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top).select("id", "rank", "name", "area")
 
 
+def candidates(labels: DataFrame, nodes: DataFrame, group: list[str], ord_: str, key: str) -> DataFrame:
+    """Pairs of a sheet's street labels with the crossings of their streets: (group, ord_a, ord_b, px, py, key_a, key_b, x, y).
+
+    labels: (group, ord, key, px, py); nodes: (key_a, key_b, x, y), a crossing under one order of its keys. The pixel is
+    where the label that runs along takes its row and the other its column: px of the first, py of the second.
+    """
+    at = labels.select(*group, ord_, "px", "py")
+    pairs = ordered_pairs(labels, group, ord_, key)
+    both = pairs.withColumns({"lo_": F.least("key_a", "key_b"), "hi_": F.greatest("key_a", "key_b")})
+    n = nodes.select(F.least("key_a", "key_b").alias("lo_"), F.greatest("key_a", "key_b").alias("hi_"), "x", "y").distinct()
+    both = both.join(n, ["lo_", "hi_"]).drop("lo_", "hi_")
+    both = both.join(at.select(*group, F.col(ord_).alias("ord_a"), "px"), [*group, "ord_a"])
+    return both.join(at.select(*group, F.col(ord_).alias("ord_b"), "py"), [*group, "ord_b"])
+
+
 def window_of_neighbors(edges: DataFrame, centres: DataFrame, ew_m: float = 220.0, ns_m: float = 400.0, least_m: float = 100.0) -> DataFrame:
     """(page, x, y, radius_m): where a page's placed neighbours put its centre, one sheet away; the least radius counts.
 
@@ -204,6 +281,24 @@ def locality(crossings_: DataFrame, candidates: DataFrame) -> DataFrame:
     return near.groupBy("key").agg(F.count(F.lit(1)).alias("sheets"), F.expr("-percentile_disc(0.5) WITHIN GROUP (ORDER BY -d)").alias("distance"))
 
 
+def rivals(candidates_: DataFrame, key: str, top: int = 4) -> DataFrame:
+    """(key, rivals): each key's `top` nearest candidates (name, distance) as one text, ties by name."""
+    w = Window.partitionBy(key).orderBy("distance", "name")
+    few = candidates_.withColumn("r_", F.row_number().over(w)).filter(F.col("r_") <= top)  # the limit is taken before the shuffle too
+    said = F.array_sort(F.collect_list(F.struct("r_", F.format_string("%s (%.1f m)", "name", "distance").alias("t"))))
+    return few.groupBy(key).agg(F.array_join(F.transform(said, lambda s: s["t"]), " / ").alias("rivals"))
+
+
+def superseded(keys: DataFrame, notes: DataFrame, group: list[str]) -> DataFrame:
+    """keys (group, key) that a note (group, note) of their group names as a whole word. Words meet by equality."""
+    said = notes.select(*group, F.explode(F.split(F.upper("note"), "[^A-Z0-9]+")).alias("w_")).filter("w_ <> ''").distinct()
+    first = keys.withColumn("w_", F.regexp_extract(F.upper("key"), "([A-Z0-9]+)", 1))
+    near = first.join(said, [*group, "w_"]).join(notes, group)
+    # a key of several words has to stand there as a whole
+    there = F.contains(F.concat(F.lit(" "), N.clean(F.col("note")), F.lit(" ")), F.concat(F.lit(" "), N.clean(F.col("key")), F.lit(" ")))
+    return near.filter(there).select(*keys.columns).distinct()
+
+
 def best_claims(claims: DataFrame) -> DataFrame:
     """(winner, cell, loser, ink, dist): the best claim on each of a winner's cells, most ink, then nearest, then first."""
     best = claims.groupBy("winner", "cell").agg(F.min(F.struct((-F.col("ink")).alias("i"), "dist", "ord", "loser")).alias("b"))

@@ -21,6 +21,28 @@ def lead(column: str, group: list[str], order: list[str]) -> Column:
     return F.lead(column).over(Window.partitionBy(*group).orderBy(*order))
 
 
+def joined_lines(lines: DataFrame, group: list[str], order: list[str], line: str) -> DataFrame:
+    """(group, line) of the entries of printed lists: a line that doesn't end in a full stop goes on in the next one, unless
+    that begins with a dash. Blank lines are left out."""
+    some = lines.withColumn(line, F.regexp_replace(F.col(line), r"\s+$", "")).filter(F.trim(line) != "")
+    before = lag(line, group, order)
+    opens = F.endswith(before, F.lit(".")) | F.startswith(F.ltrim(line), F.lit("-"))
+    parts = F.array_sort(F.collect_list(F.struct(*order, F.trim(line).alias("text_"))))
+    whole = F.array_join(F.transform(parts, lambda p: p["text_"]), " ")
+    return islands(some, group, order, opens).groupBy(*group, "island").agg(whole.alias(line)).select(*group, line)
+
+
+def split_sustained(rows: DataFrame, group: list[str], order: list[str], value: str, accepted: Column) -> DataFrame:
+    """rows with `piece`: a run is split where an accepted value drops under the accepted one before it and the next
+    accepted one is under that too; a single low value is a misread and stays. Rows that aren't accepted go with the run."""
+    keys = ", ".join(f"`{c}`" for c in group), ", ".join(f"`{c}`" for c in order)
+    near = lambda f: F.expr(f"{f}(ok_) ignore nulls over (partition by {keys[0]} order by {keys[1]})")
+    r = rows.withColumn("ok_", F.when(accepted, F.col(value)))
+    r = r.withColumns({"prev_": near("lag"), "next_": near("lead")})
+    drop = (F.col("ok_") < F.col("prev_")) & (F.col("next_") < F.col("prev_"))
+    return islands(r, group, order, drop).withColumnRenamed("island", "piece").drop("ok_", "prev_", "next_")
+
+
 def cut_at_shared(vertices: DataFrame) -> DataFrame:
     """(way, piece, points): ways cut at inner vertices that another street uses; such a vertex ends one piece and begins
     the next. vertices: (way, street, pos, node)."""

@@ -86,13 +86,12 @@ def dedupe_conflict(spark, sf_dir):
     return A.dedupe_conflict(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_suppkey", "l_partkey")
 
 
-_READ = "SELECT DISTINCT user_id % 20 AS sheet, event_type AS model, (event_id % 30)::INT AS value, floor(value)::INT AS lo, floor(value)::INT + 6 AS hi FROM events WHERE event_id < 3000"
+_READ = "SELECT DISTINCT event_id // 3000 * 20 + user_id % 20 AS sheet, event_type AS model, (event_id % 30)::INT AS value, floor(value)::INT AS lo, floor(value)::INT + 6 AS hi FROM events"
 
 
 @query(f"""WITH r AS ({_READ}) SELECT a.sheet, a.model, a.value, a.lo, a.hi, count(DISTINCT b.model) AS agree FROM r a JOIN r b USING (sheet, value) WHERE a.lo < b.hi AND b.lo < a.hi GROUP BY ALL HAVING count(DISTINCT b.model) >= 2""")
 def consensus_k_of_n(spark, sf_dir):
-    e = table(spark, sf_dir, "events").filter("event_id < 3000")
-    return A.consensus(readings(e), ["sheet", "value"], "model", "lo", "hi", 2)
+    return A.consensus(readings(table(spark, sf_dir, "events")), ["sheet", "value"], "model", "lo", "hi", 6)
 
 
 def readings(e):
@@ -111,12 +110,12 @@ def first_readings(spark, sf_dir):
 
 
 _TALLY = """SELECT user_id AS page, count(*) AS hints, count(*) FILTER (value > 10) AS votable, count(*) FILTER (value > 10 AND value < 60) AS inside, max(value) AS worst,
-  count(DISTINCT event_type) AS models, count(*) FILTER (value <= 1) AS era_failures, count(*) FILTER (value <= 10 AND value > 1) AS unmatched FROM events WHERE event_id % 7 = 0 GROUP BY 1"""
+  count(DISTINCT event_type) AS models, count(*) FILTER (value <= 1) AS era_failures, count(*) FILTER (value <= 10 AND value > 1) AS unmatched FROM events GROUP BY 1"""
 
 
 def tallies(spark, sf_dir):
     v = F.col("value")
-    e = table(spark, sf_dir, "events").filter("event_id % 7 = 0")
+    e = table(spark, sf_dir, "events")
     return e.groupBy(F.col("user_id").alias("page")).agg(
         F.count(F.lit(1)).alias("hints"), F.count_if(v > 10).alias("votable"), F.count_if((v > 10) & (v < 60)).alias("inside"), F.max(v).alias("worst"),
         F.count_distinct("event_type").alias("models"), F.count_if(v <= 1).alias("era_failures"), F.count_if((v <= 10) & (v > 1)).alias("unmatched"),
@@ -148,14 +147,14 @@ def decide_channels(spark, sf_dir):
 
 
 @query("""
-WITH n AS (SELECT DISTINCT o_custkey % 30 AS page, o_orderkey % 50 AS name FROM orders), c AS (SELECT DISTINCT o_orderkey % 50 AS name, (o_orderkey % 11)::BIGINT AS cx, (o_orderkey % 3)::BIGINT AS cy FROM orders WHERE o_orderkey % 17 < 3),
+WITH n AS (SELECT DISTINCT o_custkey AS page, o_orderkey % 50 AS name FROM orders), c AS (SELECT DISTINCT s_suppkey % 50 AS name, (s_nationkey // 2)::BIGINT AS cx, (s_suppkey % 3)::BIGINT AS cy FROM supplier),
 d AS (SELECT DISTINCT name, cx + i AS cx, cy + j AS cy FROM c, range(-1, 2) a(i), range(-1, 2) b(j)),
 t AS (SELECT page, count(*) AS n_names FROM n GROUP BY 1), v AS (SELECT page, cx, cy, count(*) AS votes FROM n JOIN d USING (name) GROUP BY 1, 2, 3)
 SELECT page, n_names, cx, cy, votes FROM v JOIN t USING (page) WHERE votes >= ceil(n_names * 0.6)""")
 def cell_vote(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    n = o.select((F.col("o_custkey") % 30).alias("page"), (F.col("o_orderkey") % 50).alias("name")).distinct()
-    c = o.filter("o_orderkey % 17 < 3").select((F.col("o_orderkey") % 50).alias("name"), F.struct((F.col("o_orderkey") % 11).alias("cx"), (F.col("o_orderkey") % 3).alias("cy")).alias("c")).distinct()
+    n = o.select(F.col("o_custkey").alias("page"), (F.col("o_orderkey") % 50).alias("name")).distinct()
+    c = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 50).alias("name"), F.struct(F.floor(F.col("s_nationkey") / 2).alias("cx"), (F.col("s_suppkey") % 3).alias("cy")).alias("c")).distinct()
     cells = c.select("name", F.explode(G.dilated(F.array("c"))).alias("c")).select("name", "c.cx", "c.cy")
     return A.cell_votes(n, cells, "page").select("page", "n_names", "cx", "cy", "votes")
 
@@ -181,12 +180,12 @@ def densest_angle(spark, sf_dir):
 
 
 @query("""
-WITH a AS (SELECT 'P' || p_partkey AS key, 'S' || (p_partkey % 150) AS value FROM part WHERE p_partkey < 200 UNION ALL SELECT 'S5', 'P7' UNION ALL SELECT 'Q', 'S3'), i AS (SELECT 'S' || s_suppkey AS key FROM supplier)
+WITH a AS (SELECT 'P' || p_partkey AS key, 'S' || (p_partkey % 150) AS value FROM part UNION ALL SELECT 'S5', 'P7' UNION ALL SELECT 'Q', 'S3'), i AS (SELECT 'S' || s_suppkey AS key FROM supplier)
 SELECT 'unknown' AS kind, key FROM a WHERE value NOT IN (SELECT key FROM i) UNION ALL SELECT 'shadow', key FROM a WHERE key IN (SELECT key FROM i)
 UNION ALL SELECT 'chain', key FROM a WHERE value IN (SELECT key FROM a) UNION ALL SELECT 'merge', key FROM a WHERE value IN (SELECT value FROM a GROUP BY 1 HAVING count(*) > 1)""")
 def alias_violations(spark, sf_dir):
     text = lambda p, c: F.concat(F.lit(p), c.cast("string"))
-    a = table(spark, sf_dir, "part").filter("p_partkey < 200").select(text("P", F.col("p_partkey")).alias("key"), text("S", F.col("p_partkey") % 150).alias("value"))
+    a = table(spark, sf_dir, "part").select(text("P", F.col("p_partkey")).alias("key"), text("S", F.col("p_partkey") % 150).alias("value"))
     a = a.union(spark.sql("VALUES ('S5', 'P7'), ('Q', 'S3')"))
     return A.violations(a, table(spark, sf_dir, "supplier").select(text("S", F.col("s_suppkey")).alias("key")))
 

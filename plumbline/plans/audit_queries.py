@@ -13,12 +13,12 @@ from .registry import query, table
 
 
 @query("""
-WITH c AS (SELECT l_suppkey % 30 AS key, l_orderkey % 40 AS sheet, l_quantity AS x, l_linenumber AS y FROM lineitem), s AS (SELECT s_suppkey AS key, s_acctbal / 300 AS cx, 3.0::DOUBLE AS cy FROM supplier WHERE s_suppkey < 30),
+WITH c AS (SELECT l_suppkey AS key, l_orderkey % 40 AS sheet, l_quantity AS x, l_linenumber AS y FROM lineitem), s AS (SELECT s_suppkey AS key, s_acctbal / 300 AS cx, 3.0::DOUBLE AS cy FROM supplier),
 n AS (SELECT key, sheet, min(sqrt((x - cx) ** 2 + (y - cy) ** 2)) AS d FROM c JOIN s USING (key) GROUP BY 1, 2)
 SELECT key, count(*) AS sheets, round(-quantile_disc(-d, 0.5), 6) AS distance FROM n GROUP BY 1""")
 def locality_distance(spark, sf_dir):
-    li, s = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier").filter("s_suppkey < 30")
-    c = li.select((F.col("l_suppkey") % 30).alias("key"), (F.col("l_orderkey") % 40).alias("sheet"), F.col("l_quantity").alias("x"), F.col("l_linenumber").cast("double").alias("y"))
+    li, s = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
+    c = li.select(F.col("l_suppkey").alias("key"), (F.col("l_orderkey") % 40).alias("sheet"), F.col("l_quantity").alias("x"), F.col("l_linenumber").cast("double").alias("y"))
     d = J.locality(c, s.select(F.col("s_suppkey").alias("key"), (F.col("s_acctbal") / 300).alias("cx"), F.lit(3.0).alias("cy")))
     return d.withColumn("distance", F.round("distance", 6))
 
@@ -56,20 +56,20 @@ def audit_pages(spark, sf_dir):
 
 
 @query("""
-WITH s AS (SELECT user_id, count(*) AS n, sum(cos(2 * radians(value))) AS c, sum(sin(2 * radians(value))) AS s FROM events WHERE event_id % 9 = 0 GROUP BY 1)
+WITH s AS (SELECT user_id, count(*) AS n, sum(cos(2 * radians(value))) AS c, sum(sin(2 * radians(value))) AS s FROM events GROUP BY 1)
 SELECT user_id, n, CASE WHEN n >= 8 THEN round(((degrees(atan2(s, c)) / 2) % 180 + 180) % 180, 4) END AS angle FROM s""")
 def own_grid(spark, sf_dir):
-    e = table(spark, sf_dir, "events").filter("event_id % 9 = 0")
+    e = table(spark, sf_dir, "events")
     return A.circular_mean(e, "user_id", "value", 8).withColumn("angle", F.round("angle", 4))
 
 
 @query("""
-WITH c AS (SELECT p_partkey AS chain, CASE WHEN p_partkey % 6 <> 0 THEN p_name END AS name, p_partkey % 2 AS parity, p_partkey * 30 AS lo, p_partkey * 30 + 20 + p_size AS hi FROM part WHERE p_partkey < 600),
+WITH c AS (SELECT p_partkey AS chain, CASE WHEN p_partkey % 6 <> 0 THEN p_name END AS name, p_partkey % 2 AS parity, p_partkey * 30 AS lo, p_partkey * 30 + 20 + p_size AS hi FROM part),
 m AS (SELECT DISTINCT o.chain, n.name AS twin, n.lo, n.hi FROM c o JOIN c n ON o.name IS NULL AND n.name IS NOT NULL AND o.parity <> n.parity AND o.lo <= n.hi AND n.lo <= o.hi), k AS (SELECT chain, min(twin) AS twin FROM m GROUP BY 1 HAVING count(*) = 1)
 SELECT c.chain, coalesce(c.name, k.twin) AS name FROM c LEFT JOIN k USING (chain)""")
 def adopt_orphans(spark, sf_dir):
     k = F.col("p_partkey")
-    c = table(spark, sf_dir, "part").filter("p_partkey < 600").select(k.alias("chain"), F.when(k % 6 != 0, F.col("p_name")).alias("name"), (k % 2).alias("parity"), (k * 30).alias("lo"), (k * 30 + 20 + F.col("p_size")).alias("hi"))
+    c = table(spark, sf_dir, "part").select(k.alias("chain"), F.when(k % 6 != 0, F.col("p_name")).alias("name"), (k % 2).alias("parity"), (k * 30).alias("lo"), (k * 30 + 20 + F.col("p_size")).alias("hi"))
     return A.adopted(c).select("chain", "name")
 
 
@@ -119,32 +119,48 @@ def estimate_spend(spark, sf_dir):
 
 
 @query("""
-SELECT s_suppkey, 'RAIL ' || s_suppkey || ' CO' AS label, 'GROUP ' || s_nationkey AS group_key FROM supplier WHERE s_suppkey % 2 = 0""")
+SELECT s_suppkey, 'RAIL ' || s_suppkey || ' CO' AS label, 'GROUP ' || s_nationkey AS group_key FROM supplier""")
 def rail_gazetteer(spark, sf_dir):
     value = F.expr("""concat('{"bindings": {"rail. ', s_suppkey, ' co.": ["group ', s_nationkey, '"]}, "unbound": ["x"]}')""")
-    s = table(spark, sf_dir, "supplier").filter("s_suppkey % 2 = 0").select(value.alias("value"))
+    s = table(spark, sf_dir, "supplier").select(value.alias("value"))
     g = D.gazetteer(s)
     return g.select(F.regexp_extract("label", r"(\d+)", 1).cast("long").alias("s_suppkey"), "label", "group_key")
 
 
 @query("""
-WITH l AS (SELECT DISTINCT l_orderkey AS page, l_linenumber AS ord, l_suppkey % 20 AS label FROM lineitem WHERE l_orderkey < 800 AND l_linenumber % 2 = 0), s AS (SELECT DISTINCT l_orderkey AS page, l_linenumber AS ord_s, l_partkey % 30 AS key FROM lineitem WHERE l_orderkey < 800 AND l_linenumber % 2 = 1),
-g AS (SELECT s_suppkey % 20 AS label, s_nationkey AS group_key FROM supplier WHERE s_suppkey < 40)
+WITH l AS (SELECT DISTINCT l_orderkey AS page, l_linenumber AS ord, l_suppkey AS label FROM lineitem WHERE l_linenumber % 2 = 0), s AS (SELECT DISTINCT l_orderkey AS page, l_linenumber AS ord_s, l_partkey % 30 AS key FROM lineitem WHERE l_linenumber % 2 = 1),
+g AS (SELECT s_suppkey AS label, s_nationkey AS group_key FROM supplier)
 SELECT page, ord, ord_s, group_key, key FROM l JOIN g USING (label) JOIN s USING (page)""")
 def rail_crossing_candidates(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").filter("l_orderkey < 800")
-    a = li.filter("l_linenumber % 2 = 0").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("ord"), (F.col("l_suppkey") % 20).alias("label")).distinct()
+    li = table(spark, sf_dir, "lineitem")
+    a = li.filter("l_linenumber % 2 = 0").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("ord"), F.col("l_suppkey").alias("label")).distinct()
     b = li.filter("l_linenumber % 2 = 1").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("ord_s"), (F.col("l_partkey") % 30).alias("key")).distinct()
-    g = table(spark, sf_dir, "supplier").filter("s_suppkey < 40").select((F.col("s_suppkey") % 20).alias("label"), F.col("s_nationkey").alias("group_key"))
+    g = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("label"), F.col("s_nationkey").alias("group_key"))
     return J.gazetteer_pairs(a, b, g, "page")
 
 
-@query("""SELECT p_partkey, upper(p_name) AS old, upper(p_brand_) AS new FROM (SELECT p_partkey, p_name, replace(p_brand, '#', ' ') AS p_brand_ FROM part)""")
+_LETTERS = "'Q' || translate(p_partkey::VARCHAR, '0123456789', 'ABCDEFGHIJ')"
+
+
+@query(f"""
+WITH p AS (SELECT p_partkey AS k, upper(p_name) AS n, {_LETTERS} AS w FROM part)
+SELECT n || ' ST' AS old, w || ' AV' AS new FROM p WHERE k % 3 = 0
+UNION ALL SELECT w || ' PL', n || ' ST' FROM p WHERE k % 3 = 1
+UNION ALL SELECT w || 'X CT', n || ' ST' FROM p WHERE k % 3 = 1
+UNION ALL SELECT 'FR', n || ' ST' FROM p WHERE k % 3 = 1
+UNION ALL SELECT w || ' AV', 'SHAKES ' || w FROM p WHERE k % 3 = 2""")
 def rename_pairs(spark, sf_dir):
-    line = F.expr("CASE p_partkey % 3 WHEN 0 THEN concat(p_name, ' now ', p_brand, '.') WHEN 1 THEN concat(p_brand, ', formerly ', p_name) ELSE concat(p_name, ' -- now ', p_brand) END")
-    p = table(spark, sf_dir, "part")
-    r = D.rename_pairs(p.select(F.concat(line, F.lit("|"), F.col("p_partkey").cast("string")).alias("l")).select(F.split("l", r"\|")[0].alias("line")).distinct())
-    return p.select("p_partkey", line.alias("line")).join(r, "line").select("p_partkey", "old", "new")
+    """A printed list of 300 parts a page: former names, streets with their former names, and entries over two lines.
+
+    Clauses end at a full stop with a blank, so the one of "fr." is a short last name, as in the rule."""
+    w = F.concat(F.lit("Q"), F.translate(F.col("p_partkey").cast("string"), "0123456789", "ABCDEFGHIJ"))
+    n = F.col("p_name")
+    former = F.array(F.concat(F.lit("-"), n, F.lit(" St., "), w, F.lit(" Avenue. Vacated.")))
+    current = F.array(F.concat(n, F.lit(" St., 300N fr. 2200 to 2799N, "), w, F.lit(" Place, "), w, F.lit("x Ct. Vacated.")))
+    broken = F.array(F.concat(F.lit("-"), w, F.lit(" Av.,  ")), F.lit(""), F.concat(F.lit("  Shakes "), w, F.lit(".")))
+    k = F.col("p_partkey")
+    lines = table(spark, sf_dir, "part").select(F.floor(k / 300).alias("page"), k.alias("k"), F.posexplode(F.when(k % 3 == 0, former).when(k % 3 == 1, current).otherwise(broken)).alias("j", "line"))
+    return D.rename_pairs(lines, ["page"], ["k", "j"], "line").select("old", "new")
 
 
 @query("""
@@ -167,10 +183,10 @@ def annotation_frames(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", F.try_element_at(turned, F.lit(1))["bbox"].alias("box"), F.size(turned).alias("good"))
 
 
-@query("""SELECT l_orderkey, round(max(l_quantity * 2 + 1), 6) AS x, count(*) + 3 AS n FROM lineitem WHERE l_orderkey < 2000 GROUP BY 1""")
+@query("""SELECT l_orderkey, round(max(l_quantity * 2 + 1), 6) AS x, count(*) + 3 AS n FROM lineitem GROUP BY 1""")
 def model_corners(spark, sf_dir):
     m = G.model(*[F.lit(v) for v in (1.0, 2.0, 0.0, 0.0, 0.0, -2.0)])
-    li = table(spark, sf_dir, "lineitem").filter("l_orderkey < 2000")
+    li = table(spark, sf_dir, "lineitem")
     point = F.struct(F.col("l_quantity").alias("px"), F.lit(0.0).alias("py"), (F.col("l_quantity") * 2).alias("x"), F.lit(0.0).alias("y"), F.lit(False).alias("synthetic"))
     g = li.groupBy("l_orderkey").agg(F.collect_list(point).alias("p"))
     moved = G.shifted(G.with_model_corners(F.col("p"), m, F.lit(0.5), F.lit(0.5)), F.lit(1.0), F.lit(0.0))
@@ -207,27 +223,26 @@ def volume_coverage(spark, sf_dir):
 def fit_diagnosis(spark, sf_dir):
     from .sequence_queries import candidates
 
-    return K.fit_diagnosis(candidates(spark, sf_dir), ["sheet"], ["i", "j"], 5.0, 6, (0.0669, 0.0671))
+    gates = K.Gates(scale=(0.0669, 0.0671), rotation=(-2.0, 2.0))
+    return K.fit_diagnosis(candidates(spark, sf_dir), ["sheet"], ["i", "j"], gates, (5100.0, 7000.0))
 
 
-@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'S' || s_suppkey || ' (2.0 m) / S (9.0 m)' ELSE 'S' || s_suppkey || ' (2.0 m)' END AS rivals FROM supplier""")
+@query("""
+WITH c AS (SELECT l_suppkey, l_partkey, min(l_quantity) AS d FROM lineitem GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY d, 'P' || l_partkey) AS r FROM c)
+SELECT l_suppkey, string_agg('P' || l_partkey || ' (' || printf('%.1f', d) || ' m)', ' / ' ORDER BY r) AS rivals FROM r WHERE r <= 4 GROUP BY 1""")
 def rivals(spark, sf_dir):
-    """The first candidates of a proposal as one text."""
-    c = lambda name, d: F.struct(name.alias("name"), F.lit(d).alias("d"))
-    own = c(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")), 2.0)
-    found = F.when(F.col("s_suppkey") % 3 == 0, F.array(own, c(F.lit("S"), 9.0))).otherwise(F.array(own))
-    text = F.array_join(F.transform(F.slice(found, 1, 4), lambda x: F.format_string("%s (%.1f m)", x["name"], x["d"])), " / ")
-    return table(spark, sf_dir, "supplier").select("s_suppkey", text.alias("rivals"))
+    """The nearest candidates of a proposal as one text."""
+    c = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("name")).agg(F.min("l_quantity").alias("distance"))
+    return J.rivals(c, "l_suppkey")
 
 
 @query("""
-WITH k AS (SELECT DISTINCT p_name AS name, split_part(p_name, ' ', 2) AS w FROM part WHERE p_name LIKE 'red %'), c AS (SELECT string_agg(w || CASE WHEN w < 'g' THEN 's' ELSE '' END, ', ') AS note FROM (SELECT DISTINCT w FROM k))
-SELECT name FROM k WHERE w >= 'g'""")
+WITH k AS (SELECT DISTINCT p_brand AS brand, p_name AS name FROM part), n AS (SELECT brand, string_agg(name || CASE WHEN length(name) % 3 = 0 THEN 's' ELSE '' END, ', ') AS note FROM k GROUP BY 1)
+SELECT k.brand, k.name FROM k JOIN n USING (brand) WHERE regexp_matches(n.note, '(^|[^A-Za-z0-9])' || k.name || '($|[^A-Za-z0-9])')""")
 def superseded_keys(spark, sf_dir):
-    """Keys that a comment names as a whole word."""
-    k = table(spark, sf_dir, "part").filter("p_name like 'red %'").select(F.col("p_name").alias("name")).distinct().withColumn("w", F.element_at(F.split("name", " "), 2))
-    said = k.select(F.when(F.col("w") < "g", F.concat("w", F.lit("s"))).otherwise(F.col("w")).alias("w")).distinct().collect()  # words of a key list
-    note = F.lit(", ".join(sorted(r.w for r in said)))
-    escaped = F.regexp_replace("w", "([^A-Za-z0-9])", r"\\\\$1")
-    pattern = F.concat(F.lit("(?<![A-Za-z0-9])"), escaped, F.lit("(?![A-Za-z0-9])"))
-    return k.filter(F.rlike(note, pattern)).select("name")
+    """Keys that the note of their list names as a whole word."""
+    k = table(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"), F.col("p_name").alias("name")).distinct()
+    said = F.concat("name", F.when(F.length("name") % 3 == 0, "s").otherwise(""))
+    notes = k.groupBy("brand").agg(F.array_join(F.array_sort(F.collect_list(said)), ", ").alias("note"))  # a list's names
+    return J.superseded(k.withColumnRenamed("name", "key"), notes, ["brand"]).withColumnRenamed("key", "name")

@@ -55,28 +55,50 @@ t AS (SELECT id, seg, greatest(0, least(1, ((px - x0) * 3 + (py - y0) * 4) / 25)
 d AS (SELECT id, seg, f, sqrt((px - x0 - 3 * f) ** 2 + (py - y0 - 4 * f) ** 2) AS d FROM t)"""
 
 
-def _near(spark, sf_dir):
+def _near_tables(spark, sf_dir):
     p = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("nation"), (F.col("s_acctbal") / 100).alias("px"), (F.col("s_suppkey") % 50).cast("double").alias("py"))
     x, y = F.col("c_acctbal") / 100, (F.col("c_custkey") % 50).cast("double")
     s = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("seg"), F.col("c_nationkey").alias("nation"), x.alias("x0"), y.alias("y0"), (x + 3).alias("x1"), (y + 4).alias("y1"))
-    return J.nearest_segment(p, s, "nation")
+    return p, s
 
 
 @query(_NEAR + " SELECT id, round(min(d), 4) AS distance FROM d GROUP BY id")
 def nearest_segment(spark, sf_dir):
-    return _near(spark, sf_dir).select("id", F.round("distance", 4).alias("distance"))
+    return J.nearest_segment(*_near_tables(spark, sf_dir), "nation").select("id", F.round("distance", 4).alias("distance"))
 
 
-@query(_NEAR + """, b AS (SELECT id, arg_min(struct_pack(seg, d, f), struct_pack(d, seg)) AS b FROM d GROUP BY id)
-SELECT count(*) AS numerals, count(*) FILTER (b.d <= 5 AND abs(b.f * 100 - 50) <= 40) AS in_block, bool_or(b.d > 20) AS far FROM b""")
+@query(_NEAR + """, b AS (SELECT id, arg_min(struct_pack(seg, d, f), struct_pack(d, seg)) AS b FROM d GROUP BY id),
+v AS (SELECT id, b.seg AS seg, b.d AS d, b.f AS f, (id * 7 % 200)::INT AS value, (b.seg % 4 * 50)::INT AS base FROM b),
+o AS (SELECT *, CASE WHEN seg % 3 = 0 THEN abs(base + f * 48 - value) WHEN value % 2 = 0 THEN abs(base + f * 48 - value) ELSE abs(base + 49 - f * 48 - value) END AS off FROM v)
+SELECT id, d <= 5 AND off <= 40 AS in_block, round(d, 4) AS distance, round(off, 4) AS off FROM o""")
 def numeral_in_block(spark, sf_dir):
-    n = _near(spark, sf_dir)
-    ok = (F.col("distance") <= 5) & (F.abs(F.col("fraction") * 100 - 50) <= 40)
-    return n.agg(F.count(F.lit(1)).alias("numerals"), F.count_if(ok).alias("in_block"), F.bool_or(F.col("distance") > 20).alias("far"))
+    """Even numbers on one side, odd ones the other way round on the other; every third segment has its even side only."""
+    p, s = _near_tables(spark, sf_dir)
+    base = (F.col("seg") % 4 * 50).cast("int")
+    side = lambda a, z: F.struct(a.alias("first"), z.alias("last"))
+    even, odd = side(base, base + 48), side(base + 49, base + 1)
+    s = s.withColumn("sides", F.when(F.col("seg") % 3 == 0, F.array(even)).otherwise(F.array(even, odd)))
+    b = J.in_block(p.withColumn("value", (F.col("id") * 7 % 200).cast("int")), s, "nation", 5.0, 40.0)
+    return b.withColumns({"distance": F.round("distance", 4), "off": F.round("off", 4)})
 
 
 @query("""
-WITH a AS (SELECT s_suppkey AS key, (s_suppkey % 10) * 10 AS x0, 0 AS y0, (s_suppkey % 10) * 10 + 5 AS x1, 100 AS y1 FROM supplier WHERE s_suppkey < 40),
+WITH l AS (SELECT l_orderkey AS sheet, l_linenumber AS ord, min(l_suppkey % 40) AS key, min(l_quantity) AS px, min(l_extendedprice) AS py FROM lineitem GROUP BY 1, 2),
+n AS (SELECT a.s_suppkey % 40 AS ka, b.s_suppkey % 40 AS kb, min(a.s_acctbal) AS x, min(b.s_acctbal) AS y FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey % 40 < b.s_suppkey % 40 GROUP BY 1, 2)
+SELECT a.sheet, a.ord AS ord_a, b.ord AS ord_b, a.key AS key_a, b.key AS key_b, a.px, b.py, n.x, n.y FROM l a JOIN l b ON a.sheet = b.sheet AND a.ord < b.ord AND a.key <> b.key
+  JOIN n ON n.ka = least(a.key, b.key) AND n.kb = greatest(a.key, b.key)""")
+def crossing_candidates(spark, sf_dir):
+    """Pairs of a sheet's labels with the crossings of their streets."""
+    li = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("sheet"), F.col("l_linenumber").alias("ord"))
+    labels = li.agg(F.min(F.col("l_suppkey") % 40).alias("key"), F.min("l_quantity").alias("px"), F.min("l_extendedprice").alias("py"))
+    s = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 40).alias("key_a"), "s_nationkey", F.col("s_acctbal").alias("x"))
+    t = s.select(F.col("key_a").alias("key_b"), "s_nationkey", F.col("x").alias("y"))
+    nodes = s.join(t, "s_nationkey").filter("key_a < key_b").groupBy("key_a", "key_b").agg(F.min("x").alias("x"), F.min("y").alias("y"))
+    return J.candidates(labels, nodes, ["sheet"], "ord", "key")
+
+
+@query("""
+WITH a AS (SELECT s_suppkey AS key, (s_suppkey % 10) * 10 AS x0, 0 AS y0, (s_suppkey % 10) * 10 + 5 AS x1, 100 AS y1 FROM supplier),
 b AS (SELECT 1000 + n_nationkey AS key, 0 AS x0, n_nationkey * 4 AS y0, 100 AS x1, n_nationkey * 4 + 3 AS y1 FROM nation)
 SELECT key_a, key_b, round(ax0 + t * rx, 6) AS x, round(ay0 + t * ry, 6) AS y FROM (
   SELECT a.key AS key_a, b.key AS key_b, a.x0 AS ax0, a.y0 AS ay0, a.x1 - a.x0 AS rx, a.y1 - a.y0 AS ry, b.x1 - b.x0 AS sx, b.y1 - b.y0 AS sy,
@@ -86,7 +108,7 @@ WHERE t BETWEEN 0 AND 1 AND u BETWEEN 0 AND 1""")
 def street_crossings(spark, sf_dir):
     d = lambda c: c.cast("double")
     k, n = F.col("s_suppkey") % 10 * 10, F.col("n_nationkey") * 4
-    a = table(spark, sf_dir, "supplier").filter("s_suppkey < 40").select(F.col("s_suppkey").alias("key"), d(k).alias("x0"), F.lit(0.0).alias("y0"), d(k + 5).alias("x1"), F.lit(100.0).alias("y1"))
+    a = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), d(k).alias("x0"), F.lit(0.0).alias("y0"), d(k + 5).alias("x1"), F.lit(100.0).alias("y1"))
     b = table(spark, sf_dir, "nation").select((F.col("n_nationkey") + 1000).cast("long").alias("key"), F.lit(0.0).alias("x0"), d(n).alias("y0"), F.lit(100.0).alias("x1"), d(n + 3).alias("y1"))
     return J.crossings(a, b, 10.0).select("key_a", "key_b", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
@@ -159,14 +181,14 @@ def mutual_edges(spark, sf_dir):
 
 
 @query(f"""
-WITH e AS (SELECT DISTINCT l_suppkey AS page, {_SIDE} AS side, l_partkey % 100 AS neighbor FROM lineitem WHERE l_quantity > 45),
-c AS (SELECT s_suppkey AS neighbor, -9750000 + s_suppkey * 220.0::DOUBLE AS cx, 5100000 + s_acctbal AS cy FROM supplier WHERE s_suppkey % 3 = 0),
+WITH e AS (SELECT DISTINCT l_suppkey AS page, {_SIDE} AS side, l_partkey % 100 AS neighbor FROM lineitem),
+c AS (SELECT s_suppkey AS neighbor, -9750000 + s_suppkey * 220.0::DOUBLE AS cx, 5100000 + s_acctbal AS cy FROM supplier),
 w AS (SELECT page, side, cx, cy, CASE WHEN side IN ('left', 'right') THEN 220.0::DOUBLE ELSE 400.0::DOUBLE END AS far, cos(atan(sinh(cy / 6378137.0::DOUBLE))) AS k FROM e JOIN c USING (neighbor))
 SELECT page, round(avg(cx + CASE side WHEN 'left' THEN far / k WHEN 'right' THEN -far / k ELSE 0 END), 3) AS x,
   round(avg(cy + CASE side WHEN 'top' THEN -far / k WHEN 'bottom' THEN far / k ELSE 0 END), 3) AS y, min(greatest(100, far / 2)) AS radius_m FROM w GROUP BY 1""")
 def neighbor_windows(spark, sf_dir):
-    e = table(spark, sf_dir, "lineitem").filter("l_quantity > 45").select(F.col("l_suppkey").alias("page"), F.expr(_SIDE).alias("side"), (F.col("l_partkey") % 100).alias("neighbor")).distinct()
-    c = table(spark, sf_dir, "supplier").filter("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("neighbor"), (F.lit(-9750000) + F.col("s_suppkey") * 220.0).alias("cx"), (F.lit(5100000) + F.col("s_acctbal")).alias("cy"))
+    e = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("page"), F.expr(_SIDE).alias("side"), (F.col("l_partkey") % 100).alias("neighbor")).distinct()
+    c = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("neighbor"), (F.lit(-9750000) + F.col("s_suppkey") * 220.0).alias("cx"), (F.lit(5100000) + F.col("s_acctbal")).alias("cy"))
     return J.window_of_neighbors(e, c).select("page", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), "radius_m")
 
 
@@ -194,12 +216,12 @@ def merge_precedence(spark, sf_dir):
 
 
 @query("""
-WITH b AS (SELECT p_partkey AS box, p_size * 100 AS x0, p_retailprice - 50 AS y0, p_size * 100 + 120 AS x1, p_retailprice + 50 AS y1 FROM part WHERE p_partkey % 20 = 0),
+WITH b AS (SELECT p_partkey AS box, p_size * 100 AS x0, p_retailprice - 50 AS y0, p_size * 100 + 120 AS x1, p_retailprice + 50 AS y1 FROM part),
 p AS (SELECT c_custkey AS id, (c_custkey * 37 % 5000)::DOUBLE AS x, 900 + c_custkey % 700 AS y FROM customer)
 SELECT id, box FROM p JOIN b ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1""")
 def covering_boxes(spark, sf_dir):
     s, r = F.col("p_size") * 100, F.col("p_retailprice")
-    b = table(spark, sf_dir, "part").filter("p_partkey % 20 = 0").select(F.col("p_partkey").alias("box"), s.alias("x0"), (r - 50).alias("y0"), (s + 120).alias("x1"), (r + 50).alias("y1"))
+    b = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("box"), s.alias("x0"), (r - 50).alias("y0"), (s + 120).alias("x1"), (r + 50).alias("y1"))
     p = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_custkey") * 37 % 5000).cast("double").alias("x"), (900 + F.col("c_custkey") % 700).cast("double").alias("y"))
     return J.covering_boxes(p, b, 100.0).select("id", "box")
 
@@ -213,7 +235,7 @@ def top_areas(spark, sf_dir):
     d = lambda c: c.cast("double")
     a = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("g"), F.col("s_acctbal").alias("x0"), F.lit(0.0).alias("y0"), (F.col("s_acctbal") + 800).alias("x1"), F.lit(10.0).alias("y1"))
     b = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("g"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("bx0"), d(F.col("c_custkey") % 10).alias("by0"), (F.col("c_acctbal") + 500).alias("bx1"), F.lit(12.0).alias("by1"))
-    return J.top_overlaps(a, b, ["g"]).select("id", "rank", "name", F.round("area", 4).alias("area"))
+    return J.top_overlaps(a, b, ["g"], 500.0).select("id", "rank", "name", F.round("area", 4).alias("area"))
 
 
 @query("""

@@ -30,14 +30,13 @@ def normalize_street(spark, sf_dir):
 
 
 @query(f"""
-SELECT p_partkey, CASE WHEN p_name LIKE 'small %' AND p_size % 5 <> 4 AND NOT (p_size % 5 = 3 AND p_size % 3 = 0)
+SELECT p_partkey, CASE WHEN p_name IN ('small ring', 'small bolt') AND p_size % 5 <> 4 AND NOT (p_size % 5 = 3 AND p_size % 3 = 0)
   THEN 'TINY' ELSE CASE WHEN p_size % 5 = 3 AND p_size % 3 = 0 THEN upper(replace(p_name, ' ', '')) || ' N'
   ELSE upper(replace(p_name, ' ', '')) END END AS street_key
-FROM part WHERE p_name NOT LIKE 'small %' OR p_name = 'small ring' OR p_name = 'small bolt'""")
+FROM part""")
 def normalize_street_aliases(spark, sf_dir):
     aliases = F.create_map(F.lit("SMALLRING"), F.lit("TINY"), F.lit("SMALLBOLT"), F.lit("TINY"))
-    some = printed(spark, sf_dir).filter("p_name not like 'small %' or p_name in ('small ring', 'small bolt')")
-    return some.select("p_partkey", N.normalize(F.col("printed"), aliases).alias("street_key"))
+    return printed(spark, sf_dir).select("p_partkey", N.normalize(F.col("printed"), aliases).alias("street_key"))
 
 
 @query("""

@@ -24,9 +24,10 @@ def numerals_from_raw(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.transform(D.numerals_from_raw(raw), lambda n: n["value"]).alias("numerals"))
 
 
-@query("""SELECT event_id, CASE event_id % 3 WHEN 0 THEN event_id::INT WHEN 1 THEN (event_id + 1)::INT END AS k FROM events""")
+@query("""SELECT event_id, CASE event_id % 5 WHEN 2 THEN NULL WHEN 0 THEN event_id::INT WHEN 1 THEN (event_id + 1)::INT ELSE (event_id + 2)::INT END AS k FROM events""")
 def json_from_prose(spark, sf_dir):
-    raw = F.expr("""CASE event_id % 3 WHEN 0 THEN concat('Here:\\n```json\\n{"k": ', event_id, '}\\n```') WHEN 1 THEN concat('{"result": "{\\\\"k\\\\": ', event_id + 1, '}"}') ELSE 'nothing' END""")
+    raw = F.expr("""CASE event_id % 5 WHEN 0 THEN concat('Here:\n```json\n{"k": ', event_id, '}\n```') WHEN 1 THEN concat('{"result": "{\\\\"k\\\\": ', event_id + 1, '}"}')
+      WHEN 2 THEN 'nothing' WHEN 3 THEN concat('{"k": ', event_id + 2, '} rather than {"k": 0} or }') ELSE concat('So {"a": {"k": 1}, "result": {}, "k": ', event_id + 2, '} {') END""")
     return table(spark, sf_dir, "events").select("event_id", D.tolerant_int(D.json_from_prose(raw), "$.k").alias("k"))
 
 

@@ -32,7 +32,7 @@ def cluster_rows(spark, sf_dir):
 
 
 @query("""
-WITH v AS (SELECT l_suppkey AS way, l_suppkey % 7 AS street, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) - 1 AS pos, l_partkey % 300 AS node FROM lineitem WHERE l_orderkey < 1500),
+WITH v AS (SELECT l_suppkey AS way, l_suppkey % 7 AS street, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) - 1 AS pos, l_partkey AS node FROM lineitem),
 s AS (SELECT node FROM v GROUP BY 1 HAVING count(DISTINCT street) > 3), k AS (SELECT node FROM v GROUP BY 1 HAVING count(DISTINCT street) > 1),
 c AS (SELECT v.*, (node IN (SELECT node FROM k) AND pos > 0 AND pos < max(pos) OVER (PARTITION BY way))::INT AS cut FROM v)
 SELECT way, sum(cut)::BIGINT + 1 AS pieces, count(*) + sum(cut)::BIGINT AS vertices FROM c GROUP BY 1""")
@@ -40,8 +40,8 @@ def cut_ways(spark, sf_dir):
     from pyspark.sql.window import Window
 
     w = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    v = table(spark, sf_dir, "lineitem").filter("l_orderkey < 1500").withColumn("pos", F.row_number().over(w) - 1)
-    v = v.select(F.col("l_suppkey").alias("way"), (F.col("l_suppkey") % 7).alias("street"), "pos", (F.col("l_partkey") % 300).alias("node"))
+    v = table(spark, sf_dir, "lineitem").withColumn("pos", F.row_number().over(w) - 1)
+    v = v.select(F.col("l_suppkey").alias("way"), (F.col("l_suppkey") % 7).alias("street"), "pos", F.col("l_partkey").alias("node"))
     c = S.cut_at_shared(v)
     return c.groupBy("way").agg(F.count(F.lit(1)).alias("pieces"), F.sum(F.size("nodes")).alias("vertices"))
 
@@ -77,14 +77,12 @@ def compress_chain(spark, sf_dir):
 
 
 @query("""
-WITH r AS (SELECT user_id, event_id, value, lag(value) OVER w AS before, lead(value) OVER w AS after FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
-SELECT user_id, count(*) FILTER (value < before AND (after IS NULL OR after < before)) AS splits, count(*) FILTER (value < before AND after >= before) AS spikes FROM r GROUP BY 1""")
+WITH r AS (SELECT user_id, event_id, CASE WHEN event_type <> 'click' THEN value END AS v FROM events),
+n AS (SELECT *, lag(v IGNORE NULLS) OVER w AS before, lead(v IGNORE NULLS) OVER w AS after FROM r WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+SELECT user_id, event_id, sum(coalesce(v < before AND after < before, false)::INT) OVER (PARTITION BY user_id ORDER BY event_id)::BIGINT AS piece FROM n""")
 def split_sustained(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("user_id", "event_id", "value")
-    k = (["user_id"], ["event_id"])
-    r = e.withColumns({"before": S.lag("value", *k), "after": S.lead("value", *k)})
-    drop = F.col("value") < F.col("before")
-    return r.groupBy("user_id").agg(F.count_if(drop & (F.col("after").isNull() | (F.col("after") < F.col("before")))).alias("splits"), F.count_if(drop & (F.col("after") >= F.col("before"))).alias("spikes"))
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "value", "event_type")
+    return S.split_sustained(e, ["user_id"], ["event_id"], "value", F.col("event_type") != "click").select("user_id", "event_id", "piece")
 
 
 @query("""

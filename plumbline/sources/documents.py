@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import pages as P
+from ..functions.names import renames, split_typed_name
+from ..operators.sequences import joined_lines
 
 
 #: Schemas of what is read; a field that is missing is null.
@@ -32,11 +34,22 @@ def numerals_from_raw(raw: Column) -> Column:
     return F.transform(good, lambda i: F.struct(i["value"].try_cast("int").alias("value"), i["bbox"].alias("bbox"), i["street"].alias("street")))
 
 
+def _unfenced(text: Column) -> Column:
+    return F.trim(F.regexp_replace(F.trim(text), r"^```[A-Za-z]*\s*|\s*```$", ""))
+
+
 def json_from_prose(text: Column) -> Column:
-    """The JSON object in an answer: out of fences or prose, and out of a ``result`` envelope."""
-    body = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
-    inner = F.get_json_object(body, "$.result")
-    return F.when(inner.isNotNull(), F.regexp_extract(inner, r"(?s)(\{.*\})", 1)).otherwise(F.nullif(body, F.lit("")))
+    """The first JSON object in an answer, without fences or prose about it; null where there is none.
+
+    If the whole answer is an object with a text under ``result``, the object is looked for in that text.
+    """
+    whole = _unfenced(text)
+    alone = F.json_array_length(F.concat(F.lit("["), whole, F.lit("]"))) == 1
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(whole), "$.result", "variant"))
+    body = F.when(alone & (kind == "STRING"), _unfenced(F.get_json_object(whole, "$.result"))).otherwise(whole)
+    start = F.instr(body, "{")
+    # a parser reads one value from the first brace on, whatever follows it
+    return F.when(start > 0, F.get_json_object(F.substr(body, start), "$"))
 
 
 def read_records(spark: SparkSession, folder: str, strict: bool = False) -> DataFrame:
@@ -74,10 +87,13 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def usable_ways(elements: DataFrame) -> DataFrame:
-    """Ways (type, id, tags, geometry) that are named streets of two points at least."""
+    """Ways (type, id, tags, geometry) of two points at least that have a street's name: excluded kinds and areas go, ways
+    without a kind stay, and a name has to be more than a type."""
     tags = F.col("tags")
-    ok = (F.col("type") == "way") & (F.size("geometry") >= 2) & tags["name"].isNotNull() & tags["highway"].isNotNull()
-    return elements.filter(ok & ~tags["highway"].isin(*NO_STREETS) & ~F.coalesce(tags["area"] == "yes", F.lit(False)))
+    named = F.coalesce(tags["name"] != "", F.lit(False)) & (split_typed_name(F.coalesce(tags["name"], F.lit(""))).getField("name") != "")
+    ok = (F.col("type") == "way") & (F.size("geometry") >= 2) & named
+    gone = F.coalesce(tags["highway"].isin(*NO_STREETS), F.lit(False)) | F.coalesce(tags["area"] == "yes", F.lit(False))
+    return elements.filter(ok & ~gone)
 
 
 def checked_response(responses: DataFrame) -> DataFrame:
@@ -166,18 +182,24 @@ def read_queue(rows: DataFrame) -> DataFrame:
 
 
 def write_if_changed(spark: SparkSession, df: DataFrame, path: str) -> bool:
-    """Write df as Parquet unless the same rows are there; returns whether it wrote."""
-    mark = lambda d: d.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(F.to_json(F.struct(*sorted(d.columns)))))).first()
+    """Write df as Parquet unless the same rows are there, repeated ones as often; returns whether it wrote.
+
+    Rows are compared by their number and by two sums of hashes, which neither order nor repeats cancel.
+    """
+
+    def mark(d: DataFrame) -> tuple:
+        whole = F.to_json(F.struct(*sorted(d.columns)), {"ignoreNullFields": "false"})
+        total = lambda h: F.sum(h.cast("decimal(38,0)"))
+        return tuple(d.agg(F.count(F.lit(1)), total(F.xxhash64(whole)), total(F.xxhash64(F.lit(1), whole))).first())
+
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-    if there and tuple(mark(spark.read.parquet(path))) == tuple(mark(df)):
+    if there and mark(spark.read.parquet(path)) == mark(df):
         return False
     df.write.mode("overwrite").parquet(path)
     return True
 
 
-
-
 def archive_bounds(files: DataFrame) -> DataFrame:
     """(path, west, south, east, north) from the header of tile archives of version 3: four signed 32-bit numbers of 1e-7
     degrees from byte 102 on. files: (path, content)."""
@@ -200,14 +222,7 @@ def gazetteer(bindings: DataFrame) -> DataFrame:
     return each.select("label", normalize_rail_name(F.col("g")).alias("group_key")).distinct()
 
 
-def rename_pairs(lines: DataFrame) -> DataFrame:
-    """(old, new, line) of a printed list's lines ``OLD -- now NEW`` and ``NEW, formerly OLD``. lines: (line)."""
-    from ..functions.names import clean
-
-    now = F.regexp_extract_all("line", F.lit(r"(?i)^\s*(.+?)\s+(?:--|now|to)\s+(?:now\s+)?(.+?)\.?\s*$"), 1)
-    to = F.regexp_extract("line", r"(?i)^\s*(.+?)\s+(?:--|now|to)\s+(?:now\s+)?(.+?)\.?\s*$", 2)
-    back = F.regexp_extract("line", r"(?i)^\s*(.+?),?\s+formerly\s+(.+?)\.?\s*$", 2)
-    head = F.regexp_extract("line", r"(?i)^\s*(.+?),?\s+formerly\s+(.+?)\.?\s*$", 1)
-    old = F.when(back != "", back).otherwise(F.try_element_at(now, F.lit(1)))
-    new = F.when(back != "", head).otherwise(to)
-    return lines.select(clean(old).alias("old"), clean(new).alias("new"), "line").filter("old <> '' and new <> ''")
+def rename_pairs(lines: DataFrame, group: list[str], order: list[str], line: str) -> DataFrame:
+    """(group, old, new, line) of the entries of printed lists, whose lines come in order and may run on."""
+    entries = joined_lines(lines, group, order, line)
+    return entries.select(*group, line, F.explode(renames(F.col(line))).alias("r")).select(*group, "r.old", "r.new", line)

@@ -13,7 +13,7 @@ def one(spark, column):
 @pytest.mark.parametrize(
     ("raw", "key"),
     [
-        ("W. GARFIELD BOUL.", "GARFIELD"), ("31ST PL.", "31ST PL"), ("W 31st Place", "31ST PL"), ("MILES AV S E", "MILES"), ("SOUTH WEST", "WEST"),
+        ("W. Quarry Boul.", "QUARRY"), ("14TH CT.", "14TH CT"), ("W 14th Place", "14TH PL"), ("HERON AV S E", "HERON"), ("SOUTH WEST", "WEST"),
         ("AVENUE E", "AVENUE E"), ("TERRACE DRIVE", "TERRACE"), ("SOUTH STREET", "SOUTH"), ("W. 73 RD ST.", "73RD"), ("12 ST", "12"), ("BL'VD", "BLVD"), ("", ""), ("N", "N"),
     ],
 )

@@ -142,6 +142,8 @@ def test_readers(spark, tmp_path):
 def test_ways_queue_and_sums(spark):
     w = spark.createDataFrame([("way", 1, {"name": "A", "highway": "residential"}, [1.0, 2.0]), ("way", 2, {"name": "B", "highway": "path"}, [1.0, 2.0]), ("node", 3, {"name": "C", "highway": "x"}, [1.0, 2.0]), ("way", 4, {"name": "D", "highway": "x", "area": "yes"}, [1.0, 2.0]), ("way", 5, {"highway": "x"}, [1.0, 2.0])], "type string, id long, tags map<string,string>, geometry array<double>")
     assert rows(D.usable_ways(w), "id") == [(1,)]
+    w = spark.createDataFrame([("way", 6, {"name": "Oak Street"}, [1.0, 2.0]), ("way", 7, {"name": "..."}, [1.0, 2.0]), ("way", 8, {"name": ""}, [1.0, 2.0]), ("way", 9, {"name": "Elm", "area": "yes"}, [1.0, 2.0]), ("way", 10, None, [1.0, 2.0]), ("way", 11, {"name": "E"}, [1.0])], w.schema)
+    assert rows(D.usable_ways(w), "id") == [(6,)]
     q = spark.createDataFrame([('{"volume": "v", "odd": 1}',), ("not json",)], "value string")
     assert rows(D.read_queue(q), "volume", "track", "status", "quarantined") == [("v", "place", "queued", False), (None, "place", "queued", True)]
     m = spark.createDataFrame([(0, "a", "1"), (1, "b", "2")], "ord long, path string, sha256 string")
@@ -159,8 +161,88 @@ def test_write_if_changed(spark, tmp_path):
     path = f"file://{tmp_path}/t"
     assert D.write_if_changed(spark, df, path) and not D.write_if_changed(spark, df.repartition(3), path)
     assert D.write_if_changed(spark, df.withColumn("x", F.lit("b")), path)
+    twice = lambda v: spark.createDataFrame([(v,), (v,)], "x string")
+    path = f"file://{tmp_path}/u"
+    assert D.write_if_changed(spark, twice("a"), path) and D.write_if_changed(spark, twice("b"), path) and not D.write_if_changed(spark, twice("b"), path)
+    assert D.write_if_changed(spark, twice("b").limit(1), path) and D.write_if_changed(spark, twice(None), path)
+    assert rows(spark.read.parquet(path)) == [(None,), (None,)]
 
 
 def test_unknown_directions_raise(spark):
     with pytest.raises(Exception, match="no direction"):
         spark.range(1).select(signed(F.lit("Q"), F.lit(1.0))).collect()
+
+
+def test_snap(spark):
+    v = spark.createDataFrame([("HALSTED",), ("DELWARE",), ("HALSTEDS",), ("OHIOO",), ("CLARKSON",), ("XLARKSON",), (None,), ("",)], "val string")
+    k = spark.createDataFrame([("HALSTED",), ("HALSTED",), ("DELAWARE",), ("DELAWARE",), ("OHIO",), ("CLARKSEN",), ("CLARKSAN",), (None,)], "key string")
+    assert rows(J.snap(v, k)) == sorted([("HALSTED", "HALSTED"), ("DELWARE", "DELAWARE"), ("HALSTEDS", "HALSTED"), ("OHIOO", None), ("CLARKSON", None), ("XLARKSON", None), (None, None), ("", None)], key=str)
+
+
+def test_first_json_object(spark):
+    said = [
+        ('{"a": 1}', '{"a":1}'), ('```json\n{"a": 1}\n```', '{"a":1}'), ('Sure: {"a": "}{"} or {"b": 2}', '{"a":"}{"}'), ('{"result": "So {\\"a\\": 2} }"}', '{"a":2}'),
+        ('{"result": {"a": 3}, "b": 1}', '{"result":{"a":3},"b":1}'), ('{"result": "{}"} and more', '{"result":"{}"}'), ("no object", None), ("{broken", None), ("", None), (None, None), ('[{"a": 1}]', '{"a":1}'),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(said)], "i int, t string").select("i", D.json_from_prose(F.col("t")).alias("j"))
+    assert [r.j for r in df.orderBy("i").collect()] == [w for _, w in said]
+
+
+def test_entries_run_on_and_sustained_drops_split(spark):
+    t = spark.createDataFrame([("a", 1, "Elm St.,  "), ("a", 2, ""), ("a", 3, " Old Pl."), ("a", 4, "-Oak"), ("a", 5, "-Ash "), ("b", 1, "x")], "doc string, n int, line string")
+    assert rows(S.joined_lines(t, ["doc"], ["n"], "line")) == [("a", "-Ash"), ("a", "-Oak"), ("a", "Elm St., Old Pl."), ("b", "x")]
+    v = [10, 20, 5, 30, 8, 9, 40, 7]
+    r = spark.createDataFrame([(1, i, x, i != 6) for i, x in enumerate(v)], "k int, i int, v int, ok boolean")
+    # 5 stands alone under 20 and stays; 8 is confirmed by 9; 40 isn't accepted; nothing follows 7
+    assert [x[2] for x in rows(S.split_sustained(r, ["k"], ["i"], "v", F.col("ok")), "k", "i", "piece")] == [0, 0, 0, 0, 1, 1, 1, 1]
+
+
+def test_entries_of_a_rename_list(spark):
+    from plumbline.functions.names import renames
+
+    cases = {
+        "-Quarry Street, Ridge Avenue. Vacated.": {("QUARRY ST", "RIDGE AV")},
+        "-Quarry St., Ridge Av. and Dale Court from 200N to 400N.": {("QUARRY ST", "RIDGE AV"), ("QUARRY ST", "DALE CT")},
+        "-Quarry St., Heron.": {("QUARRY ST", "HERON")},
+        "-North 12 Quarry, Heron": {("NORTH", "HERON")},
+        "Ridge St., 300N Quarry St., W. Mill Pl., Ridge St.": {("QUARRY ST", "RIDGE ST"), ("MILL PL", "RIDGE ST")},
+        "St., Quarry Pl.": set(), "Ridge, Quarry Pl.": set(), "Ridge St.": set(), "-": set(), "-300N, Quarry Pl.": set(), "": set(),
+        "Ridge St., was named after a very long and winding brook of old": {("OLD", "RIDGE ST"), ("OLD", "RIDGE ST")},
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "t string").select("t", renames(F.col("t")).alias("r"))
+    assert {r.t: {(x.old, x.new) for x in r.r} for r in df.collect()} == cases
+
+
+def test_nearest_segments_against_all_pairs(spark):
+    import math
+    import random
+
+    r = random.Random(3)
+    segments = [(i, i % 3, *(r.uniform(0, 900) for _ in range(2))) for i in range(700)]
+    segments = [(i, k, x, y, x + r.uniform(-9, 9), y + r.choice([0.0, r.uniform(-300, 300)])) for i, k, x, y in segments]
+    points = [(i, r.choice([0, 1, 2, 7]), r.uniform(-300, 1200), r.uniform(-300, 1200)) for i in range(150)]
+
+    def distance(p, s):
+        _, _, x0, y0, x1, y1 = s
+        f = max(0.0, min(1.0, ((p[2] - x0) * (x1 - x0) + (p[3] - y0) * (y1 - y0)) / max((x1 - x0) ** 2 + (y1 - y0) ** 2, 1e-300)))
+        return math.hypot(p[2] - x0 - f * (x1 - x0), p[3] - y0 - f * (y1 - y0))
+
+    got = {x.id: (x.seg, x.distance) for x in J.nearest_segment(spark.createDataFrame(points, "id int, k int, px double, py double"), spark.createDataFrame(segments, "seg int, k int, x0 double, y0 double, x1 double, y1 double"), "k").collect()}
+    assert set(got) == {p[0] for p in points if p[1] != 7}
+    for p in points:
+        if p[1] != 7:
+            d, s = min((distance(p, s), s[0]) for s in segments if s[1] == p[1])
+            assert got[p[0]][0] == s and abs(got[p[0]][1] - d) < 1e-9
+
+
+def test_densest_angle_against_all_pairs(spark):
+    import random
+
+    r = random.Random(5)
+    angles = [(g, r.choice([3.0, 178.5, 90.0, 91.25, r.uniform(0, 180)])) for g in range(6) for _ in range(40)]
+    got = {x.g: (x.angle, x.n, x.spread) for x in A.densest_angle(spark.createDataFrame(angles, "g int, a double"), "g", "a", 5.0).collect()}
+    for g in range(6):
+        own = [a for k, a in angles if k == g]
+        dev = lambda a, b: abs((b - a + 90) % 180 - 90)
+        best = min((-sum(dev(a, b) <= 5 for b in own), round(sum(dev(a, b) for b in own if dev(a, b) <= 5), 6), a) for a in own)
+        assert got[g] == (best[2], -best[0], pytest.approx(best[1], abs=1e-6))

@@ -108,7 +108,8 @@ def test_diagnosis_takes_the_fixed_number_of_draws(spark):
     p = np.r_[grid, r.random((90, 4)) * [3000, 3000, 9e6, 9e6]]
     assert K.consensus_fit(p, 25.0, 6, 200) is None and K.consensus_fit(p, 25.0, 6, 5000) is not None
     df = spark.createDataFrame([(1, i, *map(float, q)) for i, q in enumerate(p)], "sheet int, i int, px double, py double, x double, y double")
-    assert K.fit_diagnosis(df, ["sheet"], ["i"], 25.0, 6, (0.02, 0.5)).first().reason is None
+    assert K.refusal(p, K.Gates(), (3000.0, 3000.0), draws=200) != K.ACCEPTED
+    assert K.fit_diagnosis(df, ["sheet"], ["i"], K.Gates(), (3000.0, 3000.0)).first().reason == K.ACCEPTED
 
 
 def test_bootstrap_takes_ten_thousand_draws(spark):

@@ -8,6 +8,7 @@ from ..functions import geometry as G
 from ..operators import aggs as A
 from ..operators import joins as J
 from ..operators import kernels as K
+from ..operators.stitching import stitched
 from ..sources import documents as D
 from .registry import query, table
 
@@ -209,11 +210,29 @@ def reachable_cells(spark, sf_dir):
 
 @query()
 def stitched_chains(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    return K.stitched(o.select((F.col("o_custkey") % 50).alias("book"), F.floor(F.col("o_orderkey") / 100).alias("page"), (F.col("o_orderkey") % 100).alias("row"), (F.col("o_orderstatus") == "P").alias("head"), F.floor("o_totalprice").alias("old")), ["book"])
+    """Orders as the rows of books: a header now and then, pairs whose new numbers grow with small steps, misreads among them.
+
+    Each 600 orders have books of their own, so that a book stays as large in any table."""
+    k = F.col("o_orderkey")
+    place = F.floor(k / 10) % 60  # of the row in its book
+    head, label = k % 7 == 3, k % 11 == 5
+    new = F.when(k % 13 == 0, place).otherwise(1000 + place * 8 + F.col("o_custkey") % 2)
+    return stitched(
+        table(spark, sf_dir, "orders").select(
+            (F.floor(k / 600) * 10 + k % 10).alias("book"), F.floor(place / 20).cast("int").alias("page"), (F.floor(place / 5) % 4).cast("int").alias("strip"),
+            (place % 5 * 30.0).alias("y"), k.alias("ord"), F.when(head, "header").when(label, "label").otherwise("pair").alias("kind"),
+            F.when(head, F.concat(F.lit("Q"), (k % 3).cast("string"), F.when(k % 2 == 0, " Street").otherwise(" Street CONTINUED"))).alias("text"), (k % 4 == 0).alias("cont"),
+            F.when(k % 9 == 0, "disagree").otherwise("agreed").alias("status"), new.cast("long").alias("new"), (F.floor("o_totalprice") % 50 + place * 5).cast("long").alias("old"), F.lit("").alias("old_suffix"),
+        ), ["book"],
+    )
 
 
-@query()
+@query("""
+WITH b AS (SELECT c_nationkey AS volume, c_acctbal / 100 AS x0, (c_custkey % 60)::DOUBLE AS y0, c_acctbal / 100 + 20 AS x1, (c_custkey % 60)::DOUBLE + 15 AS y1 FROM customer),
+f AS (SELECT volume, min(x0) AS lx, min(y0) AS ly, greatest(max(x1) - min(x0), 1e-12) / 64 AS sx, greatest(max(y1) - min(y0), 1e-12) / 64 AS sy FROM b GROUP BY 1),
+m AS (SELECT volume, i, j, lx + (i + 0.5::DOUBLE) * sx AS mx, ly + (j + 0.5::DOUBLE) * sy AS my FROM f, range(0, 64) a(i), range(0, 64) c(j)),
+n AS (SELECT m.volume, i, j, count(*) AS n FROM m JOIN b ON b.volume = m.volume AND mx >= x0 AND mx < x1 AND my >= y0 AND my < y1 GROUP BY ALL)
+SELECT volume, count(*) / 4096.0::DOUBLE AS covered, count(*) FILTER (n > 1) / 4096.0::DOUBLE AS overlapped FROM n GROUP BY 1""")
 def volume_coverage(spark, sf_dir):
     x, y = F.col("c_acctbal") / 100, (F.col("c_custkey") % 60).cast("double")
     return K.covered(table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("volume"), x.alias("x0"), y.alias("y0"), (x + 20).alias("x1"), (y + 15).alias("y1")), "volume")

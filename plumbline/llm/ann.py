@@ -44,8 +44,8 @@ ONE_LEAF = 512
 DIRECTIONS = 8
 #: Sample rows that act as queries to find how neighbours lie and the number of leaves.
 TRIALS = 256
-#: Index rows and queries of a task's group aimed at.
-GROUP_ROWS, GROUP_QUERIES = 2048, 4096
+#: Index rows and queries of a task's group aimed at, and queries of a task that pops leaves.
+GROUP_ROWS, GROUP_QUERIES, TASK_QUERIES = 2048, 4096, 256
 #: The logistic curve of this steepness is close to the normal one.
 _STEEP = 1.702
 
@@ -498,6 +498,8 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", v
     askers = stored(spark, valid_rows(asked, vector).distinct(), "askers")
     every = askers.groupBy("v").agg(F.min("id").alias("class"))
     every = every.filter(F.length("v") == int(dtype[2]) * sample.shape[1]) if len(sample) else every.limit(0)
+    # popping costs far more than the few bytes of a query tell
+    every = every.repartition(max(1, -(-askers.count() // TASK_QUERIES)), "v")
     probed = stored(spark, _probed(every, forest, sc.broadcast(count), budget, k + 1, dtype), "probed")
     groups.splits[:] = 0
     for r in _asked(probed, sc.broadcast(groups)).collect():  # a row for each group

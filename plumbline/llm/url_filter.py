@@ -5,8 +5,9 @@ rules that fit, the one with the most host labels wins, then the one with the lo
 different verdicts, block wins. URLs that no rule fits get the default verdict.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path and gets the default; repeated rows are
-judged one by one; empty tables give empty tables; other columns are ignored. Only A-Z of a host are lower-cased. A rule
-list above ``MOST_RULES`` entries is refused, since the trie is broadcast.
+judged one by one; empty tables give empty tables; other columns are ignored, whatever their names. Only A-Z of a host are
+lower-cased. The trie of up to ``MOST_RULES`` rules is broadcast; a longer list is shuffled instead, and each URL meets it
+on its host's suffixes and on those prefixes of its path that are as long as a rule of that host.
 """
 
 from __future__ import annotations
@@ -14,12 +15,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from .common import lean, ready
 
-#: Entries of a broadcast rule list at most.
-MOST_RULES = 1_000_000
+#: Entries of a broadcast rule list at most (some 100 MB as a trie).
+MOST_RULES = 100_000
 
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -83,8 +85,6 @@ class _Labels:
 
 class UrlTrie:
     def __init__(self, rules: list[Rule], default: str = "allow") -> None:
-        if len(rules) > MOST_RULES:
-            raise ValueError(f"{len(rules)} rules; at most {MOST_RULES} can be broadcast")
         self.root, self.default = _Labels(), default
         for r in rules:
             node = self.root
@@ -118,6 +118,9 @@ def split_url(url: str | None) -> tuple[str, str]:
 def url_verdicts(df: DataFrame, rules: list[Rule], key: str = "page_id", url: str = "url", default: str = "allow") -> DataFrame:
     """(key, host, path, rule, verdict) of every row; rule is null where none fits."""
     spark = df.sparkSession
+    if len(rules) > MOST_RULES:
+        lines = [(r.host, r.path, r.allow) for r in rules]
+        return joined_verdicts(df, spark.createDataFrame(lines, "host string, path string, allow boolean"), key, url, default)
     ready(spark)
     trie = spark.sparkContext.broadcast(UrlTrie(rules, default))
     kind = df.schema[key].dataType.simpleString()
@@ -139,3 +142,30 @@ def url_verdicts(df: DataFrame, rules: list[Rule], key: str = "page_id", url: st
             )
 
     return df.select(key, url).mapInArrow(lean(run), f"`{key}` {kind}, host string, path string, rule string, verdict string")
+
+
+def _parts_of(url: Column) -> tuple[Column, Column]:
+    """`split_url` as columns."""
+    at = F.coalesce(F.instr(url, "://"), F.lit(0))
+    rest = F.when(at > 0, F.regexp_extract(F.substr(url, at + 3), "^[^?#]*", 0)).otherwise("")
+    host = F.regexp_extract(rest, "^[^/]*", 0)
+    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.substr(rest, F.length(host) + 1)
+
+
+def joined_verdicts(df: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "url", default: str = "allow") -> DataFrame:
+    """`url_verdicts` for rules (host, path, allow) of any number, host in lower case: joins on equal hosts and paths."""
+    host, path = _parts_of(F.col("u"))
+    urls = df.select(F.col(url).alias("u")).distinct().select("u", host.alias("host"), path.alias("path"))
+    labels = F.split("host", r"\.")
+    tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    each = urls.select("u", F.col("path").alias("own"), F.explode(tails).alias("host"))
+    one = rules.groupBy("host", "path").agg(F.min("allow").alias("allow"))  # block wins
+    sizes = one.groupBy("host").agg(F.collect_set(F.length("path")).alias("sizes"))  # no more than the longest path has letters
+    near = each.join(sizes, "host").select("u", "host", "own", F.explode("sizes").alias("n")).filter("n <= length(own)")
+    met = near.withColumn("path", F.substr("own", F.lit(1), F.col("n"))).join(one, ["host", "path"])
+    order = F.struct(F.size(F.split("host", r"\.")), F.length("path"))
+    best = met.groupBy("u").agg(F.max_by(F.struct(F.concat("host", "path").alias("rule"), "allow"), order).alias("b"))
+    judged = urls.join(best, "u", "left").select(F.col("u").alias("judged_url"), "host", "path", "b")
+    out = df.select(F.col(key).alias("key"), F.col(url).alias("u")).join(judged, F.col("u").eqNullSafe(F.col("judged_url")))
+    verdict = F.when(F.col("b.allow"), "allow").when(~F.col("b.allow"), "block").otherwise(default)
+    return out.select(F.col("key").alias(key), "host", "path", F.col("b.rule").alias("rule"), verdict.alias("verdict"))

@@ -1,5 +1,6 @@
 import random
 
+from plumbline.llm import url_filter as U
 from plumbline.llm.url_filter import Rule, UrlTrie, split_url, url_verdicts
 
 RULES = [Rule.of("com/", True), Rule.of("example.com/en/", False), Rule.of("www.example.com/en/", True), Rule.of("net/es/", False), Rule.of("org", False), Rule.of("a.org/x", True)]
@@ -38,3 +39,18 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert {(g.page_id, g.rule, g.verdict) for g in got} == {(1, "com/", "allow"), (None, None, "allow"), (3, None, "allow"), (4, "net/es/", "block")}
     assert len(got) == 5
     assert url_verdicts(df.limit(0), RULES).count() == 0
+
+
+def test_long_lists_are_joined(spark, monkeypatch):
+    """Above the bound of the broadcast, rules are shuffled, with the same verdicts."""
+    r = random.Random(2)
+    hosts = ["com", "example.com", "www.example.com", "m.www.example.com", "net", "x.net", "a.org", "b.a.org", "com.", "", "É.com"]
+    paths = ["", "/", "/en", "/en/", "/en/x", "/es/", "/x\ny", "/xy", "/x/y"]
+    rows = [(i, r.choice([None, "", "no", *[f"HTTP://{r.choice(hosts)}{r.choice(paths)}{r.choice(['', '?q=://a/en/', '#f'])}" for _ in range(9)]]), "x") for i in range(400)]
+    df = spark.createDataFrame([*rows, rows[0]], "page_id long, url string, host string")
+    rules = [*RULES, Rule.of("com/", False), Rule.of("org/x/", True), Rule("", "/en", False)]
+    broadcast = sorted(map(tuple, url_verdicts(df, rules).collect()), key=str)
+    monkeypatch.setattr(U, "MOST_RULES", 3)
+    joined = url_verdicts(df, rules)
+    assert sorted(map(tuple, joined.collect()), key=str) == broadcast and len(broadcast) == 401
+    assert joined.columns == ["page_id", "host", "path", "rule", "verdict"]

@@ -2,7 +2,8 @@
 
 Only headers (id, digest, length) are shuffled by digest, with a partial minimum per task, so a payload that a third of
 all pages share costs one row per task. Decisions come back by page id, which is even. Archives are gzip files that any
-number of readers stream; a reader holds one record at a time.
+number of readers stream; a reader holds one record at a time. (Spark writes a file as one gzip member, so records are
+found by reading on, not by seeking.)
 
 Defined results: a null payload is empty; payloads under ``least`` bytes are never revisits; rows that repeat the
 smallest id of a payload are all responses; a null id counts as larger than any other, and payloads that only rows
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,41 +26,48 @@ from .common import lean, ready
 SEP = "\r\n\r\n"
 _SEP = SEP.encode()
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-DATE = "1970-01-01T00:00:00Z"
 
 
 def revisits_of(headers: DataFrame, least: int) -> DataFrame:
-    """(id, digest, first) of each header whose payload an earlier id holds. headers: (id, digest, bytes)."""
+    """(id, digest, first, first_url) of each header whose payload an earlier id holds. headers: (id, url, digest, bytes)."""
     large = headers.filter(F.col("bytes") >= least)
-    first = large.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-    first = first.filter((F.col("n") > 1) & F.col("first").isNotNull()).drop("n")
-    return large.join(first, "digest").filter(~F.col("id").eqNullSafe(F.col("first"))).select("id", "digest", "first").distinct()
+    # the least (id, url) of the rows that have an id
+    known = F.when(F.col("id").isNotNull(), F.struct("id", "url"))
+    first = large.groupBy("digest").agg(F.min(known).alias("k"), F.count(F.lit(1)).alias("n"))
+    first = first.filter("n > 1 and k is not null").select("digest", F.col("k.id").alias("first"), F.col("k.url").alias("first_url"))
+    return large.join(first, "digest").filter(~F.col("id").eqNullSafe(F.col("first"))).select("id", "digest", "first", "first_url").distinct()
 
 
-def record_id(key: Column) -> Column:
-    return F.concat(F.lit("<urn:record:"), F.coalesce(key.cast("string"), F.lit("")), F.lit(">"))
+def record_id(key: Column, digest: Column) -> Column:
+    """One for each id and payload; rows that repeat both share it."""
+    return F.concat(F.lit("<urn:record:"), F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), F.left(digest, F.lit(32)), F.lit(">"))
 
 
 def write_archives(
     pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html",
-    least: int = 100, records_per_file: int = 50_000,
+    least: int = 100, records_per_file: int = 50_000, date: str | None = None,
 ) -> None:
-    """Write every row as a WARC record into gzip files in folder."""
+    """Write every row as a WARC record into gzip files in folder, with one date, now if none is given."""
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     body = F.coalesce(F.col(payload), F.lit(""))
-    p = pages.select(F.col(key).alias("id"), F.col(url).alias("url"), body.alias("body"))
+    safe = F.replace(F.replace(F.coalesce(F.col(url), F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    p = pages.select(F.col(key).alias("id"), safe.alias("url"), body.alias("body"))
     p = p.withColumns({"bytes": F.octet_length("body"), "digest": F.sha2("body", 256)})
-    d = revisits_of(p.select("id", "digest", "bytes"), least).select(F.col("id").alias("rid"), F.col("digest").alias("rdigest"), "first")
+    d = revisits_of(p.select("id", "url", "digest", "bytes"), least).select(F.col("id").alias("rid"), F.col("digest").alias("rdigest"), "first", "first_url")
     r = p.join(d, F.col("id").eqNullSafe(F.col("rid")) & (F.col("digest") == F.col("rdigest")), "left")
     again = F.col("first").isNotNull()
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(SEP))
     kept = F.when(again, "").otherwise(F.col("body"))
-    safe = F.replace(F.replace(F.coalesce("url", F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    refers = F.concat(
+        F.lit(f"\r\nWARC-Profile: {PROFILE}\r\nWARC-Refers-To: "), record_id(F.col("first"), F.col("digest")),
+        F.lit("\r\nWARC-Refers-To-Target-URI: "), F.col("first_url"), F.lit(f"\r\nWARC-Refers-To-Date: {date}"),
+    )
     head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.when(again, "revisit").otherwise("response"),
-        F.lit("\r\nWARC-Record-ID: "), record_id(F.col("id")),
-        F.lit(f"\r\nWARC-Date: {DATE}\r\nWARC-Target-URI: "), safe,
+        F.lit("\r\nWARC-Record-ID: "), record_id(F.col("id"), F.col("digest")),
+        F.lit(f"\r\nWARC-Date: {date}\r\nWARC-Target-URI: "), safe,
         F.lit("\r\nWARC-Payload-Digest: sha256:"), F.col("digest"),
-        F.when(again, F.concat(F.lit(f"\r\nWARC-Profile: {PROFILE}\r\nWARC-Refers-To: "), record_id(F.col("first")))).otherwise(""),
+        F.when(again, refers).otherwise(""),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
         (F.octet_length(http) + F.octet_length(kept)).cast("string"), F.lit(SEP),
     )
@@ -109,7 +118,7 @@ def records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[bytes, bytes], dict[
 
 
 def _id_of(field: bytes | None) -> int | None:
-    text = (field or b"").removeprefix(b"<urn:record:").removesuffix(b">")
+    text = (field or b"").removeprefix(b"<urn:record:").partition(b":")[0]
     return int(text) if text else None
 
 

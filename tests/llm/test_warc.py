@@ -53,3 +53,16 @@ def test_repeated_and_missing_ids(spark):
 
 def test_empty(spark):
     assert run(spark, [])[1] == set()
+
+
+def test_fresh_headers(spark):
+    """A revisit names its response's record, address and date; every record id is one of its own."""
+    big, other = "z" * 150, "w" * 150
+    rows = [(5, "http://b/", big, "q"), (2, "http://a/", big, None), (None, "http://c/", big, ""), (None, "http://d/", other, ""), (2, "http://a/", other, "")]
+    folder, _ = run(spark, rows, date="2026-01-02T03:04:05Z")
+    text = spark.read.option("lineSep", SEP).text(folder).collect()
+    heads = [dict(x.split(": ", 1) for x in r.value.split("\r\n")[1:]) for r in text if r.value.startswith("WARC/")]
+    assert {h["WARC-Date"] for h in heads} == {"2026-01-02T03:04:05Z"} and len({h["WARC-Record-ID"] for h in heads}) == 5
+    first = next(h["WARC-Record-ID"] for h in heads if h["WARC-Target-URI"] == "http://a/" and h["WARC-Payload-Digest"].endswith(hashlib.sha256(big.encode()).hexdigest()))
+    again = [h for h in heads if h["WARC-Type"] == "revisit" and h["WARC-Refers-To"] == first]
+    assert len(again) == 2 and all(h["WARC-Refers-To-Target-URI"] == "http://a/" and h["WARC-Refers-To-Date"] == h["WARC-Date"] for h in again)

@@ -1,13 +1,17 @@
 """Exact BPE by dynamic programming over prefixes.
 
 For every prefix of a word there is just one token that can end its encoding. An automaton over all vocabulary entries
-gives the tokens that are suffixes of a prefix; the right one is the token that the last token of the shorter prefix can
+(Aho and Corasick's, which leads from each prefix to the longest of its suffixes in the vocabulary, and on along suffix
+links) gives the tokens that are suffixes of a prefix; the right one is the token that the last token of the shorter prefix can
 stand beside, i.e. no merge across their boundary would have come first. Back-pointers then give the ids. A word costs
 time in proportion to its length and the matches in it, however long it is; words that come again are remembered in a
 table of bounded size.
 
 Defined results: null and empty texts have no tokens; texts are taken whole; special tokens written out in a text become
-their ids, as the library does it; repeated rows are encoded one by one; empty tables give empty tables.
+their ids, as the library does it; where several fit, the longest does; texts with letters that Unicode got later than
+Python's own tables are cut into words by the tokenizer's own rules, i.e. by the library, since the two may differ there;
+repeated rows are encoded one by one; empty tables give empty tables; other columns are ignored, whatever their names.
+The tokenizer's file is read on the driver and its text is broadcast.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ import json
 import re
 import unicodedata
 from functools import lru_cache
+from pathlib import Path
 
 import ahocorasick
 import pyarrow as pa
@@ -72,9 +77,10 @@ class _Memo(dict):
 class Codec:
     """Encoder and decoder of a word-level BPE file of the tokenizers library (lower case, word ends, byte letters)."""
 
-    def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, path: str, text: str | None = None) -> None:
+        """From a file, or from its text where that is given."""
+        text = Path(path).read_text(encoding="utf-8") if text is None else text
+        spec = json.loads(text)
         model = spec["model"]
         end = model["end_of_word_suffix"]
         vocab: dict[str, int] = model["vocab"]
@@ -112,7 +118,7 @@ class Codec:
         self._any = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
         late = late_letters()
         self._late, self._far = frozenset(late), re.compile(f"[{min(late, default=chr(0x10FFFF))}-{chr(0x10FFFF)}]")
-        self._path, self._byte = path, {c: b for b, c in enumerate(self.letters)}
+        self._file, self._byte = text, {c: b for b, c in enumerate(self.letters)}
 
     def _uncrossed(self, x: int, y: int, own: int = -1) -> bool:
         """Whether x and y stay apart, side by side: no merge across their boundary (but the one ranked own) comes first.
@@ -172,7 +178,7 @@ class Codec:
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         if self._far.search(text) and not self._late.isdisjoint(text):
-            own = library(self._path)
+            own = library(self._file)
             pieces = own.pre_tokenizer.pre_tokenize_str(own.normalizer.normalize_str(text))
             return [bytes([self._byte[c] for c in p]).decode() for p, _ in pieces]
         return self._any.findall(text.replace("Σ", "σ").lower())
@@ -202,21 +208,27 @@ class Codec:
 
 
 @lru_cache(2)
-def library(path: str) -> Tokenizer:
-    return Tokenizer.from_file(path)
+def library(text: str) -> Tokenizer:
+    return Tokenizer.from_str(text)
 
 
 @lru_cache(2)
-def codec(path: str) -> Codec:
-    return Codec(path)
+def codec_of(text: str) -> Codec:
+    return Codec("", text)
+
+
+def _shipped(df: DataFrame, path: str):
+    """The text of the tokenizer's file, as a broadcast."""
+    return df.sparkSession.sparkContext.broadcast(Path(path).read_text(encoding="utf-8"))
 
 
 def encoded(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids array<int>) of every row."""
     ready(df.sparkSession)
+    file = _shipped(df, path)
 
     def run(batches):
-        c = codec(path)
+        c = codec_of(file.value)
         for b in batches:
             ids = [c.encode(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], [key, "ids"])
@@ -227,9 +239,10 @@ def encoded(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
 def decoded(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, text) of every row of ids."""
     ready(df.sparkSession)
+    file = _shipped(df, path)
 
     def run(batches):
-        c = codec(path)
+        c = codec_of(file.value)
         for b in batches:
             texts = [c.decode(x or []) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], [key, "text"])
@@ -240,9 +253,10 @@ def decoded(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") ->
 def round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256): encoding and decoding in one pass, only the digests leave it."""
     ready(df.sparkSession)
+    file = _shipped(df, path)
 
     def run(batches):
-        c = codec(path)
+        c = codec_of(file.value)
         for b in batches:
             n, ids, back = [], [], []
             for t in b.column(1).to_pylist():

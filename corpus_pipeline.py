@@ -2,6 +2,11 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next one's
 docs. All but the last return the columns of documents.
+
+Defined results: a null text counts as empty; empty texts and texts without words are neither toxic nor copies, hold no
+item and no secret, and have no tokens, so they stay; rows that repeat a whole row, or an id, or have none, are judged by
+their own text, and of copies one row stays, ties as `one_of_each` says; without labels nothing is toxic; empty tables
+give empty tables; other columns of documents go through the first four stages whatever their names.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.llm.bpe import encoded
-from plumbline.llm.common import fold, stored, table
+from plumbline.llm.common import fold, forget, passing, stored, table
 from plumbline.llm.decontaminate import decontaminated
 from plumbline.llm.ngram_join import one_of_each
 from plumbline.llm.queries_tokens import tokenizer_path
@@ -59,8 +64,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = stored(spark, docs, name)
-    return docs
+    *first, (_, last) = STAGES
+    for name, stage in first:
+        with passing(spark) as kept:  # what a stage has stored for itself goes once its rows are written
+            before, docs = docs, stored(spark, stage(spark, docs, sf_dir), name)
+            kept.append(docs)
+        forget(before)
+    return last(spark, docs, sf_dir)

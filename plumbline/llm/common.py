@@ -6,6 +6,7 @@ work per byte and Python only the work per document. A null text is an empty tex
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import gc
 import os
@@ -13,6 +14,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -26,6 +28,8 @@ BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 SLICE_BYTES = 1 << 19
 
 _shipped: set[str] = set()
+#: Paths of stored tables that nobody has deleted yet.
+_stored: list[str] = []
 
 
 def ready(spark: SparkSession) -> None:
@@ -39,6 +43,7 @@ def ready(spark: SparkSession) -> None:
             for p in sorted(root.rglob("*.py")):
                 z.write(p, p.relative_to(root.parent))
         sc.addPyFile(name)
+        atexit.register(Path(name).unlink, missing_ok=True)
         _shipped.add(sc.applicationId)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
@@ -46,10 +51,13 @@ def ready(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only where all of Spark is one process, one of our
+    own serves where that is unset; on a cluster that is an error, as no folder of one machine is shared."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        found = "file:///tmp/checkpoints"
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        found = f"file://{tempfile.gettempdir()}/checkpoints"
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
@@ -65,9 +73,29 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
+    if not _stored:
+        atexit.register(lambda: _deleted(spark, list(_stored)))
+    _stored.append(path)
     return out
 
 
+def _deleted(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        _stored.remove(path)
+        if spark.sparkContext._gateway is not None and spark.sparkContext._jvm is not None:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """What is stored inside goes at the end, but for the tables that are put into the list."""
+    before, kept = set(_stored), []
+    yield kept
+    stay = before | {df.stored_at for df in kept}
+    _deleted(spark, [p for p in _stored if p not in stay])
+
+
 def tidied(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of finished stages now; it does so when the driver collects its garbage."""
     gc.collect()
@@ -77,10 +105,8 @@ def tidied(spark: SparkSession) -> None:
 def forget(*tables: DataFrame | None) -> None:
     """Delete stored tables that nothing reads any more."""
     for df in tables:
-        if df is not None and (path := getattr(df, "stored_at", None)):
-            spark = df.sparkSession
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        if df is not None and getattr(df, "stored_at", None) in _stored:
+            _deleted(df.sparkSession, [df.stored_at])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -180,7 +180,7 @@ class Features:
         by_byte = lambda mask: np.bincount(doc, mask, n) / size
         same = np.zeros(len(data), bool)
         if len(data) > 2:
-            same[2:] = (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & _LETTER[data[2:]]
+            same[2:] = (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & _LETTER[data[2:]] & (doc[2:] == doc[:-2])
         shouted = np.add.reduceat(np.r_[up.astype(np.int32), 0], starts) if len(starts) else np.zeros(0, np.int32)
         out[:, 0], out[:, 1] = count(seed) / each, np.log1p(count(seed))
         out[:, 2], out[:, 3] = total / each, np.log1p(total)

@@ -331,3 +331,42 @@ def shared_share(ours: DataFrame, theirs: DataFrame, floor: float) -> DataFrame:
     best = by.filter("volume <> other and same > 0").groupBy("volume").agg(F.min(F.struct((-F.col("same")).alias("s"), "other")).alias("b"))
     out = own.join(best, "volume", "left")
     return out.select("volume", "shared", "share", F.when(F.col("share") < floor, F.col("b.other")).alias("suspect"))
+
+
+def area_bounds(features: DataFrame, wanted: DataFrame, buffer: float = 0.01) -> DataFrame:
+    """(x0, y0, x1, y1) about all vertices of the named areas and a margin; a name that no area has fails.
+
+    features: (name, x, y), a row for each vertex; wanted: (name). Names are compared without case and outer blanks.
+    """
+    key = lambda c: F.upper(F.trim(c))
+    names = wanted.select(key("name").alias("name")).filter("name <> ''").distinct()
+    have = features.select(key("name").alias("name"), "x", "y")
+    found = have.join(names, "name", "left_semi").agg(F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1"))
+    missing = names.join(have, "name", "left_anti").agg(F.array_sort(F.collect_list("name")).alias("missing"))  # names of one request
+    ok = found.join(missing).filter(F.assert_true(F.size("missing") == 0, F.concat(F.lit("unknown areas: "), F.array_join("missing", ", "))).isNull())
+    return ok.select((F.col("x0") - buffer).alias("x0"), (F.col("y0") - buffer).alias("y0"), (F.col("x1") + buffer).alias("x1"), (F.col("y1") + buffer).alias("y1"))
+
+
+def index_priors(entries: DataFrame, segments: DataFrame, table: DataFrame | None, tolerance: float = 75.0, radius: float = 600.0, width: int = 100) -> DataFrame:
+    """(page, x, y, radius_m, entries): where a printed index says that a page lies, in projected metres.
+
+    entries: (id, page, street_key, first, last). The middle of each range is converted (unless table is None, for modern
+    numbers) and looked up along the segments of its street (with x0, y0, x1, y1). Where that gives several places, the one
+    nearest the centre of the page's entries with one place counts, or of all places. A page whose places lie farther
+    apart than the radius has no window; entries without a number or place say nothing.
+    """
+    middle = entries.withColumn("value", F.floor((F.col("first") + F.col("last")) / 2).cast("int"))
+    if table is not None:
+        middle = convert_numbers(middle, table, tolerance, width).withColumn("value", F.col("modern").cast("int")).filter("value is not null")
+    hits = match_address(middle.select("id", "page", "street_key", "value"), segments, width)
+    along = lambda c: F.col(f"{c}0") + F.col("fraction") * (F.col(f"{c}1") - F.col(f"{c}0"))
+    hits = hits.select("id", "page", along("x").alias("x"), along("y").alias("y"), "seg", "side")
+    many = hits.groupBy("page", "id").agg(F.count(F.lit(1)).alias("n_"))
+    hits = hits.join(many, ["page", "id"])
+    one = F.col("n_") == 1
+    centre = hits.groupBy("page").agg(*[F.coalesce(F.avg(F.when(one, F.col(c))), F.avg(c)).alias(f"c{c}_") for c in "xy"])
+    near = hits.join(centre, "page").withColumn("d_", F.hypot(F.col("x") - F.col("cx_"), F.col("y") - F.col("cy_")))
+    picked = near.groupBy("page", "id").agg(F.min(F.struct("d_", "seg", "side", "x", "y")).alias("b")).select("page", "id", "b.x", "b.y")
+    places = picked.groupBy("page").agg(F.collect_list(F.struct("x", "y")).alias("p_"), F.avg("x").alias("x"), F.avg("y").alias("y"), F.count(F.lit(1)).alias("entries"))  # a page's entries
+    apart = F.exists("p_", lambda a: F.exists("p_", lambda b: F.hypot(a["x"] - b["x"], a["y"] - b["y"]) > radius))
+    return places.filter(~apart).select("page", "x", "y", (radius * G.mercator_scale(F.col("y"))).alias("radius_m"), "entries")

@@ -131,3 +131,75 @@ def status_index(keys: DataFrame, facts: dict[str, tuple[DataFrame, Column]], ke
     for name, (source, value) in facts.items():
         out = out.join(source.groupBy(key).agg(value.alias(name)), key, "left")
     return out
+
+
+# Why a volume's era is left open.
+ERA_REFUSALS = {"no table": "no renumbering table", "no table year": "no renumbering year", "no year": "no edition year", "same year": "dated in the renumbering year"}
+
+
+def proposed_era(declared: Column, table: Column, table_year: Column, year: Column) -> Column:
+    """struct(modern, refusal): whether a volume prints modern numbers, from its year and the year a city renumbered.
+
+    A declaration goes before everything; what a year can't tell is refused, first reason first.
+    """
+    known = declared.isNotNull()
+    why = F.when(~table, ERA_REFUSALS["no table"]).when(table_year.isNull(), ERA_REFUSALS["no table year"]).when(year.isNull(), ERA_REFUSALS["no year"]).when(year == table_year, ERA_REFUSALS["same year"])
+    refusal = F.when(~known, why)
+    return F.struct(F.when(known, declared).when(refusal.isNull(), year > table_year).alias("modern"), refusal.alias("refusal"))
+
+
+def era_of(addresses_modern: Column) -> Column:
+    """An era that nobody declared is modern."""
+    return F.when(F.coalesce(addresses_modern, F.lit(True)), "modern").otherwise("renumbered")
+
+
+def without_entries(queue: DataFrame, volume: str, track: str | None = None) -> DataFrame:
+    """Queue rows but those of a volume, on one track or on all."""
+    gone = F.col("volume") == volume if track is None else (F.col("volume") == volume) & (F.col("track") == track)
+    return queue.filter(~F.coalesce(gone, F.lit(False)))
+
+
+def backlog(volumes: DataFrame, queue: DataFrame, live: Column, runnable: Column) -> DataFrame:
+    """(volume, track, runnable) of what can be queued: volumes with sheets and no live entry, to place while results are
+    fewer than sheets, else to serve unless they are served by us. volumes: (volume, sheets, results, ours)."""
+    busy = queue.filter(live).select("volume").distinct()
+    placed = F.coalesce("results", F.lit(0)) >= F.col("sheets")
+    track = F.when(~placed, "place").when(~F.coalesce("ours", F.lit(False)), "serve")
+    rows = volumes.filter("sheets > 0").join(busy, "volume", "left_anti").withColumn("track", track).filter("track is not null")
+    return rows.select("volume", "track", F.coalesce(runnable, F.lit(False)).alias("runnable"))
+
+
+# When a volume looks short of aliases, and the samples that this takes.
+LOW_RATE, LEAST_READS, MANY_EMPTY, LEAST_PAGES = 0.80, 100, 0.10, 10
+
+
+def alias_gap(rate: Column, reads: Column, empty: Column, pages: Column) -> Column:
+    """The parts of an advice, as an array: few reads match, and many pages have no candidates; each needs its sample."""
+    few = F.when((rate < LOW_RATE) & (reads >= LEAST_READS), F.format_string("%.0f%% of %d street reads match", F.bround(rate * 100), reads.cast("long")))
+    many = F.when((pages >= LEAST_PAGES) & (empty / F.nullif(pages, F.lit(0)) >= MANY_EMPTY), F.format_string("%d of %d pages have no candidates", empty.cast("long"), pages.cast("long")))
+    return F.filter(F.array(few, many), lambda x: x.isNotNull())
+
+
+def gated(records: DataFrame, manifest: DataFrame, key: str, least: int) -> DataFrame:
+    """(key, junctions): rejected records, not revoked ones, with junctions enough in the manifest (key, junctions)."""
+    s = F.col("status")
+    return records.filter(F.startswith(s, F.lit("REJECTED")) & ~is_revoked(s)).select(key).join(manifest.filter(F.col("junctions") >= least), key)
+
+
+def lost(images: DataFrame, recorded: DataFrame, stem: str, page: Column) -> DataFrame:
+    """(id): images whose name gives no page though its tail names a recorded one. recorded: (page)."""
+    ident = F.regexp_extract(stem, r"_p((?:(?!_p).)+)$", 1)
+    return images.filter(page.isNull()).select(ident.alias("id")).filter("id <> ''").join(recorded.select(F.col("page").alias("id")), "id", "left_semi").distinct()
+
+
+def staged_export(records: DataFrame, services: DataFrame, key: str, folder: str) -> int:
+    """Write the committed records to a staging folder, in place of what is there, and return how many they are.
+
+    Nothing is written unless each of them has a service (key, service); a missing one fails.
+    """
+    from . import joins as J
+
+    whole = J.required(records.filter(is_committed(F.col("status"))), services, key)
+    n = whole.count()  # fails before anything is written
+    whole.write.mode("overwrite").json(folder)
+    return n

@@ -126,10 +126,12 @@ WITH k AS (SELECT l_orderkey, l_linenumber, list_sort(list_distinct([l_suppkey %
 SELECT a.l_orderkey, bool_or(NOT list_has_any(a.s, b.s)) AS disjoint FROM k a JOIN k b USING (l_orderkey) GROUP BY 1""")
 def disjoint_pair(spark, sf_dir):
     """Whether two anchors of a group share no street: a fold over each group's few distinct sets."""
+    from ..operators.rescue import disjoint_pair as disjoint
+
     k = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_suppkey").alias("a"), F.min("l_partkey").alias("b"))
     k = k.select("l_orderkey", F.array_sort(F.array_distinct(F.array(F.col("a") % 6, F.col("b") % 6))).alias("s"))
     sets = k.groupBy("l_orderkey").agg(F.collect_set("s").alias("sets"))
-    return sets.select("l_orderkey", F.exists("sets", lambda x: F.exists(F.col("sets"), lambda y: ~F.arrays_overlap(x, y))).alias("disjoint"))
+    return sets.select("l_orderkey", disjoint(F.col("sets")).alias("disjoint"))
 
 
 _NODES = """

@@ -150,10 +150,10 @@ def compose_ops(spark, sf_dir):
 
 
 @query("""
-SELECT p_partkey, CASE WHEN p_size > 40 THEN NULL WHEN p_size = 0 OR p_size <= 0 THEN 20.0 ELSE round(CASE WHEN p_size + 10 <= 20 THEN 10.0 ELSE
-  CASE WHEN (p_size * p_size + 400.0 - 100.0) / (2 * p_size) >= p_size THEN 10.0 ELSE sqrt(400.0 - ((p_size * p_size + 300.0) / (2.0 * p_size)) ** 2) END END, 6) END::DOUBLE AS r FROM part WHERE p_size <= 29 OR p_size > 40""")
+SELECT p_partkey, CASE WHEN p_size > 30 THEN NULL WHEN p_size = 0 OR p_size <= 0 THEN 20.0 ELSE round(CASE WHEN p_size + 10 <= 20 THEN 10.0 ELSE
+  CASE WHEN (p_size * p_size + 400.0 - 100.0) / (2 * p_size) >= p_size THEN 10.0 ELSE sqrt(400.0 - ((p_size * p_size + 300.0) / (2.0 * p_size)) ** 2) END END, 6) END::DOUBLE AS r FROM part""")
 def fuse_windows(spark, sf_dir):
-    p = table(spark, sf_dir, "part").filter("p_size <= 29 or p_size > 40")
+    p = table(spark, sf_dir, "part")
     z = F.lit(0.0)
     w = G.fuse_windows(z, z, F.lit(20.0), F.col("p_size").cast("double"), z, F.lit(10.0))
     return p.select("p_partkey", F.round(w["r"], 6).alias("r"))

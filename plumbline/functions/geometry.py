@@ -384,3 +384,40 @@ def with_model_corners(points: Column, m: Column, width: Column, height: Column)
 
 def shifted(points: Column, dx: Column, dy: Column) -> Column:
     return F.transform(points, lambda p: F.struct(p["px"].alias("px"), p["py"].alias("py"), (p["x"] + dx).alias("x"), (p["y"] + dy).alias("y"), p["synthetic"].alias("synthetic")))
+
+
+def _beside(ring: Column, axis: str, edge: Column, above: bool) -> Column:
+    """The part of a ring on one side of a line across an axis: corners there, and cuts where an edge crosses."""
+    other = "y" if axis == "x" else "x"
+
+    def inside(p: Column) -> Column:
+        return p[axis] >= edge if above else p[axis] <= edge
+
+    def kept(p: Column, q: Column) -> Column:
+        v = p[other] + (q[other] - p[other]) * (edge - p[axis]) / F.nullif(q[axis] - p[axis], F.lit(0.0))
+        cut = F.struct(*[(edge if c == axis else v).alias(c) for c in "xy"])
+        return F.concat(F.filter(F.array(p), inside), F.filter(F.array(cut), lambda _: inside(p) != inside(q)))
+
+    return F.flatten(F.zip_with(ring, _next(ring), kept))
+
+
+def _next(ring: Column) -> Column:
+    """Each corner's next one."""
+    return F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
+
+
+def area_in_box(ring: Column, box: Column) -> Column:
+    """The area of a simple ring (array<struct(x, y)>) within a box; null where they don't meet."""
+
+    def shoelace(r: Column) -> Column:
+        twice = F.aggregate(F.zip_with(r, _next(r), lambda p, q: p["x"] * q["y"] - q["x"] * p["y"]), F.lit(0.0), lambda s, v: s + v)
+        return F.when(F.size(r) > 0, F.abs(twice) / 2)
+
+    def upper(r: Column) -> Column:
+        return let(_beside(r, "y", box[3].cast("double"), False), shoelace)
+
+    def right(r: Column) -> Column:
+        return let(_beside(r, "x", box[2].cast("double"), False), lambda s: let(_beside(s, "y", box[1].cast("double"), True), upper))
+
+    whole = F.transform(ring, lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))
+    return let(whole, lambda w: let(_beside(w, "x", box[0].cast("double"), True), right))

@@ -370,3 +370,42 @@ def index_priors(entries: DataFrame, segments: DataFrame, table: DataFrame | Non
     places = picked.groupBy("page").agg(F.collect_list(F.struct("x", "y")).alias("p_"), F.avg("x").alias("x"), F.avg("y").alias("y"), F.count(F.lit(1)).alias("entries"))  # a page's entries
     apart = F.exists("p_", lambda a: F.exists("p_", lambda b: F.hypot(a["x"] - b["x"], a["y"] - b["y"]) > radius))
     return places.filter(~apart).select("page", "x", "y", (radius * G.mercator_scale(F.col("y"))).alias("radius_m"), "entries")
+
+
+def street_positions(segments: DataFrame, lines: DataFrame) -> DataFrame:
+    """(id, at): where the segments of a line's street cross it: the mean of the distinct points, or the middle of what lies
+    along the line, by length. segments: (key, x0, y0, x1, y1); lines: (id, key, y), lines of one latitude."""
+    low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
+    both = segments.join(lines, "key").filter(F.col("y").between(low, high))
+    flat = F.col("y0") == F.col("y1")
+    x = F.when(~flat, F.col("x0") + (F.col("y") - F.col("y0")) / F.nullif(F.col("y1") - F.col("y0"), F.lit(0)) * (F.col("x1") - F.col("x0")))
+    points = both.filter(~flat).select("id", F.round(x, 9).alias("x")).distinct().groupBy("id").agg(F.avg("x").alias("point"))
+    length = F.abs(F.col("x1") - F.col("x0"))
+    along = both.filter(flat & (length > 0)).groupBy("id").agg((F.sum((F.col("x0") + F.col("x1")) / 2 * length) / F.sum(length)).alias("middle"))
+    return points.join(along, "id", "full").select("id", F.coalesce("middle", "point").alias("at"))
+
+
+def seam_mismatches(ties: DataFrame, shifts: DataFrame, volume: str) -> DataFrame:
+    """(volume, page_a, page_b, before, after): how far tied pages are apart before and after their shifts (page, dx, dy)."""
+    s = lambda side: shifts.select(volume, F.col("page").alias(f"page_{side}"), F.col("dx").alias(f"dx_{side}"), F.col("dy").alias(f"dy_{side}"))
+    t = ties.join(s("a"), [volume, "page_a"]).join(s("b"), [volume, "page_b"])
+    after = F.hypot(F.col("gap_x") + F.col("dx_b") - F.col("dx_a"), F.col("gap_y") + F.col("dy_b") - F.col("dy_a"))
+    return t.select(volume, "page_a", "page_b", F.hypot("gap_x", "gap_y").alias("before"), after.alias("after"))
+
+
+def top_areas(boxes: DataFrame, areas: DataFrame, cell: float, top: int = 3) -> DataFrame:
+    """Of each box (id, x0, y0, x1, y1) the `top` areas (name, ring array<struct(x, y)>) with which it shares most: (id, rank,
+    name, area), ties to the later name. Areas that only touch a box count with 0, last. Bounds meet in grid cells first."""
+    xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
+    a = areas.withColumns({"bx0": F.array_min(xs), "by0": F.array_min(ys), "bx1": F.array_max(xs), "by1": F.array_max(ys)})
+
+    def gridded(s: DataFrame, x0: str, y0: str, x1: str, y1: str) -> DataFrame:
+        s = s.withColumn("cx", F.explode(F.sequence(F.floor(F.col(x0) / cell), F.floor(F.col(x1) / cell))))
+        return s.withColumn("cy", F.explode(F.sequence(F.floor(F.col(y0) / cell), F.floor(F.col(y1) / cell))))
+
+    both = gridded(boxes, "x0", "y0", "x1", "y1").join(gridded(a, "bx0", "by0", "bx1", "by1"), ["cx", "cy"])
+    met = (F.floor(F.greatest("x0", "bx0") / cell) == F.col("cx")) & (F.floor(F.greatest("y0", "by0") / cell) == F.col("cy"))
+    both = both.filter(met & (F.greatest("x0", "bx0") <= F.least("x1", "bx1")) & (F.greatest("y0", "by0") <= F.least("y1", "by1")))
+    shared = both.withColumn("area", G.area_in_box(F.col("ring"), F.array("x0", "y0", "x1", "y1"))).filter("area is not null")
+    w = Window.partitionBy("id").orderBy(F.desc("area"), F.desc("name"))
+    return shared.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top).select("id", "rank", "name", "area")

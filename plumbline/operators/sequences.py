@@ -121,3 +121,23 @@ def compressed(chain: DataFrame, group: list[str], order: str, old: str, new: st
         F.first("a.o").alias("old_first"), F.first("z.o").alias("old_last"), F.first("a.n").alias("new_first"), F.first("z.n").alias("new_last"),
         F.first("n").alias("n"), F.max(dev).alias("worst"),
     )
+
+
+def drawn(rows: DataFrame, stratum: str, order: list[str], counts: list[tuple[str, int]], seed: int) -> DataFrame:
+    """rows of the strata with `draw`, the place in which a seeded sample without repeats takes them; too few rows raise.
+
+    The sample of the i-th stratum is that of `random.Random(seed + i)` over its rows in order. What it takes depends on how
+    many rows there are, not on the rows, so that only the counts of the named strata come to the driver.
+    """
+    import random
+
+    some = rows.filter(F.col(stratum).isin(*[name for name, _ in counts]))
+    have = {r[0]: r[1] for r in some.groupBy(stratum).agg(F.count(F.lit(1))).collect()}  # a row for each named stratum
+    taken = []
+    for i, (name, k) in enumerate(counts):
+        if have.get(name, 0) < k:
+            raise ValueError(f"{name}: {have.get(name, 0)} rows for a sample of {k}")
+        taken += [(name, place, draw) for draw, place in enumerate(random.Random(seed + i).sample(range(have[name]), k))]
+    kind = rows.schema[stratum].dataType.simpleString()
+    places_ = rows.sparkSession.createDataFrame(taken, f"`{stratum}` {kind}, place_ long, draw long")
+    return ranked_in_group(some, [stratum], order).join(F.broadcast(places_), [stratum, "place_"]).drop("place_")  # the sample's rows

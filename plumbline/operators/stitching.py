@@ -211,3 +211,43 @@ def stitched(rows: DataFrame, keys: list[str]) -> DataFrame:
 
     own = ", ".join(f"`{k}` {types[k]}" for k in keys)
     return rows.groupBy(*keys).applyInPandas(run, f"{own}, chain int, text string, street string, parity string, page {types['page']}, flags array<string>, news array<long>")
+
+
+# Accepted rows of a chain that names or is named, at least, and the share of the shorter one's numbers.
+SIBLING_ROWS, SIBLING_SHARE = 30, 0.3
+
+
+def adopted(chains: list[dict]) -> list[dict]:
+    """Chains of one page (street, parity, strips, lo, hi, n) in order, nameless ones under the name of their only twin.
+
+    A twin has a name, by now, the other parity, rows enough, a strip beside each of the chain's strips, and numbers that
+    overlap by enough.
+    """
+    out = [dict(c, adopted=False) for c in chains]
+    for c in out:
+        if c["street"] or c["n"] < SIBLING_ROWS:
+            continue
+        twins = []
+        for o in out:
+            beside = {s + d for s in o["strips"] for d in (-1, 1)}
+            both = min(c["hi"], o["hi"]) - max(c["lo"], o["lo"])
+            if o["street"] and o["parity"] != c["parity"] and o["n"] >= SIBLING_ROWS and set(c["strips"]) <= beside and both > SIBLING_SHARE * min(c["hi"] - c["lo"], o["hi"] - o["lo"]):
+                twins.append(o["street"])
+        if len(twins) == 1:
+            c["street"], c["adopted"] = twins[0], True
+    return out
+
+
+def adopt_siblings(chains: DataFrame, book: str) -> DataFrame:
+    """(book, page, chain, street, adopted) of chains (book, page, chain, street, parity, strips, lo, hi, n)."""
+    types = {f.name: f.dataType.simpleString() for f in chains.schema.fields}
+    columns = [book, "page", "chain", "street", "adopted"]
+
+    def run(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, page in t.sort_values(["page", "chain"], kind="stable").groupby("page"):
+            rows = page.to_dict("records")
+            out += [[key[0], r["page"], r["chain"], c["street"] or None, c["adopted"]] for r, c in zip(rows, adopted(rows), strict=True)]
+        return pd.DataFrame(out, columns=columns)
+
+    return chains.groupBy(book).applyInPandas(run, f"`{book}` {types[book]}, page {types['page']}, chain {types['chain']}, street string, adopted boolean")

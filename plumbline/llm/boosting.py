@@ -2,7 +2,8 @@
 
 Trees are complete to one depth, so a node's children are at 2i + 1 and 2i + 2 and prediction is a fixed number of
 array look-ups for all rows at once. Training is deterministic: ties between splits go to the lower feature, then the
-lower bin. With one class only, or no rows, the model predicts that class's share (0.5 without rows).
+lower bin; repeated rows weigh as often as they come. With one class only, or no rows, the model predicts that class's
+share (0.5 without rows). Nothing here reads tables: callers give features by place, so no column name can clash.
 """
 
 from __future__ import annotations

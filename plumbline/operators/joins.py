@@ -163,7 +163,10 @@ def crossings(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
 
 
 def ordered_pairs(labels: DataFrame, group: list[str], ord_: str, key: str) -> DataFrame:
-    """Pairs of a group's labels, the earlier first, whose keys differ: (group, ord_a, ord_b, key_a, key_b)."""
+    """Pairs of a group's labels, the earlier first, whose keys differ: (group, ord_a, ord_b, key_a, key_b).
+
+    Every pair is a row of the result, so a group of n labels gives up to n^2 / 2; a hot group is split by Spark's skew join.
+    """
     a = labels.select(*group, F.col(ord_).alias("ord_a"), F.col(key).alias("key_a"))
     b = labels.select(*group, F.col(ord_).alias("ord_b"), F.col(key).alias("key_b"))
     return a.join(b, group).filter("ord_a < ord_b and key_a <> key_b")
@@ -180,7 +183,10 @@ def mutual_edges(edges: DataFrame, opposite: Column) -> DataFrame:
 
 
 def seam_ties(uses: DataFrame) -> DataFrame:
-    """Pairs of pages that share a node, with the first use on each. uses: (node, page, ord, px, py)."""
+    """Pairs of pages that share a node, with the first use on each. uses: (node, page, ord, px, py).
+
+    Every pair is a row of the result; uses are reduced to one a page first, and a hot node is split by Spark's skew join.
+    """
     first = uses.groupBy("node", "page").agg(F.min(F.struct("ord", "px", "py")).alias("u")).select("node", "page", "u.px", "u.py")
     a = first.select("node", F.col("page").alias("page_a"), F.col("px").alias("px_a"), F.col("py").alias("py_a"))
     b = first.select("node", F.col("page").alias("page_b"), F.col("px").alias("px_b"), F.col("py").alias("py_b"))

@@ -123,3 +123,64 @@ def test_bootstrap_takes_ten_thousand_draws(spark):
     shares = sorted(sum(k[i] for i in at) / sum(n[i] for i in at) for at in (rng.choices(range(30), k=30) for _ in range(10_000)))
     got = K.bootstrap(spark.createDataFrame(pages, "stratum int, cluster int, hit boolean"), "stratum", "cluster", "hit").first()
     assert (got.low, got.high) == (shares[250], shares[9750])
+
+
+def test_clusters_are_the_first_largest_ones(spark):
+    import math
+
+    from plumbline.plans.sequence_queries import candidates
+
+    got = {r.sheet: r for r in catalog.QUERIES["translation_cluster"](spark, LARGER).collect()}
+    some = sorted(got)[::40]
+    rows = candidates(spark, LARGER).filter(f"sheet in ({', '.join(map(str, some))})").orderBy("i", "j").collect()
+    for sheet in some:
+        p = [(r.x - 0.067 * float(r.px), r.y + 0.067 * float(r.py)) for r in rows if r.sheet == sheet]
+        balls = [[q for q in p if math.dist(a, q) <= 12] for a in p]
+        best = max(balls, key=len)
+        assert got[sheet].n == len(best)
+        centre = (sum(x for x, _ in best) / len(best), sum(y for _, y in best) / len(best))
+        assert math.dist(centre, (got[sheet].dx, got[sheet].dy)) < 1e-5
+
+
+def test_hulls_hold_all_points_and_touch_their_corners(spark):
+    import numpy as np
+
+    rows = table(spark, LARGER, "lineitem").select("l_suppkey", "l_extendedprice", "l_quantity").collect()
+    sheets: dict[int, list] = {}
+    for r in rows:
+        sheets.setdefault(r.l_suppkey, []).append((float(r.l_extendedprice), float(r.l_quantity)))
+    got = {r.sheet: r for r in catalog.QUERIES["sheet_hulls"](spark, LARGER).collect()}
+    assert got.keys() == sheets.keys()
+    for k in sorted(sheets)[::20]:
+        p = np.array(sorted(set(sheets[k])))
+        at, hull = 0, []  # wrapped like a gift, the next corner having all points on its left
+        while at not in hull:
+            hull.append(at)
+            v = p - p[at]
+            to = 1 if at == 0 else 0
+            for i in range(len(p)):
+                turn = v[to, 0] * v[i, 1] - v[to, 1] * v[i, 0]
+                if turn < 0 or (turn == 0 and v[i] @ v[i] > v[to] @ v[to]):
+                    to = i
+            at = to
+        x, y = p[hull].T
+        area = abs(x @ np.roll(y, -1) - y @ np.roll(x, -1)) / 2
+        assert got[k].corners == len(hull) and abs(got[k].area - area) < 1e-3
+
+
+def test_readers_rows_are_paired_in_order(spark):
+    events = table(spark, LARGER, "events").filter("event_type in ('click', 'view')").select("user_id", "event_type", "value").collect()
+    got: dict[int, list] = {}
+    for r in catalog.QUERIES["merge_reads"](spark, LARGER).collect():
+        got.setdefault(r.user_id, []).append((r.y_a, r.y_b))
+    for user in {e.user_id for e in events}:
+        a, b = (sorted(e.value for e in events if e.user_id == user and e.event_type == t) for t in ("click", "view"))
+        rows = sorted(got[user], key=lambda r: min(v for v in r if v is not None))
+        assert [x for x, _ in rows if x is not None] == a and [y for _, y in rows if y is not None] == b
+        assert all(abs(x - y) <= 1 for x, y in rows if x is not None and y is not None)
+        # no two neighbours that stay alone could have been a pair
+        alone = [(r[0] if r[0] is not None else r[1], r[0] is not None) for r in rows if None in r]
+        order = sorted(a + b)
+        for (u, is_a), (v, is_b) in zip(alone, alone[1:], strict=False):
+            between = [w for w in order if u < w < v]
+            assert is_a == is_b or abs(u - v) > 1 or between

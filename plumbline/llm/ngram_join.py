@@ -406,14 +406,15 @@ def _meetings(met: DataFrame, labels: DataFrame) -> DataFrame:
     return sums.filter("shared >= bound").select("row", "root", "own", "other")
 
 
-def _parts(rows: DataFrame, hubs: DataFrame, families: DataFrame, roots: DataFrame) -> DataFrame:
-    """(row, root, part): rows that hubs connect, of one size band, are a part, or several where they are too many for one.
+def _parts(rows: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
+    """(row, root, part): rows of one family and size band are a part, or several where they are too many for one.
 
-    rows: (row, n). A part holds about TILE_ROWS rows and TILE_ENTRIES entries at most.
+    A row's family is named by the lesser of its hub and its hub's own hub. rows: (row, n). A part holds about TILE_ROWS
+    rows and TILE_ENTRIES entries at most.
     """
     band = size_band_of(F.col("n"))
     all_ = rows.join(hubs.select(F.col("a").alias("row"), F.col("b").alias("hub")), "row", "left")
-    all_ = all_.join(families.select(F.col("node").alias("row"), F.col("root").alias("family")), "row", "left")
+    all_ = all_.join(hubs.select(F.col("a").alias("hub"), F.col("b").alias("next")), "hub", "left").withColumn("family", F.least("hub", "next"))
     all_ = all_.join(roots.select(F.col("node").alias("row"), "root"), "row", "left")
     all_ = all_.select("row", "n", F.coalesce("root", "row").alias("root"), F.coalesce("hub", "row").alias("hub"), F.coalesce("family", "row").alias("family"), band.alias("band"))
     all_ = stored(rows.sparkSession, all_, "labelled-rows")
@@ -652,9 +653,9 @@ def _components_of(df: DataFrame, ident: F.Column, text: str, k: int) -> DataFra
 
     hubs = stored(spark, _hubs(met), "hubs")
     links = stored(spark, _links(hubs.filter("able").select("a", "b"), sets), "links")
-    roots, families = components(spark, links), components(spark, hubs.select("a", "b"))
-    parts = _parts(some, hubs, families, roots)
-    forget(hubs, roots, families)
+    roots = components(spark, links)
+    parts = _parts(some, hubs, roots)
+    forget(hubs, roots)
     tidied(spark)
     meetings = stored(spark, _meetings(met, members.join(parts, "row").select("block", "row", "root", "part")), "meetings")
     forget(met, members, some, parts)

@@ -108,7 +108,7 @@ def gated_pages(spark, sf_dir):
 def lost_sheets(spark, sf_dir):
     k = F.col("c_custkey")
     ident = F.when(k % 3 == 0, F.concat(F.lit("xbd"), (k % 90).cast("string"))).otherwise((k % 90 + 1).cast("string"))
-    images = table(spark, sf_dir, "customer").select(F.concat(F.lit("sanborn_pv_p"), ident).alias("stem"))
+    images = table(spark, sf_dir, "customer").select(F.concat(F.lit("vol_p"), ident).alias("stem"))
     recorded = table(spark, sf_dir, "supplier").select(F.concat(F.lit("xbd"), (F.col("s_suppkey") % 60).cast("string")).alias("page"))
     return T.lost(images, recorded, "stem", P.page_from_slug(F.col("stem")))
 

@@ -174,9 +174,9 @@ def test_unknown_directions_raise(spark):
 
 
 def test_snap(spark):
-    v = spark.createDataFrame([("HALSTED",), ("DELWARE",), ("HALSTEDS",), ("OHIOO",), ("CLARKSON",), ("XLARKSON",), (None,), ("",)], "val string")
-    k = spark.createDataFrame([("HALSTED",), ("HALSTED",), ("DELAWARE",), ("DELAWARE",), ("OHIO",), ("CLARKSEN",), ("CLARKSAN",), (None,)], "key string")
-    assert rows(J.snap(v, k)) == sorted([("HALSTED", "HALSTED"), ("DELWARE", "DELAWARE"), ("HALSTEDS", "HALSTED"), ("OHIOO", None), ("CLARKSON", None), ("XLARKSON", None), (None, None), ("", None)], key=str)
+    v = spark.createDataFrame([("WESTFELD",), ("MONTRSE",), ("WESTFELDS",), ("IOWAA",), ("CLARKSON",), ("XLARKSON",), (None,), ("",)], "val string")
+    k = spark.createDataFrame([("WESTFELD",), ("WESTFELD",), ("MONTROSE",), ("MONTROSE",), ("IOWA",), ("CLARKSEN",), ("CLARKSAN",), (None,)], "key string")
+    assert rows(J.snap(v, k)) == sorted([("WESTFELD", "WESTFELD"), ("MONTRSE", "MONTROSE"), ("WESTFELDS", "WESTFELD"), ("IOWAA", None), ("CLARKSON", None), ("XLARKSON", None), (None, None), ("", None)], key=str)
 
 
 def test_first_json_object(spark):

@@ -26,6 +26,11 @@ def is_reviewer(status: Column) -> Column:
     return status.isin(REVIEWER, REVIEWER_OLD)
 
 
+def reviewer_value(suffix: str) -> Column:
+    """A reviewer's field of a record; records of before its name was changed have it under the older one."""
+    return F.coalesce(F.col(f"reviewer_{suffix}"), F.col(f"owner_{suffix}"))
+
+
 def is_revoked(status: Column) -> Column:
     return F.startswith(status, F.lit(REVOKED_PREFIX))
 

@@ -165,9 +165,13 @@ def sheet_hulls(spark, sf_dir):
 
 @query()
 def split_overlaps(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier")
-    b = s.select(F.col("s_nationkey").alias("volume"), F.col("s_suppkey").alias("page"), (F.col("s_suppkey") % 7 * 10.0).alias("x0"), F.lit(0.0).alias("y0"), (F.col("s_suppkey") % 7 * 10.0 + 14).alias("x1"), F.lit(20.0).alias("y1"))
-    return K.cut_overlaps(b, "volume").withColumn("area", F.round("area", 4))
+    """Parallelograms, some under several others."""
+    k = F.col("s_suppkey")
+    x, y, lean = (k % 7 * 10).cast("double"), (k % 3 * 6).cast("double"), (k % 4).cast("double")
+    at = lambda i, j: F.struct((x + i + j / 20 * lean).alias("x"), (y + j).alias("y"))
+    ring = F.array(at(0.0, 0.0), at(14.0, 0.0), at(14.0, 20.0), at(0.0, 20.0))
+    masks = table(spark, sf_dir, "supplier").select(F.floor(k / 60).alias("volume"), k.alias("page"), ring.alias("ring"))
+    return K.cut_overlaps(masks, "volume").withColumn("area", F.round("area", 4))
 
 
 @query()

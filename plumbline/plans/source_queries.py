@@ -207,3 +207,57 @@ def ground_truth(spark, sf_dir):
 def required_counterparts(spark, sf_dir):
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return J.required(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), n, "c_nationkey").select("c_custkey", "n_name")
+
+
+
+def _catalog(spark, sf_dir):
+    """Customers as catalogue items: with and without dates, volumes, subjects and resources."""
+    k = F.col("c_custkey")
+    said = F.when(k % 4 == 0, F.concat(F.lit("Vol. "), _text(k), F.lit("., x"))).when(k % 4 == 1, F.concat(F.lit("1927. Scale 1:600. "), F.col("c_mktsegment"))).when(k % 4 == 2, "Scale 1:600. Stockyards")
+    resource = lambda f, u: F.struct(f.alias("files"), u.alias("url"))
+    no = F.lit(None).cast("string")
+    resources = F.when(k % 3 > 0, F.array(resource(F.lit("many"), no), resource(_text(k % 9), F.concat(F.lit("u"), _text(k))), resource(F.lit("77"), F.lit("v"))))
+    return table(spark, sf_dir, "customer").select(
+        F.when(k % 11 > 0, F.concat(F.lit("http://h/item/i"), _text(k), F.lit("/"))).alias("id"), F.when(k % 2 == 0, "t").alias("title"), F.when(k % 5 > 0, F.concat(_text(1900 + k % 60), F.lit("-11"))).alias("date"),
+        F.when(k % 7 > 0, k % 7 == 1).alias("digitized"), F.when(said.isNotNull(), F.array(said)).alias("description"), F.struct(F.when(k % 6 > 2, "Made in 1927").alias("created_published")).alias("item"), resources.alias("resources"),
+    )
+
+
+@query("""
+SELECT CASE WHEN c_custkey % 11 > 0 THEN 'i' || c_custkey ELSE '' END AS item_id, CASE WHEN c_custkey % 2 = 0 THEN 't' ELSE '' END AS title, CASE WHEN c_custkey % 5 > 0 THEN (1900 + c_custkey % 60) || '-11' ELSE '' END AS date, c_custkey % 7 = 1 AS digitized,
+  CASE WHEN c_custkey % 3 > 0 THEN (c_custkey % 9)::INT END AS sheet_count, CASE WHEN c_custkey % 3 > 0 THEN ['u' || c_custkey, 'v'] ELSE []::VARCHAR[] END AS urls FROM customer""")
+def volume_records(spark, sf_dir):
+    return D.volume_records(_catalog(spark, sf_dir))
+
+
+@query("""
+WITH c AS (SELECT 'i' || c_custkey AS item_id, c_custkey % 4 AS k, c_custkey::VARCHAR AS v, c_mktsegment AS seg, CASE WHEN c_custkey % 5 > 0 THEN 1900 + c_custkey % 60 END AS d, c_custkey % 6 > 2 AS made FROM customer WHERE c_custkey % 11 > 0),
+y AS (SELECT *, CASE WHEN k = 1 AND d IS NOT NULL AND d <> 1927 AND made THEN 'description-conflict' WHEN k = 1 AND d IS NULL THEN 'description' ELSE 'date' END AS year_source FROM c),
+t AS (SELECT *, CASE WHEN year_source = 'date' THEN d ELSE 1927 END AS year FROM y)
+SELECT item_id, 'Town | ' || year || ' | ' || CASE k WHEN 0 THEN 'Vol. ' || v WHEN 1 THEN seg WHEN 2 THEN 'Stockyards' ELSE 'Vol. ?' END AS title, year::INT AS year, year_source, CASE WHEN k = 0 THEN v END AS volume_number, CASE k WHEN 1 THEN seg WHEN 2 THEN 'Stockyards' END AS subject FROM t WHERE year IS NOT NULL""")
+def catalog_titles(spark, sf_dir):
+    return D.catalog_titles(_catalog(spark, sf_dir), "Town", [r"\d{4}\. ", r"Scale 1:\d+\. "])
+
+
+@query("""
+WITH l AS (SELECT DISTINCT l_orderkey AS page, 'Q' || (l_suppkey % 9 + 11) || 'X' AS s FROM lineitem), n AS (SELECT l_orderkey AS page, 'Q' || (l_partkey % 3 + 11) || 'X AVE' AS s, list(l_quantity::INT ORDER BY l_linenumber, l_partkey, l_quantity) AS v FROM lineitem WHERE l_linenumber % 3 > 0 GROUP BY 1, 2),
+a AS (SELECT page, list_sort(list(s)) AS keys, list_sort(list(s || ' AVE')) AS raws FROM l GROUP BY 1), m AS (SELECT page, list(s || '=' || array_to_string(v, ',') ORDER BY s) AS numerals FROM n GROUP BY 1)
+SELECT page, keys, raws, coalesce(numerals, []::VARCHAR[]) AS numerals FROM a LEFT JOIN m USING (page)""")
+def sheet_reads(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    name = lambda n: F.concat(F.lit("Q"), _text(n + 11), F.lit("x Ave."))
+    value = F.when(F.col("l_linenumber") % 3 > 0, F.col("l_quantity").cast("int"))
+    item = F.struct("l_linenumber", "l_partkey", "l_quantity", F.struct(name(F.col("l_partkey") % 3).alias("street"), value.alias("value")).alias("n"))
+    p = li.groupBy(F.col("l_orderkey").alias("page")).agg(F.collect_list(name(F.col("l_suppkey") % 9)).alias("streets"), F.transform(F.array_sort(F.collect_list(item)), lambda i: i["n"]).alias("numerals"))
+    r = D.sheet_reads(p)
+    told = F.transform(F.array_sort(F.map_keys("numerals")), lambda s: F.concat(s, F.lit("="), F.array_join(F.element_at("numerals", s).cast("array<string>"), ",")))
+    return r.select("page", "keys", "raws", told.alias("numerals"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority WHEN o_orderkey % 3 = 1 THEN o_orderstatus END AS review FROM orders""")
+def reviewer_values(spark, sf_dir):
+    from ..operators import stages as T
+
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.when(k % 3 == 0, F.col("o_orderpriority")).alias("reviewer_review"), F.when(k % 3 < 2, F.col("o_orderstatus")).alias("owner_review"))
+    return o.select("o_orderkey", T.reviewer_value("review").alias("review"))

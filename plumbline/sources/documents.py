@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import pages as P
-from ..functions.names import renames, split_typed_name
+from ..functions.names import clean, normalize, renames, split_typed_name, strip_prefixes
 from ..operators.sequences import joined_lines
 
 
@@ -226,3 +226,47 @@ def rename_pairs(lines: DataFrame, group: list[str], order: list[str], line: str
     """(group, old, new, line) of the entries of printed lists, whose lines come in order and may run on."""
     entries = joined_lines(lines, group, order, line)
     return entries.select(*group, line, F.explode(renames(F.col(line))).alias("r")).select(*group, "r.old", "r.new", line)
+
+
+#: A catalogue item as it comes; what is missing or of another kind is null.
+CATALOG = "id string, title string, date string, digitized boolean, description array<string>, item struct<created_published: string>, resources array<struct<files: string, url: string>>"
+
+
+def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """Items of a catalogue's JSON dump, one array of them."""
+    return spark.read.schema(CATALOG).option("multiLine", True).json(path)
+
+
+def volume_records(items: DataFrame) -> DataFrame:
+    """(item_id, title, date, digitized, sheet_count, urls) of catalogue items; the first whole number of files counts."""
+    files = F.filter(F.transform("resources", lambda r: F.when(r["files"].rlike(r"^\d{1,9}$"), r["files"]).try_cast("int")), lambda n: n.isNotNull())
+    none = F.array().cast("array<string>")
+    urls = F.coalesce(F.filter(F.transform("resources", lambda r: r["url"]), lambda u: u.isNotNull()), none)
+    return items.select(
+        P.item_slug(F.coalesce("id", F.lit(""))).alias("item_id"), F.coalesce("title", F.lit("")).alias("title"), F.coalesce("date", F.lit("")).alias("date"),
+        F.coalesce("digitized", F.lit(False)).alias("digitized"), F.try_element_at(files, F.lit(1)).alias("sheet_count"), urls.alias("urls"),
+    )
+
+
+def catalog_titles(items: DataFrame, city: str, boilerplate: list[str]) -> DataFrame:
+    """(item_id, title, year, year_source, volume_number, subject) of the items that have an id and a year."""
+    said = F.coalesce(F.try_element_at("description", F.lit(1)), F.lit(""))
+    number = F.nullif(F.regexp_replace(F.regexp_extract(said, r"^Vol\. ([\w.]+)", 1), "[.,]+$", ""), F.lit(""))
+    year = P.catalog_year(F.coalesce("date", F.lit("")), said, F.coalesce("item.created_published", F.lit("")), number)
+    ident = F.regexp_extract(F.coalesce("id", F.lit("")), r"([^/]*)/*$", 1)
+    t = items.select(ident.alias("item_id"), year.alias("y"), number.alias("volume_number"), F.when(number.isNull(), strip_prefixes(said, boilerplate)).alias("subject"))
+    t = t.withColumn("subject", F.nullif("subject", F.lit(""))).filter((F.col("item_id") != "") & F.col("y.year").rlike(r"^\d{4}"))
+    title = F.concat_ws(" | ", F.lit(city), F.left(F.col("y.year"), F.lit(4)), F.coalesce("subject", F.concat(F.lit("Vol. "), F.coalesce("volume_number", F.lit("?")))))
+    return t.select("item_id", title.alias("title"), F.left(F.col("y.year"), F.lit(4)).cast("int").alias("year"), F.col("y.source").alias("year_source"), "volume_number", "subject")
+
+
+def sheet_reads(pages: DataFrame) -> DataFrame:
+    """(page, keys, raws, numerals) of annotations (page, streets array<string>, numerals array<struct(street, value)>): street
+    keys and cleaned names as sets, and the numbers of each cleaned street in the order in which they stand."""
+    named = F.filter("streets", lambda s: s.isNotNull() & (s != ""))
+    some = F.filter("numerals", lambda n: n["street"].isNotNull() & (n["street"] != "") & n["value"].isNotNull())
+    clean_ = F.transform(some, lambda n: F.struct(clean(n["street"]).alias("street"), n["value"].alias("value")))
+    p = pages.select("page", F.array_sort(F.array_distinct(F.filter(F.transform(named, lambda s: normalize(s)), lambda k: k != ""))).alias("keys"), F.array_sort(F.array_distinct(F.transform(named, clean))).alias("raws"), clean_.alias("n_"))
+    streets = F.array_sort(F.array_distinct(F.transform("n_", lambda n: n["street"])))
+    by = F.map_from_entries(F.transform(streets, lambda s: F.struct(s, F.transform(F.filter("n_", lambda n: n["street"] == s), lambda n: n["value"]))))
+    return p.select("page", "keys", "raws", by.alias("numerals"))

@@ -30,3 +30,11 @@ def test_keys_of_two_tables_may_be_equal(agree):
         "street_crossings", supplier="select 990 + i as s_suppkey from range(30) t(i)",
         nation="select i::int as n_nationkey from range(25) t(i)",
     )
+
+
+def test_equal_areas_are_ranked_by_name(agree):
+    """Widths of 500 whose last bits differ."""
+    agree(
+        "top_areas", supplier="select i as s_suppkey, 1 as s_nationkey, round(100.1 + i * 0.7, 2)::double as s_acctbal from range(20) t(i)",
+        customer="select i * 10 as c_custkey, 'C' || lpad(i::varchar, 3, '0') as c_name, 1 as c_nationkey, round(101.37 + i * 0.01, 2)::double as c_acctbal from range(150) t(i)",
+    )

@@ -30,7 +30,7 @@ def test_shifts_and_rms_equal_those_of_all_ties(spark, extra):
     assert set(got) == set(want) and np.allclose([got[k] for k in want], list(want.values()), atol=1e-9)
 
 
-@pytest.mark.parametrize("name", ["seam_solve"])
+@pytest.mark.parametrize("name", ["seam_solve", "seam_mismatches"])
 def test_queries_join_no_pages(spark, sf_dir, name):
     plan = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan

@@ -159,13 +159,22 @@ def violations(aliases: DataFrame, index: DataFrame) -> DataFrame:
 def agreeing_ranges(entries: DataFrame, width: int, apart: int = 4) -> DataFrame:
     """entries (id, street, old_lo, old_hi, new_lo) that no overlapping one of their street contradicts by more than apart.
 
-    Both sides of a contradiction go. Entries meet in cells of `width` numbers.
+    Both sides of a contradiction go. Ranges meet in cells of `width` numbers, each counted once, with the least and the most
+    that its entries are moved by, however many they are.
     """
-    cells = entries.withColumn("cell", F.explode(F.sequence(F.floor(F.col("old_lo") / width), F.floor(F.col("old_hi") / width))))
-    b = cells.select("street", "cell", *[F.col(c).alias(f"b_{c}") for c in ("id", "old_lo", "old_hi", "new_lo")])
-    met = cells.join(b, ["street", "cell"]).filter("id <> b_id and old_lo <= b_old_hi and b_old_lo <= old_hi")
-    bad = met.filter(F.abs((F.col("new_lo") - F.col("old_lo")) - (F.col("b_new_lo") - F.col("b_old_lo"))) > apart).select("id").distinct()
-    return entries.join(bad, "id", "left_anti")
+    cells = entries.withColumn("by", F.col("new_lo") - F.col("old_lo")).withColumn("cell", F.explode(F.sequence(F.floor(F.col("old_lo") / width), F.floor(F.col("old_hi") / width))))
+    at = ["street", "cell", "old_lo", "old_hi"]
+    ranges = cells.groupBy(*at).agg(F.min("by").alias("least"), F.max("by").alias("most"))
+    other = ranges.select("street", "cell", *[F.col(c).alias(f"b_{c}") for c in ("old_lo", "old_hi", "least", "most")])
+    met = ranges.select(*at).join(other, ["street", "cell"]).filter("old_lo <= b_old_hi and b_old_lo <= old_hi")
+    met = met.groupBy(*at).agg(F.min("b_least").alias("least"), F.max("b_most").alias("most"))
+    bad = cells.join(met, at).filter((F.col("by") - F.col("least") > apart) | (F.col("most") - F.col("by") > apart))
+    # an entry doesn't contradict itself: rows with one id are compared with those of others
+    twice = entries.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
+    b = cells.select("street", "cell", *[F.col(c).alias(f"b_{c}") for c in ("id", "old_lo", "old_hi", "by")])
+    checked = bad.join(twice, "id").join(b, ["street", "cell"]).filter("id <> b_id and old_lo <= b_old_hi and b_old_lo <= old_hi").filter(F.abs(F.col("by") - F.col("b_by")) > apart)
+    gone = bad.join(twice, "id", "left_anti").select("id").union(checked.select("id")).distinct()
+    return entries.join(gone, "id", "left_anti")
 
 
 def circular_mean(rows: DataFrame, group: str, angle: str, quorum: int) -> DataFrame:

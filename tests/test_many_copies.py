@@ -33,3 +33,19 @@ def test_contradictions_among_many_copies(spark):
     timer.start()
     assert A.agreeing_ranges(many, 100).count() == 400_000
     timer.cancel()
+
+
+def test_entries_with_one_number_share_its_places(spark, monkeypatch):
+    seen = []
+    plain = J.match_address
+    monkeypatch.setattr(J, "match_address", lambda numerals, *a: seen.append(numerals.count()) or plain(numerals, *a))
+    text = lambda v: F.lit(v).cast("string")
+    x = (F.col("id") % 7 * 10.0)
+    s = spark.range(70).select(
+        F.col("id").alias("seg"), F.lit("K").alias("street_key"), F.when(F.col("id") == 0, "300").otherwise("100").alias("l_from"), F.when(F.col("id") == 0, "398").otherwise("198").alias("l_to"),
+        text(None).alias("r_from"), text(None).alias("r_to"), F.lit("E").alias("l_parity"), text(None).alias("r_parity"), x.alias("x0"), F.lit(5.0).alias("y0"), x.alias("x1"), F.lit(5.0).alias("y1"),
+    )
+    # each page has an entry with one place, at x = 0, and one with many, the nearest of which is there too
+    e = spark.range(4000).select("id", F.floor(F.col("id") / 2).alias("page"), F.lit("K").alias("street_key"), *[F.when(F.col("id") % 2 == 0, 350).otherwise(150).alias(c) for c in ("first", "last")])
+    got = J.index_priors(e, s, None, radius=250.0).groupBy("x", "y", "entries").count().collect()
+    assert [tuple(r) for r in got] == [(0.0, 5.0, 2, 2000)] and seen == [2]

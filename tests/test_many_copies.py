@@ -49,3 +49,13 @@ def test_entries_with_one_number_share_its_places(spark, monkeypatch):
     e = spark.range(4000).select("id", F.floor(F.col("id") / 2).alias("page"), F.lit("K").alias("street_key"), *[F.when(F.col("id") % 2 == 0, 350).otherwise(150).alias(c) for c in ("first", "last")])
     got = J.index_priors(e, s, None, radius=250.0).groupBy("x", "y", "entries").count().collect()
     assert [tuple(r) for r in got] == [(0.0, 5.0, 2, 2000)] and seen == [2]
+
+
+def test_equal_points_and_boxes_are_compared_once(spark):
+    p = spark.range(3000).select("id", (F.col("id") % 3 * 10.0).alias("x"), F.lit(1.0).alias("y"))
+    b = spark.range(2000).select(F.col("id").alias("box"), F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), (F.col("id") % 2 * 10.0).alias("x1"), F.lit(1.0).alias("y1"))
+    out = J.covering_boxes(p, b, 100.0)
+    assert out.groupBy("x").count().collect() and {r.x: r["count"] for r in out.groupBy("x").count().collect()} == {0.0: 2000 * 1000, 10.0: 1000 * 1000}
+    assert out.select("id", "box").distinct().count() == out.count()
+    assert spark.createDataFrame([], "id int, x double, y double").transform(lambda e: J.covering_boxes(e, b, 100.0)).count() == 0
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("collect_list") == 2

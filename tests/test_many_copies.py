@@ -59,3 +59,26 @@ def test_equal_points_and_boxes_are_compared_once(spark):
     assert out.select("id", "box").distinct().count() == out.count()
     assert spark.createDataFrame([], "id int, x double, y double").transform(lambda e: J.covering_boxes(e, b, 100.0)).count() == 0
     assert out._jdf.queryExecution().optimizedPlan().toString().count("collect_list") == 2
+
+
+def test_equal_numbers_and_frontages_meet_once(spark, monkeypatch):
+    """Against all pairs, equal segments dealt out to parts; repeated rows stay."""
+    seen = []
+    plain = J.range_join
+    monkeypatch.setattr(J, "range_join", lambda points, ranges, *a: seen.append((points.count(), ranges.count())) or plain(points, ranges, *a))
+    monkeypatch.setattr(J, "FRONTAGES", 7)
+    ends = [("100", "198", "199", "101", "E", None), ("300", "300", None, "5", None, None), ("198", "100", "1", "", "o", "E")]
+    segments = [(0 if i < 9 else i, "K" if i % 5 else None, *ends[i % 3]) for i in range(90)]
+    s = spark.createDataFrame(segments, "seg int, street_key string, l_from string, l_to string, r_from string, r_to string, l_parity string, r_parity string")
+    numerals = [(i // 2, "K" if i % 10 else None, [101, 102, 300, 150, 999, None][i % 6]) for i in range(120)]
+    n = spark.createDataFrame(numerals, "id int, street_key string, value int")
+    want = []
+    for i, street, v in numerals:
+        for seg, other, lf, lt, rf, rt, lp, rp in segments:
+            for side, a, b, parity in (("l", lf, lt, lp), ("r", rf, rt, rp)):
+                if street and street == other and v and a and b and min(int(a), int(b)) <= v <= max(int(a), int(b)) and (parity or "").upper() in ("", "OE"[v % 2 == 0]):
+                    want.append((i, v, seg, side, round(0.5 if a == b else (v - int(a)) / (int(b) - int(a)), 3)))
+    got = J.match_address(n, s, digits=3)
+    assert sorted(map(tuple, got.select("id", "value", "seg", "side", "fraction").collect())) == sorted(want) and len({w[4] for w in want}) == 5
+    assert seen == [(6 + 3, 4 + 4)]  # of K and of no street
+    assert got.columns[:3] == ["street_key", "id", "value"] and set(s.columns) < set(got.columns)

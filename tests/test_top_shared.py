@@ -57,6 +57,17 @@ def test_equal_boxes_and_areas_are_not_paired(spark, soon):
     assert sorted(map(tuple, got.groupBy("rank", "name", "area").count().collect())) == [(1, "n039999", 50.0, 40_000), (2, "n039998", 50.0, 40_000), (3, "n039997", 50.0, 40_000)]
 
 
+def test_polygons_are_not_paired_with_all_boxes_about_them(spark, soon):
+    """Triangles, most of which lie within each box."""
+    box = [F.lit(v).alias(c) for c, v in {"x0": 0.0, "y0": 0.0, "x1": 60.0, "y1": 20.0}.items()]
+    x = F.col("id") % 53
+    corner = lambda i, j: F.struct((x + i).cast("double").alias("x"), F.lit(float(j)).alias("y"))
+    rings = spark.range(40_000).select(F.format_string("n%06d", "id").alias("name"), F.array(corner(0, 0), corner(10, 0), corner(0, 10)).alias("ring"))
+    got = J.top_areas(spark.range(20_000).select("id", *box), rings, 50.0)
+    want = [f"n{i:06d}" for i in range(39_999, 39_900, -1) if i % 53 <= 50][:3]
+    assert sorted(map(tuple, got.groupBy("rank", "name", "area").count().collect())) == [(k + 1, n, 50.0, 20_000) for k, n in enumerate(want)]
+
+
 def test_numbers_are_rounded_as_spark_rounds(spark):
     r = random.Random(1)
     v = [0.5 * round(r.uniform(0, 9), 3) ** 2 for _ in range(2000)] + [2.5e-7, 1e13 + 0.25, 0.0]
